@@ -6,7 +6,6 @@ from clickloom.functions.columns import (
     clean_id,
     clean_time,
     half_up_ratio,
-    id_list,
     joined_text,
     labelled_id,
     ownership_label,
@@ -19,7 +18,6 @@ __all__ = [
     "clean_id",
     "clean_time",
     "half_up_ratio",
-    "id_list",
     "joined_text",
     "labelled_id",
     "ownership_label",

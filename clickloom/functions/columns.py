@@ -40,12 +40,6 @@ def clean_time(column: Column) -> Column:
     return F.try_to_timestamp(F.try_url_decode(F.trim(column)), F.lit(ACTION_TIME_PATTERN))
 
 
-def id_list(column: Column) -> Column:
-    """Comma list text as array<bigint>; NULL text gives an empty list, bad items drop out."""
-    items = F.transform(F.split(column, ","), lambda item: F.trim(item).try_cast("bigint"))
-    return F.coalesce(F.filter(items, lambda item: item.isNotNull()), F.array().cast("array<bigint>"))
-
-
 def half_up_ratio(numerator: Column, denominator: Column) -> Column:
     """numerator / denominator of two counts, rounded half up to 2 digits.
 

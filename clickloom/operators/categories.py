@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.functions import id_list, with_task_id
+from clickloom.functions import with_task_id
 from clickloom.operators.ranking import top_per_group
 
 # Length of the category list and of each session list.
@@ -17,34 +17,27 @@ def category_counts(actions: DataFrame) -> DataFrame:
     """Clicks, orders and payments per category, for every category that has any.
 
     One pass: each action becomes its (kind, category) items, and one aggregate counts the
-    kinds. Counting starts before the shuffle, so a popular category costs no more.
+    kinds. Counting starts before the shuffle, so a popular category costs no more. The
+    lists are taken apart as text and cast afterwards, which stays in generated code.
     """
-
-    def items(kind: str, ids):
-        return F.transform(ids, lambda item: F.struct(F.lit(kind).alias("kind"), item.alias("category_id")))
-
-    clicked = F.array_compact(F.array(F.col("click_category_id").cast("bigint")))
-    exploded = (
-        actions.where(
-            F.col("click_category_id").isNotNull()
-            | F.col("order_category_ids").isNotNull()
-            | F.col("pay_category_ids").isNotNull()
-        )
-        .select(
-            F.inline(
-                F.concat(
-                    items("click", clicked),
-                    items("order", id_list(F.col("order_category_ids"))),
-                    items("pay", id_list(F.col("pay_category_ids"))),
-                )
+    sources = {"click": "click_category_id", "order": "order_category_ids", "pay": "pay_category_ids"}
+    lists = actions.select(
+        F.inline(
+            F.array(
+                *[
+                    F.struct(F.lit(kind).alias("kind"), F.col(source).cast("string").alias("ids"))
+                    for kind, source in sources.items()
+                ]
             )
         )
+    ).where(F.col("ids").isNotNull())
+    items = lists.select("kind", F.explode(F.split("ids", ",")).alias("item")).select(
+        "kind", F.trim("item").try_cast("bigint").alias("category_id")
     )
-    return exploded.groupBy("category_id").agg(
-        *[
-            F.count_if(F.col("kind") == kind).alias(f"{kind}_count")
-            for kind in ("click", "order", "pay")
-        ]
+    return (
+        items.where(F.col("category_id").isNotNull())
+        .groupBy("category_id")
+        .agg(*[F.count_if(F.col("kind") == kind).alias(f"{kind}_count") for kind in sources])
     )
 
 

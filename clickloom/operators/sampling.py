@@ -7,25 +7,37 @@ from pyspark.sql import functions as F
 
 from clickloom.functions import joined_text, with_task_id
 from clickloom.operators.ranking import top_per_group
+from clickloom.operators.sessions import session_profile
 
 # Fixed value: sessions to draw in all.
 SAMPLE_SIZE = 100
 
 
-def _start_hours(profile: DataFrame, *columns: str) -> DataFrame:
-    started = profile.where(F.col("start_time").isNotNull())
-    return started.select(
-        F.to_date("start_time").alias("date"), F.hour("start_time").alias("hour"), *columns
+def session_starts(actions: DataFrame, users: DataFrame) -> DataFrame:
+    """Session id and start time of the sessions of known users.
+
+    All that the sample is drawn from: no list is built for sessions that are not drawn.
+    """
+    starts = actions.groupBy("session_id").agg(
+        F.min("user_id").alias("user_id"), F.min("action_time").alias("start_time")
     )
+    known = starts.join(users.select("user_id"), "user_id")
+    return known.where(F.col("start_time").isNotNull()).select("session_id", "start_time")
 
 
-def session_hour_counts(profile: DataFrame, sample_size: int = SAMPLE_SIZE, extra: int = 0) -> DataFrame:
+def _with_hour(starts: DataFrame) -> DataFrame:
+    return starts.select(
+        F.to_date("start_time").alias("date"), F.hour("start_time").alias("hour"), "session_id", "start_time"
+    )
+
+
+def session_hour_counts(starts: DataFrame, sample_size: int = SAMPLE_SIZE, extra: int = 0) -> DataFrame:
     """Sessions per start day and hour, with the number to draw from each hour.
 
     Each day gets an equal share of the sample, each hour a part of it in proportion to its
     sessions, rounded down; `extra` is added per hour. Never more than the hour has.
     """
-    hours = _start_hours(profile).groupBy("date", "hour").agg(F.count(F.lit(1)).alias("session_count"))
+    hours = _with_hour(starts).groupBy("date", "hour").agg(F.count(F.lit(1)).alias("session_count"))
     day_number = hours.agg(F.count_distinct("date")).scalar()
     per_day = F.call_function("div", F.lit(sample_size).cast("bigint"), day_number)
     share = F.call_function("div", F.col("session_count") * per_day, F.col("day_count"))
@@ -39,9 +51,9 @@ def session_hour_counts(profile: DataFrame, sample_size: int = SAMPLE_SIZE, extr
 
 
 def sampled_sessions(
-    profile: DataFrame, sample_size: int = SAMPLE_SIZE, extra: int = 0, seed: str = "0"
+    starts: DataFrame, sample_size: int = SAMPLE_SIZE, extra: int = 0, seed: str = "0"
 ) -> DataFrame:
-    """The sampled profiles, at most `sample_size` plus `extra` per hour.
+    """The ids of the sampled sessions: at most `sample_size`, plus `extra` per hour.
 
     Sessions of an hour are drawn in the order of a seeded hash, so the same seed gives the
     same sample on any cluster. No quota exceeds `sample_size + extra`; cutting each hour to
@@ -49,20 +61,21 @@ def sampled_sessions(
     """
     order = [F.md5(F.concat(F.lit(seed), F.col("session_id"))), F.col("session_id")]
     candidates = top_per_group(
-        _start_hours(profile, "session_id", "start_time", "search_keywords", "click_category_ids"),
-        ["date", "hour"],
-        order,
-        sample_size + extra,
-        rank_column="draw",
+        _with_hour(starts), ["date", "hour"], order, sample_size + extra, rank_column="draw"
     )
-    quotas = session_hour_counts(profile, sample_size, extra).select("date", "hour", "quota")
-    return candidates.join(quotas, ["date", "hour"]).where(F.col("draw") <= F.col("quota"))
+    quotas = session_hour_counts(starts, sample_size, extra).select("date", "hour", "quota")
+    return candidates.join(quotas, ["date", "hour"]).where(F.col("draw") <= F.col("quota")).select("session_id")
+
 
+def session_sample(actions: DataFrame, sampled: DataFrame, task_id: str) -> DataFrame:
+    """The sampled sessions as a result table.
 
-def session_sample(sampled: DataFrame, task_id: str) -> DataFrame:
-    """The sample as a result table."""
+    The sample is of bounded size and is sent to every task: the log is cut to its sessions
+    where it is read, and keywords and categories are gathered for these alone.
+    """
+    profile = session_profile(actions.join(F.broadcast(sampled), "session_id", "left_semi"))
     return with_task_id(
-        sampled.select(
+        profile.select(
             "session_id",
             "start_time",
             joined_text(F.col("search_keywords")).alias("search_keywords"),

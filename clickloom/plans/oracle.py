@@ -356,7 +356,7 @@ WHERE date BETWEEN '{D.START_DATE}' AND '{D.END_DATE}'""",
 QUALIFY row_number() OVER (PARTITION BY area ORDER BY click_count DESC, product_id) <= 3""",
         ),
         "ad_log_parse": _with(_CLICKS, tail=f"SELECT {_LOG_COLUMNS} FROM clicks"),
-        "ad_log_rejects": """SELECT CAST(epoch_ms(ts) AS VARCHAR) || ' ' || CAST(user_id % 5 AS VARCHAR) AS value
+        "ad_log_rejects": """SELECT CAST(epoch_us(ts) // 1000 AS VARCHAR) || ' ' || CAST(user_id % 5 AS VARCHAR) AS value
 FROM events WHERE event_type = 'error'""",
         "ad_user_daily_counts": daily,
         "ad_blacklist": blacklist,

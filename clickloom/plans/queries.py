@@ -52,17 +52,20 @@ def session_ratio_stat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sessions.session_ratio_stat(counts, P.TASK_ID)
 
 
+def _starts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sampling.session_starts(D.actions(spark, sf_dir), D.users(spark, sf_dir))
+
+
 def session_hour_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sampling.session_hour_counts(session_user_profile(spark, sf_dir), P.SAMPLE_SIZE, P.SAMPLE_EXTRA)
+    return sampling.session_hour_counts(_starts(spark, sf_dir), P.SAMPLE_SIZE, P.SAMPLE_EXTRA)
 
 
 def _sampled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    profile = session_user_profile(spark, sf_dir)
-    return sampling.sampled_sessions(profile, P.SAMPLE_SIZE, P.SAMPLE_EXTRA, P.SAMPLE_SEED)
+    return sampling.sampled_sessions(_starts(spark, sf_dir), P.SAMPLE_SIZE, P.SAMPLE_EXTRA, P.SAMPLE_SEED)
 
 
 def session_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sampling.session_sample(_sampled(spark, sf_dir), P.TASK_ID)
+    return sampling.session_sample(D.actions(spark, sf_dir), _sampled(spark, sf_dir), P.TASK_ID)
 
 
 def session_sample_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -219,7 +222,7 @@ def stream_ad_filtered_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     ad_jobs.start_filtered_log(
         _click_stream(spark, sf_dir), blacklist, log_path, f"{base}/checkpoint", until_done=True
     ).awaitTermination()
-    return spark.read.schema(tables.LOG_SCHEMA).option("basePath", log_path).parquet(f"{log_path}/batch=*")
+    return spark.read.schema(tables.LOG_SCHEMA).parquet(log_path).drop("batch")
 
 
 def stream_ad_province_top3(spark: SparkSession, sf_dir: str) -> DataFrame:

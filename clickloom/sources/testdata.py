@@ -159,8 +159,9 @@ def ad_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def ad_line_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """The ad log lines as a stream over the event files."""
-    path = f"{sf_dir}/events.parquet"
-    reader = spark.readStream.schema(spark.read.parquet(path).schema)
+    # a pattern that names just the events: the file source takes a lone file only so
+    path = f"{sf_dir}/{{events}}.parquet"
+    reader = spark.readStream.schema(table(spark, sf_dir, "events").schema)
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return ad_lines_of(reader.parquet(path))
