@@ -11,8 +11,11 @@ from clickloom.functions import half_up_ratio, with_task_id
 
 # Rows of one session are split by time into slices of this many seconds.
 SLICE_SECONDS = 300
-# Slices of one session for its actions without a time.
+# Slices of one session for its actions without a time, numbered below any real slice.
 UNTIMED_SLICES = 256
+UNTIMED = -(2**62)
+# Stands before the first and after the last page of a slice.
+NO_PAGE = -(2**62)
 
 
 def _pairs(flow: Sequence[int]) -> list[tuple[int, int]]:
@@ -30,38 +33,35 @@ def _flow_totals(actions: DataFrame, flow: Sequence[int], slice_seconds: int) ->
     """
     pairs = list(dict.fromkeys(_pairs(flow)))
     tie_breaker = "event_id" if "event_id" in actions.columns else "page_id"
-    timed = F.col("action_time").isNotNull()
     span = F.call_function("div", F.unix_timestamp("action_time"), F.lit(slice_seconds).cast("bigint"))
     # actions without a time have no place in the order; spread, they only count as views
-    spread = F.pmod(F.xxhash64(tie_breaker), F.lit(UNTIMED_SLICES).cast("bigint"))
-    part = ["session_id", "timed", "time_slice"]
+    spread = F.pmod(F.xxhash64(tie_breaker), F.lit(UNTIMED_SLICES).cast("bigint")) + UNTIMED
+    part = ["session_id", "time_slice"]
     in_slice = Window.partitionBy(*part).orderBy("action_time", tie_breaker)
     steps = actions.select(
         *dict.fromkeys(["session_id", "page_id", "action_time", tie_breaker]),
-        timed.alias("timed"),
         F.coalesce(span, spread).alias("time_slice"),
     ).select(
         *part,
         "page_id",
-        F.lead("page_id").over(in_slice).alias("next_page"),
-        F.row_number().over(in_slice).alias("position"),
-        F.lead(F.lit(True)).over(in_slice).alias("has_next"),
+        F.lead("page_id", 1, NO_PAGE).over(in_slice).alias("next_page"),
+        F.lag("page_id", 1, NO_PAGE).over(in_slice).alias("previous_page"),
     )
-    is_timed = F.col("timed")
+    is_timed = F.col("time_slice") >= UNTIMED + UNTIMED_SLICES
 
     def is_pair(pair, from_column, to_column):
         return (F.col(from_column) == pair[0]) & (F.col(to_column) == pair[1])
 
     slices = steps.groupBy(*part).agg(
         F.count_if(F.col("page_id") == flow[0]).alias("start_pv"),
-        F.max(F.when(is_timed & (F.col("position") == 1), F.col("page_id"))).alias("first_page"),
-        F.max(F.when(is_timed & F.col("has_next").isNull(), F.col("page_id"))).alias("last_page"),
+        F.max(F.when(is_timed & (F.col("previous_page") == NO_PAGE), F.col("page_id"))).alias("first_page"),
+        F.max(F.when(is_timed & (F.col("next_page") == NO_PAGE), F.col("page_id"))).alias("last_page"),
         *[
             F.count_if(is_timed & is_pair(pair, "page_id", "next_page")).alias(f"pair_{i}")
             for i, pair in enumerate(pairs)
         ],
     )
-    across = Window.partitionBy("session_id").orderBy("timed", "time_slice")
+    across = Window.partitionBy("session_id").orderBy("time_slice")
     joined = slices.withColumn("next_first", F.lead("first_page").over(across))
     return joined.agg(
         F.coalesce(F.sum("start_pv"), F.lit(0)).alias("start_pv"),

@@ -104,27 +104,26 @@ def _visit_length() -> Column:
 def session_profile(actions: DataFrame) -> DataFrame:
     """One row per session: user, first and last time, length, actions, keywords, categories.
 
-    Built in two steps: per session and hour, then per session. The hours of one session
-    fall to different tasks, so a session with a great share of all rows is split, and the
-    second step sees one row per session and hour with its lists already distinct.
+    Built in two steps: per session, keyword and category, then per session. The first one
+    has aggregates of fixed size only, which start before the shuffle, and its keys spread a
+    session with a great share of all rows over many tasks. The second one sees each keyword
+    and category of a session about once, however often it occurs.
     """
-    hourly = actions.groupBy("session_id", F.date_trunc("hour", "action_time").alias("hour_slice")).agg(
+    combined = actions.groupBy("session_id", "search_keyword", "click_category_id").agg(
         F.min("user_id").alias("user_id"),
         F.min("action_time").alias("start_time"),
         F.max("action_time").alias("end_time"),
         F.count(F.lit(1)).alias("step_length"),
-        F.collect_set("search_keyword").alias("keywords"),
-        F.collect_set("click_category_id").alias("categories"),
     )
     return (
-        hourly.groupBy("session_id")
+        combined.groupBy("session_id")
         .agg(
             F.min("user_id").alias("user_id"),
             F.min("start_time").alias("start_time"),
             F.max("end_time").alias("end_time"),
             F.sum("step_length").alias("step_length"),
-            F.array_sort(F.array_distinct(F.flatten(F.collect_list("keywords")))).alias("search_keywords"),
-            F.array_sort(F.array_distinct(F.flatten(F.collect_list("categories")))).alias("click_category_ids"),
+            F.array_sort(F.collect_set("search_keyword")).alias("search_keywords"),
+            F.array_sort(F.collect_set("click_category_id")).alias("click_category_ids"),
         )
         .select(
             "session_id",
