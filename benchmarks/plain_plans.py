@@ -39,9 +39,8 @@ def plain_category_top10(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def of_kind(column: str) -> DataFrame:
         listed = actions.where(F.col(column).isNotNull())
-        return listed.select(
-            F.explode(F.split(F.col(column).cast("string"), ",")).cast("bigint").alias("category_id")
-        )
+        items = listed.select(F.explode(F.split(F.col(column).cast("string"), ",")).alias("item"))
+        return items.select(F.col("item").cast("bigint").alias("category_id"))
 
     kinds = {"click": "click_category_id", "order": "order_category_ids", "pay": "pay_category_ids"}
     parts = [of_kind(column) for column in kinds.values()]

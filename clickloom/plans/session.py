@@ -16,6 +16,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.files.maxPartitionBytes": "256m",
+    # no record of the Python call site per column: plans are built in a fraction of the time
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 # Parameters of the registered queries.
 START_DATE = "2024-01-05"
@@ -16,43 +16,36 @@ SERIES_HOUR = 10
 AREA_LEVELS = {"A Level": ["ASIA", "EUROPE"], "B Level": ["AMERICA"], "C Level": ["AFRICA"]}
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+_SCHEMAS: dict[str, T.StructType] = {}
 
 
-def _k() -> Column:
-    return F.get_json_object("props", "$.k").cast("bigint")
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A test table. Its schema is read from the files once, later reads are given it."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
-def _day_text(ts: Column) -> Column:
-    return F.replace(F.to_date(ts).cast("string"), F.lit("-"), F.lit(""))
+_K = "CAST(get_json_object(props, '$.k') AS BIGINT)"
 
 
 def actions_of(events: DataFrame) -> DataFrame:
     """Typed actions from event rows."""
-    kind = F.col("event_type")
-    k = F.col("k")
-
-    def only(event_type: str, value: Column) -> Column:
-        return F.when(kind == event_type, value)
-
-    def id_pair(factor: int) -> Column:
-        return F.concat_ws(",", (k % 20).cast("string"), ((k * factor) % 20).cast("string"))
-
-    return events.select("event_id", "ts", "user_id", "event_type", _k().alias("k")).select(
-        F.to_date("ts").alias("date"),
+    return events.selectExpr("event_id", "ts", "user_id", "event_type", f"{_K} AS k").selectExpr(
+        "to_date(ts) AS date",
         "user_id",
-        F.concat_ws("-", F.col("user_id").cast("string"), _day_text(F.col("ts"))).alias("session_id"),
-        (k % 10).alias("page_id"),
-        F.col("ts").cast("timestamp").alias("action_time"),
-        only("view", F.concat(F.lit("kw"), (k % 10).cast("string"))).alias("search_keyword"),
-        only("click", k % 20).alias("click_category_id"),
-        only("click", k).alias("click_product_id"),
-        only("signup", id_pair(7)).alias("order_category_ids"),
-        only("signup", k.cast("string")).alias("order_product_ids"),
-        only("purchase", id_pair(3)).alias("pay_category_ids"),
-        only("purchase", k.cast("string")).alias("pay_product_ids"),
-        (F.col("user_id") % 25).alias("city_id"),
+        "concat_ws('-', user_id, replace(CAST(to_date(ts) AS STRING), '-', '')) AS session_id",
+        "k % 10 AS page_id",
+        "CAST(ts AS TIMESTAMP) AS action_time",
+        "CASE WHEN event_type = 'view' THEN concat('kw', k % 10) END AS search_keyword",
+        "CASE WHEN event_type = 'click' THEN k % 20 END AS click_category_id",
+        "CASE WHEN event_type = 'click' THEN k END AS click_product_id",
+        "CASE WHEN event_type = 'signup' THEN concat_ws(',', k % 20, (k * 7) % 20) END AS order_category_ids",
+        "CASE WHEN event_type = 'signup' THEN CAST(k AS STRING) END AS order_product_ids",
+        "CASE WHEN event_type = 'purchase' THEN concat_ws(',', k % 20, (k * 3) % 20) END AS pay_category_ids",
+        "CASE WHEN event_type = 'purchase' THEN CAST(k AS STRING) END AS pay_product_ids",
+        "user_id % 25 AS city_id",
         "event_id",
     )
 
@@ -66,70 +59,60 @@ def raw_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Also here -1 stands for an absent clicked product.
     """
-    typed = actions(spark, sf_dir)
-
-    def text(name: str) -> Column:
-        return F.coalesce(F.col(name).cast("string"), F.lit("")).alias(name)
-
-    keyword = F.url_encode(F.concat(F.lit("词 "), F.col("search_keyword")))
-    product = F.coalesce(F.col("click_product_id").cast("string"), F.lit("-1"))
-    return typed.select(
-        F.col("date").cast("string").alias("date"),
-        text("user_id"),
+    return actions(spark, sf_dir).selectExpr(
+        "CAST(date AS STRING) AS date",
+        "CAST(user_id AS STRING) AS user_id",
         "session_id",
-        text("page_id"),
-        F.date_format("action_time", "yyyy-MM-dd H:m:s").alias("action_time"),
-        F.coalesce(keyword, F.lit("")).alias("search_keyword"),
-        text("click_category_id"),
-        product.alias("click_product_id"),
-        text("order_category_ids"),
-        text("order_product_ids"),
-        text("pay_category_ids"),
-        text("pay_product_ids"),
-        text("city_id"),
+        "CAST(page_id AS STRING) AS page_id",
+        "date_format(action_time, 'yyyy-MM-dd H:m:s') AS action_time",
+        "coalesce(url_encode(concat('词 ', search_keyword)), '') AS search_keyword",
+        "coalesce(CAST(click_category_id AS STRING), '') AS click_category_id",
+        "coalesce(CAST(click_product_id AS STRING), '-1') AS click_product_id",
+        "coalesce(order_category_ids, '') AS order_category_ids",
+        "coalesce(order_product_ids, '') AS order_product_ids",
+        "coalesce(pay_category_ids, '') AS pay_category_ids",
+        "coalesce(pay_product_ids, '') AS pay_product_ids",
+        "CAST(city_id AS STRING) AS city_id",
         "event_id",
     )
 
 
 def users(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "customer").select(
-        F.col("c_custkey").alias("user_id"),
-        F.col("c_name").alias("username"),
-        F.col("c_name").alias("name"),
-        (F.col("c_custkey") % 60).cast("int").alias("age"),
-        F.col("c_mktsegment").alias("professional"),
-        F.concat(F.lit("city"), F.col("c_nationkey").cast("string")).alias("city"),
-        F.when(F.col("c_custkey") % 2 == 0, "male").otherwise("female").alias("sex"),
+    return table(spark, sf_dir, "customer").selectExpr(
+        "c_custkey AS user_id",
+        "c_name AS username",
+        "c_name AS name",
+        "CAST(c_custkey % 60 AS INT) AS age",
+        "c_mktsegment AS professional",
+        "concat('city', c_nationkey) AS city",
+        "CASE WHEN c_custkey % 2 = 0 THEN 'male' ELSE 'female' END AS sex",
     )
 
 
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    status = (F.col("p_partkey") % 2).cast("string")
-    return table(spark, sf_dir, "part").select(
-        F.col("p_partkey").alias("product_id"),
-        F.col("p_name").alias("product_name"),
-        F.concat(F.lit('{"product_status": '), status, F.lit("}")).alias("extend_info"),
+    return table(spark, sf_dir, "part").selectExpr(
+        "p_partkey AS product_id",
+        "p_name AS product_name",
+        """concat('{"product_status": ', p_partkey % 2, '}') AS extend_info""",
     )
 
 
 def cities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nation = table(spark, sf_dir, "nation")
-    region = table(spark, sf_dir, "region")
-    return nation.join(region, nation.n_regionkey == region.r_regionkey).select(
-        F.col("n_nationkey").cast("bigint").alias("city_id"),
-        F.col("n_name").alias("city_name"),
-        F.col("r_name").alias("area"),
+    nation = table(spark, sf_dir, "nation").selectExpr(
+        "CAST(n_nationkey AS BIGINT) AS city_id", "n_name AS city_name", "n_regionkey AS r_regionkey"
     )
+    region = table(spark, sf_dir, "region").selectExpr("r_regionkey", "r_name AS area")
+    return nation.join(region, "r_regionkey").select("city_id", "city_name", "area")
 
 
 def ad_clicks_of(events: DataFrame) -> DataFrame:
     """Typed ad clicks from the click events."""
-    return events.where(F.col("event_type") == "click").select(
-        F.col("ts").cast("timestamp").alias("ts"),
-        (F.col("user_id") % 5).cast("string").alias("province"),
-        (F.col("user_id") % 25).cast("string").alias("city"),
-        F.col("user_id").alias("userid"),
-        (_k() % 10).alias("adid"),
+    return events.where("event_type = 'click'").selectExpr(
+        "CAST(ts AS TIMESTAMP) AS ts",
+        "CAST(user_id % 5 AS STRING) AS province",
+        "CAST(user_id % 25 AS STRING) AS city",
+        "user_id AS userid",
+        f"{_K} % 10 AS adid",
     )
 
 
@@ -139,18 +122,11 @@ def ad_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def ad_lines_of(events: DataFrame) -> DataFrame:
     """Ad log lines: one per click event, and a cut-off line per error event."""
-    millis = F.unix_millis(F.col("ts").cast("timestamp")).cast("string")
-    full = F.concat_ws(
-        " ",
-        millis,
-        (F.col("user_id") % 5).cast("string"),
-        (F.col("user_id") % 25).cast("string"),
-        F.col("user_id").cast("string"),
-        (_k() % 10).cast("string"),
+    return events.where("event_type IN ('click', 'error')").selectExpr(
+        f"""CASE WHEN event_type = 'click'
+            THEN concat_ws(' ', unix_millis(CAST(ts AS TIMESTAMP)), user_id % 5, user_id % 25, user_id, {_K} % 10)
+            ELSE concat_ws(' ', unix_millis(CAST(ts AS TIMESTAMP)), user_id % 5) END AS value"""
     )
-    cut_off = F.concat_ws(" ", millis, (F.col("user_id") % 5).cast("string"))
-    line = F.when(F.col("event_type") == "click", full).otherwise(cut_off)
-    return events.where(F.col("event_type").isin("click", "error")).select(line.alias("value"))
 
 
 def ad_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
