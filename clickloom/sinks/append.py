@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame
 
 
 def append_parquet(result: DataFrame, path: str) -> None:
-    """Add the rows to a Parquet table, one directory per task id."""
-    result.write.mode("append").partitionBy("task_id").parquet(path)
+    """Add the rows to a Parquet table, one directory per task id, in files of an even size."""
+    result.hint("rebalance").write.mode("append").partitionBy("task_id").parquet(path)
 
 
 def append_jdbc(
@@ -19,5 +19,8 @@ def append_jdbc(
     properties: Mapping[str, str] | None = None,
     connections: int = 16,
 ) -> None:
-    """Add the rows to a database table; `connections` bounds the writers the database sees."""
-    result.coalesce(connections).write.jdbc(url, table, mode="append", properties=dict(properties or {}))
+    """Add the rows to a database table; `connections` bounds the writers the database sees.
+
+    The result is shuffled to the writers, so the work before it keeps all its tasks.
+    """
+    result.repartition(connections).write.jdbc(url, table, mode="append", properties=dict(properties or {}))

@@ -30,8 +30,10 @@ class BatchTable:
     replace_slice  the rows of the latest batch that has the slice stand; `keys` are the
                    columns of the slice, and a batch brings a slice as a whole
 
-    `value` is the count column (not used by ignore and replace_slice). Batch ids must
-    grow, as those of one streaming query do.
+    `value` is the count column (not used by ignore and replace_slice). `partition_by` are
+    key columns that lay out the files, so that a join on them reads only what it needs.
+    `files` is the number of files a batch is written in. Batch ids must grow, as those of
+    one streaming query do.
     """
 
     def __init__(
@@ -42,6 +44,8 @@ class BatchTable:
         keys: Sequence[str],
         rule: str,
         value: str = "click_count",
+        partition_by: Sequence[str] = (),
+        files: int = 4,
     ):
         if rule not in (ADD, OVERWRITE, IGNORE, REPLACE_SLICE):
             raise ValueError(f"unknown rule {rule!r}")
@@ -51,6 +55,8 @@ class BatchTable:
         self.keys = list(keys)
         self.rule = rule
         self.value = value
+        self.partition_by = list(partition_by)
+        self.files = files
         self._stored = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
 
     # -- writing -----------------------------------------------------------------------
@@ -58,10 +64,11 @@ class BatchTable:
     def write(self, batch: DataFrame, batch_id: int) -> None:
         """Store a batch; has the signature that `foreachBatch` calls."""
         rows = self._within_batch(batch).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        self._store(rows, "batch", batch_id)
+        self._store(rows.repartition(self.files), "batch", batch_id)
 
     def _store(self, rows: DataFrame, kind: str, number: int) -> None:
-        rows.select(*self._stored.fieldNames()).write.mode("overwrite").parquet(f"{self.path}/{kind}={number}")
+        writer = rows.select(*self._stored.fieldNames()).write.mode("overwrite")
+        writer.partitionBy(*self.partition_by).parquet(f"{self.path}/set={kind}-{number}")
 
     def _within_batch(self, batch: DataFrame) -> DataFrame:
         columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema.fields]
@@ -83,14 +90,15 @@ class BatchTable:
         batches = [n for n in self._numbers("batch") if before is None or n < before]
         if not batches or (folded and max(batches) <= folded[0]):
             return
-        self._store(self._merged(before), "merged", max(batches))
+        columns = [F.col(name) for name in self.partition_by]
+        self._store(self._merged(before).hint("rebalance", *columns), "merged", max(batches))
         if folded:
             for number in batches:
                 if number <= folded[0]:
-                    self._remove(f"batch={number}")
+                    self._remove(f"set=batch-{number}")
             for number in self._numbers("merged"):
                 if number < folded[0]:
-                    self._remove(f"merged={number}")
+                    self._remove(f"set=merged-{number}")
 
     # -- reading -----------------------------------------------------------------------
 
@@ -104,7 +112,10 @@ class BatchTable:
 
     def read_batch(self, batch_id: int) -> DataFrame:
         """The rows of one stored batch."""
-        rows = self.spark.read.schema(self._stored).parquet(f"{self.path}/batch={batch_id}")
+        rows = self.spark.read.schema(self._stored).parquet(f"{self.path}/set=batch-{batch_id}")
+        # all rows have this id; as a filter it marks the batch as the small side, whose
+        # days then prune the directories of the table it is joined with
+        rows = rows.where(F.col("batch_id") == batch_id)
         return rows.select(*self.schema.fieldNames())
 
     def _files(self):
@@ -114,8 +125,8 @@ class BatchTable:
     def _numbers(self, kind: str) -> list[int]:
         """Numbers of the complete directories of a kind, by the file system's own listing."""
         path, files = self._files()
-        done = files.globStatus(path(f"{self.path}/{kind}=*/{_DONE_MARK}"))
-        return sorted(int(status.getPath().getParent().getName().split("=")[1]) for status in done or [])
+        done = files.globStatus(path(f"{self.path}/set={kind}-*/{_DONE_MARK}"))
+        return sorted(int(status.getPath().getParent().getName().rsplit("-", 1)[1]) for status in done or [])
 
     def _remove(self, directory: str) -> None:
         path, files = self._files()
@@ -127,10 +138,10 @@ class BatchTable:
 
         folded = earlier("merged")[-1:]
         newer = [n for n in earlier("batch") if not folded or n > folded[0]]
-        paths = [f"{self.path}/merged={n}" for n in folded] + [f"{self.path}/batch={n}" for n in newer]
+        paths = [f"{self.path}/set=merged-{n}" for n in folded] + [f"{self.path}/set=batch-{n}" for n in newer]
         if not paths:
             return self.spark.createDataFrame([], self._stored)
-        return self.spark.read.schema(self._stored).parquet(*paths)
+        return self.spark.read.schema(self._stored).option("basePath", self.path).parquet(*paths)
 
     def _merged(self, before: int | None = None) -> DataFrame:
         rows = self._rows(before)

@@ -132,15 +132,10 @@ def read_actions(
 def write_actions(actions: DataFrame, path: str) -> None:
     """Store cleaned actions by day, so that date ranges prune directories.
 
-    Rows go to (day, session) hash partitions first: a day's rows are spread over many
-    tasks, and each task writes whole sessions of few days.
+    Rows are rebalanced by day: adaptive execution splits the days with the most rows over
+    many tasks and merges small ones, which gives files of an even size.
     """
-    (
-        actions.repartition("date", "session_id")
-        .write.mode("overwrite")
-        .partitionBy("date")
-        .parquet(path)
-    )
+    actions.hint("rebalance", F.col("date")).write.mode("overwrite").partitionBy("date").parquet(path)
 
 
 def city_dimension(spark: SparkSession) -> DataFrame:

@@ -25,11 +25,11 @@ LOG_SCHEMA = _schema(
 
 
 def stat_table(spark: SparkSession, path: str, rule: str = OVERWRITE) -> BatchTable:
-    return BatchTable(spark, path, STAT_SCHEMA, ["date", "province", "city", "adid"], rule)
+    return BatchTable(spark, path, STAT_SCHEMA, ["date", "province", "city", "adid"], rule, partition_by=["date"])
 
 
 def user_count_table(spark: SparkSession, path: str) -> BatchTable:
-    return BatchTable(spark, path, USER_COUNT_SCHEMA, ["date", "userid", "adid"], ADD)
+    return BatchTable(spark, path, USER_COUNT_SCHEMA, ["date", "userid", "adid"], ADD, partition_by=["date"])
 
 
 def blacklist_table(spark: SparkSession, path: str) -> BatchTable:
@@ -37,7 +37,7 @@ def blacklist_table(spark: SparkSession, path: str) -> BatchTable:
 
 
 def top_table(spark: SparkSession, path: str) -> BatchTable:
-    return BatchTable(spark, path, TOP_SCHEMA, ["date", "province"], REPLACE_SLICE)
+    return BatchTable(spark, path, TOP_SCHEMA, ["date", "province"], REPLACE_SLICE, partition_by=["date"])
 
 
 def trend_table(spark: SparkSession, path: str, rule: str = OVERWRITE) -> BatchTable:

@@ -137,7 +137,7 @@ def test_rules_replay_and_compaction(spark, tmp_path, rule, expected):
     stored.compact()
     assert content(stored)[2] == {ADD: 6, OVERWRITE: 1, IGNORE: 5}[rule]
     # what the older merged set covers is gone; what it does not is still there
-    assert sorted(os.listdir(stored.path)) == ["batch=2", "merged=1", "merged=2"]
+    assert sorted(os.listdir(stored.path)) == ["set=batch-2", "set=merged-1", "set=merged-2"]
 
 
 def test_add_sums_repeats_within_a_batch(spark, tmp_path):
@@ -167,12 +167,56 @@ def test_half_written_sets_do_not_count(spark, tmp_path):
     stored.write(keyed(spark, (1, 2)), 1)
     stored.compact()
     # as if the job had died while folding, and while storing a batch
-    os.remove(glob.glob(f"{stored.path}/merged=1/_SUCCESS")[0])
+    os.remove(glob.glob(f"{stored.path}/set=merged-1/_SUCCESS")[0])
     stored.write(keyed(spark, (1, 100)), 2)
-    os.remove(glob.glob(f"{stored.path}/batch=2/_SUCCESS")[0])
+    os.remove(glob.glob(f"{stored.path}/set=batch-2/_SUCCESS")[0])
     assert content(stored) == {1: 4}
 
 
+def test_a_batch_reads_only_the_days_it_touches(spark, tmp_path):
+    stat = tables.stat_table(spark, str(tmp_path / "stat"), ADD)
+    days = [click(86400 * i) for i in range(5)]
+    stat.write(ads.ad_stat(clicks(spark, days)), 0)
+    stat.compact()
+    stat.write(ads.ad_stat(clicks(spark, days[2:3])), 1)
+    touched = stat.read_batch(1).select("date", "province").distinct()
+    slices = stat.read().join(touched, ["date", "province"], "left_semi")
+    assert [row.click_count for row in slices.collect()] == [2]
+    assert "dynamicpruning" in slices._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    changed = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k",
+    }
+    before = {key: spark.conf.get(key) for key in changed}
+    for key, value in changed.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        spark.conf.set(key, value)
+
+
+def test_a_busy_user_is_split_when_the_list_is_too_large_to_send(spark, no_broadcast):
+    log = spark.range(0, 60000, 1, 8).selectExpr(
+        "timestamp_seconds(id) AS ts",
+        "'p' AS province",
+        "'c' AS city",
+        "IF(id % 3 = 0, 1, id) AS userid",
+        "id % 10 AS adid",
+    )
+    listed = spark.range(5, 30000).selectExpr("id AS userid")
+    kept = ads.ad_filtered_log(log, listed)
+    rows = kept.collect()
+    assert sum(row.userid == 1 for row in rows) == 20001
+    assert len(rows) == 20000 + sum(i % 3 != 0 and not 5 <= i < 30000 for i in range(60000))
+    assert "SortMergeJoin(skew=true)" in kept._jdf.queryExecution().executedPlan().toString()
+
+
 def test_append_by_task(spark, tmp_path):
     path = str(tmp_path / "results")
     for task in ("a", "b"):
