@@ -8,6 +8,7 @@ a failure changes nothing, and a batch costs no more than its own rows to write.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,7 +32,7 @@ class BatchTable:
                    columns of the slice, and a batch brings a slice as a whole
 
     `value` is the count column (not used by ignore and replace_slice). `partition_by` are
-    key columns that lay out the files, so that a join on them reads only what it needs.
+    key columns that lay out the merged set, so that a join on them reads only what it needs.
     `files` is the number of files a batch is written in. Batch ids must grow, as those of
     one streaming query do.
     """
@@ -68,7 +69,9 @@ class BatchTable:
 
     def _store(self, rows: DataFrame, kind: str, number: int) -> None:
         writer = rows.select(*self._stored.fieldNames()).write.mode("overwrite")
-        writer.partitionBy(*self.partition_by).parquet(f"{self.path}/set={kind}-{number}")
+        if kind == "merged":
+            writer = writer.partitionBy(*self.partition_by)
+        writer.parquet(f"{self.path}/{kind}-{number}")
 
     def _within_batch(self, batch: DataFrame) -> DataFrame:
         columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema.fields]
@@ -95,10 +98,10 @@ class BatchTable:
         if folded:
             for number in batches:
                 if number <= folded[0]:
-                    self._remove(f"set=batch-{number}")
+                    self._remove(f"batch-{number}")
             for number in self._numbers("merged"):
                 if number < folded[0]:
-                    self._remove(f"set=merged-{number}")
+                    self._remove(f"merged-{number}")
 
     # -- reading -----------------------------------------------------------------------
 
@@ -112,7 +115,7 @@ class BatchTable:
 
     def read_batch(self, batch_id: int) -> DataFrame:
         """The rows of one stored batch."""
-        rows = self.spark.read.schema(self._stored).parquet(f"{self.path}/set=batch-{batch_id}")
+        rows = self.spark.read.schema(self._stored).parquet(f"{self.path}/batch-{batch_id}")
         # all rows have this id; as a filter it marks the batch as the small side, whose
         # days then prune the directories of the table it is joined with
         rows = rows.where(F.col("batch_id") == batch_id)
@@ -125,7 +128,7 @@ class BatchTable:
     def _numbers(self, kind: str) -> list[int]:
         """Numbers of the complete directories of a kind, by the file system's own listing."""
         path, files = self._files()
-        done = files.globStatus(path(f"{self.path}/set={kind}-*/{_DONE_MARK}"))
+        done = files.globStatus(path(f"{self.path}/{kind}-*/{_DONE_MARK}"))
         return sorted(int(status.getPath().getParent().getName().rsplit("-", 1)[1]) for status in done or [])
 
     def _remove(self, directory: str) -> None:
@@ -138,10 +141,13 @@ class BatchTable:
 
         folded = earlier("merged")[-1:]
         newer = [n for n in earlier("batch") if not folded or n > folded[0]]
-        paths = [f"{self.path}/set=merged-{n}" for n in folded] + [f"{self.path}/set=batch-{n}" for n in newer]
-        if not paths:
+        reader = self.spark.read.schema(self._stored)
+        parts = [reader.parquet(f"{self.path}/merged-{n}") for n in folded]
+        if newer:
+            parts.append(reader.parquet(*[f"{self.path}/batch-{n}" for n in newer]))
+        if not parts:
             return self.spark.createDataFrame([], self._stored)
-        return self.spark.read.schema(self._stored).option("basePath", self.path).parquet(*paths)
+        return reduce(DataFrame.unionByName, parts)
 
     def _merged(self, before: int | None = None) -> DataFrame:
         rows = self._rows(before)

@@ -137,7 +137,7 @@ def test_rules_replay_and_compaction(spark, tmp_path, rule, expected):
     stored.compact()
     assert content(stored)[2] == {ADD: 6, OVERWRITE: 1, IGNORE: 5}[rule]
     # what the older merged set covers is gone; what it does not is still there
-    assert sorted(os.listdir(stored.path)) == ["set=batch-2", "set=merged-1", "set=merged-2"]
+    assert sorted(os.listdir(stored.path)) == ["batch-2", "merged-1", "merged-2"]
 
 
 def test_add_sums_repeats_within_a_batch(spark, tmp_path):
@@ -167,9 +167,9 @@ def test_half_written_sets_do_not_count(spark, tmp_path):
     stored.write(keyed(spark, (1, 2)), 1)
     stored.compact()
     # as if the job had died while folding, and while storing a batch
-    os.remove(glob.glob(f"{stored.path}/set=merged-1/_SUCCESS")[0])
+    os.remove(glob.glob(f"{stored.path}/merged-1/_SUCCESS")[0])
     stored.write(keyed(spark, (1, 100)), 2)
-    os.remove(glob.glob(f"{stored.path}/set=batch-2/_SUCCESS")[0])
+    os.remove(glob.glob(f"{stored.path}/batch-2/_SUCCESS")[0])
     assert content(stored) == {1: 4}
 
 
