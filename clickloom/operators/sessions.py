@@ -197,11 +197,16 @@ def session_ratio_stat(bucket_counts: DataFrame, task_id: str) -> DataFrame:
     return with_task_id(ratios, task_id)
 
 
-def session_detail(actions: DataFrame, session_ids: DataFrame, task_id: str) -> DataFrame:
-    """The actions of a few chosen sessions.
-
-    `session_ids` comes from a sample or a top list, both of bounded size, so it is sent
-    to every task and the log is filtered where it is read, without a shuffle.
+def session_detail(
+    actions: DataFrame, session_ids: DataFrame, task_id: str, bounded: bool = False
+) -> DataFrame:
+    """The actions of chosen sessions, each once.
+
+    `bounded` says that the number of ids is limited by construction, as that of a sample or
+    a top list is. They are then sent to every task, and the log is filtered where it is
+    read, without a shuffle. Otherwise the way to join is left to Spark.
     """
-    chosen = F.broadcast(session_ids.select("session_id").distinct())
+    chosen = session_ids.select("session_id").distinct()
+    if bounded:
+        chosen = F.broadcast(chosen)
     return with_task_id(actions.join(chosen, "session_id", "left_semi").select(*DETAIL_COLUMNS), task_id)

@@ -43,8 +43,8 @@ def session_job(
         "session_stat_ratio": sessions.session_ratio_stat(sessions.session_bucket_counts(lengths), task_id),
         "session_random_extract": text_result(sampling.session_sample(actions, sampled, task_id)),
         "session_detail": text_result(
-            sessions.session_detail(actions, sampled, task_id).unionByName(
-                sessions.session_detail(actions, active, task_id)
+            sessions.session_detail(actions, sampled, task_id, bounded=True).unionByName(
+                sessions.session_detail(actions, active, task_id, bounded=True)
             )
         ),
         "top10_category": with_task_id(top, task_id),

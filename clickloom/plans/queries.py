@@ -69,7 +69,7 @@ def session_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def session_sample_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sessions.session_detail(D.actions(spark, sf_dir), _sampled(spark, sf_dir), P.TASK_ID)
+    return sessions.session_detail(D.actions(spark, sf_dir), _sampled(spark, sf_dir), P.TASK_ID, bounded=True)
 
 
 # -- categories --------------------------------------------------------------------------
@@ -97,7 +97,8 @@ def category_top_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def top_session_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sessions.session_detail(D.actions(spark, sf_dir), _top_sessions(spark, sf_dir), P.TASK_ID)
+    top = _top_sessions(spark, sf_dir)
+    return sessions.session_detail(D.actions(spark, sf_dir), top, P.TASK_ID, bounded=True)
 
 
 # -- pages -------------------------------------------------------------------------------

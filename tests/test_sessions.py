@@ -225,10 +225,11 @@ def test_every_hour_keeps_only_a_few_rows_before_the_shuffle(spark):
     assert "WindowGroupLimit" in plan
 
 
-def test_detail_has_each_action_once(spark):
+@pytest.mark.parametrize("bounded", [True, False])
+def test_detail_has_each_action_once(spark, bounded):
     actions = frame(spark, [action("a", 0), action("a", 0), action("b", 0)])
     ids = spark.createDataFrame([("a",), ("a",)], "session_id string")
-    rows = sessions.session_detail(actions, ids, "t").collect()
+    rows = sessions.session_detail(actions, ids, "t", bounded).collect()
     assert [(row.task_id, row.session_id) for row in rows] == [("t", "a"), ("t", "a")]
 
 
