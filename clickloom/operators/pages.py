@@ -47,30 +47,24 @@ def _flow_totals(actions: DataFrame, flow: Sequence[int], slice_seconds: int) ->
         F.lead("page_id", 1, NO_PAGE).over(in_slice).alias("next_page"),
         F.lag("page_id", 1, NO_PAGE).over(in_slice).alias("previous_page"),
     )
-    is_timed = F.col("time_slice") >= UNTIMED + UNTIMED_SLICES
-
-    def is_pair(pair, from_column, to_column):
-        return (F.col(from_column) == pair[0]) & (F.col(to_column) == pair[1])
-
+    timed = f"time_slice >= {UNTIMED + UNTIMED_SLICES}"
     slices = steps.groupBy(*part).agg(
-        F.count_if(F.col("page_id") == flow[0]).alias("start_pv"),
-        F.max(F.when(is_timed & (F.col("previous_page") == NO_PAGE), F.col("page_id"))).alias("first_page"),
-        F.max(F.when(is_timed & (F.col("next_page") == NO_PAGE), F.col("page_id"))).alias("last_page"),
+        F.expr(f"count_if(page_id = {flow[0]}) AS start_pv"),
+        F.expr(f"max(CASE WHEN {timed} AND previous_page = {NO_PAGE} THEN page_id END) AS first_page"),
+        F.expr(f"max(CASE WHEN {timed} AND next_page = {NO_PAGE} THEN page_id END) AS last_page"),
         *[
-            F.count_if(is_timed & is_pair(pair, "page_id", "next_page")).alias(f"pair_{i}")
-            for i, pair in enumerate(pairs)
+            F.expr(f"count_if({timed} AND page_id = {page} AND next_page = {following}) AS pair_{i}")
+            for i, (page, following) in enumerate(pairs)
         ],
     )
     across = Window.partitionBy("session_id").orderBy("time_slice")
-    joined = slices.withColumn("next_first", F.lead("first_page").over(across))
-    return joined.agg(
-        F.coalesce(F.sum("start_pv"), F.lit(0)).alias("start_pv"),
+    return slices.withColumn("next_first", F.lead("first_page").over(across)).agg(
+        F.expr("coalesce(sum(start_pv), 0) AS start_pv"),
         *[
-            (
-                F.coalesce(F.sum(f"pair_{i}"), F.lit(0))
-                + F.count_if(is_pair(pair, "last_page", "next_first"))
-            ).alias(f"pair_{i}")
-            for i, pair in enumerate(pairs)
+            F.expr(
+                f"coalesce(sum(pair_{i}), 0) + count_if(last_page = {page} AND next_first = {following}) AS pair_{i}"
+            )
+            for i, (page, following) in enumerate(pairs)
         ],
     )
 
@@ -79,20 +73,16 @@ def _flow_steps(actions: DataFrame, flow: Sequence[int], slice_seconds: int) ->
     """One row per step of the flow: its pair, count, and the count of the step before."""
     if len(flow) < 2:
         raise ValueError("a page flow needs at least two pages")
+    flow = [int(page) for page in flow]
     pairs = _pairs(flow)
     column_of = {pair: f"pair_{i}" for i, pair in enumerate(dict.fromkeys(pairs))}
     before = ["start_pv"] + [column_of[pair] for pair in pairs[:-1]]
     rows = [
-        F.struct(
-            F.lit(step).alias("step"),
-            F.lit(pair[0]).cast("bigint").alias("from_page"),
-            F.lit(pair[1]).cast("bigint").alias("to_page"),
-            F.col(column_of[pair]).alias("pair_count"),
-            F.col(base).alias("base_count"),
-        )
+        f"struct({step} AS step, {pair[0]}L AS from_page, {pair[1]}L AS to_page, "
+        f"{column_of[pair]} AS pair_count, {base} AS base_count)"
         for step, (pair, base) in enumerate(zip(pairs, before), start=1)
     ]
-    return _flow_totals(actions, flow, slice_seconds).select(F.inline(F.array(*rows)))
+    return _flow_totals(actions, flow, slice_seconds).selectExpr(f"inline(array({', '.join(rows)}))")
 
 
 def page_transition_counts(

@@ -172,9 +172,8 @@ def filtered_session_lengths(actions: DataFrame, users: DataFrame, session_filte
 
 
 def _bucket_count(length: str, name: str, low: int, high: int | None) -> Column:
-    column = F.col(length)
-    inside = column >= low if high is None else column.between(low, high)
-    return F.count_if(inside).alias(name)
+    upper = "" if high is None else f" AND {length} <= {high}"
+    return F.expr(f"count_if({length} >= {low}{upper}) AS {name}")
 
 
 def session_bucket_counts(sessions: DataFrame) -> DataFrame:
