@@ -93,7 +93,8 @@ def _top_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def category_top_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return with_task_id(_top_sessions(spark, sf_dir), P.TASK_ID)
+    top = categories.category_top(category_counts(spark, sf_dir))
+    return categories.category_top_sessions(D.actions(spark, sf_dir), top, P.TASK_ID)
 
 
 def top_session_detail(spark: SparkSession, sf_dir: str) -> DataFrame:

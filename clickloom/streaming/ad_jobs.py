@@ -152,7 +152,7 @@ def start_filtered_log(
     return _start(clicks, on_batch, checkpoint, "append", until_done)
 
 
-def start_ad_pipeline(
+def start_all_ad_jobs(
     clicks: DataFrame,
     counts: BatchTable,
     blacklist: BatchTable,

@@ -301,7 +301,7 @@ def test_late_clicks_count_until_the_watermark(spark, tmp_path):
     assert [row.minute for row in ad_jobs.trend_result(trend).orderBy("hour", "minute").collect()] == ["40", "50", "00", "01"]
 
 
-def test_pipeline_feeds_the_blacklist_back(spark, tmp_path):
+def test_all_jobs_feed_the_blacklist_back(spark, tmp_path):
     batches = [
         # user 1 reaches the threshold of 2 here, and is still counted in this batch
         [line(1, user=1), line(2, user=1), line(3, user=2)],
@@ -320,7 +320,7 @@ def test_pipeline_feeds_the_blacklist_back(spark, tmp_path):
     )
 
     def run(checkpoint):
-        ad_jobs.start_ad_pipeline(
+        ad_jobs.start_all_ad_jobs(
             streamed(spark, path), **stored, checkpoint=checkpoint, threshold=2, until_done=True, compact_every=2
         ).awaitTermination()
         return {name: sorted_rows(each.read()) for name, each in stored.items()}
