@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import unicodedata
 
 import numpy as np
 from tokenizers import Tokenizer
@@ -11,12 +12,26 @@ from tokenizers import Tokenizer
 CACHED_WORDS = 600_000
 TEXTS_AT_ONCE = 256
 
+#: Marks at the end of a word that the tokenizer parts from letters and digits before them.
+MARKS = ".,;:!?"
+
 # Characters that str.split takes for white space but the tokenizer does not.
 _ODD = re.compile("[\x1c-\x1f]")
 
 
+def _byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in byte-level vocabularies: printable Latin-1
+    characters stand for themselves, the others follow from 256 on."""
+    own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [byte for byte in range(256) if byte not in own]
+    return {byte: chr(byte) for byte in own} | {byte: chr(256 + i) for i, byte in enumerate(others)}
+
+
+_BYTE_LETTERS = _byte_letters()
+
+
 class WordTokenizer:
-    """Ids of a tokenizer that drops white space and never joins what it separates.
+    """Ids of a byte-level BPE with lower case and NFC that drops white space and never joins what it separates.
 
     The ids of a text are then those of its words in turn, and each distinct word need be
     encoded only once. `encode` returns exactly what the tokenizer gives for the whole text.
@@ -25,22 +40,43 @@ class WordTokenizer:
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.model = self.tokenizer.model
         self.known: dict[str, bytes] = {}
+        self.stems: dict[str, bytes] = {}
+
+    def _encode_word(self, word: str) -> bytes:
+        if word.isalpha() and word.lower() == word and unicodedata.is_normalized("NFC", word):
+            # such letters alone are one piece to the tokenizer: its model is asked directly
+            if not word.isascii():
+                word = word.encode().decode("latin-1").translate(_BYTE_LETTERS)
+            return b"".join([token.id.to_bytes(4, "little") for token in self.model.tokenize(word)])
+        return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _learn(self, words: list[str]) -> None:
-        if len(self.known) + len(words) > CACHED_WORDS:
-            self.known.clear()
-        joined = " ".join(words)
-        encoded = self.tokenizer.encode(joined, add_special_tokens=False)
-        ids = np.array(encoded.ids, "<u4").tobytes()
-        ends = np.cumsum([len(word) + 1 for word in words])
-        places = np.array([start for start, _ in encoded.offsets], np.int64)
-        # the tokens of a word are those that begin before the next word does
-        cuts = np.searchsorted(places, ends, "left") * 4
-        start = 0
-        for word, end in zip(words, cuts.tolist()):
-            self.known[word] = ids[start:end]
-            start = end
+    def _learn(self, words: set[str]) -> None:
+        """Adds the words. A word is its stem in lower case and the marks after it: these are
+        encoded apart anyway, and many words share a stem."""
+        parts = {}
+        for word in words:
+            stem = word.rstrip(MARKS)
+            if not stem or not stem[-1].isalnum():
+                stem = word
+            marks = word[len(stem) :]
+            # capital sigma, whose lower case depends on its place, and letters that change
+            # their number are left to the tokenizer
+            if "\u03a3" not in stem and len(lower := stem.lower()) == len(stem):
+                if stem.isascii() or unicodedata.is_normalized("NFC", stem):
+                    stem = lower
+            parts[word] = (stem, marks)
+        fresh = {part for pair in parts.values() for part in pair if part and part not in self.stems}
+        if len(self.stems) + len(fresh) > CACHED_WORDS:
+            self.stems.clear()
+            fresh = {part for pair in parts.values() for part in pair if part}
+        stems = self.stems
+        for part in fresh:
+            stems[part] = self._encode_word(part)
+        stems[""] = b""
+        for word, (stem, marks) in parts.items():
+            self.known[word] = stems[stem] + stems[marks]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Per text its ids as little-endian unsigned 32-bit integers."""
@@ -48,16 +84,13 @@ class WordTokenizer:
         for at in range(0, len(texts), TEXTS_AT_ONCE):
             some = texts[at : at + TEXTS_AT_ONCE]
             split = [None if _ODD.search(text) else text.split() for text in some]
-            met = set()
-            for words in split:
-                met.update(words or ())
             if len(self.known) > CACHED_WORDS:
                 self.known.clear()
-            if missing := [word for word in met if word not in self.known]:
-                self._learn(sorted(missing))
-                # the cache may have started anew
-                if missing := [word for word in met if word not in self.known]:
-                    self._learn(sorted(missing))
+            missing: set[str] = set()
+            for words in split:
+                missing.update(set(words or ()).difference(self.known))
+            if missing:
+                self._learn(missing)
             for text, words in zip(some, split):
                 if words is None:
                     ids = self.tokenizer.encode(text, add_special_tokens=False).ids
