@@ -2,12 +2,28 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import os
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickloom.plans.session import work_dir
 
 
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
+def importable(spark: SparkSession) -> None:
+    """Lets Python workers import this library from where the driver did.
+
+    Enough where all machines have it under the same path, as a local session does;
+    elsewhere ship it with the application (`--py-files`).
+    """
+    environment = spark.sparkContext.environment
+    if ROOT not in environment.get("PYTHONPATH", "").split(os.pathsep):
+        environment["PYTHONPATH"] = os.pathsep.join(filter(None, [environment.get("PYTHONPATH"), ROOT]))
+
+
 def stored(rows: DataFrame, purpose: str) -> DataFrame:
     """The rows written to the shared folder and read again.
 

@@ -17,6 +17,23 @@ FROM t
 WINDOW w AS (PARTITION BY n)
 """
 
+OP3 = """
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS q
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+), scored AS (
+    SELECT a.vec_id AS query_id, b.vec_id, CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+    FROM v a JOIN v b ON a.vec_id <> b.vec_id
+    WHERE a.vec_id % 50 = 0
+), ranked AS (
+    SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+    FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
 OP6 = r"""
 WITH c AS (
     SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -39,7 +56,7 @@ FROM c
 GROUP BY conv_id
 """
 
-ORACLE = {"op2_exact_dedup": OP2, "op6_chat": OP6}
+ORACLE = {"op2_exact_dedup": OP2, "op3_topk": OP3, "op6_chat": OP6}
 
 
 def llm_oracle() -> dict[str, str]:

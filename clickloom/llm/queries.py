@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import byte_bpe, chat, exact_dedup, packing
+from clickloom.llm import byte_bpe, chat, exact_dedup, packing, topk, toxicity, url_filter
+from clickloom.llm.common import importable
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,6 +18,7 @@ BYTE_RANKS = "byte_bpe_50k.tiktoken"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    importable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -29,6 +31,10 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path(BYTE_RANKS)
     encoded = byte_bpe.encode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
@@ -50,7 +56,23 @@ def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_conversations(given.unionByName(extra)))
 
 
-REGISTERED: list[Query] = [op1_packing, op2_exact_dedup, op5_byte_bpe, op6_chat]
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"))
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scored_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+REGISTERED: list[Query] = [
+    op1_packing,
+    op2_exact_dedup,
+    op3_topk,
+    op5_byte_bpe,
+    op6_chat,
+    op7_url_filter,
+    op8_toxicity,
+]
 
 
 def llm_queries() -> dict[str, Query]:

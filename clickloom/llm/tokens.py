@@ -58,15 +58,16 @@ class WordTokenizer:
         parts = {}
         for word in words:
             stem = word.rstrip(MARKS)
-            if not stem or not stem[-1].isalnum():
-                stem = word
+            lower = stem.lower()
+            if not stem.isascii() and (len(lower) != len(stem) or not unicodedata.is_normalized("NFC", stem)):
+                # lower case or NFC may end the stem in a mark: left whole to the tokenizer
+                stem = lower = word
+            elif not stem or not stem[-1].isalnum():
+                stem = lower = word
+            elif "\u03a3" in stem:
+                lower = stem  # the lower case of capital sigma depends on its place
             marks = word[len(stem) :]
-            # capital sigma, whose lower case depends on its place, and letters that change
-            # their number are left to the tokenizer
-            if "\u03a3" not in stem and len(lower := stem.lower()) == len(stem):
-                if stem.isascii() or unicodedata.is_normalized("NFC", stem):
-                    stem = lower
-            parts[word] = (stem, marks)
+            parts[word] = (lower, marks)
         fresh = {part for pair in parts.values() for part in pair if part and part not in self.stems}
         if len(self.stems) + len(fresh) > CACHED_WORDS:
             self.stems.clear()
