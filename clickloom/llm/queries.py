@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import byte_bpe, chat, exact_dedup, packing, topk, toxicity, url_filter
+from clickloom.llm import byte_bpe, chat, exact_dedup, near_dedup, packing, secret_scan, topk, toxicity, url_filter
 from clickloom.llm.common import importable
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,6 +64,14 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scored_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.digest(secret_scan.scan(table(spark, sf_dir, "documents")))
+
+
+def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_groups(table(spark, sf_dir, "documents"))
+
+
 REGISTERED: list[Query] = [
     op1_packing,
     op2_exact_dedup,
@@ -72,6 +80,8 @@ REGISTERED: list[Query] = [
     op6_chat,
     op7_url_filter,
     op8_toxicity,
+    op9_secret_scan,
+    op10_near_dedup,
 ]
 
 
