@@ -34,6 +34,66 @@ WITH v AS (
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """
 
+OP4 = r"""
+WITH p AS (
+    SELECT page_id, url, sha256(coalesce(html, '')) AS d, length(coalesce(html, '')) AS n,
+           1704067200 + page_id * 60 AS t, 'day ' || page_id AS day,
+           sha256(sha256(coalesce(html, '')) || 'changed') AS d2
+    FROM pages
+), records AS (
+    SELECT page_id * 8 AS record_id, 'response' AS kind, url, t AS ts, '"' || d[1:16] || '"' AS etag,
+           day AS lm, day AS day, d AS payload_digest, n AS payload_length FROM p
+    UNION ALL
+    SELECT page_id * 8 + 1, 'response', url, t + 43200, '"' || d2[1:16] || '"', day, day, d2, n + 7 FROM p WHERE page_id % 11 = 0
+    UNION ALL
+    SELECT page_id * 8 + 2, 'revisit', url, t + 86400, 'W/"' || d[1:16] || '"', NULL, day, NULL, NULL FROM p WHERE page_id % 3 <> 2
+    UNION ALL
+    SELECT page_id * 8 + 3, 'revisit', url, t - 86400, '"' || d[1:16] || '"', NULL, day, NULL, NULL FROM p WHERE page_id % 5 = 0
+    UNION ALL
+    SELECT page_id * 8 + 4, 'revisit', url, t + 172800, '"foreign"', NULL, day, NULL, NULL FROM p WHERE page_id % 7 = 0
+    UNION ALL
+    SELECT page_id * 8 + 5, 'revisit', url, t + 259200, NULL, day, day, d, NULL FROM p WHERE page_id % 4 = 1
+), canonical AS (
+    SELECT *, regexp_replace(regexp_replace(url, '#.*$', ''), '^[a-z]+://(www\.)?', '') AS bare FROM records
+), named AS (
+    SELECT *, regexp_replace(regexp_extract(bare, '^([^?]*)', 1), '/$', '') AS base,
+           regexp_replace(regexp_replace(regexp_extract(bare, '\?(.*)$', 1),
+               '(^|&)(?:utm_[a-z]+|ref|fbclid|gclid|sessionid)=[^&]*', '', 'g'), '^&', '') AS q
+    FROM canonical
+), keyed AS (
+    SELECT *, base || CASE WHEN q = '' THEN '' ELSE '?' || q END AS canonical_url FROM named
+), looked AS (
+    SELECT *, last_value(CASE WHEN kind = 'response' THEN {'id': record_id, 'etag': etag, 'lm': lm, 'd': payload_digest, 'n': payload_length} END IGNORE NULLS)
+        OVER (PARTITION BY canonical_url ORDER BY ts, record_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS o
+    FROM keyed
+), judged AS (
+    SELECT *, CASE
+        WHEN kind = 'response' THEN 'response'
+        WHEN o IS NULL THEN 'no_original'
+        WHEN etag IS NOT NULL THEN CASE WHEN replace(etag, 'W/', '') = o.etag THEN 'resolved' ELSE 'mismatch' END
+        WHEN lm = o.lm THEN 'resolved' ELSE 'mismatch' END AS status
+    FROM looked
+)
+SELECT record_id, kind, canonical_url, ts, status,
+       CASE WHEN status = 'resolved' THEN o.id END AS original_id,
+       CASE
+           WHEN status = 'response' THEN
+               'content-length: ' || payload_length || chr(10) || 'content-type: text/html' || chr(10)
+               || 'etag: ' || etag || chr(10) || 'last-modified: ' || lm || chr(10) || 'x-served: full'
+           WHEN status = 'resolved' THEN
+               'cache-control: max-age=60' || chr(10) || 'content-length: ' || o.n || chr(10) || 'content-type: text/html' || chr(10)
+               || 'date: ' || day || chr(10) || 'etag: ' || coalesce(etag, o.etag) || chr(10)
+               || 'last-modified: ' || o.lm || chr(10) || 'x-served: full'
+           ELSE
+               'cache-control: max-age=60' || chr(10) || 'connection: close' || chr(10) || 'content-length: 0' || chr(10)
+               || 'date: ' || day || CASE WHEN etag IS NULL THEN '' ELSE chr(10) || 'etag: ' || etag END
+               || CASE WHEN lm IS NULL THEN '' ELSE chr(10) || 'last-modified: ' || lm END
+       END AS headers,
+       CASE WHEN status = 'resolved' THEN o.d ELSE payload_digest END AS payload_digest,
+       CAST(CASE WHEN status = 'resolved' THEN o.n ELSE payload_length END AS BIGINT) AS payload_length
+FROM judged
+"""
+
 OP6 = r"""
 WITH c AS (
     SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -56,7 +116,7 @@ FROM c
 GROUP BY conv_id
 """
 
-ORACLE = {"op2_exact_dedup": OP2, "op3_topk": OP3, "op6_chat": OP6}
+ORACLE = {"op2_exact_dedup": OP2, "op3_topk": OP3, "op4_warc": OP4, "op6_chat": OP6}
 
 
 def llm_oracle() -> dict[str, str]:

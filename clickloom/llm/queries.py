@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import byte_bpe, chat, exact_dedup, near_dedup, packing, secret_scan, topk, toxicity, url_filter
+from clickloom.llm import byte_bpe, chat, exact_dedup, near_dedup, packing, secret_scan, topk, toxicity, url_filter, warc
 from clickloom.llm.common import importable
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,6 +35,11 @@ def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    resolved = warc.resolve_revisits(warc.captures_of(table(spark, sf_dir, "pages")))
+    return resolved.withColumn("headers", warc.header_text())
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path(BYTE_RANKS)
     encoded = byte_bpe.encode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
@@ -76,6 +81,7 @@ REGISTERED: list[Query] = [
     op1_packing,
     op2_exact_dedup,
     op3_topk,
+    op4_warc,
     op5_byte_bpe,
     op6_chat,
     op7_url_filter,

@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from clickloom.llm.common import text_or_empty
 
@@ -222,13 +223,18 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, k: int =
 
 
 def score(
-    docs: DataFrame, index: BlockMaxIndex, k: int = NEIGHBOURS, evidence: int = 3, keep: list[str] | None = None
+    docs: DataFrame, index: BlockMaxIndex, k: int = NEIGHBOURS, evidence: int = 3, keep: tuple[str, ...] = ("doc_id",)
 ) -> DataFrame:
     """Per row of `docs` its columns `keep`, the score, and the nearest examples as evidence
     (`evidence_ids`, `evidence_cosines`)."""
     sent = docs.sparkSession.sparkContext.broadcast(index)
-    keep = keep or ["doc_id"]
-    fields = ", ".join(f"`{docs.schema[name].name}` {docs.schema[name].dataType.simpleString()}" for name in keep)
+    added = T.StructType(
+        [
+            T.StructField("score", T.DoubleType()),
+            T.StructField("evidence_ids", T.ArrayType(T.LongType())),
+            T.StructField("evidence_cosines", T.ArrayType(T.DoubleType())),
+        ]
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = sent.value
@@ -239,13 +245,15 @@ def score(
                 scores.append(value)
                 ids.append(own.ids[best[:evidence]].tolist())
                 cosines.append(cosine[:evidence].tolist())
-            arrays = [pa.array(scores, pa.float64()), pa.array(ids, pa.list_(pa.int64())), pa.array(cosines, pa.list_(pa.float64()))]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], *arrays], names=[*keep, "score", "evidence_ids", "evidence_cosines"]
-            )
+            arrays = [
+                pa.array(scores, pa.float64()),
+                pa.array(ids, pa.list_(pa.int64())),
+                pa.array(cosines, pa.list_(pa.float64())),
+            ]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *arrays], names=[*keep, *added.names])
 
-    rows = docs.select(*[F.col(f"`{name}`") for name in keep], text_or_empty("text").alias("__text"))
-    return rows.mapInArrow(run, f"{fields}, score double, evidence_ids array<bigint>, evidence_cosines array<double>")
+    rows = docs.select(*keep, text_or_empty("text").alias("__text"))
+    return rows.mapInArrow(run, T.StructType([docs.schema[name] for name in keep] + added.fields))
 
 
 def held_out(doc_id: str = "doc_id"):
@@ -253,14 +261,14 @@ def held_out(doc_id: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def scored_documents(docs: DataFrame, labels: DataFrame, keep: list[str] | None = None) -> DataFrame:
+def scored_documents(docs: DataFrame, labels: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """Per row of `docs`: doc_id, held_out, score, predicted, evidence_ids, evidence_cosines.
 
     Learns from labels of documents that are not held out. Texts without a known stem, null
     and empty ones among them, get the base rate of toxic labels. A document labelled more
     than once is toxic if any label says so; null labels and labels of unknown documents
     teach nothing; without labels every score is the same. Repeated rows are scored alike,
-    a null id is not held out, an empty table gives no rows.
+    a null id is not held out, an empty table gives no rows. Other columns are not read.
     """
     texts = docs.select("doc_id", text_or_empty("text").alias("text"))
     learnt = labels.select("doc_id", "toxic").where(~held_out())
@@ -268,3 +276,9 @@ def scored_documents(docs: DataFrame, labels: DataFrame, keep: list[str] | None
     return score(docs, index, keep=keep).withColumns(
         {"held_out": held_out(), "predicted": (F.col("score") >= REJECT_FROM).cast("int")}
     )
+
+
+def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of `docs` that are not rejected, with all their columns, whatever their names."""
+    rows = docs.select("doc_id", "text", F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("row"))
+    return scored_documents(rows, labels, keep=("doc_id", "row")).where(F.col("predicted") == 0).select("row.*")
