@@ -1,8 +1,7 @@
 """Time the jobs over the test tables and print one JSON line.
 
 BENCH_SF_DIR and BENCH_CPUS choose the tables and the number of local threads. Each query
-is run once to warm up and then timed; the middle of three runs is taken for batch jobs,
-a single run for streams and sinks. With BENCH_PLAIN=1, plans of a plain shape (groups
+is run once to warm up and then timed; the middle of three runs is taken. With BENCH_PLAIN=1, plans of a plain shape (groups
 gathered per key, joins per count) are timed for comparison as `plain_*`.
 """
 
@@ -53,8 +52,7 @@ def main() -> None:
         if ONLY and name not in ONLY:
             continue
         seconds(query, spark)
-        rounds = 1 if name.startswith(("stream_", "sink_")) else 3
-        times[name] = round(statistics.median(seconds(query, spark) for _ in range(rounds)), 4)
+        times[name] = round(statistics.median(seconds(query, spark) for _ in range(3)), 4)
     result = {
         "metric": "total time of all queries, warm",
         "value": round(sum(times.values()), 4),

@@ -64,11 +64,13 @@ def trend_columns(minute_counts: DataFrame) -> DataFrame:
 
 
 def recent(rows: DataFrame, time_column: str, horizon: str | None) -> DataFrame:
-    """Rows within the horizon, measured back from the latest time; all rows if None."""
+    """Rows of the minutes within the horizon, measured back from the minute of the latest
+    time; all rows if None. Whole minutes, so that clicks and stored minutes agree."""
     if horizon is None:
         return rows
-    latest = rows.agg(F.max(time_column)).scalar()
-    return rows.where(F.col(time_column) > latest - F.expr(f"INTERVAL {horizon}"))
+    minute = F.date_trunc("minute", F.col(time_column))
+    latest = rows.agg(F.max(minute)).scalar()
+    return rows.where(minute > latest - F.expr(f"INTERVAL {horizon}"))
 
 
 def ad_click_trend(clicks: DataFrame, horizon: str | None = None) -> DataFrame:

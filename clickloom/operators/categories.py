@@ -21,7 +21,8 @@ def category_counts(actions: DataFrame) -> DataFrame:
     lists are taken apart as text and cast afterwards, which stays in generated code.
     """
     sources = {"click": "click_category_id", "order": "order_category_ids", "pay": "pay_category_ids"}
-    lists = actions.select(
+    any_list = F.coalesce(*[F.col(source).cast("string") for source in sources.values()]).isNotNull()
+    lists = actions.where(any_list).select(
         F.inline(
             F.array(
                 *[
@@ -54,9 +55,9 @@ def category_top10(counts: DataFrame, task_id: str) -> DataFrame:
 
 
 def category_session_counts(actions: DataFrame) -> DataFrame:
-    """Clicks per category and session."""
+    """Clicks per category and session; actions without a session id are left out."""
     return (
-        actions.where(F.col("click_category_id").isNotNull())
+        actions.where(F.col("click_category_id").isNotNull() & F.col("session_id").isNotNull())
         .groupBy(F.col("click_category_id").alias("category_id"), "session_id")
         .agg(F.count(F.lit(1)).alias("click_count"))
     )
@@ -67,10 +68,10 @@ def top_sessions(
 ) -> DataFrame:
     """The sessions with the most clicks in each given category.
 
-    `top_categories` is a top list of a fixed length and is sent to every task: clicks in
-    other categories are dropped where they are read.
+    Clicks in other categories are dropped before they are counted; a short list of
+    categories is sent to the tasks that read, by Spark's own measure of its size.
     """
-    wanted = F.broadcast(top_categories.select(F.col("category_id").alias("click_category_id")))
+    wanted = top_categories.select(F.col("category_id").alias("click_category_id"))
     counts = category_session_counts(actions.join(wanted, "click_category_id", "left_semi"))
     order = [F.desc("click_count"), F.asc("session_id")]
     return top_per_group(counts, ["category_id"], order, limit).drop("rank")

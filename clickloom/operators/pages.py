@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from clickloom.functions import half_up_ratio, with_task_id
 
 # Rows of one session are split by time into slices of this many seconds.
-SLICE_SECONDS = 300
-# Slices of one session for its actions without a time, numbered below any real slice.
-UNTIMED_SLICES = 256
+SLICE_SECONDS = 3600
+# Slices for actions without a time or a session, numbered below any real slice.
+UNTIMED_SLICES = 1 << 20
 UNTIMED = -(2**62)
 # Stands before the first and after the last page of a slice.
 NO_PAGE = -(2**62)
@@ -34,13 +34,14 @@ def _flow_totals(actions: DataFrame, flow: Sequence[int], slice_seconds: int) ->
     pairs = list(dict.fromkeys(_pairs(flow)))
     tie_breaker = "event_id" if "event_id" in actions.columns else "page_id"
     span = F.call_function("div", F.unix_timestamp("action_time"), F.lit(slice_seconds).cast("bigint"))
-    # actions without a time have no place in the order; spread, they only count as views
+    # actions without a time or a session have no place in an order; spread, they only count
+    # as views
     spread = F.pmod(F.xxhash64(tie_breaker), F.lit(UNTIMED_SLICES).cast("bigint")) + UNTIMED
     part = ["session_id", "time_slice"]
     in_slice = Window.partitionBy(*part).orderBy("action_time", tie_breaker)
     steps = actions.select(
         *dict.fromkeys(["session_id", "page_id", "action_time", tie_breaker]),
-        F.coalesce(span, spread).alias("time_slice"),
+        F.coalesce(F.when(F.col("session_id").isNotNull(), span), spread).alias("time_slice"),
     ).select(
         *part,
         "page_id",
@@ -57,7 +58,9 @@ def _flow_totals(actions: DataFrame, flow: Sequence[int], slice_seconds: int) ->
             for i, (page, following) in enumerate(pairs)
         ],
     )
-    across = Window.partitionBy("session_id").orderBy("time_slice")
+    # slices without an order stay apart, so that they never meet in one task
+    apart = F.when(F.col("time_slice") < UNTIMED + UNTIMED_SLICES, F.col("time_slice"))
+    across = Window.partitionBy("session_id", apart).orderBy("time_slice")
     return slices.withColumn("next_first", F.lead("first_page").over(across)).agg(
         F.expr("coalesce(sum(start_pv), 0) AS start_pv"),
         *[

@@ -18,7 +18,7 @@ def session_starts(actions: DataFrame, users: DataFrame) -> DataFrame:
 
     All that the sample is drawn from: no list is built for sessions that are not drawn.
     """
-    starts = actions.groupBy("session_id").agg(
+    starts = actions.where(F.col("session_id").isNotNull()).groupBy("session_id").agg(
         F.min("user_id").alias("user_id"), F.min("action_time").alias("start_time")
     )
     known = starts.join(users.select("user_id"), "user_id")
@@ -31,22 +31,67 @@ def _with_hour(starts: DataFrame) -> DataFrame:
     )
 
 
+def _day_quotas(days: DataFrame, sample_size: int) -> DataFrame:
+    """Of one row per day with its `day_count`: the number of sessions to draw from each.
+
+    The sample is shared evenly over the days. A day with fewer sessions than its share
+    gives all it has, and the places left are shared over the others; what cannot be shared
+    evenly goes, one each, to the days with the most sessions, ties to the earlier day.
+    """
+    rising = Window.orderBy("day_count", F.desc("date"))
+    before = rising.rowsBetween(Window.unboundedPreceding, -1)
+    everything = Window.partitionBy()
+    ranked = days.withColumns(
+        {
+            "from_here": F.count(F.lit(1)).over(everything) - F.row_number().over(rising) + 1,
+            "taken": F.coalesce(F.sum("day_count").over(before), F.lit(0)),
+        }
+    )
+    # a day whose count fits into an even share of what is left gives all it has
+    whole = F.col("day_count") * F.col("from_here") + F.col("taken") <= sample_size
+    open_ = F.when(~whole, 1)
+    left = F.lit(sample_size).cast("bigint") - F.coalesce(F.sum(F.when(whole, F.col("day_count"))).over(everything), F.lit(0))
+    shared = ranked.withColumns(
+        {
+            "whole": whole,
+            "left": left,
+            "open": F.count(open_).over(everything),
+            "place": F.row_number().over(Window.orderBy(F.col("day_count").desc(), "date")),
+        }
+    )
+    even = F.call_function("div", F.col("left"), F.col("open"))
+    more = F.when(F.col("place") <= F.call_function("mod", F.col("left"), F.col("open")), 1).otherwise(0)
+    return shared.select("date", F.when(F.col("whole"), F.col("day_count")).otherwise(even + more).alias("day_quota"))
+
+
 def session_hour_counts(starts: DataFrame, sample_size: int = SAMPLE_SIZE, extra: int = 0) -> DataFrame:
     """Sessions per start day and hour, with the number to draw from each hour.
 
-    Each day gets an equal share of the sample, each hour a part of it in proportion to its
-    sessions, rounded down; `extra` is added per hour. Never more than the hour has.
+    The quotas add up to the sample size, or to all sessions if there are fewer. A day's
+    share goes to its hours in proportion to their sessions, by largest remainder with ties
+    to the earlier hour; an hour never gives more than it has. `extra` is added per hour, up
+    to what it has. The day step sorts one row per day, the hour step at most 24 rows.
     """
     hours = _with_hour(starts).groupBy("date", "hour").agg(F.count(F.lit(1)).alias("session_count"))
-    day_number = hours.agg(F.count_distinct("date")).scalar()
-    per_day = F.call_function("div", F.lit(sample_size).cast("bigint"), day_number)
-    share = F.call_function("div", F.col("session_count") * per_day, F.col("day_count"))
-    return hours.withColumn("day_count", F.sum("session_count").over(Window.partitionBy("date"))).select(
+    of_day = Window.partitionBy("date")
+    counted = hours.withColumn("day_count", F.sum("session_count").over(of_day))
+    days = hours.groupBy("date").agg(F.sum("session_count").alias("day_count"))
+    product = F.col("session_count") * F.col("day_quota")
+    shared = counted.join(_day_quotas(days, sample_size), "date").withColumns(
+        {
+            "share": F.call_function("div", product, F.col("day_count")),
+            "remainder": F.call_function("mod", product, F.col("day_count")),
+        }
+    )
+    rest = F.col("day_quota") - F.sum("share").over(of_day)
+    place = F.row_number().over(of_day.orderBy(F.desc("remainder"), "hour"))
+    quota = F.col("share") + F.when(place <= rest, 1).otherwise(0)
+    return shared.select(
         "date",
         "hour",
         "session_count",
         "day_count",
-        F.least(F.col("session_count"), share + extra).alias("quota"),
+        F.least(F.col("session_count"), quota + extra).alias("quota"),
     )
 
 
@@ -70,10 +115,9 @@ def sampled_sessions(
 def session_sample(actions: DataFrame, sampled: DataFrame, task_id: str) -> DataFrame:
     """The sampled sessions as a result table.
 
-    The sample is of bounded size and is sent to every task: the log is cut to its sessions
-    where it is read, and keywords and categories are gathered for these alone.
+    Keywords and categories are gathered for the sampled sessions alone.
     """
-    profile = session_profile(actions.join(F.broadcast(sampled), "session_id", "left_semi"))
+    profile = session_profile(actions.join(sampled, "session_id", "left_semi"))
     return with_task_id(
         profile.select(
             "session_id",

@@ -33,6 +33,7 @@ STEP_LENGTH_BUCKETS = [
     ("step_length_60", 61, None),
 ]
 
+# Columns of the detail table.
 DETAIL_COLUMNS = (
     "user_id",
     "session_id",
@@ -107,9 +108,12 @@ def session_profile(actions: DataFrame) -> DataFrame:
     Built in two steps: per session, keyword and category, then per session. The first one
     has aggregates of fixed size only, which start before the shuffle, and its keys spread a
     session with a great share of all rows over many tasks. The second one sees each keyword
-    and category of a session about once, however often it occurs.
+    and category of a session about once, however often it occurs; a list is as long as the
+    session has distinct items (`session_items` has them as rows). Actions without a session
+    id belong to no session and are left out.
     """
-    combined = actions.groupBy("session_id", "search_keyword", "click_category_id").agg(
+    of_sessions = actions.where(F.col("session_id").isNotNull())
+    combined = of_sessions.groupBy("session_id", "search_keyword", "click_category_id").agg(
         F.min("user_id").alias("user_id"),
         F.min("action_time").alias("start_time"),
         F.max("action_time").alias("end_time"),
@@ -138,6 +142,17 @@ def session_profile(actions: DataFrame) -> DataFrame:
     )
 
 
+def session_items(actions: DataFrame) -> DataFrame:
+    """The keywords and categories of sessions as rows: session, kind, value. For sessions
+    with more distinct items than fit into a list."""
+    kinds = {"keyword": "search_keyword", "category": "click_category_id"}
+    items = F.array(
+        *[F.struct(F.lit(kind).alias("kind"), F.col(name).cast("string").alias("value")) for kind, name in kinds.items()]
+    )
+    rows = actions.where(F.col("session_id").isNotNull()).select("session_id", F.inline(items))
+    return rows.where(F.col("value").isNotNull()).distinct()
+
+
 def session_user_profile(profile: DataFrame, users: DataFrame) -> DataFrame:
     """Profiles with the traits of their user; sessions of unknown users drop out."""
     traits = users.select("user_id", "age", "professional", "sex", "city")
@@ -157,7 +172,7 @@ def filtered_session_lengths(actions: DataFrame, users: DataFrame, session_filte
     one shuffle, and a session of any size arrives as one row per upstream task.
     """
     matches = session_filter.action_matches()
-    sessions = actions.groupBy("session_id").agg(
+    sessions = actions.where(F.col("session_id").isNotNull()).groupBy("session_id").agg(
         F.min("user_id").alias("user_id"),
         F.min("action_time").alias("start_time"),
         F.max("action_time").alias("end_time"),
@@ -171,6 +186,19 @@ def filtered_session_lengths(actions: DataFrame, users: DataFrame, session_filte
     )
 
 
+def filtered_session_profile(
+    actions: DataFrame, users: DataFrame, session_filter: SessionFilter
+) -> DataFrame:
+    """Profiles with traits of the sessions that pass the task parameters.
+
+    The same rows as `filter_sessions` gives, but the passing sessions are found first, by
+    aggregates of fixed size, and lists are gathered for these alone.
+    """
+    passing = filtered_session_lengths(actions, users, session_filter).select("session_id")
+    profile = session_profile(actions.join(passing, "session_id", "left_semi"))
+    return session_user_profile(profile, users)
+
+
 def _bucket_count(length: str, name: str, low: int, high: int | None) -> Column:
     upper = "" if high is None else f" AND {length} <= {high}"
     return F.expr(f"count_if({length} >= {low}{upper}) AS {name}")
@@ -196,16 +224,11 @@ def session_ratio_stat(bucket_counts: DataFrame, task_id: str) -> DataFrame:
     return with_task_id(ratios, task_id)
 
 
-def session_detail(
-    actions: DataFrame, session_ids: DataFrame, task_id: str, bounded: bool = False
-) -> DataFrame:
+def session_detail(actions: DataFrame, session_ids: DataFrame, task_id: str) -> DataFrame:
     """The actions of chosen sessions, each once.
 
-    `bounded` says that the number of ids is limited by construction, as that of a sample or
-    a top list is. They are then sent to every task, and the log is filtered where it is
-    read, without a shuffle. Otherwise the way to join is left to Spark.
+    The way to join is left to Spark, which sends a short list of ids to every task once its
+    size is known and otherwise splits sessions with many actions.
     """
     chosen = session_ids.select("session_id").distinct()
-    if bounded:
-        chosen = F.broadcast(chosen)
     return with_task_id(actions.join(chosen, "session_id", "left_semi").select(*DETAIL_COLUMNS), task_id)

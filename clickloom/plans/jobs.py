@@ -10,11 +10,13 @@ import uuid
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from clickloom.functions import text_result, with_task_id
 from clickloom.functions.columns import AREA_LEVELS, OTHER_AREA_LEVEL
 from clickloom.operators import areas, categories, pages, sampling, sessions
 from clickloom.operators.sessions import SessionFilter
+from clickloom.plans.session import work_dir
 from clickloom.sinks import append_parquet
 
 Results = dict[str, DataFrame]
@@ -32,21 +34,42 @@ def session_job(
     sample_size: int = sampling.SAMPLE_SIZE,
     extra_per_hour: int = 0,
     seed: str = "0",
+    sessions_from: str = "all",
+    folder: str | None = None,
 ) -> Results:
-    """Length ratios of the filtered sessions; sample and top lists over all sessions."""
+    """Length ratios of the filtered sessions; sample and top lists over all sessions, or over
+    the filtered ones with `sessions_from="filtered"`.
+
+    The small results that others build on (filtered ids if asked for, sampled ids, top
+    categories and top sessions) are written to `folder`, by default one of the working
+    directory, and read back; both sets of details are then one join with the log.
+    """
+    if sessions_from not in ("all", "filtered"):
+        raise ValueError("sessions_from is 'all' or 'filtered'")
+    folder = folder or work_dir(actions.sparkSession, "session-job")
+
+    def kept(rows: DataFrame, name: str) -> DataFrame:
+        rows.write.mode("overwrite").parquet(f"{folder}/{name}")
+        return actions.sparkSession.read.schema(rows.schema).parquet(f"{folder}/{name}")
+
     lengths = sessions.filtered_session_lengths(actions, users, session_filter)
-    starts = sampling.session_starts(actions, users)
-    sampled = sampling.sampled_sessions(starts, sample_size, extra_per_hour, seed)
-    top = categories.category_top(categories.category_counts(actions))
-    active = categories.top_sessions(actions, top)
+    source = actions
+    if sessions_from == "filtered":
+        lengths = kept(lengths, "filtered")
+        source = actions.join(lengths.select("session_id"), "session_id", "left_semi")
+    starts = sampling.session_starts(source, users)
+    sampled = kept(sampling.sampled_sessions(starts, sample_size, extra_per_hour, seed), "sampled")
+    top = kept(categories.category_top(categories.category_counts(source)), "top-categories")
+    active = kept(categories.top_sessions(source, top), "top-sessions")
+    chosen = sampled.withColumn("drawn", F.lit(1)).unionByName(
+        active.select("session_id").distinct().withColumn("drawn", F.lit(0))
+    )
+    detail = actions.join(chosen.select("session_id", "drawn"), "session_id").select(*sessions.DETAIL_COLUMNS)
     return {
         "session_stat_ratio": sessions.session_ratio_stat(sessions.session_bucket_counts(lengths), task_id),
         "session_random_extract": text_result(sampling.session_sample(actions, sampled, task_id)),
-        "session_detail": text_result(
-            sessions.session_detail(actions, sampled, task_id, bounded=True).unionByName(
-                sessions.session_detail(actions, active, task_id, bounded=True)
-            )
-        ),
+        # a session that is both sampled and in a top list has its actions in both sets
+        "session_detail": text_result(with_task_id(detail, task_id)),
         "top10_category": with_task_id(top, task_id),
         "top10_session": with_task_id(active, task_id),
     }

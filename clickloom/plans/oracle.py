@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from clickloom.operators.sessions import STEP_LENGTH_BUCKETS, VISIT_LENGTH_BUCKETS
 from clickloom.plans import parameters as P
 from clickloom.sources import testdata as D
 
@@ -83,7 +82,24 @@ def _conditions(chosen) -> str:
     return " AND ".join(tests) or "TRUE"
 
 
-_BUCKETS = [("visit_length", *b) for b in VISIT_LENGTH_BUCKETS] + [("step_length", *b) for b in STEP_LENGTH_BUCKETS]
+# Names and inclusive bounds of the buckets, written out once more for the check.
+_BUCKETS = [
+    ("visit_length", "visit_length_1s_3s", 1, 3),
+    ("visit_length", "visit_length_4s_6s", 4, 6),
+    ("visit_length", "visit_length_7s_9s", 7, 9),
+    ("visit_length", "visit_length_10s_30s", 10, 30),
+    ("visit_length", "visit_length_30s_60s", 31, 60),
+    ("visit_length", "visit_length_1m_3m", 61, 180),
+    ("visit_length", "visit_length_3m_10m", 181, 600),
+    ("visit_length", "visit_length_10m_30m", 601, 1800),
+    ("visit_length", "visit_length_30m", 1801, None),
+    ("step_length", "step_length_1_3", 1, 3),
+    ("step_length", "step_length_4_6", 4, 6),
+    ("step_length", "step_length_7_9", 7, 9),
+    ("step_length", "step_length_10_30", 10, 30),
+    ("step_length", "step_length_30_60", 31, 60),
+    ("step_length", "step_length_60", 61, None),
+]
 
 
 def _bucket_counts(chosen) -> str:
@@ -103,18 +119,33 @@ def _sessions(tail: str, *more: str) -> str:
 
 
 _HOURS = f"""
-hours AS (
-  SELECT date, hour, session_count,
-         CAST(sum(session_count) OVER (PARTITION BY date) AS BIGINT) AS day_count,
-         {P.SAMPLE_SIZE} // (SELECT count(DISTINCT strftime(start_time, '%Y-%m-%d')) FROM user_profile) AS per_day
-  FROM (SELECT strftime(start_time, '%Y-%m-%d') AS date, CAST(hour(start_time) AS INTEGER) AS hour,
-               count(*) AS session_count
-        FROM user_profile GROUP BY ALL)
+hour_counts AS (
+  SELECT strftime(start_time, '%Y-%m-%d') AS date, CAST(hour(start_time) AS INTEGER) AS hour,
+         count(*) AS session_count
+  FROM user_profile GROUP BY ALL
+),
+days AS (
+  SELECT date, CAST(sum(session_count) AS BIGINT) AS n FROM hour_counts GROUP BY date
+),
+level AS (
+  -- the most that every day can give, as far as it has so many, within the sample size
+  SELECT max(l) AS l FROM range(0, {P.SAMPLE_SIZE} + 1) r(l)
+  WHERE (SELECT sum(least(n, l)) FROM days) <= {P.SAMPLE_SIZE}
+),
+day_quotas AS (
+  SELECT date, n, least(n, l) + CASE WHEN n > l AND row_number() OVER (ORDER BY n > l DESC, n DESC, date)
+           <= {P.SAMPLE_SIZE} - sum(least(n, l)) OVER () THEN 1 ELSE 0 END AS day_quota
+  FROM days, level
+),
+parts AS (
+  SELECT h.*, n AS day_count, day_quota, session_count * day_quota // n AS share,
+         row_number() OVER (PARTITION BY date ORDER BY session_count * day_quota % n DESC, hour) AS place
+  FROM hour_counts h JOIN day_quotas USING (date)
 ),
 quotas AS (
   SELECT date, hour, session_count, day_count,
-         CAST(least(session_count, (session_count * per_day) // day_count + {P.SAMPLE_EXTRA}) AS BIGINT) AS quota
-  FROM hours
+         CAST(share + CASE WHEN place <= day_quota - sum(share) OVER (PARTITION BY date) THEN 1 ELSE 0 END AS BIGINT) AS quota
+  FROM parts
 )"""
 
 _SAMPLE = f"""
@@ -235,6 +266,24 @@ trend AS (
   FROM clicks GROUP BY ALL
 )"""
 
+# The ad streams come in parts of the month; a click counts unless its user was listed from an
+# earlier part, that is, had reached the threshold on a day by the end of that part.
+_FEEDBACK = f"""
+parts AS (
+  SELECT *, least((day(ts) - 1) // 10, 2) AS part FROM clicks
+),
+so_far AS (
+  SELECT p.part, d.userid FROM (SELECT DISTINCT part FROM parts) p
+  JOIN (SELECT part, date, userid, adid, count(*) AS n FROM parts GROUP BY ALL) d ON d.part < p.part
+  GROUP BY p.part, d.date, d.userid, d.adid HAVING sum(d.n) >= {D.BLACKLIST_THRESHOLD}
+),
+let_through AS (
+  SELECT * FROM parts c WHERE NOT EXISTS (SELECT 1 FROM so_far s WHERE s.part = c.part AND s.userid = c.userid)
+),
+fed_stat AS (
+  SELECT date, province, city, adid, count(*) AS click_count FROM let_through GROUP BY ALL
+)"""
+
 _LOG_COLUMNS = f"{_time('ts')} AS ts, province, city, userid, adid"
 
 _SERIES = f"""
@@ -248,6 +297,10 @@ dense AS (
   LEFT JOIN of_hour o ON o.adid = a.adid AND o.minute = m.minute
 )"""
 
+_RECENT = """SELECT date, strftime(ts, '%H') AS hour, strftime(ts, '%M') AS minute, adid,
+  count(*) AS click_count FROM clicks
+WHERE date_trunc('minute', ts) > (SELECT date_trunc('minute', max(ts)) FROM clicks) - INTERVAL 1 HOUR GROUP BY ALL"""
+
 # The day is cut in two for the sink queries: morning clicks come first, later ones second.
 _HALVES = """
 halves AS (
@@ -366,10 +419,9 @@ FROM events WHERE event_type = 'error'""",
         "ad_click_trend": trend,
         "ad_click_trend_recent": _with(
             _CLICKS,
-            tail="""SELECT date, strftime(ts, '%H') AS hour, strftime(ts, '%M') AS minute, adid,
-  count(*) AS click_count FROM clicks
-WHERE ts > (SELECT max(ts) FROM clicks) - INTERVAL 1 HOUR GROUP BY ALL""",
+            tail=_RECENT,
         ),
+        "stream_ad_click_trend_recent": _with(_CLICKS, tail=_RECENT),
         "ad_trend_series": _with(
             _CLICKS,
             _SERIES,
@@ -379,12 +431,16 @@ WHERE ts > (SELECT max(ts) FROM clicks) - INTERVAL 1 HOUR GROUP BY ALL""",
         ),
         "stream_ad_stat": stat,
         "stream_ad_blacklist": blacklist,
-        "stream_ad_filtered_log": _with(
+        "stream_ad_filtered_log": _with(_CLICKS, _FEEDBACK, tail=f"SELECT {_LOG_COLUMNS} FROM let_through"),
+        "stream_all_ad_stat": _with(_CLICKS, _FEEDBACK, tail="SELECT * FROM fed_stat"),
+        "stream_all_ad_province_top3": _with(
             _CLICKS,
-            tail=f"""SELECT {_LOG_COLUMNS} FROM clicks
-WHERE userid NOT IN (SELECT userid FROM daily WHERE date < '{D.LIST_CUT_DATE}'
-                     AND click_count >= {D.BLACKLIST_THRESHOLD})""",
+            _FEEDBACK,
+            tail="""SELECT date, province, adid, click_count FROM (
+  SELECT date, province, adid, CAST(sum(click_count) AS BIGINT) AS click_count FROM fed_stat GROUP BY ALL)
+QUALIFY row_number() OVER (PARTITION BY date, province ORDER BY click_count DESC, adid) <= 3""",
         ),
+        "stream_all_ad_blacklist": blacklist,
         "stream_ad_province_top3": top3,
         "stream_ad_click_trend": trend,
         "stream_ad_user_daily_counts": daily,

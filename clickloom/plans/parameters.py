@@ -7,7 +7,6 @@ from clickloom.operators.sessions import SessionFilter
 TASK_ID = "task-1"
 OTHER_TASK_ID = "task-2"
 SAMPLE_SIZE = 100
-SAMPLE_EXTRA = 1
 SAMPLE_SEED = "7"
 
 AGE_FILTER = SessionFilter(start_age=20, end_age=50)

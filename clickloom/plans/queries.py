@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from clickloom.functions import text_result, with_task_id
 from clickloom.operators import ads, areas, categories, pages, sampling, sessions
@@ -14,7 +16,8 @@ from clickloom.plans.session import work_dir
 from clickloom.sinks import BatchTable, append_parquet
 from clickloom.sources import testdata as D
 from clickloom.sources.actions import clean_actions, in_date_range
-from clickloom.sources.ad_log import parse_ad_log, rejected_ad_log
+from clickloom.sources.ad_log import parse_ad_log, rejected_ad_log, stream_ad_log
+from clickloom.sinks.batch_table import OVERWRITE
 from clickloom.streaming import ad_jobs, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,7 +39,7 @@ def session_user_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def session_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sessions.filter_sessions(session_user_profile(spark, sf_dir), P.FULL_FILTER)
+    return sessions.filtered_session_profile(D.actions(spark, sf_dir), D.users(spark, sf_dir), P.FULL_FILTER)
 
 
 def _lengths(spark: SparkSession, sf_dir: str, chosen: sessions.SessionFilter) -> DataFrame:
@@ -57,11 +60,11 @@ def _starts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def session_hour_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sampling.session_hour_counts(_starts(spark, sf_dir), P.SAMPLE_SIZE, P.SAMPLE_EXTRA)
+    return sampling.session_hour_counts(_starts(spark, sf_dir), P.SAMPLE_SIZE)
 
 
 def _sampled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sampling.sampled_sessions(_starts(spark, sf_dir), P.SAMPLE_SIZE, P.SAMPLE_EXTRA, P.SAMPLE_SEED)
+    return sampling.sampled_sessions(_starts(spark, sf_dir), P.SAMPLE_SIZE, seed=P.SAMPLE_SEED)
 
 
 def session_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,7 +72,7 @@ def session_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def session_sample_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sessions.session_detail(D.actions(spark, sf_dir), _sampled(spark, sf_dir), P.TASK_ID, bounded=True)
+    return sessions.session_detail(D.actions(spark, sf_dir), _sampled(spark, sf_dir), P.TASK_ID)
 
 
 # -- categories --------------------------------------------------------------------------
@@ -99,7 +102,7 @@ def category_top_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def top_session_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
     top = _top_sessions(spark, sf_dir)
-    return sessions.session_detail(D.actions(spark, sf_dir), top, P.TASK_ID, bounded=True)
+    return sessions.session_detail(D.actions(spark, sf_dir), top, P.TASK_ID)
 
 
 # -- pages -------------------------------------------------------------------------------
@@ -187,15 +190,28 @@ def ad_trend_series(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- streams, run to completion ----------------------------------------------------------
 
 
-def _click_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return parse_ad_log(D.ad_line_stream(spark, sf_dir))
+def _in_batches(
+    spark: SparkSession, sf_dir: str, base: str, start: Callable[[DataFrame], StreamingQuery]
+) -> None:
+    """Feed the ad lines as they would come: one part of the month after another is written
+    to the folder that the stream reads, and the query goes on from its checkpoint. Each
+    part is a batch."""
+    lines = D.ad_lines_by_part(spark, sf_dir)
+    for part in range(D.STREAM_PARTS):
+        lines.where(F.col("part") == part).select("value").write.mode("append").text(f"{base}/lines")
+        start(parse_ad_log(stream_ad_log(spark, f"{base}/lines"))).awaitTermination()
 
 
 def stream_ad_stat(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = work_dir(spark, "stream-ad-stat")
     stat = tables.stat_table(spark, f"{base}/stat")
-    kept = ads.ad_filtered_log(_click_stream(spark, sf_dir), ad_blacklist(spark, sf_dir))
-    ad_jobs.start_ad_stat(kept, stat, f"{base}/checkpoint", until_done=True).awaitTermination()
+    listed = ad_blacklist(spark, sf_dir)
+
+    def start(clicks: DataFrame) -> StreamingQuery:
+        kept = ads.ad_filtered_log(clicks, listed)
+        return ad_jobs.start_ad_stat(kept, stat, f"{base}/checkpoint", until_done=True)
+
+    _in_batches(spark, sf_dir, base, start)
     return stat.read()
 
 
@@ -203,55 +219,114 @@ def stream_ad_blacklist(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = work_dir(spark, "stream-ad-blacklist")
     blacklist = tables.blacklist_table(spark, f"{base}/blacklist")
     counts = tables.user_count_table(spark, f"{base}/counts")
-    ad_jobs.start_blacklist(
-        _click_stream(spark, sf_dir),
-        counts,
-        blacklist,
-        f"{base}/checkpoint",
-        threshold=D.BLACKLIST_THRESHOLD,
-        until_done=True,
-    ).awaitTermination()
+
+    def start(clicks: DataFrame) -> StreamingQuery:
+        return ad_jobs.start_blacklist(
+            clicks, counts, blacklist, f"{base}/checkpoint", threshold=D.BLACKLIST_THRESHOLD, until_done=True
+        )
+
+    _in_batches(spark, sf_dir, base, start)
     return blacklist.read()
 
 
 def stream_ad_filtered_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The list holds the users of the earlier days; all clicks are then held against it."""
+    """After each batch of the log, the list is extended from that batch; a click is thus held
+    against the users listed before its batch."""
     base = work_dir(spark, "stream-ad-filtered-log")
     blacklist = tables.blacklist_table(spark, f"{base}/blacklist")
-    earlier = ad_user_daily_counts(spark, sf_dir).where(F.col("date") < F.lit(D.LIST_CUT_DATE))
-    blacklist.write(ads.ad_blacklist(earlier, D.BLACKLIST_THRESHOLD), 0)
-    log_path = f"{base}/log"
-    ad_jobs.start_filtered_log(
-        _click_stream(spark, sf_dir), blacklist, log_path, f"{base}/checkpoint", until_done=True
-    ).awaitTermination()
-    return spark.read.schema(tables.LOG_SCHEMA).parquet(log_path).drop("batch")
+    counts = tables.user_count_table(spark, f"{base}/counts")
+    log = tables.log_table(spark, f"{base}/log")
+
+    def start(clicks: DataFrame) -> StreamingQuery:
+        ad_jobs.start_filtered_log(clicks, blacklist, log, f"{base}/checkpoint", until_done=True).awaitTermination()
+        return ad_jobs.start_blacklist(
+            clicks, counts, blacklist, f"{base}/list-checkpoint", threshold=D.BLACKLIST_THRESHOLD, until_done=True
+        )
+
+    _in_batches(spark, sf_dir, base, start)
+    return log.read().drop("date")
 
 
 def stream_ad_province_top3(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = work_dir(spark, "stream-ad-province-top3")
     stat = tables.stat_table(spark, f"{base}/stat")
     top = tables.top_table(spark, f"{base}/top")
-    kept = ads.ad_filtered_log(_click_stream(spark, sf_dir), ad_blacklist(spark, sf_dir))
-    ad_jobs.start_province_top3(kept, stat, top, f"{base}/checkpoint", until_done=True).awaitTermination()
+    listed = ad_blacklist(spark, sf_dir)
+
+    def start(clicks: DataFrame) -> StreamingQuery:
+        kept = ads.ad_filtered_log(clicks, listed)
+        return ad_jobs.start_province_top3(kept, stat, top, f"{base}/checkpoint", until_done=True)
+
+    _in_batches(spark, sf_dir, base, start)
     return top.read()
 
 
-def stream_ad_click_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
-    base = work_dir(spark, "stream-ad-click-trend")
+def _stream_trend(spark: SparkSession, sf_dir: str, purpose: str) -> BatchTable:
+    base = work_dir(spark, purpose)
     trend = tables.trend_table(spark, f"{base}/trend")
-    clicks = _click_stream(spark, sf_dir)
-    ad_jobs.start_click_trend(clicks, trend, f"{base}/checkpoint", until_done=True).awaitTermination()
-    return ad_jobs.trend_result(trend)
+    _in_batches(
+        spark, sf_dir, base, lambda clicks: ad_jobs.start_click_trend(clicks, trend, f"{base}/checkpoint", until_done=True)
+    )
+    return trend
+
+
+def stream_ad_click_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ad_jobs.trend_result(_stream_trend(spark, sf_dir, "stream-ad-click-trend"))
+
+
+def stream_ad_click_trend_recent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ad_jobs.trend_result(_stream_trend(spark, sf_dir, "stream-ad-click-trend-recent"), "1 hour")
 
 
 def stream_ad_user_daily_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = work_dir(spark, "stream-ad-user-daily-counts")
     counts = tables.user_count_table(spark, f"{base}/counts")
-    clicks = _click_stream(spark, sf_dir)
-    ad_jobs.start_user_daily_counts(clicks, counts, f"{base}/checkpoint", until_done=True).awaitTermination()
+    _in_batches(
+        spark,
+        sf_dir,
+        base,
+        lambda clicks: ad_jobs.start_user_daily_counts(clicks, counts, f"{base}/checkpoint", until_done=True),
+    )
     return counts.read()
 
 
+def _stream_all(spark: SparkSession, sf_dir: str, result: str) -> DataFrame:
+    """All ad jobs in one query over several batches, the list feeding back into them."""
+    base = work_dir(spark, f"stream-all-{result}")
+    stored = {
+        "counts": tables.user_count_table(spark, f"{base}/counts"),
+        "blacklist": tables.blacklist_table(spark, f"{base}/blacklist"),
+        "stat": tables.stat_table(spark, f"{base}/stat"),
+        "top": tables.top_table(spark, f"{base}/top"),
+        "trend": tables.trend_table(spark, f"{base}/trend"),
+    }
+
+    def start(clicks: DataFrame) -> StreamingQuery:
+        return ad_jobs.start_all_ad_jobs(
+            clicks,
+            **stored,
+            checkpoint=f"{base}/checkpoint",
+            threshold=D.BLACKLIST_THRESHOLD,
+            until_done=True,
+            compact_every=2,
+        )
+
+    _in_batches(spark, sf_dir, base, start)
+    return stored[result].read()
+
+
+def stream_all_ad_stat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stream_all(spark, sf_dir, "stat")
+
+
+def stream_all_ad_province_top3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stream_all(spark, sf_dir, "top")
+
+
+def stream_all_ad_blacklist(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stream_all(spark, sf_dir, "blacklist")
+
+
 # -- sinks, after two batches ------------------------------------------------------------
 
 
@@ -274,7 +349,9 @@ def sink_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = work_dir(spark, "sink-append")
     append_parquet(with_task_id(ad_stat(spark, sf_dir), P.TASK_ID), path)
     append_parquet(with_task_id(ads.ad_stat(D.ad_clicks(spark, sf_dir)), P.OTHER_TASK_ID), path)
-    return spark.read.parquet(path)
+    # the task id is a directory: without a schema its type would be guessed
+    stored = T.StructType([*tables.STAT_SCHEMA.fields, T.StructField("task_id", T.StringType())])
+    return spark.read.schema(stored).parquet(path)
 
 
 def sink_upsert_add(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -283,7 +360,7 @@ def sink_upsert_add(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sink_upsert_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table = tables.stat_table(spark, work_dir(spark, "sink-upsert-overwrite"))
+    table = tables.stat_table(spark, work_dir(spark, "sink-upsert-overwrite"), OVERWRITE)
     return _two_batches(table, [ads.ad_stat(half) for half in _halves(spark, sf_dir)])
 
 
@@ -336,7 +413,11 @@ REGISTERED: list[Query] = [
     stream_ad_filtered_log,
     stream_ad_province_top3,
     stream_ad_click_trend,
+    stream_ad_click_trend_recent,
     stream_ad_user_daily_counts,
+    stream_all_ad_stat,
+    stream_all_ad_province_top3,
+    stream_all_ad_blacklist,
     sink_append,
     sink_upsert_add,
     sink_upsert_overwrite,

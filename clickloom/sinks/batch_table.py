@@ -2,7 +2,8 @@
 
 Each batch is stored under its own id and the batches are merged when the table is read.
 Storing a batch again overwrites the same directory, so a batch that Spark replays after
-a failure changes nothing, and a batch costs no more than its own rows to write.
+a failure changes nothing, and a batch costs no more than its own rows to write. Folding
+rewrites only the days that the batches since the last fold touched.
 """
 
 from __future__ import annotations
@@ -18,8 +19,10 @@ ADD = "add"
 OVERWRITE = "overwrite"
 IGNORE = "ignore"
 REPLACE_SLICE = "replace_slice"
+APPEND = "append"
 
-_DONE_MARK = "_SUCCESS"
+# Written into a directory after all its files; what lacks it is not read.
+_MARK = "_COMPLETE"
 
 
 class BatchTable:
@@ -30,11 +33,12 @@ class BatchTable:
     ignore         a key once stored stays as it is
     replace_slice  the rows of the latest batch that has the slice stand; `keys` are the
                    columns of the slice, and a batch brings a slice as a whole
+    append         all rows stand; there are no keys
 
-    `value` is the count column (not used by ignore and replace_slice). `partition_by` are
-    key columns that lay out the merged set, so that a join on them reads only what it needs.
-    `files` is the number of files a batch is written in. Batch ids must grow, as those of
-    one streaming query do.
+    `value` is the count column (used by add and overwrite). `partition_by` is empty or one
+    key column, such as the day, that lays out folded rows: a join on it reads only what it
+    needs, and folding rewrites only what changed. Batch ids must grow, as those of one
+    streaming query do.
     """
 
     def __init__(
@@ -46,10 +50,11 @@ class BatchTable:
         rule: str,
         value: str = "click_count",
         partition_by: Sequence[str] = (),
-        files: int = 4,
     ):
-        if rule not in (ADD, OVERWRITE, IGNORE, REPLACE_SLICE):
+        if rule not in (ADD, OVERWRITE, IGNORE, REPLACE_SLICE, APPEND):
             raise ValueError(f"unknown rule {rule!r}")
+        if len(partition_by) > 1:
+            raise ValueError("folded rows are laid out by one column at most")
         self.spark = spark
         self.path = path.rstrip("/")
         self.schema = schema
@@ -57,21 +62,28 @@ class BatchTable:
         self.rule = rule
         self.value = value
         self.partition_by = list(partition_by)
-        self.files = files
         self._stored = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
 
+    def require(self, *rules: str) -> None:
+        """Fail early where a job needs another rule than the table has."""
+        if self.rule not in rules:
+            raise ValueError(f"{self.path} merges by {self.rule!r}; this job needs {' or '.join(map(repr, rules))}")
+
     # -- writing -----------------------------------------------------------------------
 
     def write(self, batch: DataFrame, batch_id: int) -> None:
-        """Store a batch; has the signature that `foreachBatch` calls."""
+        """Store a batch; has the signature that `foreachBatch` calls. The number of files
+        follows the size of the batch."""
         rows = self._within_batch(batch).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        self._store(rows.repartition(self.files), "batch", batch_id)
+        self._store(rows.hint("rebalance"), f"batch-{batch_id}", [])
 
-    def _store(self, rows: DataFrame, kind: str, number: int) -> None:
+    def _store(self, rows: DataFrame, directory: str, layout: Sequence[str]) -> None:
         writer = rows.select(*self._stored.fieldNames()).write.mode("overwrite")
-        if kind == "merged":
-            writer = writer.partitionBy(*self.partition_by)
-        writer.parquet(f"{self.path}/{kind}-{number}")
+        if layout:
+            writer = writer.partitionBy(*layout)
+        writer.parquet(f"{self.path}/{directory}")
+        path, files = self._files()
+        files.create(path(f"{self.path}/{directory}/{_MARK}"), True).close()
 
     def _within_batch(self, batch: DataFrame) -> DataFrame:
         columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema.fields]
@@ -85,23 +97,43 @@ class BatchTable:
     def compact(self, before: int | None = None) -> None:
         """Fold the stored batches, or those before a batch, so that reading stays cheap.
 
-        The merged set counts only once it is complete; until then, and if the job dies,
-        readers use the batches as before. Directories that the merged set before this one
-        already covered are removed, so a reader under way keeps what it planned to read.
+        Only the days of those batches are rewritten; each day is read from the latest fold
+        that holds it. A fold counts only once it is complete; until then, and if the job
+        dies, readers use the batches as before. Removed is what the fold before this one
+        had already replaced, so a reader under way keeps what it planned to read.
         """
-        folded = self._numbers("merged")[-1:]
-        batches = [n for n in self._numbers("batch") if before is None or n < before]
-        if not batches or (folded and max(batches) <= folded[0]):
+        folds = self._numbers("fold=")
+        last = folds[-1] if folds else -1
+        batches = [n for n in self._numbers("batch-") if n > last and (before is None or n < before)]
+        if not batches:
             return
-        columns = [F.col(name) for name in self.partition_by]
-        self._store(self._merged(before).hint("rebalance", *columns), "merged", max(batches))
-        if folded:
-            for number in batches:
-                if number <= folded[0]:
-                    self._remove(f"batch-{number}")
-            for number in self._numbers("merged"):
-                if number < folded[0]:
-                    self._remove(f"merged-{number}")
+        rows = self._merged(before)
+        for column in self.partition_by:
+            touched = self._read([f"batch-{n}" for n in batches]).select(F.col(column).alias("__touched")).distinct()
+            rows = rows.join(touched, F.col(column).eqNullSafe(F.col("__touched")), "left_semi")
+        layout = self.partition_by
+        self._store(rows.hint("rebalance", *[F.col(name) for name in layout]), f"fold={max(batches)}", layout)
+        if folds:
+            self._clean(last)
+
+    def _clean(self, last: int) -> None:
+        """Remove batches that fold `last` covers, and parts of older folds it or a fold
+        before it replaced."""
+        for number in self._numbers("batch-"):
+            if number <= last:
+                self._remove(f"batch-{number}")
+                path, files = self._files()
+                for note in files.globStatus(path(f"{self.path}/_note-{number}-*")) or []:
+                    files.delete(note.getPath(), False)
+        live = set(self._parts(last + 1))
+        folds = [n for n in self._numbers("fold=") if n < last]
+        for part in self._all_parts():
+            number = int(part.split("/")[0].split("=")[1])
+            if number in folds and part not in live:
+                self._remove(part)
+        for number in folds:
+            if not any(part.split("/")[0] == f"fold={number}" for part in live):
+                self._remove(f"fold={number}")
 
     # -- reading -----------------------------------------------------------------------
 
@@ -115,12 +147,24 @@ class BatchTable:
 
     def read_batch(self, batch_id: int) -> DataFrame:
         """The rows of one stored batch."""
-        rows = self.spark.read.schema(self._stored).parquet(f"{self.path}/batch-{batch_id}")
         # all rows have this id; as a filter it marks the batch as the small side, whose
         # days then prune the directories of the table it is joined with
-        rows = rows.where(F.col("batch_id") == batch_id)
+        rows = self._read([f"batch-{batch_id}"]).where(F.col("batch_id") == batch_id)
         return rows.select(*self.schema.fieldNames())
 
+    def last_batch(self) -> int:
+        """The id of the latest stored batch, -1 if there is none."""
+        return max([-1, *self._numbers("batch-"), *self._numbers("fold=")])
+
+    def noted(self, batch_id: int, number: int) -> int:
+        """The number noted for a batch; notes the given one if there is none yet."""
+        path, files = self._files()
+        found = files.globStatus(path(f"{self.path}/_note-{batch_id}-*"))
+        if found:
+            return int(found[0].getPath().getName().split("-", 2)[2])
+        files.create(path(f"{self.path}/_note-{batch_id}-{number}"), True).close()
+        return number
+
     def _files(self):
         path = self.spark._jvm.org.apache.hadoop.fs.Path
         return path, path(self.path).getFileSystem(self.spark._jsc.hadoopConfiguration())
@@ -128,32 +172,60 @@ class BatchTable:
     def _numbers(self, kind: str) -> list[int]:
         """Numbers of the complete directories of a kind, by the file system's own listing."""
         path, files = self._files()
-        done = files.globStatus(path(f"{self.path}/{kind}-*/{_DONE_MARK}"))
-        return sorted(int(status.getPath().getParent().getName().rsplit("-", 1)[1]) for status in done or [])
+        done = files.globStatus(path(f"{self.path}/{kind}*/{_MARK}"))
+        return sorted(int(status.getPath().getParent().getName()[len(kind) :]) for status in done or [])
+
+    def _all_parts(self) -> list[str]:
+        """The directories of rows inside folds."""
+        if not self.partition_by:
+            return [f"fold={n}" for n in self._numbers("fold=")]
+        path, files = self._files()
+        found = files.globStatus(path(f"{self.path}/fold=*/{self.partition_by[0]}=*"))
+        return [f"{s.getPath().getParent().getName()}/{s.getPath().getName()}" for s in found or []]
+
+    def _parts(self, before: int | None = None) -> list[str]:
+        """Of each day the directory in the latest complete fold that holds it."""
+        folds = {n for n in self._numbers("fold=") if before is None or n < before}
+        latest: dict[str, int] = {}
+        for part in self._all_parts():
+            fold, _, day = part.partition("/")
+            number = int(fold.split("=")[1])
+            if number in folds:
+                latest[day] = max(number, latest.get(day, -1))
+        return [f"fold={number}/{day}".rstrip("/") for day, number in latest.items()]
 
     def _remove(self, directory: str) -> None:
         path, files = self._files()
         files.delete(path(f"{self.path}/{directory}"), True)
 
-    def _rows(self, before: int | None = None) -> DataFrame:
-        def earlier(kind: str) -> list[int]:
-            return [n for n in self._numbers(kind) if before is None or n < before]
+    def _read(self, directories: list[str]) -> DataFrame:
+        reader = self.spark.read.schema(self._stored).option("basePath", self.path)
+        return reader.parquet(*[f"{self.path}/{name}" for name in directories])
 
-        folded = earlier("merged")[-1:]
-        newer = [n for n in earlier("batch") if not folded or n > folded[0]]
-        reader = self.spark.read.schema(self._stored)
-        parts = [reader.parquet(f"{self.path}/merged-{n}") for n in folded]
+    def _rows(self, before: int | None = None) -> DataFrame:
+        folds = [n for n in self._numbers("fold=") if before is None or n < before]
+        newer = [n for n in self._numbers("batch-") if (not folds or n > folds[-1]) and (before is None or n < before)]
+        parts = []
+        if folded := self._parts(before):
+            parts.append(self._read(folded).select(*self._stored.fieldNames()))
         if newer:
+            reader = self.spark.read.schema(self._stored)
             parts.append(reader.parquet(*[f"{self.path}/batch-{n}" for n in newer]))
         if not parts:
             return self.spark.createDataFrame([], self._stored)
         return reduce(DataFrame.unionByName, parts)
 
     def _merged(self, before: int | None = None) -> DataFrame:
-        rows = self._rows(before)
+        rows = self._rows(None if self.rule == IGNORE else before)
+        if self.rule == IGNORE and before is not None:
+            # each key carries its first batch, so an earlier state can be told from a fold too
+            rows = rows.where(F.col("batch_id") < before)
+        if self.rule == APPEND:
+            return rows
         if self.rule == REPLACE_SLICE:
-            latest = rows.groupBy(*self.keys).agg(F.max("batch_id").alias("batch_id"))
-            return rows.join(latest, [*self.keys, "batch_id"], "left_semi")
+            latest = rows.groupBy(*[F.col(k).alias(f"__{k}") for k in self.keys]).agg(F.max("batch_id").alias("__latest"))
+            same = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in self.keys]
+            return rows.join(latest, reduce(lambda a, b: a & b, same) & (F.col("batch_id") == F.col("__latest")), "left_semi")
         others = [n for n in self.schema.fieldNames() if n not in self.keys]
         if self.rule == ADD:
             merged = [F.sum(self.value).alias(self.value), F.max("batch_id").alias("batch_id")]
@@ -162,3 +234,10 @@ class BatchTable:
         else:
             merged = [F.min_by(n, "batch_id").alias(n) for n in others] + [F.min("batch_id").alias("batch_id")]
         return rows.groupBy(*self.keys).agg(*merged)
+
+
+def matching(rows: DataFrame, keys: DataFrame) -> DataFrame:
+    """The rows whose values in all columns of `keys` occur there; NULL matches NULL."""
+    renamed = keys.select(*[F.col(name).alias(f"__{name}") for name in keys.columns])
+    same = [F.col(name).eqNullSafe(F.col(f"__{name}")) for name in keys.columns]
+    return rows.join(renamed, reduce(lambda a, b: a & b, same), "left_semi")

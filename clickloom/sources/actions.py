@@ -13,7 +13,7 @@ from clickloom.functions import blank_to_null, clean_id, clean_time
 ID_COLUMNS = ("user_id", "page_id", "click_category_id", "click_product_id", "city_id")
 LIST_COLUMNS = ("order_category_ids", "order_product_ids", "pay_category_ids", "pay_product_ids")
 
-# Columns of a cleaned action, in table order. An `event_id` column is kept if the
+# Columns of a cleaned action, in table order. An `event_id` column is kept if the
 # log has one: it orders actions of the same instant.
 ACTION_SCHEMA = T.StructType(
     [
@@ -33,6 +33,7 @@ ACTION_SCHEMA = T.StructType(
     ]
 )
 
+# Columns of the user table.
 USER_SCHEMA = T.StructType(
     [
         T.StructField("user_id", T.LongType()),
@@ -45,6 +46,7 @@ USER_SCHEMA = T.StructType(
     ]
 )
 
+# Columns of the product table.
 PRODUCT_SCHEMA = T.StructType(
     [
         T.StructField("product_id", T.LongType()),
@@ -92,8 +94,8 @@ def clean_actions(
 ) -> DataFrame:
     """Typed actions in a date range, from a log whose columns are text or already typed.
 
-    Text is trimmed and blank becomes NULL, times and keywords are URL-decoded, ids
-    become bigint with NULL for blank or -1.
+    Text is trimmed and blank becomes NULL, times and keywords are URL-decoded (a keyword
+    that is not encoded stays as it is), ids become bigint with NULL for blank or -1.
     """
     kinds = {field.name: field.dataType for field in raw.schema.fields}
 
@@ -109,7 +111,7 @@ def clean_actions(
                 return clean_id(column)
             return F.nullif(column.cast("bigint"), F.lit(-1).cast("bigint"))
         if name == "search_keyword":
-            return blank_to_null(F.try_url_decode(column))
+            return blank_to_null(F.coalesce(F.try_url_decode(column), column))
         return blank_to_null(column)
 
     columns = [cleaned(name).alias(name) for name in ACTION_SCHEMA.fieldNames()]
@@ -118,6 +120,18 @@ def clean_actions(
     return in_date_range(raw, start_date, end_date).select(*columns)
 
 
+def unreadable_times(raw: DataFrame) -> DataFrame:
+    """One row: actions, and those whose time is there but cannot be read. They count as
+    steps, but not for lengths, starts or the page order."""
+    time = F.col("action_time")
+    kind = raw.schema["action_time"].dataType
+    read = clean_time(time) if isinstance(kind, T.StringType) else time.cast("timestamp")
+    given = F.trim(time.cast("string")) != ""
+    return raw.agg(
+        F.count(F.lit(1)).alias("action_count"), F.count_if(given & read.isNull()).alias("unreadable_count")
+    )
+
+
 def read_actions(
     spark: SparkSession,
     path: str,

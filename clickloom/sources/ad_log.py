@@ -10,13 +10,19 @@ from pyspark.sql import functions as F
 
 AD_LINE_FIELDS = ("timestamp", "province", "city", "userid", "adid")
 
+# Epoch milliseconds of the years 1 to 9999, the range of a timestamp.
+FIRST_MILLIS, LAST_MILLIS = -62_135_596_800_000, 253_402_300_799_999
+
 
 def _parsed(lines: DataFrame) -> DataFrame:
     parts = F.split(F.trim("value"), " +")
     fields = {name: F.get(parts, F.lit(i)) for i, name in enumerate(AD_LINE_FIELDS)}
+    millis = fields["timestamp"].try_cast("bigint")
+    # a number outside the range would end the job
+    in_range = F.when(millis.between(FIRST_MILLIS, LAST_MILLIS), millis)
     return lines.select(
         "value",
-        F.timestamp_millis(fields["timestamp"].try_cast("bigint")).alias("ts"),
+        F.timestamp_millis(in_range).alias("ts"),
         fields["province"].alias("province"),
         fields["city"].alias("city"),
         fields["userid"].try_cast("bigint").alias("userid"),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Parameters of the registered queries.
@@ -10,7 +11,9 @@ START_DATE = "2024-01-05"
 END_DATE = "2024-01-25"
 PAGE_FLOW = [1, 2, 3, 4, 5, 6, 7]
 BLACKLIST_THRESHOLD = 2
-LIST_CUT_DATE = "2024-01-16"
+# The ad streams are fed in this many parts, by day of the month.
+STREAM_PARTS = 3
+PART = "CAST(least((day(ts) - 1) div 10, 2) AS INT)"
 SERIES_DATE = "2024-01-15"
 SERIES_HOUR = 10
 AREA_LEVELS = {"A Level": ["ASIA", "EUROPE"], "B Level": ["AMERICA"], "C Level": ["AFRICA"]}
@@ -120,12 +123,13 @@ def ad_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ad_clicks_of(table(spark, sf_dir, "events"))
 
 
-def ad_lines_of(events: DataFrame) -> DataFrame:
+def ad_lines_of(events: DataFrame, *more: str) -> DataFrame:
     """Ad log lines: one per click event, and a cut-off line per error event."""
     return events.where("event_type IN ('click', 'error')").selectExpr(
         f"""CASE WHEN event_type = 'click'
             THEN concat_ws(' ', unix_millis(CAST(ts AS TIMESTAMP)), user_id % 5, user_id % 25, user_id, {_K} % 10)
-            ELSE concat_ws(' ', unix_millis(CAST(ts AS TIMESTAMP)), user_id % 5) END AS value"""
+            ELSE concat_ws(' ', unix_millis(CAST(ts AS TIMESTAMP)), user_id % 5) END AS value""",
+        *more,
     )
 
 
@@ -133,11 +137,8 @@ def ad_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ad_lines_of(table(spark, sf_dir, "events"))
 
 
-def ad_line_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """The ad log lines as a stream over the event files."""
-    # a pattern that names just the events: the file source takes a lone file only so
-    path = f"{sf_dir}/{{events}}.parquet"
-    reader = spark.readStream.schema(table(spark, sf_dir, "events").schema)
-    if max_files_per_trigger is not None:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return ad_lines_of(reader.parquet(path))
+def ad_lines_by_part(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ad log lines with the part of the month that they come in, from 0."""
+    events = table(spark, sf_dir, "events")
+    lines = ad_lines_of(events.withColumn("part", F.expr(PART)), "part")
+    return lines

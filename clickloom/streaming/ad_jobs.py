@@ -2,11 +2,17 @@
 
 State that must survive lives in the query's checkpoint and in the result tables; both
 belong in a folder all executors reach. A result table belongs to one query checkpoint.
+Every query folds its tables each `COMPACT_EVERY` batches.
+
+Counts are kept by adding each batch to its table, which drops no click however late. With
+a watermark they are kept as running counts in the stream's state instead; clicks later than
+the watermark are then dropped, and the progress of the query tells how many
+(`numRowsDroppedByWatermark`). Days and minutes are UTC: the session must be.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,28 +21,42 @@ from pyspark.storagelevel import StorageLevel
 
 from clickloom.operators import ads
 from clickloom.sinks import BatchTable
+from clickloom.sinks.batch_table import ADD, APPEND, IGNORE, OVERWRITE, REPLACE_SLICE, matching
 
 # Fixed value: seconds between micro-batches.
 BATCH_INTERVAL = "5 seconds"
+COMPACT_EVERY = 100
 
 
 def _start(
     rows: DataFrame,
     on_batch: Callable[[DataFrame, int], None],
+    tables: Sequence[BatchTable],
     checkpoint: str,
     output_mode: str,
     until_done: bool,
+    compact_every: int = COMPACT_EVERY,
 ) -> StreamingQuery:
+    zone = rows.sparkSession.conf.get("spark.sql.session.timeZone")
+    if zone not in ("UTC", "Etc/UTC", "GMT", "Z", "+00:00"):
+        raise ValueError(f"days are UTC, but spark.sql.session.timeZone is {zone}")
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        if batch_id and batch_id % compact_every == 0:
+            for table in tables:
+                table.compact(before=batch_id)
+        on_batch(batch, batch_id)
+
     writer = rows.writeStream.outputMode(output_mode).option("checkpointLocation", checkpoint)
     trigger = {"availableNow": True} if until_done else {"processingTime": BATCH_INTERVAL}
-    return writer.foreachBatch(on_batch).trigger(**trigger).start()
+    return writer.foreachBatch(run).trigger(**trigger).start()
 
 
-def running_ad_stat(clicks: DataFrame, watermark: str = "1 hour") -> DataFrame:
+def running_ad_stat(clicks: DataFrame, watermark: str) -> DataFrame:
     """Running counts per day, province, city and ad, for `update` mode.
 
     Days are event-time windows: their state is dropped once the watermark passes their
-    end, and a click later than that is dropped too. Days begin at midnight UTC.
+    end, and a click later than that is dropped too.
     """
     return (
         clicks.withWatermark("ts", watermark)
@@ -46,21 +66,43 @@ def running_ad_stat(clicks: DataFrame, watermark: str = "1 hour") -> DataFrame:
     )
 
 
-def running_click_trend(clicks: DataFrame, watermark: str = "1 hour") -> DataFrame:
+def minute_counts(clicks: DataFrame) -> DataFrame:
+    """Clicks per minute and ad, with the day of the minute."""
+    counts = clicks.groupBy(F.date_trunc("minute", "ts").alias("minute_start"), "adid").agg(
+        F.count(F.lit(1)).alias("click_count")
+    )
+    return counts.withColumn("date", F.to_date("minute_start"))
+
+
+def running_click_trend(clicks: DataFrame, watermark: str) -> DataFrame:
     """Running counts per minute and ad, for `update` mode; late clicks count until the watermark."""
     return (
         clicks.withWatermark("ts", watermark)
         .groupBy(F.window("ts", "1 minute").alias("span"), "adid")
         .agg(F.count(F.lit(1)).alias("click_count"))
-        .select(F.col("span.start").alias("minute_start"), "adid", "click_count")
+        .select(F.to_date("span.start").alias("date"), F.col("span.start").alias("minute_start"), "adid", "click_count")
     )
 
 
 def start_ad_stat(
-    clicks: DataFrame, stat: BatchTable, checkpoint: str, watermark: str = "1 hour", until_done: bool = False
+    clicks: DataFrame,
+    stat: BatchTable,
+    checkpoint: str,
+    watermark: str | None = None,
+    until_done: bool = False,
+    compact_every: int = COMPACT_EVERY,
 ) -> StreamingQuery:
-    """Keep the daily counts table up to date."""
-    return _start(running_ad_stat(clicks, watermark), stat.write, checkpoint, "update", until_done)
+    """Keep the daily counts table up to date. It adds, or with a watermark overwrites."""
+    if watermark is not None:
+        stat.require(OVERWRITE)
+        rows = running_ad_stat(clicks, watermark)
+        return _start(rows, stat.write, [stat], checkpoint, "update", until_done, compact_every)
+    stat.require(ADD)
+
+    def on_batch(batch: DataFrame, batch_id: int) -> None:
+        stat.write(ads.ad_stat(batch), batch_id)
+
+    return _start(clicks, on_batch, [stat], checkpoint, "append", until_done, compact_every)
 
 
 def start_province_top3(
@@ -68,33 +110,52 @@ def start_province_top3(
     stat: BatchTable,
     top: BatchTable,
     checkpoint: str,
-    watermark: str = "1 hour",
+    watermark: str | None = None,
     until_done: bool = False,
+    compact_every: int = COMPACT_EVERY,
 ) -> StreamingQuery:
     """Keep the daily counts and, from them, the top ads per day and province up to date.
 
-    Only the days and provinces that a batch touched are ranked again.
+    Only the days and provinces that a batch touched are ranked again. The counts table
+    adds, or with a watermark overwrites.
     """
+    stat.require(ADD if watermark is None else OVERWRITE)
+    top.require(REPLACE_SLICE)
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        stat.write(batch, batch_id)
+        stat.write(ads.ad_stat(batch) if watermark is None else batch, batch_id)
         refresh_top3(stat, top, batch_id)
 
-    return _start(running_ad_stat(clicks, watermark), on_batch, checkpoint, "update", until_done)
+    rows, mode = (clicks, "append") if watermark is None else (running_ad_stat(clicks, watermark), "update")
+    return _start(rows, on_batch, [stat, top], checkpoint, mode, until_done, compact_every)
 
 
 def refresh_top3(stat: BatchTable, top: BatchTable, batch_id: int) -> None:
     """Rank again the slices whose counts a stored batch changed."""
     touched = stat.read_batch(batch_id).select("date", "province").distinct()
-    slices = stat.read().join(touched, ["date", "province"], "left_semi")
-    top.write(ads.ad_province_top3(slices), batch_id)
+    top.write(ads.ad_province_top3(matching(stat.read_before(batch_id + 1), touched)), batch_id)
 
 
 def start_click_trend(
-    clicks: DataFrame, trend: BatchTable, checkpoint: str, watermark: str = "1 hour", until_done: bool = False
+    clicks: DataFrame,
+    trend: BatchTable,
+    checkpoint: str,
+    watermark: str | None = None,
+    until_done: bool = False,
+    compact_every: int = COMPACT_EVERY,
 ) -> StreamingQuery:
-    """Keep the counts per minute and ad up to date."""
-    return _start(running_click_trend(clicks, watermark), trend.write, checkpoint, "update", until_done)
+    """Keep the counts per minute and ad up to date. The table adds, or with a watermark
+    overwrites."""
+    if watermark is not None:
+        trend.require(OVERWRITE)
+        rows = running_click_trend(clicks, watermark)
+        return _start(rows, trend.write, [trend], checkpoint, "update", until_done, compact_every)
+    trend.require(ADD)
+
+    def on_batch(batch: DataFrame, batch_id: int) -> None:
+        trend.write(minute_counts(batch), batch_id)
+
+    return _start(clicks, on_batch, [trend], checkpoint, "append", until_done, compact_every)
 
 
 def trend_result(trend: BatchTable, horizon: str | None = None) -> DataFrame:
@@ -103,14 +164,19 @@ def trend_result(trend: BatchTable, horizon: str | None = None) -> DataFrame:
 
 
 def start_user_daily_counts(
-    clicks: DataFrame, counts: BatchTable, checkpoint: str, until_done: bool = False
+    clicks: DataFrame,
+    counts: BatchTable,
+    checkpoint: str,
+    until_done: bool = False,
+    compact_every: int = COMPACT_EVERY,
 ) -> StreamingQuery:
     """Add each batch's clicks per day, user and ad to the counts table; no stream state."""
+    counts.require(ADD)
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         counts.write(ads.ad_user_daily_counts(batch), batch_id)
 
-    return _start(clicks, on_batch, checkpoint, "append", until_done)
+    return _start(clicks, on_batch, [counts], checkpoint, "append", until_done, compact_every)
 
 
 def extend_blacklist(counts: BatchTable, blacklist: BatchTable, batch_id: int, threshold: int) -> None:
@@ -119,7 +185,7 @@ def extend_blacklist(counts: BatchTable, blacklist: BatchTable, batch_id: int, t
     Totals are needed only for the keys of the batch; one join finds them all.
     """
     changed = counts.read_batch(batch_id).select(*counts.keys)
-    totals = counts.read().join(changed, counts.keys, "left_semi")
+    totals = matching(counts.read_before(batch_id + 1), changed)
     blacklist.write(ads.ad_blacklist(totals, threshold), batch_id)
 
 
@@ -130,26 +196,41 @@ def start_blacklist(
     checkpoint: str,
     threshold: int = ads.BLACKLIST_THRESHOLD,
     until_done: bool = False,
+    compact_every: int = COMPACT_EVERY,
 ) -> StreamingQuery:
     """Add each batch to the daily counts, then list the users who reached the threshold."""
+    counts.require(ADD)
+    blacklist.require(IGNORE)
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         counts.write(ads.ad_user_daily_counts(batch), batch_id)
         extend_blacklist(counts, blacklist, batch_id, threshold)
 
-    return _start(clicks, on_batch, checkpoint, "append", until_done)
+    return _start(clicks, on_batch, [counts, blacklist], checkpoint, "append", until_done, compact_every)
 
 
 def start_filtered_log(
-    clicks: DataFrame, blacklist: BatchTable, log_path: str, checkpoint: str, until_done: bool = False
+    clicks: DataFrame,
+    blacklist: BatchTable,
+    log: BatchTable,
+    checkpoint: str,
+    until_done: bool = False,
+    compact_every: int = COMPACT_EVERY,
 ) -> StreamingQuery:
-    """Store the clicks of users not on the blacklist, which is read afresh for every batch."""
+    """Store the clicks of users not on the blacklist, which is read afresh for every batch.
+
+    Which state of the list a batch was held against is noted before it is stored, so a
+    replayed batch is held against the same one.
+    """
+    log.require(APPEND)
+    blacklist.require(IGNORE)
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        kept = ads.ad_filtered_log(batch, blacklist.read())
-        kept.write.mode("overwrite").parquet(f"{log_path}/batch={batch_id}")
+        listed = blacklist.read_before(log.noted(batch_id, blacklist.last_batch()) + 1)
+        kept = ads.ad_filtered_log(batch, listed)
+        log.write(kept.withColumn("date", F.to_date("ts")), batch_id)
 
-    return _start(clicks, on_batch, checkpoint, "append", until_done)
+    return _start(clicks, on_batch, [log], checkpoint, "append", until_done, compact_every)
 
 
 def start_all_ad_jobs(
@@ -162,30 +243,28 @@ def start_all_ad_jobs(
     checkpoint: str,
     threshold: int = ads.BLACKLIST_THRESHOLD,
     until_done: bool = False,
-    compact_every: int = 100,
+    compact_every: int = COMPACT_EVERY,
 ) -> StreamingQuery:
     """All ad jobs in one query, with the blacklist feeding back into it.
 
     Per batch: read the list, count the clicks it lets through, rank the touched slices;
     then count all clicks per user and per minute and extend the list. A user who reaches
-    the threshold in one batch is therefore dropped from the next batch on. `stat` and
-    `trend` must add, as each batch brings only its own clicks.
+    the threshold in one batch is therefore dropped from the next batch on.
     """
+    for table, rule in ((counts, ADD), (blacklist, IGNORE), (stat, ADD), (top, REPLACE_SLICE), (trend, ADD)):
+        table.require(rule)
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        if batch_id and batch_id % compact_every == 0:
-            for stored in (counts, blacklist, stat, top, trend):
-                stored.compact(before=batch_id)
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             listed = blacklist.read_before(batch_id)
             stat.write(ads.ad_stat(ads.ad_filtered_log(batch, listed)), batch_id)
             refresh_top3(stat, top, batch_id)
-            per_minute = batch.groupBy(F.date_trunc("minute", "ts").alias("minute_start"), "adid")
-            trend.write(per_minute.agg(F.count(F.lit(1)).alias("click_count")), batch_id)
+            trend.write(minute_counts(batch), batch_id)
             counts.write(ads.ad_user_daily_counts(batch), batch_id)
             extend_blacklist(counts, blacklist, batch_id, threshold)
         finally:
             batch.unpersist()
 
-    return _start(clicks, on_batch, checkpoint, "append", until_done)
+    tables = [counts, blacklist, stat, top, trend]
+    return _start(clicks, on_batch, tables, checkpoint, "append", until_done, compact_every)

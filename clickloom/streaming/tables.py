@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
-from clickloom.sinks.batch_table import ADD, IGNORE, OVERWRITE, REPLACE_SLICE, BatchTable
+from clickloom.sinks.batch_table import ADD, APPEND, IGNORE, REPLACE_SLICE, BatchTable
 
 
 def _schema(**columns: T.DataType) -> T.StructType:
@@ -18,13 +18,14 @@ STAT_SCHEMA = _schema(
 USER_COUNT_SCHEMA = _schema(date=T.DateType(), userid=T.LongType(), adid=T.LongType(), click_count=T.LongType())
 BLACKLIST_SCHEMA = _schema(userid=T.LongType())
 TOP_SCHEMA = _schema(date=T.DateType(), province=T.StringType(), adid=T.LongType(), click_count=T.LongType())
-TREND_SCHEMA = _schema(minute_start=T.TimestampType(), adid=T.LongType(), click_count=T.LongType())
+TREND_SCHEMA = _schema(date=T.DateType(), minute_start=T.TimestampType(), adid=T.LongType(), click_count=T.LongType())
 LOG_SCHEMA = _schema(
     ts=T.TimestampType(), province=T.StringType(), city=T.StringType(), userid=T.LongType(), adid=T.LongType()
 )
+STORED_LOG_SCHEMA = _schema(date=T.DateType(), **{field.name: field.dataType for field in LOG_SCHEMA})
 
 
-def stat_table(spark: SparkSession, path: str, rule: str = OVERWRITE) -> BatchTable:
+def stat_table(spark: SparkSession, path: str, rule: str = ADD) -> BatchTable:
     return BatchTable(spark, path, STAT_SCHEMA, ["date", "province", "city", "adid"], rule, partition_by=["date"])
 
 
@@ -40,5 +41,9 @@ def top_table(spark: SparkSession, path: str) -> BatchTable:
     return BatchTable(spark, path, TOP_SCHEMA, ["date", "province"], REPLACE_SLICE, partition_by=["date"])
 
 
-def trend_table(spark: SparkSession, path: str, rule: str = OVERWRITE) -> BatchTable:
-    return BatchTable(spark, path, TREND_SCHEMA, ["minute_start", "adid"], rule)
+def trend_table(spark: SparkSession, path: str, rule: str = ADD) -> BatchTable:
+    return BatchTable(spark, path, TREND_SCHEMA, ["date", "minute_start", "adid"], rule, partition_by=["date"])
+
+
+def log_table(spark: SparkSession, path: str) -> BatchTable:
+    return BatchTable(spark, path, STORED_LOG_SCHEMA, [], APPEND, partition_by=["date"])

@@ -84,6 +84,17 @@ def test_trend_and_its_horizon(spark):
     assert ads.ad_click_trend(clicks(spark, rows), "1 hour").count() == 2
 
 
+def test_the_horizon_is_of_whole_minutes_in_both_forms(spark, tmp_path):
+    rows = clicks(spark, [click(30), click(59), click(3600 + 45), click(60)])
+    trend = tables.trend_table(spark, str(tmp_path / "trend"))
+    trend.write(ad_jobs.minute_counts(rows), 0)
+    assert sorted_rows(ad_jobs.trend_result(trend, "1 hour")) == sorted_rows(ads.ad_click_trend(rows, "1 hour"))
+    assert sorted_rows(ads.ad_click_trend(rows, "1 hour")) == [
+        (date(2024, 1, 5), "00", "01", 1, 1),
+        (date(2024, 1, 5), "01", "00", 1, 1),
+    ]
+
+
 def test_series_is_dense(spark):
     rows = [click(0), click(1), click(150), click(3600, ad=2)]
     series = ads.ad_trend_series(ads.ad_click_trend(clicks(spark, rows)), "2024-01-05", 0).collect()
@@ -136,8 +147,8 @@ def test_rules_replay_and_compaction(spark, tmp_path, rule, expected):
     stored.write(keyed(spark, (2, 1)), 2)
     stored.compact()
     assert content(stored)[2] == {ADD: 6, OVERWRITE: 1, IGNORE: 5}[rule]
-    # what the older merged set covers is gone; what it does not is still there
-    assert sorted(os.listdir(stored.path)) == ["batch-2", "merged-1", "merged-2"]
+    # what the older fold covers is gone; what it does not is still there
+    assert sorted(os.listdir(stored.path)) == ["batch-2", "fold=1", "fold=2"]
 
 
 def test_add_sums_repeats_within_a_batch(spark, tmp_path):
@@ -167,12 +178,85 @@ def test_half_written_sets_do_not_count(spark, tmp_path):
     stored.write(keyed(spark, (1, 2)), 1)
     stored.compact()
     # as if the job had died while folding, and while storing a batch
-    os.remove(glob.glob(f"{stored.path}/merged-1/_SUCCESS")[0])
+    os.remove(glob.glob(f"{stored.path}/fold=1/_COMPLETE")[0])
     stored.write(keyed(spark, (1, 100)), 2)
-    os.remove(glob.glob(f"{stored.path}/batch-2/_SUCCESS")[0])
+    os.remove(glob.glob(f"{stored.path}/batch-2/_COMPLETE")[0])
     assert content(stored) == {1: 4}
 
 
+def test_marks_do_not_hang_on_a_setting(spark, tmp_path):
+    """Batches count also where the file committer writes no mark of its own."""
+    key = "mapreduce.fileoutputcommitter.marksuccessfuljobs"
+    conf = spark._jsc.hadoopConfiguration()
+    conf.set(key, "false")
+    try:
+        stored = table(spark, tmp_path, ADD)
+        stored.write(keyed(spark, (1, 2)), 0)
+        stored.compact()
+        stored.write(keyed(spark, (1, 3)), 1)
+        assert not glob.glob(f"{stored.path}/*/_SUCCESS")
+        assert content(stored) == {1: 5}
+    finally:
+        conf.unset(key)
+
+
+def test_slices_with_null_keys_stay(spark, tmp_path):
+    top = tables.top_table(spark, str(tmp_path / "top"))
+    rows = lambda *provinces: spark.createDataFrame([(DAY.date(), p, 1, n) for p, n in provinces], tables.TOP_SCHEMA)
+    top.write(rows((None, 1), ("a", 2)), 0)
+    top.write(rows((None, 3)), 1)
+    assert {(row.province, row.click_count) for row in top.read().collect()} == {(None, 3), ("a", 2)}
+    stat = tables.stat_table(spark, str(tmp_path / "stat"))
+    stat.write(ads.ad_stat(clicks(spark, [click(1, province=None), click(2, province="x")])), 0)
+    ranked = tables.top_table(spark, str(tmp_path / "ranked"))
+    ad_jobs.refresh_top3(stat, ranked, 0)
+    assert {row.province for row in ranked.read().collect()} == {None, "x"}
+
+
+def test_many_batches_stay_few_folders_and_old_days_stay_untouched(spark, tmp_path):
+    stat = tables.stat_table(spark, str(tmp_path / "stat"))
+    day = lambda n: ads.ad_stat(clicks(spark, [click(86400 * n)])).persist()
+    days = [day(0), day(1), day(2)]
+    for batch_id in range(300):
+        if batch_id and batch_id % 50 == 0:
+            stat.compact(before=batch_id)
+        stat.write(days[0 if batch_id < 50 else 1 + batch_id // 200], batch_id)
+    assert len(glob.glob(f"{stat.path}/batch-*")) <= 101
+    stat.compact()
+    # the first day was folded once, with its own batches, and is still read from there
+    assert os.path.exists(f"{stat.path}/fold=49/date=2024-01-05")
+    assert len(stat._parts()) == 3
+    assert {str(row.date): row.click_count for row in stat.read().collect()} == {
+        "2024-01-05": 50,
+        "2024-01-06": 150,
+        "2024-01-07": 100,
+    }
+    for each in days:
+        each.unpersist()
+
+
+def test_a_batch_is_written_in_as_many_files_as_its_size_asks_for(spark, tmp_path):
+    stored = table(spark, tmp_path, ADD)
+    stored.write(keyed(spark, (1, 2)), 0)
+    assert len(glob.glob(f"{stored.path}/batch-0/part-*")) == 1
+
+
+def test_a_table_with_another_rule_is_refused(spark, tmp_path):
+    stat = tables.stat_table(spark, str(tmp_path / "stat"), OVERWRITE)
+    with pytest.raises(ValueError, match="add"):
+        ad_jobs.start_ad_stat(clicks(spark, []), stat, str(tmp_path / "c"))
+
+
+def test_days_need_the_zone_they_are_counted_in(spark, tmp_path):
+    stat = tables.stat_table(spark, str(tmp_path / "stat"))
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        with pytest.raises(ValueError, match="UTC"):
+            ad_jobs.start_ad_stat(streamed(spark, log_files(tmp_path, BATCHES)), stat, str(tmp_path / "c"))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_a_batch_reads_only_the_days_it_touches(spark, tmp_path):
     stat = tables.stat_table(spark, str(tmp_path / "stat"), ADD)
     days = [click(86400 * i) for i in range(5)]
@@ -259,18 +343,14 @@ def test_streams_equal_the_batch_jobs(spark, tmp_path):
     base = str(tmp_path)
 
     stat, top = tables.stat_table(spark, f"{base}/stat"), tables.top_table(spark, f"{base}/top")
-    query = ad_jobs.start_province_top3(
-        streamed(spark, path), stat, top, f"{base}/c1", watermark="2 days", until_done=True
-    )
+    query = ad_jobs.start_province_top3(streamed(spark, path), stat, top, f"{base}/c1", until_done=True)
     query.awaitTermination()
     assert query.recentProgress[-1]["batchId"] >= 2
     assert sorted_rows(stat.read()) == sorted_rows(ads.ad_stat(whole))
     assert sorted_rows(top.read()) == sorted_rows(ads.ad_province_top3(ads.ad_stat(whole)))
 
     trend = tables.trend_table(spark, f"{base}/trend")
-    ad_jobs.start_click_trend(
-        streamed(spark, path), trend, f"{base}/c2", watermark="2 days", until_done=True
-    ).awaitTermination()
+    ad_jobs.start_click_trend(streamed(spark, path), trend, f"{base}/c2", until_done=True).awaitTermination()
     assert sorted_rows(ad_jobs.trend_result(trend)) == sorted_rows(ads.ad_click_trend(whole))
     assert sorted_rows(ad_jobs.trend_result(trend, "1 hour")) == sorted_rows(ads.ad_click_trend(whole, "1 hour"))
 
@@ -283,6 +363,37 @@ def test_streams_equal_the_batch_jobs(spark, tmp_path):
     assert sorted_rows(listed.read()) == sorted_rows(ads.ad_blacklist(daily, 2))
 
 
+def test_running_counts_equal_added_ones(spark, tmp_path):
+    path = log_files(tmp_path, BATCHES)
+    whole = parse_ad_log(read_ad_log(spark, path))
+    base = str(tmp_path)
+    stat, top = tables.stat_table(spark, f"{base}/stat", OVERWRITE), tables.top_table(spark, f"{base}/top")
+    ad_jobs.start_province_top3(
+        streamed(spark, path), stat, top, f"{base}/c1", watermark="2 days", until_done=True
+    ).awaitTermination()
+    assert sorted_rows(stat.read()) == sorted_rows(ads.ad_stat(whole))
+    assert sorted_rows(top.read()) == sorted_rows(ads.ad_province_top3(ads.ad_stat(whole)))
+
+
+def test_no_click_is_too_late_by_default(spark, tmp_path):
+    path = log_files(tmp_path, [[line(86400 * 20)], [line(0)], [line(86400 * 21), line(5)]])
+    trend = tables.trend_table(spark, str(tmp_path / "trend"))
+    ad_jobs.start_click_trend(streamed(spark, path), trend, str(tmp_path / "c"), until_done=True, compact_every=2).awaitTermination()
+    whole = parse_ad_log(read_ad_log(spark, path))
+    assert sorted_rows(ad_jobs.trend_result(trend)) == sorted_rows(ads.ad_click_trend(whole))
+
+
+def test_no_number_ends_the_stream(spark, tmp_path):
+    odd = ["9223372036854775807 3 3 7 5", "-9223372036854775808 3 3 7 5", "9" * 30 + " 3 3 7 5", "253402300800000 3 3 7 5"]
+    path = log_files(tmp_path, [[line(1)], odd, [line(2), "1 1 1 " + "9" * 30 + " 1"]])
+    lines = read_ad_log(spark, path)
+    assert parse_ad_log(lines).count() == 2
+    assert {row.value for row in rejected_ad_log(lines).collect()} == {*odd, "1 1 1 " + "9" * 30 + " 1"}
+    stat = tables.stat_table(spark, str(tmp_path / "stat"))
+    ad_jobs.start_ad_stat(streamed(spark, path), stat, str(tmp_path / "c"), until_done=True).awaitTermination()
+    assert sum(row.click_count for row in stat.read().collect()) == 2
+
+
 def test_late_clicks_count_until_the_watermark(spark, tmp_path):
     batches = [
         [line(3600)],
@@ -290,7 +401,7 @@ def test_late_clicks_count_until_the_watermark(spark, tmp_path):
         # the watermark stands at 30 minutes: the first is too late, the second is late but counts
         [line(600), line(2400)],
     ]
-    trend = tables.trend_table(spark, str(tmp_path / "trend"))
+    trend = tables.trend_table(spark, str(tmp_path / "trend"), OVERWRITE)
     ad_jobs.start_click_trend(
         streamed(spark, log_files(tmp_path, batches)),
         trend,
@@ -330,7 +441,7 @@ def test_all_jobs_feed_the_blacklist_back(spark, tmp_path):
     assert first["blacklist"] == [(1,)]
     assert first["stat"] == [(day, "3", "3", 1, 4), (day, "3", "3", 2, 1)]
     assert first["top"] == [(day, "3", 1, 4), (day, "3", 2, 1)]
-    assert first["trend"] == [(DAY, 1, 5), (DAY, 2, 1), (DAY + timedelta(minutes=1), 1, 1)]
+    assert first["trend"] == [(day, DAY, 1, 5), (day, DAY, 2, 1), (day, DAY + timedelta(minutes=1), 1, 1)]
     assert first["counts"] == [(day, 1, 1, 4), (day, 2, 1, 1), (day, 2, 2, 1), (day, 3, 1, 1)]
     # all batches replayed from the start, as if no progress had been recorded
     assert run(f"{base}/other-checkpoint") == first
@@ -339,19 +450,20 @@ def test_all_jobs_feed_the_blacklist_back(spark, tmp_path):
 def test_filtered_log_reads_the_list_for_each_batch(spark, tmp_path):
     listed = tables.blacklist_table(spark, str(tmp_path / "black"))
     path = log_files(tmp_path, BATCHES[:1])
-    log_path, checkpoint = str(tmp_path / "kept"), str(tmp_path / "checkpoint")
+    log, checkpoint = tables.log_table(spark, str(tmp_path / "kept")), str(tmp_path / "checkpoint")
 
-    def run():
-        ad_jobs.start_filtered_log(
-            streamed(spark, path), listed, log_path, checkpoint, until_done=True
-        ).awaitTermination()
-        return sorted(row.userid for row in spark.read.schema(tables.LOG_SCHEMA).parquet(log_path).collect())
+    def run(checkpoint=checkpoint):
+        ad_jobs.start_filtered_log(streamed(spark, path), listed, log, checkpoint, until_done=True).awaitTermination()
+        return sorted(row.userid for row in log.read().collect())
 
     assert run() == [1, 1, 2]
     listed.write(spark.createDataFrame([(1,)], "userid bigint"), 0)
     with open(f"{path}/later.txt", "w") as file:
         file.write("\n".join([line(500, user=1), line(501, user=2)]) + "\n")
     assert run() == [1, 1, 2, 2]
+    # a replay holds each batch against the list as it was then
+    listed.write(spark.createDataFrame([(2,)], "userid bigint"), 1)
+    assert run(str(tmp_path / "other")) == [1, 1, 2, 2]
 
 
 # -- working folder ----------------------------------------------------------------------

@@ -1,5 +1,6 @@
 """Whole jobs over the smallest test tables."""
 
+from clickloom.operators import sampling, sessions
 from clickloom.plans import jobs
 from clickloom.plans.parameters import AGE_FILTER
 from clickloom.sources import testdata as D
@@ -10,8 +11,8 @@ SF_DIR = "/root/testdata/sf0.001"
 def test_session_job_writes_all_tables(spark, tmp_path):
     actions, users = D.actions(spark, SF_DIR), D.users(spark, SF_DIR)
     for task in ("one", "two"):
-        jobs.write_results(jobs.session_job(actions, users, task, AGE_FILTER, extra_per_hour=1), str(tmp_path))
-    stored = {path.name: spark.read.parquet(str(path)) for path in tmp_path.iterdir()}
+        jobs.write_results(jobs.session_job(actions, users, task, AGE_FILTER, folder=str(tmp_path / f"small-{task}")), str(tmp_path / "results"))
+    stored = {path.name: spark.read.parquet(str(path)) for path in (tmp_path / "results").iterdir()}
     assert set(stored) == {
         "session_stat_ratio",
         "session_random_extract",
@@ -25,6 +26,34 @@ def test_session_job_writes_all_tables(spark, tmp_path):
         assert counts["one"] == counts["two"]
     assert stored["session_stat_ratio"].count() == 2
     assert stored["top10_category"].count() == 20
+    # a full sample by default
+    known = sampling.session_starts(actions, users).count()
+    assert stored["session_random_extract"].where("task_id = 'one'").count() == min(100, known) == 100
+
+
+def scans(frame):
+    """How often the plan that ran reads the action log."""
+    frame.collect()
+    plan = frame._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    return sum("event_type" in line and "FileScan" in line for line in plan.splitlines())
+
+
+def test_session_job_reads_the_log_a_few_times(spark, tmp_path):
+    actions, users = D.actions(spark, SF_DIR), D.users(spark, SF_DIR)
+    results = jobs.session_job(actions, users, "t", AGE_FILTER, folder=str(tmp_path))
+    # three small results are written with one read each; what is left reads once per table
+    assert sum(scans(results[name]) for name in results) <= 3
+
+
+def test_session_job_over_filtered_sessions(spark, tmp_path):
+    actions, users = D.actions(spark, SF_DIR), D.users(spark, SF_DIR)
+    every = jobs.session_job(actions, users, "t", AGE_FILTER, folder=str(tmp_path / "all"))
+    some = jobs.session_job(actions, users, "t", AGE_FILTER, sessions_from="filtered", folder=str(tmp_path / "some"))
+    passing = {r.session_id for r in sessions.filtered_session_lengths(actions, users, AGE_FILTER).collect()}
+    for name in ("session_random_extract", "session_detail", "top10_session"):
+        assert {r.session_id for r in some[name].collect()} <= passing
+        assert not {r.session_id for r in every[name].collect()} <= passing
+    assert every["session_stat_ratio"].collect() == some["session_stat_ratio"].collect()
 
 
 def test_page_and_area_jobs(spark):

@@ -6,11 +6,12 @@ import os
 import duckdb
 import pytest
 
-from __spark_entry__ import oracle_sql, queries
+from clickloom.plans.oracle import oracle_queries
+from clickloom.plans.queries import all_queries
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
-QUERIES = queries()
-ORACLE = oracle_sql()
+QUERIES = all_queries()
+ORACLE = oracle_queries()
 
 
 @pytest.fixture(scope="module")

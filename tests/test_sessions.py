@@ -5,7 +5,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from clickloom.operators import sampling, sessions
+from clickloom.operators import categories, pages, sampling, sessions
 from clickloom.operators.sessions import SessionFilter
 from clickloom.sources.actions import ACTION_SCHEMA, clean_actions, read_actions, write_actions
 
@@ -199,8 +199,23 @@ def test_quotas_follow_the_hours(spark):
     given = starts(spark, {(1, 0): 30, (1, 5): 10, (2, 7): 1})
     rows = sampling.session_hour_counts(given, sample_size=40).collect()
     quotas = {(row.date.day, row.hour): (row.session_count, row.day_count, row.quota) for row in rows}
-    # 20 sessions a day; the hour with one session gives that one
-    assert quotas == {(1, 0): (30, 40, 15), (1, 5): (10, 40, 5), (2, 7): (1, 1, 1)}
+    # 20 sessions a day; the day with one session gives that one, the other day the rest:
+    # 29.25 and 9.75 of 39, the last place to the larger remainder
+    assert quotas == {(1, 0): (30, 40, 29), (1, 5): (10, 40, 10), (2, 7): (1, 1, 1)}
+
+
+@pytest.mark.parametrize("size", [0, 1, 2, 5, 17, 40, 99, 1000])
+def test_quotas_add_up(spark, size):
+    counts = {(1, 0): 30, (1, 5): 10, (2, 7): 1, (3, 1): 7, (3, 2): 7, (3, 3): 7, (4, 0): 2, (5, 0): 21}
+    rows = sampling.session_hour_counts(starts(spark, counts), sample_size=size).collect()
+    assert sum(row.quota for row in rows) == min(size, sum(counts.values()))
+    assert all(0 <= row.quota <= row.session_count for row in rows)
+    days = {}
+    for row in rows:
+        days[row.date.day] = days.get(row.date.day, 0) + row.quota
+    held = {d: sum(n for (day, _), n in counts.items() if day == d) for d, _ in counts}
+    # no day gives less than another by more than one place, unless it gives all it has
+    assert all(days[a] >= days[b] - 1 or days[a] == held[a] for a in days for b in days)
 
 
 def test_sample_takes_each_quota_and_repeats(spark):
@@ -211,13 +226,60 @@ def test_sample_takes_each_quota_and_repeats(spark):
     assert first == sorted(row.session_id for row in again)
     assert first != sorted(row.session_id for row in other)
     hours = [session.rsplit("-", 1)[0] for session in first]
-    assert {hour: hours.count(hour) for hour in hours} == {"s-1-0": 15, "s-1-5": 5, "s-2-7": 1}
+    assert {hour: hours.count(hour) for hour in hours} == {"s-1-0": 29, "s-1-5": 10, "s-2-7": 1}
 
 
 def test_sample_over_more_days_than_sessions_to_draw(spark):
     counts = {(day, hour): 2 for day in range(1, 4) for hour in (1, 2)}
-    assert sampling.sampled_sessions(starts(spark, counts), sample_size=2).count() == 0
-    assert sampling.sampled_sessions(starts(spark, counts), sample_size=2, extra=1).count() == 6
+    counts[2, 5] = 1
+    drawn = sampling.sampled_sessions(starts(spark, counts), sample_size=2).collect()
+    # the day with the most sessions first, then the earliest
+    assert sorted(row.session_id.split("-")[1] for row in drawn) == ["1", "2"]
+    assert sampling.sampled_sessions(starts(spark, counts), sample_size=2, extra=1).count() > 2
+
+
+def without_session(spark, n=90, known=10):
+    """Actions of which nine in ten have no session id."""
+    return spark.range(n + known).select(
+        F.when(F.col("id") >= n, F.concat(F.lit("s"), F.col("id") % 2)).alias("session_id"),
+        (F.col("id") % 7).alias("user_id"),
+        F.timestamp_seconds(F.col("id") + 1704067200).alias("action_time"),
+        F.lit("k").alias("search_keyword"),
+        (F.col("id") % 5).alias("click_category_id"),
+        F.lit(None).cast("string").alias("order_category_ids"),
+        F.lit(None).cast("string").alias("pay_category_ids"),
+        (F.col("id") % 2 + 1).alias("page_id"),
+    )
+
+
+def test_actions_without_a_session_form_none(spark):
+    actions = without_session(spark)
+    users = spark.range(7).withColumnRenamed("id", "user_id").withColumn("age", F.lit(30))
+    assert {row.session_id for row in sessions.session_profile(actions).collect()} == {"s0", "s1"}
+    assert sum(row.step_length for row in sessions.session_profile(actions).collect()) == 10
+    assert sessions.filtered_session_lengths(actions, users, sessions.SessionFilter()).count() == 2
+    assert sampling.session_starts(actions, users).count() == 2
+    assert {row.session_id for row in categories.category_session_counts(actions).collect()} == {"s0", "s1"}
+    assert sessions.session_items(actions).where("session_id is null").count() == 0
+    # they still count for categories and page views
+    assert sum(row.click_count for row in categories.category_counts(actions).collect()) == 100
+    rows = pages.page_convert_rate(actions, [1, 2]).collect()
+    assert (rows[0].pair_count, rows[0].base_count) == (0, 50)
+
+
+def test_actions_without_a_session_do_not_meet_in_one_task(spark):
+    actions = without_session(spark, 45_000, 5_000)
+    before = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "20")
+    try:
+        assert pages.page_convert_rate(actions, [1, 2]).collect()[0].pair_count == 0
+        moves = pages._flow_steps(actions, [1, 2], 3600)
+        plan = moves._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning(session_id" in plan and "time_slice" in plan
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
 
 
 def test_every_hour_keeps_only_a_few_rows_before_the_shuffle(spark):
@@ -225,11 +287,23 @@ def test_every_hour_keeps_only_a_few_rows_before_the_shuffle(spark):
     assert "WindowGroupLimit" in plan
 
 
-@pytest.mark.parametrize("bounded", [True, False])
-def test_detail_has_each_action_once(spark, bounded):
+def test_lists_are_gathered_for_passing_sessions_only(spark):
+    """The filters stand below the aggregate that gathers lists, and give the same rows."""
+    actions = without_session(spark, 10, 200)
+    users = spark.range(7).select(F.col("id").alias("user_id"), F.lit(30).alias("age"), *[F.lit("x").alias(c) for c in ("professional", "sex", "city")])
+    chosen = sessions.SessionFilter(keywords=("k",), category_ids=(1, 3))
+    found = sessions.filtered_session_profile(actions, users, chosen)
+    direct = sessions.filter_sessions(sessions.session_user_profile(sessions.session_profile(actions), users), chosen)
+    assert sorted(map(str, found.collect())) == sorted(map(str, direct.collect()))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("collect_set") < plan.index("LeftSemi")
+    assert "collect_set" not in plan[plan.index("LeftSemi") :].replace("LeftSemi", "", 1).split("Project [session_id")[-1]
+
+
+def test_detail_has_each_action_once(spark):
     actions = frame(spark, [action("a", 0), action("a", 0), action("b", 0)])
     ids = spark.createDataFrame([("a",), ("a",)], "session_id string")
-    rows = sessions.session_detail(actions, ids, "t", bounded).collect()
+    rows = sessions.session_detail(actions, ids, "t").collect()
     assert [(row.task_id, row.session_id) for row in rows] == [("t", "a"), ("t", "a")]
 
 
