@@ -48,11 +48,17 @@ def work_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh path for tables and stream checkpoints of one run.
 
     It lies in the shared folder named by `spark.checkpoint.dir`. Only a local session,
-    where driver and tasks share a disk, may do without that setting.
+    where driver and tasks share a disk, may do without that setting. The folders of
+    an application are removed when it ends.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not spark.conf.get("spark.master", "local").startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        base = tempfile.mkdtemp(prefix="clickloom-")
-    return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+        base = f"file://{tempfile.gettempdir()}"
+    own = f"{base.rstrip('/')}/clickloom-{spark.sparkContext.applicationId}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(own)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(path)
+    files.deleteOnExit(path)
+    return f"{own}/{purpose}-{uuid.uuid4().hex}"

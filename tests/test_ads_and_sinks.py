@@ -474,7 +474,7 @@ def test_work_dir_is_in_the_shared_folder(spark):
     first, second = work_dir(spark, "job"), work_dir(spark, "job")
     assert first != second
     if before:
-        assert first.startswith(before.rstrip("/") + "/job-")
+        assert first.startswith(f"{before.rstrip('/')}/clickloom-{spark.sparkContext.applicationId}/job-")
 
 
 def test_text_result(spark):
