@@ -16,9 +16,9 @@ No bucket is expanded into pairs. First each text is held against the first text
 buckets only, which joins nearly all of a group of copies. Then buckets that still hold more
 than one class are taken apart: the largest class of a bucket is dealt in blocks over tasks,
 the other texts meet it block by block and one another in blocks. Inside a task, pairs of
-different classes are verified if half their samples agree (a pair of similarity 0.8 does
-with all but 1e-7 probability), and skipped once joined. Equal word sequences are one text
-from the start.
+different classes are verified if 36 of their 64 samples agree (a pair of similarity 0.8 does
+with all but 1e-5 probability), in one of their common buckets only, and skipped once joined.
+Equal word sequences are one text from the start.
 """
 
 from __future__ import annotations
@@ -29,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,7 +38,7 @@ from clickloom.llm.common import stored, text_or_empty
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
 SAMPLES, BANDS = 64, 16
-LEAST_AGREEING = SAMPLES // 2
+LEAST_AGREEING = 36
 SLOTS = 1 << 18
 CUT_SHARE = 0.2
 #: Rows of a bucket that one task compares with as many others.
@@ -58,7 +59,7 @@ def _mix(values: np.ndarray) -> np.ndarray:
 class Shingler:
     """Shingle hashes of texts; hashes of words are cached."""
 
-    CACHED = 500_000
+    CACHED = 200_000
 
     def __init__(self):
         self.known: dict[str, int] = {}
@@ -79,13 +80,13 @@ class Shingler:
             self.known.clear()
         known = self.known
         for word in set(words).difference(known):
-            known[word] = int.from_bytes(hashlib.blake2b(word.encode(), digest_size=8).digest(), "little")
-        hashes = np.array([known[word] for word in words], np.uint64)
+            known[word] = xxhash.xxh3_64_intdigest(word)
+        hashes = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
         width = min(SHINGLE_WORDS, len(hashes))
         total = np.zeros(len(hashes) - width + 1, np.uint64)
         for i in range(width):
-            total = _mix(total + hashes[i : i + len(total)])
-        return (total >> np.uint64(32)).astype(np.uint32)
+            total = total * np.uint64(0x9E3779B97F4A7C15) + hashes[i : i + len(total)]
+        return (_mix(total) >> np.uint64(32)).astype(np.uint32)
 
 
 class Sampler:
@@ -104,26 +105,42 @@ class Sampler:
         # log c - r * (t - beta + 1)
         self.inverse, self.beta = (1 / r).astype(np.float32), beta.astype(np.float32)
         self.r, self.rest = r.astype(np.float32), (np.log(c) + r * beta - r).astype(np.float32)
-        self.spread = random.randint(1, 1 << 62, SAMPLES).astype(np.uint64) * np.uint64(2) + np.uint64(1)
+        self.spread = (random.randint(0, 1 << 31, SAMPLES) * 2 + 1).astype(np.uint32)
+        # nearly all shingles occur once and weigh the most that one can: of each place in the
+        # table, their step and value
+        self.usual = np.float32(np.log1p(1 / CUT_SHARE))
+        self.usual_step = np.floor(np.log(self.usual) * self.inverse + self.beta)
+        self.usual_value = self.rest - self.r * self.usual_step
+
+    def _least(self, own: np.ndarray, log_weight: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of each sample the least value, and the hash and step it belongs to."""
+        place = ((own[:, None] * self.spread) >> np.uint32(16)).astype(np.intp)
+        columns = np.arange(SAMPLES)
+        if log_weight is None:
+            value = self.usual_value.take(place)
+            least = np.argmin(value, axis=0)
+            return value[least, columns], own[least], self.usual_step[place[least, columns]]
+        step = np.floor(log_weight[:, None] * self.inverse.take(place) + self.beta.take(place))
+        value = self.rest.take(place) - self.r.take(place) * step
+        least = np.argmin(value, axis=0)
+        return value[least, columns], own[least], step[least, columns]
 
     def samples(self, shingles: np.ndarray, weights: np.ndarray) -> np.ndarray:
         """One 64-bit value per sample, of the shingle and step chosen."""
+        hashes = (_mix(shingles.astype(np.uint64)) >> np.uint64(32)).astype(np.uint32)
+        usual = weights == self.usual
+        parts = [(hashes[usual], None), (hashes[~usual], np.log(weights[~usual]).astype(np.float32))]
         best = np.full(SAMPLES, np.inf, np.float32)
         chosen = np.zeros(SAMPLES, np.uint64)
-        for at in range(0, len(shingles), 2048):
-            own = _mix(shingles[at : at + 2048].astype(np.uint64))[:, None]
-            log_weight = np.log(weights[at : at + 2048]).astype(np.float32)[:, None]
-            place = ((own * self.spread) >> np.uint64(48)).astype(np.int32)
-            step = np.floor(log_weight * self.inverse[place] + self.beta[place])
-            value = self.rest[place] - self.r[place] * step
-            least = np.argmin(value, axis=0)
-            columns = np.arange(SAMPLES)
-            found = value[least, columns]
-            better = found < best
-            best = np.where(better, found, best)
-            picked = _mix(own[least, 0] + (step[least, columns].astype(np.int64).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)))
-            chosen = np.where(better, picked, chosen)
-        return chosen
+        for own, log_weight in parts:
+            for at in range(0, len(own), 1024):
+                part = slice(at, at + 1024)
+                found, hash_, step = self._least(own[part], None if log_weight is None else log_weight[part])
+                # of equal values the smaller hash, whatever the order
+                better = (found < best) | ((found == best) & (hash_ < (chosen >> np.uint64(32))))
+                picked = hash_.astype(np.uint64) << np.uint64(32) | step.astype(np.int32).view(np.uint32)
+                best, chosen = np.where(better, found, best), np.where(better, picked, chosen)
+        return _mix(chosen)
 
 
 def bands_of(samples: np.ndarray) -> np.ndarray:
@@ -284,6 +301,8 @@ def _compare_groups(idf, least: float):
         samples = np.frombuffer(b"".join(table.column("samples").to_pylist()), np.uint8).reshape(-1, SAMPLES)
         side = table.column("side").to_numpy()
         shingles = table.column("shingles")
+        bands = [set(own) for own in table.column("bands").to_pylist()]
+        band = table.column("band")[0].as_py()
         parent: dict[bytes, bytes] = {}
 
         def root(x: bytes) -> bytes:
@@ -312,7 +331,10 @@ def _compare_groups(idf, least: float):
             agree = (samples[others] == samples[i]).sum(axis=1)
             order = np.argsort(-agree, kind="stable")
             for j in others[order][agree[order] >= LEAST_AGREEING].tolist():
-                if root(labels[i]) != root(labels[j]) and similarity(vector(i), vector(j)) >= least:
+                # a pair with several common buckets is looked at in the first of them
+                if min(bands[i] & bands[j]) != band or root(labels[i]) == root(labels[j]):
+                    continue
+                if similarity(vector(i), vector(j)) >= least:
                     found_a.append(keys[i])
                     found_b.append(keys[j])
                     parent[root(labels[i])] = root(labels[j])
@@ -369,11 +391,15 @@ def near_groups(
     banded = stored(banded, "near-bands")
     shared = banded.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.min("key").alias("hub")).where("n > 1")
     shared = shared.select(F.hex("band").alias("bucket"), "hub")
-    rows = stored(banded.withColumn("bucket", F.hex("band")).join(shared, "bucket").drop("band"), "near-buckets")
-    members = rows.groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.min("hub").alias("hub"))
+    rows = stored(banded.withColumn("bucket", F.hex("band")).join(shared, "bucket"), "near-buckets")
+    members = rows.groupBy("key").agg(
+        F.min("doc_id").alias("doc_id"), F.min("hub").alias("hub"), F.collect_list("band").alias("bands")
+    )
     members = stored(members, "near-members")
     chosen = texts.join(members.select("doc_id").distinct().hint("shuffle_hash"), "doc_id", "left_semi")
-    shingles = stored(_shingle_rows(chosen).groupBy("key").agg(F.min("shingles").alias("shingles")), "near-shingles")
+    gathered = _shingle_rows(chosen).groupBy("key").agg(F.min("shingles").alias("shingles"))
+    # with at most BANDS bands each
+    shingles = stored(gathered.join(members.select("key", "bands"), "key"), "near-shingles")
 
     # each text against the first one of its buckets
     stars = members.where("key != hub").select(F.col("key").alias("a"), F.col("hub").alias("b"))
@@ -415,6 +441,7 @@ def near_groups(
         "label",
         "weight",
         "samples",
+        "band",
         # the side of a pair of blocks: the main class against the others, or block against block
         F.when(is_main, -1).otherwise(F.when(F.col("place.i") < 0, 0).otherwise(F.col("own"))).alias("side"),
     )
@@ -423,7 +450,8 @@ def near_groups(
         .groupBy("bucket", "i", "j")
         .applyInArrow(_compare_groups(idf, least), "a binary, b binary")
     )
-    joined = components(links.union(more))
+    # the labels so far stand for the links behind them
+    joined = components(labels.select(F.col("key").alias("a"), F.col("label").alias("b")).union(more))
     classes = signed.select("doc_id", "key").join(joined, "key", "left").select(
         "doc_id", F.coalesce("label", "key").alias("label")
     )
