@@ -8,8 +8,8 @@ import unicodedata
 import numpy as np
 from tokenizers import Tokenizer
 
-#: Words kept at most per Python worker; beyond that the cache starts anew.
-CACHED_WORDS = 600_000
+#: Words and stems kept per Python worker, about; later ones are kept for a batch only.
+CACHED_WORDS = 450_000
 TEXTS_AT_ONCE = 256
 
 #: Marks at the end of a word that the tokenizer parts from letters and digits before them.
@@ -41,6 +41,8 @@ class WordTokenizer:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.model = self.tokenizer.model
+        size = self.tokenizer.get_vocab_size(with_added_tokens=True)
+        self.id_bytes = [i.to_bytes(4, "little") for i in range(size)]
         self.known: dict[str, bytes] = {}
         self.stems: dict[str, bytes] = {}
 
@@ -49,55 +51,65 @@ class WordTokenizer:
             # such letters alone are one piece to the tokenizer: its model is asked directly
             if not word.isascii():
                 word = word.encode().decode("latin-1").translate(_BYTE_LETTERS)
-            return b"".join([token.id.to_bytes(4, "little") for token in self.model.tokenize(word)])
+            ids = self.id_bytes
+            return b"".join([ids[token.id] for token in self.model.tokenize(word)])
         return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _learn(self, words: set[str]) -> None:
+    def _stem(self, word: str) -> tuple[str, str]:
+        """The part of a word that is encoded apart from the marks after it, and the marks."""
+        stem = word.rstrip(MARKS)
+        lower = stem.lower()
+        if not stem.isascii() and (len(lower) != len(stem) or not unicodedata.is_normalized("NFC", stem)):
+            return word, ""  # lower case or NFC may end the stem in a mark
+        if not stem or not stem[-1].isalnum():
+            return word, ""
+        # the lower case of capital sigma depends on its place
+        return (stem if "\u03a3" in stem else lower), word[len(stem) :]
+
+    def _learn(self, words: set[str]) -> list[str]:
         """Adds the words. A word is its stem in lower case and the marks after it: these are
-        encoded apart anyway, and many words share a stem."""
-        parts = {}
+        encoded apart anyway, and many words share a stem. Gives the stems that were added."""
+        known, stems, added = self.known, self.stems, []
         for word in words:
-            stem = word.rstrip(MARKS)
-            lower = stem.lower()
-            if not stem.isascii() and (len(lower) != len(stem) or not unicodedata.is_normalized("NFC", stem)):
-                # lower case or NFC may end the stem in a mark: left whole to the tokenizer
-                stem = lower = word
-            elif not stem or not stem[-1].isalnum():
-                stem = lower = word
-            elif "\u03a3" in stem:
-                lower = stem  # the lower case of capital sigma depends on its place
-            marks = word[len(stem) :]
-            parts[word] = (lower, marks)
-        fresh = {part for pair in parts.values() for part in pair if part and part not in self.stems}
-        if len(self.stems) + len(fresh) > CACHED_WORDS:
-            self.stems.clear()
-            fresh = {part for pair in parts.values() for part in pair if part}
-        stems = self.stems
-        for part in fresh:
-            stems[part] = self._encode_word(part)
-        stems[""] = b""
-        for word, (stem, marks) in parts.items():
-            self.known[word] = stems[stem] + stems[marks]
+            stem, marks = self._stem(word)
+            ids = stems.get(stem)
+            if ids is None:
+                ids = stems[stem] = self._encode_word(stem)
+                added.append(stem)
+            if marks:
+                after = stems.get(marks)
+                if after is None:
+                    after = stems[marks] = self._encode_word(marks)
+                    added.append(marks)
+                ids += after
+            known[word] = ids
+        return added
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Per text its ids as little-endian unsigned 32-bit integers."""
         out: list[bytes] = []
+        known = self.known
         for at in range(0, len(texts), TEXTS_AT_ONCE):
             some = texts[at : at + TEXTS_AT_ONCE]
             split = [None if _ODD.search(text) else text.split() for text in some]
-            if len(self.known) > CACHED_WORDS:
-                self.known.clear()
             missing: set[str] = set()
             for words in split:
-                missing.update(set(words or ()).difference(self.known))
-            if missing:
-                self._learn(missing)
+                missing.update(set(words or ()).difference(known))
+            full = len(known) > CACHED_WORDS, len(self.stems) > CACHED_WORDS
+            added = self._learn(missing)
             for text, words in zip(some, split):
                 if words is None:
                     ids = self.tokenizer.encode(text, add_special_tokens=False).ids
                     out.append(np.array(ids, "<u4").tobytes())
                 else:
-                    out.append(b"".join(map(self.known.__getitem__, words)))
+                    out.append(b"".join(map(known.__getitem__, words)))
+            # a full cache keeps the words it has: the frequent ones came early
+            if full[0]:
+                for word in missing:
+                    del known[word]
+            if full[1]:
+                for stem in added:
+                    del self.stems[stem]
         return out
 
 
