@@ -8,10 +8,12 @@ labels vote by a power of their cosine, and the votes are calibrated to a probab
 examples themselves, each without its own vote.
 
 The index holds at most `PER_CLASS` labelled texts of each class, chosen by a hash, and so
-has a bounded size and can be sent to every task. Document frequencies are counted over all
-texts. A feature is the stem of a word, its first four letters where more follow, since
-insults come with many endings; stems in too few or too many of all texts are left out, and
-so are those that no example holds.
+has a bounded size and can be sent to every task. Whole examples are indexed; tasks count
+their features. Document frequencies are counted over all texts. A feature is the stem of a
+word, its first four letters where more follow, since insults come with many endings. Every feature that an example
+holds is kept, however common or rare it is: frequent ones weigh less by their inverse
+document frequency, and those that toxic and clean examples use alike weigh less than those
+that tell them apart.
 """
 
 from __future__ import annotations
@@ -31,18 +33,15 @@ from clickloom.llm.common import text_or_empty
 
 #: Labelled texts of each class in the index, at most.
 PER_CLASS = 1000
-#: Characters of one example that are indexed, at most; scored texts are read whole.
-EXAMPLE_CHARS = 200_000
 NEIGHBOURS = 9
 BLOCK = 32
 FIRST_BLOCKS = 12
 REJECT_FROM = 0.7
-#: Shares of all texts between which the document frequency of a feature lies.
-LEAST_SHARE, MOST_SHARE = 0.001, 0.05
+#: Least contrast of a feature between the classes, so that none weighs nothing.
+LEAST_CONTRAST = 0.05
 
 _STEM = re.compile(r"\b\w{4}(?=\w)")
 
-
 def stems_of(text: str) -> list[str]:
     return _STEM.findall(text.lower())
 
@@ -191,6 +190,32 @@ def _document_frequencies(docs: DataFrame, vocabulary: dict[str, int]) -> tuple[
     return frequencies[:-1], int(frequencies[-1])
 
 
+def _counted(texts: DataFrame) -> DataFrame:
+    """doc_id and toxic as they are, and the features of `text` with their counts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            counts = [Counter(stems_of(text.as_py())) for text in batch.column(2)]
+            arrays = [pa.array([list(c) for c in counts], pa.list_(pa.string()))]
+            arrays.append(pa.array([list(c.values()) for c in counts], pa.list_(pa.int64())))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], *arrays], names=["doc_id", "toxic", "stems", "counts"])
+
+    schema = T.StructType([texts.schema["doc_id"], texts.schema["toxic"]])
+    schema = schema.add("stems", T.ArrayType(T.StringType())).add("counts", T.ArrayType(T.LongType()))
+    return texts.select("doc_id", "toxic", "text").mapInArrow(run, schema)
+
+
+def _contrast(counts: list[Counter], labels: np.ndarray, vocabulary: dict[str, int]) -> np.ndarray:
+    """How far the shares of toxic and of clean examples with each feature lie apart, as a
+    log-ratio; two examples more on both sides, so that one example alone says little."""
+    within = np.zeros((2, len(vocabulary)))
+    for count, label in zip(counts, labels):
+        within[int(label == 1), [vocabulary[w] for w in count]] += 1
+    sizes = np.maximum(1, [(labels != 1).sum(), (labels == 1).sum()])
+    clean, toxic = within / sizes[:, None] + 2 / sizes.min()
+    return np.abs(np.log(toxic / clean))
+
+
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, k: int = NEIGHBOURS) -> BlockMaxIndex:
     """An index from `labels` (doc_id, toxic) and their texts in `docs` (doc_id, text)."""
     marks = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
@@ -200,15 +225,15 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, k: int =
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     picked = [marks.where(F.col("toxic") == label).orderBy(*order).limit(per_class) for label in (1, 0)]
     chosen = picked[0].unionByName(picked[1])  # at most 2 * per_class rows
-    rows = docs.join(F.broadcast(chosen), "doc_id").select("doc_id", "toxic", F.substring("text", 1, EXAMPLE_CHARS).alias("text"))
-    examples = sorted((row.doc_id, row.toxic, row.text) for row in rows.collect())
-    counts = [Counter(stems_of(text)) for _, _, text in examples]
+    rows = _counted(docs.join(F.broadcast(chosen), "doc_id")).collect()
+    examples = sorted((row.doc_id, row.toxic, sorted(zip(row.stems, row.counts))) for row in rows)
+    counts = [Counter(dict(found)) for _, _, found in examples]
     vocabulary = {w: i for i, w in enumerate(sorted(set().union(*counts)))} if counts else {}
     frequencies, texts = _document_frequencies(docs, vocabulary)
-    used = (frequencies >= LEAST_SHARE * texts) & (frequencies <= MOST_SHARE * texts)
-    vocabulary = {w: i for i, w in enumerate(w for w, use in zip(vocabulary, used) if use)}
-    idf = np.log((1 + texts) / (1 + frequencies[used]))
-    index = BlockMaxIndex(vocabulary, idf, np.zeros(0), np.zeros(0), base_rate)
+    idf = np.log1p(texts / np.maximum(1, frequencies))
+    contrast = _contrast(counts, np.array([label for _, label, _ in examples]), vocabulary)
+    weights = idf * np.sqrt(LEAST_CONTRAST + contrast)
+    index = BlockMaxIndex(vocabulary, weights, np.zeros(0), np.zeros(0), base_rate)
     vectors = [index.vector(c) for c in counts]
     # examples of one label that lean on the same frequent word lie together: tight bounds
     frequent = idf < np.sort(idf)[min(len(idf) - 1, 100)] if len(idf) else np.zeros(0, bool)

@@ -80,3 +80,30 @@ def test_a_label_of_its_own_is_no_input(spark):
     )
     a, b = (sorted((r.doc_id, r.score) for r in T.scored_documents(docs, label(f)).collect()) for f in (False, True))
     assert a == b
+
+
+def _scores(spark, texts, toxic):
+    """Scores of texts without a label, learnt from every other one."""
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(toxic(i))) for i in range(0, len(texts), 2)], "doc_id long, toxic int")
+    rows = T.scored_documents(docs, labels).collect()
+    return [[r.score for r in rows if r.doc_id % 2 and toxic(r.doc_id) == side] for side in (True, False)]
+
+
+def _filler(i, words=12):
+    return " ".join(f"{n}th" for n in np.random.RandomState(i).choice(90, words, False))
+
+
+def test_insults_count_however_common_or_rare(spark):
+    third = [f"{'idiotic' if i // 2 % 3 == 0 else 'lovely'} {_filler(i)}" for i in range(300)]
+    toxic, clean = _scores(spark, third, lambda i: i // 2 % 3 == 0)
+    assert np.mean(np.array(toxic) >= 0.7) > 0.9 and max(clean) < 0.7
+    rare = [f"{'idiotic idiotic' if i // 2 % 2000 == 0 else 'lovely lovely'} {_filler(i)}" for i in range(8000)]
+    toxic, clean = _scores(spark, rare, lambda i: i // 2 % 2000 == 0)
+    assert min(toxic) > max(clean)
+
+
+def test_examples_are_read_to_the_end(spark):
+    long = [(i, "filler " * 40_000 + ("idiotic" if i % 2 else "lovely")) for i in range(4)]
+    index = T.fit(spark.createDataFrame(long, "doc_id long, text string"), spark.createDataFrame([(i, i % 2) for i in range(4)], "doc_id long, toxic int"))
+    assert set(index.vocabulary) == {"fill", "idio", "love"}
