@@ -9,8 +9,9 @@ examples themselves, each without its own vote.
 
 The index holds at most `PER_CLASS` labelled texts of each class, chosen by a hash, and so
 has a bounded size and can be sent to every task. Whole examples are indexed; tasks count
-their features. Document frequencies are counted over all texts. A feature is the stem of a
-word, its first four letters where more follow, since insults come with many endings. Every feature that an example
+their features. Document frequencies are counted over all texts. A feature is a word of up
+to four characters, or the first four of a longer one, since insults come with many endings;
+scripts that write without spaces give pairs of characters. Every feature that an example
 holds is kept, however common or rare it is: frequent ones weigh less by their inverse
 document frequency, and those that toxic and clean examples use alike weigh less than those
 that tell them apart.
@@ -40,10 +41,20 @@ REJECT_FROM = 0.7
 #: Least contrast of a feature between the classes, so that none weighs nothing.
 LEAST_CONTRAST = 0.05
 
-_STEM = re.compile(r"\b\w{4}(?=\w)")
+_STEM = re.compile(r"\b\w{1,4}")
+#: Runs of scripts without spaces: Thai, Lao, Tibetan, Burmese, Khmer, kana, Han.
+_UNSPACED = re.compile(
+    "[\u0e00-\u109f\u1780-\u17ff\u3040-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff]+"
+)
+
 
 def stems_of(text: str) -> list[str]:
-    return _STEM.findall(text.lower())
+    """Every word, cut after four characters, and the character pairs of unspaced runs."""
+    text = text.lower()
+    if text.isascii():
+        return _STEM.findall(text)
+    pairs = [run[i : i + 2] for run in _UNSPACED.findall(text) for i in range(max(1, len(run) - 1))]
+    return _STEM.findall(_UNSPACED.sub(" ", text)) + pairs
 
 
 def _ranges(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

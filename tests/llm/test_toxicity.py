@@ -103,6 +103,13 @@ def test_insults_count_however_common_or_rare(spark):
     assert min(toxic) > max(clean)
 
 
+@pytest.mark.parametrize("insult, praise", [("scum", "nice"), ("ass", "ok"), ("这个人是白痴", "这个人很可爱"), ("เขาโง่มาก", "เขาดีมาก")])
+def test_short_and_unspaced_words_count(spark, insult, praise):
+    texts = [f"{'we all say so ' * (i % 3)}{insult if i // 2 % 4 == 0 else praise}" for i in range(300)]
+    toxic, clean = _scores(spark, texts, lambda i: i // 2 % 4 == 0)
+    assert min(toxic) >= 0.7 > max(clean)
+
+
 def test_examples_are_read_to_the_end(spark):
     long = [(i, "filler " * 40_000 + ("idiotic" if i % 2 else "lovely")) for i in range(4)]
     index = T.fit(spark.createDataFrame(long, "doc_id long, text string"), spark.createDataFrame([(i, i % 2) for i in range(4)], "doc_id long, toxic int"))
