@@ -6,8 +6,9 @@ are then held against the Shannon entropy of a sliding window, per character cla
 window's character counts are updated as it moves: the sum of c * log2(c) over the counts c
 changes by the character that comes and the one that goes. A candidate is reported from its
 first to its last window at or above the threshold of its class, unless the allow-list
-knows it: plain words, single case text with separators, repeated or ordered characters and
-strings that say they are examples. The allow-list never touches what the patterns find.
+knows all of that span: lower-case words and small numbers with separators, or characters in
+their order. Repeated characters and short words never reach a threshold. The allow-list
+never touches what the patterns find.
 
 Everything is an expression over one row: no shuffle, no Python.
 """
@@ -15,6 +16,7 @@ Everything is an expression over one row: no shuffle, no Python.
 from __future__ import annotations
 
 import math
+import string
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -30,15 +32,13 @@ HEX = "[0-9a-f]+"
 LEAST = {"assign": 8, "access": 16, "hex": 32}
 KINDS = ("assign", "access", "hex", "entropy")
 
-#: Strings that are never secrets by entropy alone.
+_DIGITS, _LOWER, _UPPER = ("".join(f"{c}?" for c in cs) for cs in (string.digits, string.ascii_lowercase, string.ascii_uppercase))
+#: Strings that are never secrets by entropy alone. Each pattern knows the whole string, and
+#: with it every part of it. Possessive repeats are matched in a loop, not by recursion.
 ALLOWED = (
-    r"^[A-Za-z]?[a-z]+$",  # a word
-    r"^[A-Z]+$",
-    r"^[0-9]+$",
-    r"^[a-z]+([-_/.+=]+[a-z0-9]+)*[-_/.+=]*$",  # words and small numbers with separators
-    r"^[-_/.+=0-9]+$",
-    r"(?i)example|placeholder|abcdefgh|01234567|12345678",
-    r"(.)\1{7}",
+    r"^[-_/.+=]*+(?:(?:[a-z]{1,20}+|[0-9]{1,4}+)[-_/.+=]++)*+(?:[a-z]{1,20}+|[0-9]{1,4}+)?$",
+    rf"^{_DIGITS}{_UPPER}{_LOWER}{_DIGITS}\+?/?=?$",
+    rf"^{_DIGITS}{_LOWER}{_UPPER}{_DIGITS}\+?/?=?$",
 )
 
 
@@ -154,9 +154,7 @@ def _entropy_span(candidate: Column, found: EntropyClass) -> Column:
 
 
 def _allowed(candidate: Column) -> Column:
-    return F.rlike(candidate, F.lit("|".join(f"(?:{pattern})" for pattern in ALLOWED[:-1]))) | F.rlike(
-        candidate, F.lit(ALLOWED[-1])
-    )
+    return F.rlike(candidate, F.lit("|".join(f"(?:{pattern})" for pattern in ALLOWED)))
 
 
 def _class_spans(text: Column, one: EntropyClass, narrower: tuple[EntropyClass, ...]) -> Column:
@@ -165,6 +163,7 @@ def _class_spans(text: Column, one: EntropyClass, narrower: tuple[EntropyClass,
     inner = [f"^[{n.characters}]+$" for n in narrower]
 
     def suspect(span: Column) -> Column:
+        # where the whole run is allowed, so is any span of it: no need to measure
         kept = ~_allowed(span["match"])
         for pattern in inner:
             kept = kept & ~F.rlike(span["match"], F.lit(pattern))
@@ -184,7 +183,8 @@ def _class_spans(text: Column, one: EntropyClass, narrower: tuple[EntropyClass,
             F.substr(m["s"]["match"], first + 1, last - first + one.window).alias("match"),
         )
 
-    return F.transform(F.filter(measured, lambda m: m["w"]["first"] >= 0), cut)
+    reported = F.transform(F.filter(measured, lambda m: m["w"]["first"] >= 0), cut)
+    return F.filter(reported, lambda span: ~_allowed(span["match"]))
 
 
 def entropy_spans(text: Column, classes: tuple[EntropyClass, ...] = CLASSES) -> Column:

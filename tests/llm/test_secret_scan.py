@@ -103,3 +103,22 @@ def test_no_python_in_the_plan(spark, name):
     frame = getattr(S, name)(spark.read.parquet(f"{SF}/documents.parquet"))
     plan = frame._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
+
+
+def test_keys_beside_allowed_strings(spark):
+    key = "wJalrXUtnFEMI7K7MDENG2bPxRfiCYzqT9vLs4Hd"
+    texts = {
+        "sk-x7k2m9q4w8z1r5t3y6u0p2a4h8": True,
+        f"/example/{key}": True,
+        f"{'-' * 8}{key}": True,
+        f"placeholder_12345678_{key}": True,
+        "b3BlbnNzaC1rZXktdjEAAAAABG5vbmUAAAAEbm9uZQAAAAAAAAABAAAAMwAAAAtzc2gtZW": True,
+        "the-quick-brown-fox-jumps-over-2-lazy-dogs-in-1999": False,
+        "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/": False,
+        "example" * 20: False,
+        "a-b/c_d.e+f=" * 20_000: False,
+    }
+    rows = S.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert {list(texts)[r.doc_id]: bool(r.entropy) for r in rows} == texts
+    masked = S.redacted(spark.createDataFrame([(1, f"see /example/{key} here")], "doc_id long, text string")).first().text
+    assert key not in masked and key[:-1] not in masked
