@@ -16,10 +16,10 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from clickloom.llm.common import stored
+
 #: Labelled URLs the model is fitted on, at most; chosen by a hash.
 TRAINING_ROWS = 20_000
-#: Suffixes whose block rate is kept, at most: those with most labelled URLs.
-SUFFIXES = 1000
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
@@ -82,11 +82,22 @@ def suffix_of(host: Column) -> Column:
 
 
 def _entropy(text: Column) -> Column:
-    """Shannon entropy of the characters, in bits: counts come from runs of sorted characters."""
-    characters = F.filter(F.split(F.substring(text, 1, 4096), ""), lambda c: c != "")
+    """Shannon entropy of the characters, in bits: counts come from runs of sorted characters.
+    With n characters and counts c it is log2(n) - sum of c * log2(c) / n."""
+    characters = F.array_sort(F.filter(F.split(text, ""), lambda c: c != ""))
     total = F.size(characters).cast("double")
-    runs = F.transform(F.array_distinct(characters), lambda c: F.size(F.filter(characters, lambda x: x == c)) / total)
-    return -F.aggregate(runs, F.lit(0.0), lambda acc, p: acc + p * F.log2(p))
+    bits = lambda acc: acc["sum"] + F.when(acc["n"] > 0, acc["n"] * F.log2(acc["n"])).otherwise(0.0)
+
+    def step(acc: Column, c: Column) -> Column:
+        same = c == acc["last"]
+        return F.struct(
+            c.alias("last"),
+            F.when(same, acc["n"] + 1.0).otherwise(1.0).alias("n"),
+            F.when(same, acc["sum"]).otherwise(bits(acc)).alias("sum"),
+        )
+
+    begin = F.struct(F.lit("").alias("last"), F.lit(0.0).alias("n"), F.lit(0.0).alias("sum"))
+    return F.greatest(F.log2(total) - F.aggregate(characters, begin, step, bits) / total, F.lit(0.0))
 
 
 def _count(text: Column, pattern: str) -> Column:
@@ -129,10 +140,11 @@ FEATURES = [
 ]
 
 
-def _with_suffix_rate(rows: DataFrame, rates: dict[str, float], base: float) -> DataFrame:
-    known = F.create_map(*[F.lit(x) for pair in rates.items() for x in pair]) if rates else None
-    rate = F.coalesce(known[suffix_of(F.col("host"))], F.lit(base)) if rates else F.lit(base)
-    return rows.withColumn("f_suffix_rate", rate)
+def _with_suffix_rate(rows: DataFrame, rates: DataFrame, base: float) -> DataFrame:
+    """Adds the block rate of each row's suffix. Rates have one row per suffix and are sent
+    to all tasks only if small; otherwise a hot suffix is split by Spark's skewed join."""
+    joined = rows.withColumn("f_suffix", suffix_of(F.col("host"))).join(rates, "f_suffix", "left")
+    return joined.withColumn("f_suffix_rate", F.coalesce("f_rate", F.lit(base))).drop("f_suffix", "f_rate")
 
 
 @dataclass
@@ -140,7 +152,7 @@ class UrlModel:
     """Trees, and the block rates they use; without both kinds of labels only the rate."""
 
     trees: GBTClassificationModel | None
-    rates: dict[str, float]
+    rates: DataFrame | None
     base: float
 
     def verdicts(self, rows: DataFrame) -> DataFrame:
@@ -157,17 +169,21 @@ class UrlModel:
 def fit(labelled: DataFrame, trees: int = 12, depth: int = 4, training_rows: int = TRAINING_ROWS) -> UrlModel:
     """A model from rows of url, host, path and `blocked` (0 or 1). Suffix rates are counted
     over all labelled rows, trees are fitted on at most `training_rows` of them."""
-    suffix = suffix_of(F.col("host")).alias("suffix")
+    suffix = suffix_of(F.col("host")).alias("f_suffix")
     counted = labelled.groupBy(suffix).agg(F.count(F.lit(1)).alias("n"), F.sum("blocked").alias("blocked"))
+    counted = stored(counted, "url-suffixes")
     totals = counted.agg(F.sum("n").alias("n"), F.sum("blocked").alias("blocked")).first()
     n, blocked = totals.n or 0, totals.blocked or 0
     base = blocked / n if n else 0.0
     if not 0 < base < 1:
-        return UrlModel(None, {}, base)
-    top = counted.orderBy(F.desc("n"), "suffix").limit(SUFFIXES).collect()
-    rates = {row.suffix: (row.blocked + 4 * base) / (row.n + 4) for row in top}
-    sample = labelled.orderBy(F.xxhash64("url", "page_id"), "url", "page_id").limit(training_rows)
+        return UrlModel(None, None, base)
+    rate = (F.col("blocked") + 4 * base) / (F.col("n") + 4)
+    rates = counted.select("f_suffix", rate.alias("f_rate"))
+    order = [F.xxhash64("url", "page_id"), F.col("url"), F.col("page_id")]
+    sample = labelled.orderBy(*order).limit(training_rows)
     ready = _with_suffix_rate(features(sample), rates, base).withColumn("f_label", F.col("blocked").cast("double"))
+    # one order of the sample, however it was joined: trees depend on it
+    ready = ready.repartition(1).sortWithinPartitions(*order)
     assembled = VectorAssembler(inputCols=FEATURES, outputCol="f_vector").transform(ready).select("f_vector", "f_label")
     learner = GBTClassifier(
         featuresCol="f_vector",
@@ -177,7 +193,7 @@ def fit(labelled: DataFrame, trees: int = 12, depth: int = 4, training_rows: int
         maxDepth=depth,
         seed=1,
     )
-    kept = assembled.coalesce(4).persist()
+    kept = assembled.persist()
     try:
         kinds = kept.agg(F.count_distinct("f_label")).first()[0]
         return UrlModel(learner.fit(kept) if kinds == 2 else None, rates, base)

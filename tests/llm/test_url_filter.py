@@ -79,3 +79,17 @@ def test_held_out_accuracy(spark):
     held = model.verdicts(frame.where("page_id % 4 = 0"))
     right = held.agg(F.avg(((F.col("model_verdict") == "block").cast("int") == F.col("blocked")).cast("int"))).first()[0]
     assert right > 0.95
+
+
+def test_every_suffix_has_a_rate_and_whole_urls_count(spark):
+    rows = [(i, f"http://h.site{i // 4}.net/{'bad' if i // 4 % 2 else 'good'}", f"h.site{i // 4}.net", "/x", i // 4 % 2) for i in range(6000)]
+    labelled = spark.createDataFrame(rows, "page_id long, url string, host string, path string, blocked int")
+    model = U.fit(labelled)
+    rates = {r.f_suffix: r.f_rate for r in model.rates.collect()}
+    assert len(rates) == 1500 and rates["site0.net"] == 0.25 and rates["site1499.net"] == 0.75
+    rated = U._with_suffix_rate(labelled, model.rates, model.base)
+    assert rated.count() == 6000 and rated.where("f_suffix_rate = 0.5").count() == 0
+    url = "a" * 4096 + "bcdefghi" * 512
+    one = spark.createDataFrame([(url, "", ""), (None, "", ""), ("aaaa", "", "")], "url string, host string, path string")
+    found = [r.f_entropy for r in U.features(one).collect()]
+    assert abs(found[0] - (0.5 + 0.5 * 4)) < 1e-9 and found[1:] == [0.0, 0.0]
