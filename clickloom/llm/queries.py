@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import byte_bpe, chat, exact_dedup, near_dedup, packing, secret_scan, topk, toxicity, url_filter, warc
+from clickloom.llm import byte_bpe, chat, exact_dedup, near_dedup, packing, quality, secret_scan, topk, toxicity, url_filter, warc
 from clickloom.llm.common import importable
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -77,6 +77,10 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_groups(table(spark, sf_dir, "documents"))
 
 
+def op11_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.scored_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 REGISTERED: list[Query] = [
     op1_packing,
     op2_exact_dedup,
@@ -88,6 +92,7 @@ REGISTERED: list[Query] = [
     op8_toxicity,
     op9_secret_scan,
     op10_near_dedup,
+    op11_quality,
 ]
 
 
