@@ -116,7 +116,105 @@ FROM c
 GROUP BY conv_id
 """
 
-ORACLE = {"op2_exact_dedup": OP2, "op3_topk": OP3, "op4_warc": OP4, "op6_chat": OP6}
+# crc32 of short ASCII strings: the table of 256 remainders, then one step per byte
+_CRC = """
+remainders AS (
+    SELECT list_transform(range(256), lambda i:
+        list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i)) AS t
+)"""
+
+
+def _crc32(text: str) -> str:
+    """SQL for the crc32 of an ASCII string; `t` is the list of `remainders`."""
+    codes = f"list_transform(range(1, length({text}) + 1), lambda j: CAST(ascii(({text})[j]) AS BIGINT))"
+    return f"xor(list_reduce({codes}, lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295), 4294967295)"
+
+
+def _op12() -> str:
+    kept = {0: {"s": 1, "u": 2}, 1: {"u": 2}, 2: {"a": 3}, 3: {"u": 2}}
+    following = (2, 2, 3, 2)
+
+    def edge(state: str, letter: str, cost: str) -> str:
+        return f"{{'c': {state}.c + {cost}, 'a': '{letter}' || {state}.a}}"
+
+    none = "{'c': 1000000000, 'a': ''}"
+    own, full = [], []
+    for q in range(4):
+        keep = "".join(f" WHEN i = '{letter}' THEN {edge(f'f{to}', 'K', 'late')}" for letter, to in kept[q].items())
+        options = [
+            edge(f"f{q}", "D", "3"),
+            f"CASE WHEN condemned THEN {none}{keep} ELSE {none} END",
+            f"CASE WHEN condemned THEN {none} ELSE {edge(f'f{following[q]}', 'R', '2 + late')} END",
+        ]
+        own.append(f"list_sort([{', '.join(options)}])[1] AS b{q}")
+        once, twice = f"b{following[q]}", f"b{following[following[q]]}"
+        options = [f"b{q}", edge(once, "I", "2"), edge(twice, "II", "4")]
+        full.append(f"list_sort([{', '.join(options)}])[1]")
+    return rf"""
+WITH RECURSIVE {_CRC}, named AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+           coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS name
+    FROM conversations
+), hit AS (
+    SELECT conv_id, turn, role, text, {_crc32("name")} % 20 AS kind FROM named, remainders
+), hurt AS (
+    SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+           CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+    FROM hit, range(2) copies(copy)
+    WHERE kind <> 0 AND (copy = 0 OR kind = 3)
+), numbered AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+               sha256(concat_ws(':', coalesce(CAST(conv_id AS VARCHAR), ' '), CAST(length(role) AS VARCHAR), role, text))) AS n
+    FROM hurt
+), judged AS (
+    SELECT *, left(role, 1) AS i, NOT regexp_matches(text, '[^\x20\x09-\x0D]') AS blank,
+           row_number() OVER (PARTITION BY conv_id, role, text ORDER BY n) > 1 AS again,
+           regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) NOT IN ('.', '!', '?') AS cut,
+           lead(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY n) AS next_i
+    FROM numbered
+), faulty AS (
+    SELECT *, blank OR again AS condemned, CASE WHEN cut AND NOT blank AND NOT again THEN 1 ELSE 0 END AS late FROM judged
+), counted AS (
+    SELECT conv_id, count(*) AS n_rows,
+           coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+           count(*) FILTER (blank) AS blank,
+           count(*) FILTER (again AND NOT blank) AS duplicate,
+           sum(late) AS truncated,
+           count(*) FILTER (next_i IS NOT NULL AND i || next_i NOT IN ('su', 'ua', 'au')) AS illegal,
+           list(role ORDER BY n) AS roles, list(text ORDER BY n) AS texts
+    FROM faulty GROUP BY conv_id
+), folded AS (
+    SELECT conv_id, n_rows + 1 AS n, {{'c': 0, 'a': ''}} AS f0, {{'c': 4, 'a': 'II'}} AS f1,
+           {{'c': 2, 'a': 'I'}} AS f2, {{'c': 0, 'a': ''}} AS f3
+    FROM counted
+    UNION ALL
+    SELECT conv_id, n, {', '.join(full)}
+    FROM (
+        SELECT r.conv_id, r.n, {', '.join(own)}
+        FROM folded f JOIN faulty r ON r.conv_id IS NOT DISTINCT FROM f.conv_id AND r.n = f.n - 1
+    )
+), solved AS (
+    SELECT c.*, CAST(f0.c AS BIGINT) AS cost, f0.a AS audit, length(replace(f0.a, 'D', '')) AS m
+    FROM counted c JOIN folded f ON f.conv_id IS NOT DISTINCT FROM c.conv_id AND f.n = 1
+), told AS (
+    SELECT *, array_to_string(list_transform(
+        list_filter(range(1, length(audit) + 1), lambda p: audit[p] <> 'D'),
+        lambda p: CASE
+            WHEN audit[p] = 'K' THEN roles[length(replace(audit[1:p], 'I', ''))]
+            WHEN (length(replace(audit[1:p], 'D', '')) + m) % 2 = 1 THEN 'user' ELSE 'assistant' END
+            || ':' || CASE WHEN audit[p] = 'I' THEN '' ELSE texts[length(replace(audit[1:p], 'I', ''))] END
+    ), chr(10)) AS repaired
+    FROM solved
+)
+SELECT o.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(blank, 0) AS BIGINT) AS blank,
+       CAST(coalesce(duplicate, 0) AS BIGINT) AS duplicate, CAST(coalesce(truncated, 0) AS BIGINT) AS truncated,
+       CAST(coalesce(illegal, 0) AS BIGINT) AS illegal, coalesce(cost, 0) AS cost, coalesce(audit, '') AS audit,
+       sha256(coalesce(repaired, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN told t ON t.conv_id IS NOT DISTINCT FROM o.conv_id
+"""
+
+
+ORACLE = {"op2_exact_dedup": OP2, "op3_topk": OP3, "op4_warc": OP4, "op6_chat": OP6, "op12_repair": _op12()}
 
 
 def llm_oracle() -> dict[str, str]:

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import byte_bpe, chat, exact_dedup, near_dedup, packing, quality, secret_scan, topk, toxicity, url_filter, warc
+from clickloom.llm import byte_bpe, chat, exact_dedup, near_dedup, packing, quality, repair, secret_scan, topk, toxicity, url_filter, warc
 from clickloom.llm.common import importable
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -81,6 +81,10 @@ def op11_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scored_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair(repair.damaged(table(spark, sf_dir, "conversations")))
+
+
 REGISTERED: list[Query] = [
     op1_packing,
     op2_exact_dedup,
@@ -93,6 +97,7 @@ REGISTERED: list[Query] = [
     op9_secret_scan,
     op10_near_dedup,
     op11_quality,
+    op12_repair,
 ]
 
 
