@@ -214,7 +214,49 @@ FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN told t ON t.conv_i
 """
 
 
-ORACLE = {"op2_exact_dedup": OP2, "op3_topk": OP3, "op4_warc": OP4, "op6_chat": OP6, "op12_repair": _op12()}
+def _op13() -> str:
+    return rf"""
+WITH {_CRC}, told AS (
+    SELECT conv_id, turn, sha256(concat_ws(':', CAST(length(coalesce(role, '')) AS VARCHAR), coalesce(role, ''), coalesce(text, ''))) AS said,
+           len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS words
+    FROM conversations WHERE conv_id IS NOT NULL
+), numbered AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, said) - 1 AS place FROM told
+), convs AS (
+    SELECT conv_id, conv_id - conv_id % 20 AS first, {_crc32("CAST(conv_id AS VARCHAR)")} % 4 AS h
+    FROM (SELECT DISTINCT conv_id FROM numbered), remainders
+), turns AS (
+    SELECT c.conv_id, 0 AS own, n.place, n.said, n.words FROM convs c JOIN numbered n ON n.conv_id = c.first AND n.place < c.h
+    UNION ALL
+    SELECT c.conv_id, 1, n.place, n.said, n.words FROM convs c JOIN numbered n ON n.conv_id = c.conv_id AND n.place >= c.h
+), steps AS (
+    SELECT conv_id, 0 AS depth, '' AS path, 0 AS words FROM convs
+    UNION ALL
+    SELECT conv_id, row_number() OVER w, string_agg(said, '') OVER w, words FROM turns
+    WINDOW w AS (PARTITION BY conv_id ORDER BY own, place)
+), nodes AS (
+    SELECT path, depth, min(words) AS words, min(conv_id) AS conv_id, count(*) AS n_convs FROM steps GROUP BY path, depth
+), children AS (
+    SELECT left(path, 64 * (depth - 1)) AS path, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY 1
+), full_nodes AS (
+    SELECT n.*, coalesce(n_children, 0) AS n_children FROM nodes n LEFT JOIN children USING (path)
+), sums AS (
+    SELECT left(path, 64 * up) AS path, count(*) FILTER (n_children = 0) AS n_leaves, sum((n_convs - 1) * words) AS saved_tokens
+    FROM (SELECT *, unnest(range(depth + 1)) AS up FROM full_nodes) GROUP BY 1
+), ends AS (
+    SELECT path, string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) AS ids
+    FROM (SELECT conv_id, arg_max(path, depth) AS path FROM steps GROUP BY conv_id) GROUP BY path
+)
+SELECT n.conv_id, CAST(n.depth AS BIGINT) AS depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children, n_leaves,
+       CAST(saved_tokens AS BIGINT) AS saved_tokens, sha256(coalesce(ids, '')) AS ends_sha256
+FROM full_nodes n
+JOIN sums USING (path)
+LEFT JOIN ends USING (path)
+LEFT JOIN nodes p ON n.depth > 0 AND p.path = left(n.path, 64 * (n.depth - 1))
+"""
+
+
+ORACLE = {"op2_exact_dedup": OP2, "op3_topk": OP3, "op4_warc": OP4, "op6_chat": OP6, "op12_repair": _op12(), "op13_prefix_trie": _op13()}
 
 
 def llm_oracle() -> dict[str, str]:

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import byte_bpe, chat, exact_dedup, near_dedup, packing, quality, repair, secret_scan, topk, toxicity, url_filter, warc
+from clickloom.llm import byte_bpe, chat, exact_dedup, near_dedup, packing, quality, repair, secret_scan, topk, toxicity, trie, url_filter, warc
 from clickloom.llm.common import importable
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -85,6 +85,10 @@ def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.repair(repair.damaged(table(spark, sf_dir, "conversations")))
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 REGISTERED: list[Query] = [
     op1_packing,
     op2_exact_dedup,
@@ -98,6 +102,7 @@ REGISTERED: list[Query] = [
     op10_near_dedup,
     op11_quality,
     op12_repair,
+    op13_prefix_trie,
 ]
 
 

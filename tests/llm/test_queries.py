@@ -26,4 +26,4 @@ def test_same_rows_as_sql(spark, name):
 
 
 def test_names():
-    assert [name.split("_")[0] for name in llm_queries()] == [f"op{n}" for n in range(1, 13)]
+    assert [name.split("_")[0] for name in llm_queries()] == [f"op{n}" for n in range(1, 14)]
