@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import os
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,5 +43,28 @@ def stored(rows: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(rows.schema).parquet(path)
 
 
+Batches = Iterator[pa.RecordBatch]
+
+
+def released(run: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]:
+    """The function over batches, which at the end of a task gives freed memory back.
+
+    Python workers live on and serve later stages; what an earlier one has freed would stay
+    theirs, and count against the executor.
+    """
+
+    @functools.wraps(run)
+    def wrapped(batches: Batches) -> Batches:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim is not None:  # glibc only
+                trim(0)
+
+    return wrapped
+
+
 def text_or_empty(name: str) -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))

@@ -3,18 +3,20 @@
 Labelled texts are kept in an inverted index over TF-IDF weights, ordered into blocks. Per
 term and block the index holds the largest weight, so the sum of a text's weights times
 these bounds its cosine with every example of the block. Blocks are visited from the highest
-bound down until no bound reaches the k-th best cosine found: the k nearest are exact. Their
-labels vote by a power of their cosine, and the votes are calibrated to a probability on the
-examples themselves, each without its own vote.
+bound down until no bound reaches the k-th best cosine found: the k nearest are exact. The
+k nearest toxic and the k nearest clean examples are looked up. Each votes with its cosine, or
+rather with that part of it that comes from features which toxic examples hold more often than
+clean ones. The votes are calibrated to a probability on the examples themselves; an example
+then neither votes nor counts in what its features lean to. Labels enter the votes only, never
+the vectors.
 
 The index holds at most `PER_CLASS` labelled texts of each class, chosen by a hash, and so
 has a bounded size and can be sent to every task. Whole examples are indexed; tasks count
-their features. Document frequencies are counted over all texts. A feature is a word of up
-to four characters, or the first four of a longer one, since insults come with many endings;
+their features. Document frequencies are counted over all texts. Features are the pieces of
+all words, each word cut into runs of four characters, since insults come with many endings;
 scripts that write without spaces give pairs of characters. Every feature that an example
 holds is kept, however common or rare it is: frequent ones weigh less by their inverse
-document frequency, and those that toxic and clean examples use alike weigh less than those
-that tell them apart.
+document frequency.
 """
 
 from __future__ import annotations
@@ -30,18 +32,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clickloom.llm.common import text_or_empty
+from clickloom.llm.common import released, text_or_empty
 
 #: Labelled texts of each class in the index, at most.
 PER_CLASS = 1000
-NEIGHBOURS = 9
+NEIGHBOURS = 5
 BLOCK = 32
-FIRST_BLOCKS = 12
+FIRST_BLOCKS = 6
 REJECT_FROM = 0.7
-#: Least contrast of a feature between the classes, so that none weighs nothing.
-LEAST_CONTRAST = 0.05
+#: Added to the votes of both classes, so that faint ones say little.
+LEAST_VOTE = 0.1
 
-_STEM = re.compile(r"\b\w{1,4}")
+_PIECE = re.compile(r"\w{1,4}")
 #: Runs of scripts without spaces: Thai, Lao, Tibetan, Burmese, Khmer, kana, Han.
 _UNSPACED = re.compile(
     "[\u0e00-\u109f\u1780-\u17ff\u3040-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff]+"
@@ -49,12 +51,12 @@ _UNSPACED = re.compile(
 
 
 def stems_of(text: str) -> list[str]:
-    """Every word, cut after four characters, and the character pairs of unspaced runs."""
+    """Every word in pieces of four characters, and the character pairs of unspaced runs."""
     text = text.lower()
     if text.isascii():
-        return _STEM.findall(text)
+        return _PIECE.findall(text)
     pairs = [run[i : i + 2] for run in _UNSPACED.findall(text) for i in range(max(1, len(run) - 1))]
-    return _STEM.findall(_UNSPACED.sub(" ", text)) + pairs
+    return _PIECE.findall(_UNSPACED.sub(" ", text)) + pairs
 
 
 def _ranges(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -79,6 +81,8 @@ class BlockMaxIndex:
     entry_postings: np.ndarray = field(default=None)  # where each entry's postings begin
     posting_doc: np.ndarray = field(default=None)
     posting_weight: np.ndarray = field(default=None)
+    examples: list = field(default_factory=list)  # terms and weights of each example
+    held: np.ndarray = field(default=None)  # per class (clean, toxic) and term the examples with it
     slope: float = 1.0
     shift: float = 0.0
 
@@ -88,7 +92,7 @@ class BlockMaxIndex:
         if not known:
             return np.zeros(0, np.int64), np.zeros(0)
         terms, tf = np.array(known, np.int64).T
-        weights = tf * self.idf[terms]
+        weights = (1 + np.log(tf)) * self.idf[terms]
         norm = np.sqrt((weights * weights).sum())
         return (terms, weights / norm) if norm > 0 else (np.zeros(0, np.int64), np.zeros(0))
 
@@ -105,50 +109,83 @@ class BlockMaxIndex:
         self.entry_block = blocks[new]
         self.entry_max = np.maximum.reduceat(weights, new) if len(new) else np.zeros(0)
         self.term_entries = np.searchsorted(terms[new], np.arange(len(self.vocabulary) + 1))
+        self.examples = vectors
+        toxic = self.labels[docs] == 1
+        self.held = np.stack([np.bincount(terms[toxic == side], minlength=len(self.vocabulary)) for side in (False, True)])
 
-    def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """The k examples with the largest cosine above 0 and the cosines, largest first;
-        ties to the earlier example. `without` leaves one example out."""
-        blocks = -(-len(self.labels) // BLOCK)
+    def _leads(self, terms: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Entries of a text's terms, the block and term weight of each, and the bound of each block."""
         entries, source = _ranges(self.term_entries[terms], self.term_entries[terms + 1])
         of_block, term_weight = self.entry_block[entries], weights[source]
-        bound = np.bincount(of_block, self.entry_max[entries] * term_weight, blocks)
-        cosine = np.zeros(len(self.labels))
+        bound = np.bincount(of_block, self.entry_max[entries] * term_weight, -(-len(self.labels) // BLOCK))
+        return entries, of_block, term_weight, bound
+
+    def _search(self, leads: tuple[np.ndarray, ...], k: int, among: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        entries, of_block, term_weight, bound = leads
+        padded = np.zeros(len(bound) * BLOCK, bool)
+        padded[: len(among)] = among
+        usable = (bound > 0) & padded.reshape(-1, BLOCK).any(axis=1)
         order = np.argsort(-bound, kind="stable")
-        todo, least = order[:FIRST_BLOCKS], 0.0
-        rest = order[FIRST_BLOCKS:]
-        while len(todo):
-            chosen = np.zeros(blocks, bool)
-            chosen[todo] = True
+        rest = order[usable[order]]
+        cosine, least = np.zeros(len(among)), 0.0
+        step = FIRST_BLOCKS
+        while len(rest):
+            chosen = np.zeros(len(bound), bool)
+            chosen[rest[:step]] = True
             use = np.flatnonzero(chosen[of_block])
             postings, origin = _ranges(self.entry_postings[entries[use]], self.entry_postings[entries[use] + 1])
             cosine += np.bincount(
                 self.posting_doc[postings], self.posting_weight[postings] * term_weight[use][origin], len(cosine)
             )
-            if without >= 0:
-                cosine[without] = 0.0
-            if len(cosine) > k:
-                least = np.partition(cosine, len(cosine) - k)[len(cosine) - k]
+            found = cosine * among
+            if len(found) > k:
+                least = np.partition(found, len(found) - k)[len(found) - k]
             # a bound as high as the k-th cosine may hide a tie
+            rest = rest[step:]
             rest = rest[bound[rest] >= least - 1e-9]
-            rest = rest[bound[rest] > 0]
-            todo, rest = rest[: 4 * FIRST_BLOCKS], rest[4 * FIRST_BLOCKS :]
-        best = np.argsort(-cosine, kind="stable")[:k]
-        best = best[cosine[best] > 1e-12]
-        return best, cosine[best]
-
-    def vote(self, best: np.ndarray, cosine: np.ndarray) -> float:
-        """Log-odds of the labels of the nearest, each weighted by its cosine's square, and
-        toxic ones by how much rarer they are among the examples."""
-        weights = cosine**2 / max((cosine**2).max(initial=0.0), 1e-12)
-        toxic = (weights * self.labels[best]).sum()
-        clean = weights.sum() - toxic
-        toxic *= (self.labels == 0).sum() / max(1, (self.labels == 1).sum())
-        return float(np.log((toxic + 0.25) / (clean + 0.25)))
+            step = 4 * FIRST_BLOCKS
+        found = cosine * among
+        best = np.argsort(-found, kind="stable")[:k]
+        best = best[found[best] > 1e-12]
+        return best, found[best]
+
+    def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """The k examples with the largest cosine above 0 and the cosines, largest first;
+        ties to the earlier example."""
+        return self._search(self._leads(terms, weights), k, np.ones(len(self.labels), bool))
+
+    def of_each_class(self, terms: np.ndarray, weights: np.ndarray, k: int, without: int = -1) -> list[tuple[np.ndarray, np.ndarray]]:
+        """The k nearest clean and the k nearest toxic examples; `without` leaves one out."""
+        leads = self._leads(terms, weights)
+        others = np.arange(len(self.labels)) != without
+        return [self._search(leads, k, others & ((self.labels == 1) == toxic)) for toxic in (False, True)]
+
+    def _leaning(self, terms: np.ndarray, without: int = -1) -> np.ndarray:
+        """How much more often toxic examples hold each term than clean ones, as a log-ratio, 0
+        where they do not; two examples more on both sides, so that one alone says little."""
+        sizes = np.array([(self.labels != 1).sum(), (self.labels == 1).sum()], float)
+        held = self.held[:, terms].astype(float)
+        if without >= 0:
+            own = int(self.labels[without] == 1)
+            sizes[own] -= 1
+            held[own] -= 1
+        sizes = np.maximum(1, sizes)
+        clean, toxic = held / sizes[:, None] + 2 / sizes.min()
+        return np.maximum(0, np.log(toxic / clean))
+
+    def vote(self, terms: np.ndarray, weights: np.ndarray, found: list[tuple[np.ndarray, np.ndarray]], k: int, without: int = -1) -> float:
+        """Log-odds of the mean votes of the nearest toxic and the nearest clean examples."""
+        told = np.zeros(len(self.vocabulary))
+        told[terms] = weights * self._leaning(terms, without)
+        votes = []
+        for best, _ in found:
+            own = [self.examples[i] for i in best]
+            votes.append(sum(float(told[t] @ w) for t, w in own) / k)
+        return float(np.log((votes[1] + LEAST_VOTE) / (votes[0] + LEAST_VOTE)))
 
     def calibrate(self, vectors: list[tuple[np.ndarray, np.ndarray]], k: int) -> None:
         """Logistic fit of label on vote over the examples, weighted to the base rate."""
-        x = np.array([self.vote(*self.nearest(*v, k, without=i)) if len(v[0]) else 0.0 for i, v in enumerate(vectors)])
+        x = np.array([self.vote(*v, self.of_each_class(*v, k, i), k, i) if len(v[0]) else 0.0 for i, v in enumerate(vectors)])
         y = self.labels.astype(float)
         share = y.mean() if len(y) else 0.0
         if not 0 < share < 1:
@@ -171,10 +208,11 @@ class BlockMaxIndex:
         terms, weights = self.vector(Counter(stems_of(text)))
         if not len(terms):
             return self.base_rate, np.zeros(0, np.int64), np.zeros(0)
-        best, cosine = self.nearest(terms, weights, k)
-        if not len(best):
-            return self.base_rate, best, cosine
-        return float(1 / (1 + np.exp(-(self.shift + self.slope * self.vote(best, cosine))))), best, cosine
+        found = self.of_each_class(terms, weights, k)
+        best, cosine = (np.concatenate(parts) for parts in zip(*found))
+        order = np.lexsort((best, -cosine))
+        value = self.shift + self.slope * self.vote(terms, weights, found, k)
+        return float(1 / (1 + np.exp(-value))), best[order], cosine[order]
 
 
 def _document_frequencies(docs: DataFrame, vocabulary: dict[str, int]) -> tuple[np.ndarray, int]:
@@ -216,17 +254,6 @@ def _counted(texts: DataFrame) -> DataFrame:
     return texts.select("doc_id", "toxic", "text").mapInArrow(run, schema)
 
 
-def _contrast(counts: list[Counter], labels: np.ndarray, vocabulary: dict[str, int]) -> np.ndarray:
-    """How far the shares of toxic and of clean examples with each feature lie apart, as a
-    log-ratio; two examples more on both sides, so that one example alone says little."""
-    within = np.zeros((2, len(vocabulary)))
-    for count, label in zip(counts, labels):
-        within[int(label == 1), [vocabulary[w] for w in count]] += 1
-    sizes = np.maximum(1, [(labels != 1).sum(), (labels == 1).sum()])
-    clean, toxic = within / sizes[:, None] + 2 / sizes.min()
-    return np.abs(np.log(toxic / clean))
-
-
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, k: int = NEIGHBOURS) -> BlockMaxIndex:
     """An index from `labels` (doc_id, toxic) and their texts in `docs` (doc_id, text)."""
     marks = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
@@ -236,15 +263,15 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, k: int =
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     picked = [marks.where(F.col("toxic") == label).orderBy(*order).limit(per_class) for label in (1, 0)]
     chosen = picked[0].unionByName(picked[1])  # at most 2 * per_class rows
-    rows = _counted(docs.join(F.broadcast(chosen), "doc_id")).collect()
+    # one text per id, the least, however often the id is repeated
+    texts_of = docs.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
+    rows = _counted(texts_of).collect()
     examples = sorted((row.doc_id, row.toxic, sorted(zip(row.stems, row.counts))) for row in rows)
     counts = [Counter(dict(found)) for _, _, found in examples]
     vocabulary = {w: i for i, w in enumerate(sorted(set().union(*counts)))} if counts else {}
     frequencies, texts = _document_frequencies(docs, vocabulary)
     idf = np.log1p(texts / np.maximum(1, frequencies))
-    contrast = _contrast(counts, np.array([label for _, label, _ in examples]), vocabulary)
-    weights = idf * np.sqrt(LEAST_CONTRAST + contrast)
-    index = BlockMaxIndex(vocabulary, weights, np.zeros(0), np.zeros(0), base_rate)
+    index = BlockMaxIndex(vocabulary, idf, np.zeros(0), np.zeros(0), base_rate)
     vectors = [index.vector(c) for c in counts]
     # examples of one label that lean on the same frequent word lie together: tight bounds
     frequent = idf < np.sort(idf)[min(len(idf) - 1, 100)] if len(idf) else np.zeros(0, bool)
@@ -272,12 +299,16 @@ def score(
         ]
     )
 
+    given = "text" in keep
+    at = keep.index("text") if given else len(keep)
+
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = sent.value
         for batch in batches:
             scores, ids, cosines = [], [], []
-            for text in batch.column(batch.num_columns - 1):
-                value, best, cosine = own.score(text.as_py(), k)
+            for text in batch.column(at):
+                value, best, cosine = own.score(text.as_py() or "", k)
                 scores.append(value)
                 ids.append(own.ids[best[:evidence]].tolist())
                 cosines.append(cosine[:evidence].tolist())
@@ -286,9 +317,9 @@ def score(
                 pa.array(ids, pa.list_(pa.int64())),
                 pa.array(cosines, pa.list_(pa.float64())),
             ]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *arrays], names=[*keep, *added.names])
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], *arrays], names=[*keep, *added.names])
 
-    rows = docs.select(*keep, text_or_empty("text").alias("__text"))
+    rows = docs.select(*keep) if given else docs.select(*keep, text_or_empty("text").alias("__text"))
     return rows.mapInArrow(run, T.StructType([docs.schema[name] for name in keep] + added.fields))
 
 
@@ -302,11 +333,11 @@ def scored_documents(docs: DataFrame, labels: DataFrame, keep: tuple[str, ...] =
 
     Learns from labels of documents that are not held out. Texts without a known stem, null
     and empty ones among them, get the base rate of toxic labels. A document labelled more
-    than once is toxic if any label says so; null labels and labels of unknown documents
-    teach nothing; without labels every score is the same. Repeated rows are scored alike,
+    than once is toxic if any label says so; of texts with one id the least is the example;
+    null labels and labels of unknown documents teach nothing; without labels every score is the same. Repeated rows are scored alike,
     a null id is not held out, an empty table gives no rows. Other columns are not read.
     """
-    texts = docs.select("doc_id", text_or_empty("text").alias("text"))
+    texts = docs.select(F.col("doc_id"), text_or_empty("text").alias("text"))
     learnt = labels.select("doc_id", "toxic").where(~held_out())
     index = fit(texts, learnt)
     return score(docs, index, keep=keep).withColumns(
@@ -315,6 +346,12 @@ def scored_documents(docs: DataFrame, labels: DataFrame, keep: tuple[str, ...] =
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of `docs` that are not rejected, with all their columns, whatever their names."""
-    rows = docs.select("doc_id", "text", F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("row"))
-    return scored_documents(rows, labels, keep=("doc_id", "row")).where(F.col("predicted") == 0).select("row.*")
+    """The rows of `docs` that are not rejected, with all their columns, whatever their names.
+
+    A text goes to Python and back once, beside the other columns of its row.
+    """
+    others = F.struct(*[F.col(f"`{name}`") for name in docs.columns if name != "text"])
+    rows = docs.select("doc_id", F.col("text").cast("string").alias("text"), others.alias("row"))
+    kept = scored_documents(rows, labels, keep=("doc_id", "row", "text")).where(F.col("predicted") == 0)
+    named = {name: F.col("row")[name] for name in docs.columns} | {"text": F.col("text").cast(docs.schema["text"].dataType)}
+    return kept.select(*[named[name].alias(name) for name in docs.columns])

@@ -113,4 +113,37 @@ def test_short_and_unspaced_words_count(spark, insult, praise):
 def test_examples_are_read_to_the_end(spark):
     long = [(i, "filler " * 40_000 + ("idiotic" if i % 2 else "lovely")) for i in range(4)]
     index = T.fit(spark.createDataFrame(long, "doc_id long, text string"), spark.createDataFrame([(i, i % 2) for i in range(4)], "doc_id long, toxic int"))
-    assert set(index.vocabulary) == {"fill", "idio", "love"}
+    assert set(index.vocabulary) == {"fill", "er", "idio", "tic", "love", "ly"}
+
+
+def test_nearest_of_each_class_and_votes():
+    """Both searches and the vote against dense arithmetic; an example left out leaves no trace."""
+    random = np.random.RandomState(2)
+    words = [f"w{i}" for i in range(200)]
+    index = T.BlockMaxIndex({w: i for i, w in enumerate(words)}, random.uniform(0.5, 5, 200), np.zeros(0), np.zeros(0), 0.1)
+    draw = lambda: Counter(random.choice(words, random.randint(1, 60)))
+    vectors = [index.vector(draw()) for _ in range(300)]
+    index.labels, index.ids = random.randint(0, 2, 300), np.arange(300)
+    index.build(vectors)
+    dense = np.zeros((300, 200))
+    for i, (t, w) in enumerate(vectors):
+        dense[i, t] = w
+    for query in range(40):
+        left = np.arange(300) != query
+        found = index.of_each_class(*vectors[query], 5, query)
+        cosine = dense @ dense[query]
+        votes = []
+        sides = [left & (index.labels == label) for label in (0, 1)]
+        share = [(dense[side] > 0).sum(0) / side.sum() + 2 / min(s.sum() for s in sides) for side in sides]
+        lean = np.maximum(0, np.log(share[1] / share[0]))
+        for side, (best, got) in zip(sides, found):
+            assert np.allclose(got, np.sort(cosine[side])[::-1][:5]) and side[best].all()
+            votes.append((dense[best] * dense[query] * lean).sum() / 5)
+        want = np.log((votes[1] + T.LEAST_VOTE) / (votes[0] + T.LEAST_VOTE))
+        assert np.isclose(index.vote(*vectors[query], found, 5, query), want)
+
+
+def test_an_id_repeated_often_is_one_example(spark):
+    docs = spark.createDataFrame([(1, f"text {i % 7}") for i in range(5000)] + [(2, "other")], "doc_id long, text string")
+    index = T.fit(docs, spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, toxic int"))
+    assert sorted(index.ids.tolist()) == [1, 2] and "0" in index.vocabulary and "6" not in index.vocabulary
