@@ -68,13 +68,20 @@ def _ranges(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 @dataclass
 class BlockMaxIndex:
-    """Inverted index of unit vectors, with the largest weight per term and block."""
+    """Inverted index of unit vectors, with the largest weight per term and block.
+
+    A list with a sixteenth of all examples or more is kept as a row of all of them, block by
+    block, which takes at most 64 bytes a posting; the others as entries of postings.
+    """
 
     vocabulary: dict[str, int]
     idf: np.ndarray
     labels: np.ndarray
     ids: np.ndarray
     base_rate: float
+    row_of: np.ndarray = field(default=None)  # of each term its row, -1 if it has none
+    rows: np.ndarray = field(default=None)  # weights by row, block and place
+    row_max: np.ndarray = field(default=None)
     term_entries: np.ndarray = field(default=None)  # where each term's entries begin
     entry_block: np.ndarray = field(default=None)
     entry_max: np.ndarray = field(default=None)
@@ -100,65 +107,94 @@ class BlockMaxIndex:
         docs = np.repeat(np.arange(len(vectors)), [len(t) for t, _ in vectors])
         terms = np.concatenate([t for t, _ in vectors]) if vectors else np.zeros(0, np.int64)
         weights = np.concatenate([w for _, w in vectors]) if vectors else np.zeros(0)
+        n, size = len(vectors), len(self.vocabulary)
+        toxic = self.labels[docs] == 1
+        self.held = np.stack([np.bincount(terms[toxic == side], minlength=size) for side in (False, True)])
+        long = self.held.sum(axis=0) * 16 >= max(n, 32)
+        self.row_of = np.where(long, np.cumsum(long) - 1, -1)
+        n_blocks = -(-n // BLOCK)
+        rows = np.zeros((long.sum(), n_blocks * BLOCK), np.float32)
+        inside = long[terms]
+        rows[self.row_of[terms[inside]], docs[inside]] = weights[inside]
+        self.rows = rows.reshape(len(rows), n_blocks, BLOCK)
+        self.row_max = self.rows.max(axis=2, initial=0.0)
+        docs, terms, weights = docs[~inside], terms[~inside], weights[~inside]
         order = np.lexsort((docs, terms))
         docs, terms, weights = docs[order], terms[order], weights[order]
         blocks = docs // BLOCK
         new = np.flatnonzero(np.r_[True, (terms[1:] != terms[:-1]) | (blocks[1:] != blocks[:-1])][: len(terms)])
-        self.posting_doc, self.posting_weight = docs.astype(np.int32), weights
+        self.posting_doc, self.posting_weight = docs, weights
         self.entry_postings = np.r_[new, len(docs)]
         self.entry_block = blocks[new]
         self.entry_max = np.maximum.reduceat(weights, new) if len(new) else np.zeros(0)
-        self.term_entries = np.searchsorted(terms[new], np.arange(len(self.vocabulary) + 1))
+        self.term_entries = np.searchsorted(terms[new], np.arange(size + 1))
         self.examples = vectors
-        toxic = self.labels[docs] == 1
-        self.held = np.stack([np.bincount(terms[toxic == side], minlength=len(self.vocabulary)) for side in (False, True)])
 
     def _leads(self, terms: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, ...]:
-        """Entries of a text's terms, the block and term weight of each, and the bound of each block."""
+        """Rows of a text's terms and their weights, entries of its other terms with the block
+        and weight of each, and the bound of each block."""
+        row = self.row_of[terms]
+        long = row >= 0
+        rows, row_weight = row[long], weights[long].astype(np.float32)
+        terms, weights = terms[~long], weights[~long]
         entries, source = _ranges(self.term_entries[terms], self.term_entries[terms + 1])
         of_block, term_weight = self.entry_block[entries], weights[source]
-        bound = np.bincount(of_block, self.entry_max[entries] * term_weight, -(-len(self.labels) // BLOCK))
-        return entries, of_block, term_weight, bound
-
-    def _search(self, leads: tuple[np.ndarray, ...], k: int, among: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        entries, of_block, term_weight, bound = leads
-        padded = np.zeros(len(bound) * BLOCK, bool)
-        padded[: len(among)] = among
-        usable = (bound > 0) & padded.reshape(-1, BLOCK).any(axis=1)
-        order = np.argsort(-bound, kind="stable")
-        rest = order[usable[order]]
-        cosine, least = np.zeros(len(among)), 0.0
-        step = FIRST_BLOCKS
-        while len(rest):
-            chosen = np.zeros(len(bound), bool)
-            chosen[rest[:step]] = True
+        bound = np.bincount(of_block, self.entry_max[entries] * term_weight, self.rows.shape[1])
+        return rows, row_weight, entries, of_block, term_weight, bound + row_weight @ self.row_max[rows]
+
+    def _search(
+        self, leads: tuple[np.ndarray, ...], k: int, sides: np.ndarray, without: int = -1
+    ) -> list[tuple[np.ndarray, np.ndarray]]:
+        """The k nearest of each side; `sides` holds a row of marks of examples per side."""
+        rows, row_weight, entries, of_block, term_weight, bound = leads
+        n, blocks = sides.shape[1], len(bound)
+        padded = np.zeros((len(sides), blocks * BLOCK), bool)
+        padded[:, :n] = sides
+        # per side the bound of each block that has examples of it and a term of the text
+        bounds = np.where(padded.reshape(len(sides), blocks, BLOCK).any(axis=2), bound, 0.0)
+        found, least = np.zeros(sides.shape), np.zeros(len(sides))
+        cosine, step = np.zeros(n), FIRST_BLOCKS
+        while bounds.any():
+            # of each side the blocks with the highest bounds that are left
+            top = np.argpartition(-bounds, min(step, blocks) - 1, axis=1)[:, :step]
+            chosen = np.zeros(blocks, bool)
+            chosen[top] = True
+            chosen &= (bounds > 0).any(axis=0)
             use = np.flatnonzero(chosen[of_block])
             postings, origin = _ranges(self.entry_postings[entries[use]], self.entry_postings[entries[use] + 1])
-            cosine += np.bincount(
-                self.posting_doc[postings], self.posting_weight[postings] * term_weight[use][origin], len(cosine)
-            )
-            found = cosine * among
-            if len(found) > k:
-                least = np.partition(found, len(found) - k)[len(found) - k]
+            cosine += np.bincount(self.posting_doc[postings], self.posting_weight[postings] * term_weight[use][origin], n)
+            taken = np.flatnonzero(chosen)
+            part = self.rows[rows[:, None], taken].reshape(len(rows), len(taken) * BLOCK)
+            whole = np.zeros((blocks, BLOCK), np.float32)
+            whole[taken] = (row_weight @ part).reshape(-1, BLOCK)
+            cosine += whole.ravel()[:n]
+            if without >= 0:
+                cosine[without] = 0.0
+            # to six digits, so that equal texts tie
+            found = np.round(cosine, 6) * sides
+            if n > k:
+                least = np.partition(found, n - k, axis=1)[:, n - k]
+            bounds[:, chosen] = 0.0
             # a bound as high as the k-th cosine may hide a tie
-            rest = rest[step:]
-            rest = rest[bound[rest] >= least - 1e-9]
+            bounds[bounds < least[:, None] - 1e-5] = 0.0
             step = 4 * FIRST_BLOCKS
-        found = cosine * among
-        best = np.argsort(-found, kind="stable")[:k]
-        best = best[found[best] > 1e-12]
-        return best, found[best]
+        results = []
+        for own in found:
+            # of equal cosines the earlier example
+            best = np.flatnonzero(own >= max(np.partition(own, n - k)[n - k], 1e-7)) if n > k else np.flatnonzero(own > 1e-7)
+            best = best[np.argsort(-own[best], kind="stable")][:k]
+            results.append((best, own[best]))
+        return results
 
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """The k examples with the largest cosine above 0 and the cosines, largest first;
         ties to the earlier example."""
-        return self._search(self._leads(terms, weights), k, np.ones(len(self.labels), bool))
+        return self._search(self._leads(terms, weights), k, np.ones((1, len(self.labels)), bool))[0]
 
     def of_each_class(self, terms: np.ndarray, weights: np.ndarray, k: int, without: int = -1) -> list[tuple[np.ndarray, np.ndarray]]:
         """The k nearest clean and the k nearest toxic examples; `without` leaves one out."""
-        leads = self._leads(terms, weights)
-        others = np.arange(len(self.labels)) != without
-        return [self._search(leads, k, others & ((self.labels == 1) == toxic)) for toxic in (False, True)]
+        toxic = self.labels == 1
+        return self._search(self._leads(terms, weights), k, np.stack([~toxic, toxic]), without)
 
     def _leaning(self, terms: np.ndarray, without: int = -1) -> np.ndarray:
         """How much more often toxic examples hold each term than clean ones, as a log-ratio, 0
