@@ -7,8 +7,8 @@ range takes the value so far along, so one with a great share of all turns is sp
 
 Totals of subtrees come from a contraction of the tree in rounds of joins. *Compress*: a chain
 of nodes with one child each is taken out at once; its nodes look up where the node they point
-at points, which doubles the way each round, until all point at the end of the chain and know
-what lies between. *Rake*: all leaves are taken out and added to their parents. A phase of both
+at points, which doubles the way each round, until they point at the end of the chain and know
+what lies between; those that do are done. *Rake*: all leaves are taken out and added to their parents. A phase of both
 leaves less than half of the nodes. At last the contracted nodes are put back from the last
 phase to the first: the total of a chain node is what lies between it and the end of its chain,
 and the total of that end.
@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -254,21 +255,26 @@ def _compress(active: DataFrame, values: list[str]) -> tuple[DataFrame, DataFram
     if single.isEmpty():
         return None
     above = single.select(F.col("stop").alias("below"))
-    chains = active.join(single, F.col("id") == F.col("of")).join(above, F.col("id") == F.col("below"), "left")
-    chains = stored(
-        chains.select("id", "parent", "stop", F.col("below").isNull().alias("top"), F.lit(True).alias("moved"), *values), "trie-chains"
-    )
-    while True:
-        further = chains.select(F.col("id").alias("key"), F.col("stop").alias("next"), *[F.col(v).alias(f"add_{v}") for v in values])
-        jumped = chains.join(further, F.col("stop") == F.col("key"), "left")
-        sums = [(F.col(v) + F.coalesce(f"add_{v}", F.lit(0))).alias(v) for v in values]
-        after = stored(
-            jumped.select("id", "parent", F.coalesce("next", "stop").alias("stop"), "top", F.col("next").isNotNull().alias("moved"), *sums),
-            "trie-chains",
+    inside = single.select(F.col("of").alias("next"))
+    rows = active.join(single, F.col("id") == F.col("of")).join(above, F.col("id") == F.col("below"), "left")
+    rows = rows.join(inside, F.col("stop") == F.col("next"), "left")
+    more = F.col("next").isNotNull().alias("more")
+    rows = stored(rows.select("id", "parent", "stop", F.col("below").isNull().alias("top"), more, *values), "trie-chains")
+    # nodes that point at the end of their chain are done; others, ever fewer, look further
+    done, looking = [rows.where("NOT more")], rows.where("more")
+    while not looking.isEmpty():
+        known = reduce(DataFrame.unionByName, [looking, *done])
+        known = known.select(
+            F.col("id").alias("key"), F.col("stop").alias("next"), F.col("more").alias("further"), *[F.col(v).alias(f"add_{v}") for v in values]
+        )
+        sums = [(F.col(v) + F.col(f"add_{v}")).alias(v) for v in values]
+        jumped = looking.join(known, F.col("stop") == F.col("key"))
+        jumped = stored(
+            jumped.select("id", "parent", F.col("next").alias("stop"), "top", F.col("further").alias("more"), *sums), "trie-chains"
         )
-        if after.where("moved").isEmpty():
-            break
-        chains = after
+        done.append(jumped.where("NOT more"))
+        looking = jumped.where("more")
+    chains = reduce(DataFrame.unionByName, done)
     tops = chains.where("top")
     hung = tops.select(F.col("stop").alias("end"), F.col("parent").alias("above"))
     rest = active.join(single.select(F.col("of").alias("gone")), F.col("id") == F.col("gone"), "left_anti")
