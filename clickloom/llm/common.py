@@ -68,3 +68,11 @@ def released(run: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]:
 
 def text_or_empty(name: str) -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
+
+
+def free_name(rows: DataFrame, base: str) -> str:
+    """A column name that `rows` does not have, in any case."""
+    taken = {name.lower() for name in rows.columns}
+    while base in taken:
+        base += "_"
+    return base

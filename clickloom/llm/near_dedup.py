@@ -15,10 +15,11 @@ classes (connected components).
 No bucket is expanded into pairs. First each text is held against the first text of its
 buckets only, which joins nearly all of a group of copies. Then buckets that still hold more
 than one class are taken apart: the largest class of a bucket is dealt in blocks over tasks,
-the other texts meet it block by block and one another in blocks. Inside a task, pairs of
-different classes are verified if 36 of their 64 samples agree (a pair of similarity 0.8 does
-with all but 1e-5 probability), in one of their common buckets only, and skipped once joined.
-Equal word sequences are one text from the start.
+the other texts meet it block by block and one another in blocks. Blocks are compared by their
+samples first, 64 bytes a text: only texts of which half the samples agree with those of
+another class go on (a pair of similarity 0.8 does with all but 1e-7 probability), and only
+they are given their shingles. Pairs are then verified in one of their common buckets only,
+and skipped once joined. Equal word sequences are one text from the start.
 """
 
 from __future__ import annotations
@@ -30,15 +31,15 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.llm.common import stored, text_or_empty
+from clickloom.llm.common import free_name, released, stored, text_or_empty
 
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
 SAMPLES, BANDS = 64, 16
-LEAST_AGREEING = 36
+LEAST_AGREEING = SAMPLES // 2
 SLOTS = 1 << 18
 CUT_SHARE = 0.2
 #: Rows of a bucket that one task compares with as many others.
@@ -59,7 +60,7 @@ def _mix(values: np.ndarray) -> np.ndarray:
 class Shingler:
     """Shingle hashes of texts; hashes of words are cached."""
 
-    CACHED = 200_000
+    CACHED, LONGEST_CACHED = 100_000, 64
 
     def __init__(self):
         self.known: dict[str, int] = {}
@@ -79,9 +80,13 @@ class Shingler:
         if len(self.known) > self.CACHED:
             self.known.clear()
         known = self.known
-        for word in set(words).difference(known):
+        new = set(words).difference(known)
+        for word in new:
             known[word] = xxhash.xxh3_64_intdigest(word)
         hashes = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+        for word in new:
+            if len(word) > self.LONGEST_CACHED:
+                del known[word]
         width = min(SHINGLE_WORDS, len(hashes))
         total = np.zeros(len(hashes) - width + 1, np.uint64)
         for i in range(width):
@@ -179,6 +184,7 @@ def _sampler() -> Sampler:
 def document_frequencies(texts: DataFrame) -> tuple[np.ndarray, int]:
     """Of each hash slot, the number of all texts with a shingle there; and of all texts."""
 
+    @released
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, rows = np.zeros(SLOTS, np.int64), 0
         for batch in batches:
@@ -222,58 +228,51 @@ def idf_table(counts: np.ndarray, rows: int) -> np.ndarray:
 
 
 def signatures(texts: DataFrame, idf) -> DataFrame:
-    """Per row: doc_id, key (of its word sequence), weight in all, one byte per sample, bands.
+    """Per row of (doc_id, text, text_hash): doc_id, text_hash, key (of its word sequence),
+    weight in all, one byte per sample, bands, and its shingles, sorted, as 32-bit numbers.
     Texts without words have no bands."""
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sampler = _sampler()
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
-                keys, weights, samples, bands = [], [], [], []
+            for at in range(0, batch.num_rows, 500):
+                part = batch.slice(at, 500)
+                keys, weights, samples, bands, shingles = [], [], [], [], []
                 for text in part.column(1).to_pylist():
                     words = _shingler.words(text)
                     keys.append(_shingler.key(text, words))
-                    own, weight = weighted(_shingler.shingles(words), idf.value)
+                    all_own = _shingler.shingles(words)
+                    own, weight = weighted(all_own, idf.value)
                     weights.append(float(weight.sum()))
                     chosen = sampler.samples(own, weight)
                     samples.append((chosen >> np.uint64(56)).astype(np.uint8).tobytes())
                     bands.append(bands_of(chosen).tolist() if len(own) else [])
+                    shingles.append(np.sort(all_own).astype("<u4").tobytes())
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column(0),
+                        part.column(2),
                         pa.array(keys, pa.binary()),
                         pa.array(weights, pa.float64()),
                         pa.array(samples, pa.binary()),
                         pa.array(bands, pa.list_(pa.int64())),
+                        pa.array(shingles, pa.binary()),
                     ],
-                    names=["doc_id", "key", "weight", "samples", "bands"],
-                )
-
-    return texts.mapInArrow(run, "doc_id long, key binary, weight double, samples binary, bands array<bigint>")
-
-
-def _shingle_rows(texts: DataFrame) -> DataFrame:
-    """Per text its key and its shingles, sorted, as 32-bit numbers."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                keys, shingles = [], []
-                for text in batch.column(1).slice(at, 500).to_pylist():
-                    words = _shingler.words(text)
-                    keys.append(_shingler.key(text, words))
-                    shingles.append(np.sort(_shingler.shingles(words)).astype("<u4").tobytes())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys, pa.binary()), pa.array(shingles, pa.binary())], names=["key", "shingles"]
+                    names=["doc_id", "text_hash", "key", "weight", "samples", "bands", "shingles"],
                 )
+        _shingler.known.clear()
 
-    return texts.mapInArrow(run, "key binary, shingles binary")
+    return texts.mapInArrow(
+        run,
+        "doc_id long, text_hash binary, key binary, weight double, samples binary, bands array<bigint>, shingles binary",
+    )
 
 
 def _verified(pairs: DataFrame, shingles: DataFrame, idf, least: float) -> DataFrame:
     """Of pairs (a, b) of keys, those of enough similarity."""
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             left, right = batch.column(2).to_pylist(), batch.column(3).to_pylist()
@@ -292,14 +291,44 @@ def _verified(pairs: DataFrame, shingles: DataFrame, idf, least: float) -> DataF
     return joined.mapInArrow(run, "a binary, b binary")
 
 
+def _candidates(table: pa.Table, cross: bool, least: float) -> Iterator[tuple[int, np.ndarray]]:
+    """Of each row of a group in turn the later ones of another class that may be similar
+    enough by weight and samples, those that agree most first."""
+    weights = table.column("weight").to_numpy()
+    samples = np.frombuffer(b"".join(table.column("samples").to_pylist()), np.uint8).reshape(-1, SAMPLES)
+    side = table.column("side").to_numpy()
+    classes = np.unique(np.array(table.column("label").to_pylist(), object), return_inverse=True)[1]
+    for i in range(len(classes)):
+        others = np.arange(i + 1, len(classes))
+        ok = classes[others] != classes[i]
+        if cross:
+            ok &= side[others] != side[i]
+        others = others[ok]
+        small, large = np.minimum(weights[others], weights[i]), np.maximum(weights[others], weights[i])
+        others = others[small >= (least - 1e-9) * large]
+        agree = (samples[others] == samples[i]).sum(axis=1)
+        order = np.argsort(-agree, kind="stable")
+        yield i, others[order][agree[order] >= LEAST_AGREEING]
+
+
+def _sift_groups(least: float):
+    """The rows of a block, or of two, that have a candidate there; reads no shingles."""
+
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        met = np.zeros(table.num_rows, bool)
+        for i, others in _candidates(table, key[1].as_py() != key[2].as_py(), least):
+            met[others] = True
+            met[i] |= bool(len(others))
+        return table.filter(pa.array(met))
+
+    return run
+
+
 def _compare_groups(idf, least: float):
     """Links inside one block, or between two, of a bucket."""
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
         keys, labels = table.column("key").to_pylist(), table.column("label").to_pylist()
-        weights = table.column("weight").to_numpy()
-        samples = np.frombuffer(b"".join(table.column("samples").to_pylist()), np.uint8).reshape(-1, SAMPLES)
-        side = table.column("side").to_numpy()
         shingles = table.column("shingles")
         bands = [set(own) for own in table.column("bands").to_pylist()]
         band = table.column("band")[0].as_py()
@@ -317,20 +346,9 @@ def _compare_groups(idf, least: float):
                 vectors[i] = weighted(np.frombuffer(shingles[i].as_py(), "<u4"), idf.value)
             return vectors[i]
 
-        cross = key[1].as_py() != key[2].as_py()
         found_a, found_b = [], []
-        codes = np.unique(np.array(labels, object), return_inverse=True)[1]
-        for i in range(len(keys)):
-            others = np.arange(i + 1, len(keys))
-            ok = codes[others] != codes[i]
-            if cross:
-                ok &= side[others] != side[i]
-            others = others[ok]
-            small, large = np.minimum(weights[others], weights[i]), np.maximum(weights[others], weights[i])
-            others = others[small >= (least - 1e-9) * large]
-            agree = (samples[others] == samples[i]).sum(axis=1)
-            order = np.argsort(-agree, kind="stable")
-            for j in others[order][agree[order] >= LEAST_AGREEING].tolist():
+        for i, others in _candidates(table, key[1].as_py() != key[2].as_py(), least):
+            for j in others.tolist():
                 # a pair with several common buckets is looked at in the first of them
                 if min(bands[i] & bands[j]) != band or root(labels[i]) == root(labels[j]):
                     continue
@@ -369,18 +387,10 @@ def components(edges: DataFrame) -> DataFrame:
             return current.select(F.col("u").alias("key"), F.col("v").alias("label"))
 
 
-def near_groups(
-    docs: DataFrame, id_column: str = "doc_id", text: str = "text", least: float = SIMILARITY
-) -> DataFrame:
-    """One row per row of `docs`: doc_id, class_id (the least id of its class), class_size,
-    kept (whether it is the one of its class that stays).
-
-    Texts are compared by lower-cased words. Null counts as empty; texts without words are
-    alike only if equal. Rows repeated with the same id and text are one document and stay or
-    go together. Rows with a null id join a class by an equal word sequence only, and stay if
-    all of it have none. An empty table gives no rows; other columns are not read.
-    """
-    texts = docs.select(F.col(id_column).cast("long").alias("doc_id"), text_or_empty(text).alias("text"))
+def _classes(docs: DataFrame, id_column: str, text: str, least: float) -> DataFrame:
+    """One row per row of `docs`: doc_id, text_hash, class_id, class_size, kept."""
+    body = text_or_empty(f"`{text}`")
+    texts = docs.select(F.col(f"`{id_column}`").cast("long").alias("doc_id"), body.alias("text"), _text_hash(body).alias("text_hash"))
     context = docs.sparkSession.sparkContext
     idf = context.broadcast(idf_table(*document_frequencies(texts)).astype(np.float32))
     signed = stored(signatures(texts, idf), "near-signatures")
@@ -395,11 +405,11 @@ def near_groups(
     members = rows.groupBy("key").agg(
         F.min("doc_id").alias("doc_id"), F.min("hub").alias("hub"), F.collect_list("band").alias("bands")
     )
-    members = stored(members, "near-members")
-    chosen = texts.join(members.select("doc_id").distinct().hint("shuffle_hash"), "doc_id", "left_semi")
-    gathered = _shingle_rows(chosen).groupBy("key").agg(F.min("shingles").alias("shingles"))
     # with at most BANDS bands each
-    shingles = stored(gathered.join(members.select("key", "bands"), "key"), "near-shingles")
+    members = stored(members, "near-members")
+    # of equal texts the row with the least id; rows repeated with it hold the same shingles
+    chosen = signed.select("key", "doc_id", "shingles").join(members.select("key", "doc_id", "bands"), ["key", "doc_id"])
+    shingles = stored(chosen.dropDuplicates(["key"]).select("key", "shingles", "bands"), "near-shingles")
 
     # each text against the first one of its buckets
     stars = members.where("key != hub").select(F.col("key").alias("a"), F.col("hub").alias("b"))
@@ -445,25 +455,57 @@ def near_groups(
         # the side of a pair of blocks: the main class against the others, or block against block
         F.when(is_main, -1).otherwise(F.when(F.col("place.i") < 0, 0).otherwise(F.col("own"))).alias("side"),
     )
+    dealt = dealt.withColumns({name: F.col(name).cast("int") for name in ("i", "j", "side")})
+    sifted = dealt.groupBy("bucket", "i", "j").applyInArrow(_sift_groups(least), dealt.schema)
+    # only texts with a candidate are given their shingles
+    sifted = stored(sifted, "near-sifted")
     more = (
-        dealt.join(shingles, "key")
+        sifted.join(shingles, "key")
         .groupBy("bucket", "i", "j")
         .applyInArrow(_compare_groups(idf, least), "a binary, b binary")
     )
     # the labels so far stand for the links behind them
     joined = components(labels.select(F.col("key").alias("a"), F.col("label").alias("b")).union(more))
-    classes = signed.select("doc_id", "key").join(joined, "key", "left").select(
-        "doc_id", F.coalesce("label", "key").alias("label")
+    classes = signed.select("doc_id", "text_hash", "key").join(joined, "key", "left").select(
+        "doc_id", "text_hash", F.coalesce("label", "key").alias("label")
     )
     classes = stored(classes, "near-classes")
-    named = classes.groupBy("label").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("class_size"))
-    named = named.select(F.hex("label").alias("h"), "class_id", "class_size")
+    own = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
+    named = classes.groupBy("label").agg(F.min(own).alias("first"), F.count(F.lit(1)).alias("class_size"))
+    named = named.select(F.hex("label").alias("h"), "first", "class_size")
     return classes.withColumn("h", F.hex("label")).join(named, "h").select(
-        "doc_id", "class_id", "class_size", F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept")
+        "doc_id",
+        "text_hash",
+        F.col("first.doc_id").alias("class_id"),
+        "class_size",
+        own.eqNullSafe(F.col("first")).alias("kept"),
     )
 
 
+def _text_hash(text: Column) -> Column:
+    return F.unhex(F.sha2(text, 256))
+
+
+def near_groups(
+    docs: DataFrame, id_column: str = "doc_id", text: str = "text", least: float = SIMILARITY
+) -> DataFrame:
+    """One row per row of `docs`: doc_id, class_id (the least id of its class), class_size,
+    kept (whether it is the one of its class that stays).
+
+    Texts are compared by lower-cased words. Null counts as empty; texts without words are
+    alike only if equal. Rows repeated with the same id and text are one document and stay or
+    go together; of different texts with the least id of a class, the one with the least
+    SHA-256 stays. Rows with a null id join a class by an equal word sequence only, and go
+    unless all of it have none. An empty table gives no rows; other columns are not read.
+    """
+    return _classes(docs, id_column, text, least).drop("text_hash")
+
+
 def without_near_copies(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of `docs` that stay, with all their columns: one document of each class."""
-    gone = near_groups(docs, id_column, text).where("not kept").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, F.col(f"`{id_column}`") == F.col("__gone"), "left_anti")
+    """The rows of `docs` that stay, with all their columns, whatever their names: one document
+    of each class, told by id and text (null ids and texts too)."""
+    id_name, hash_name = free_name(docs, "gone_id"), free_name(docs, "gone_text")
+    gone = _classes(docs, id_column, text, SIMILARITY).where("not kept")
+    gone = gone.select(F.col("doc_id").alias(id_name), F.col("text_hash").alias(hash_name)).distinct()
+    same_id = F.col(f"`{id_column}`").cast("long").eqNullSafe(F.col(id_name))
+    return docs.join(gone, same_id & (_text_hash(text_or_empty(f"`{text}`")) == F.col(hash_name)), "left_anti")
