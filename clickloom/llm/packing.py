@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.llm.common import text_or_empty
+from clickloom.llm.common import released, text_or_empty
 from clickloom.llm.tokens import word_tokenizer
 
 PIECES = (
@@ -44,7 +44,8 @@ class Limits:
 
 
 class Piece:
-    """Part of an example: its ids, where they start, and from which place on they bear loss."""
+    """Part of an example: its ids, where they start, and from which place on they bear loss.
+    The ids are bytes, or a view of those of a longer example."""
 
     __slots__ = ("doc_id", "start", "ids", "loss_from", "doc_tokens")
 
@@ -80,6 +81,8 @@ class Packer:
 
     def add(self, piece: Piece) -> Iterator[list[Piece]]:
         """Sequences that are complete once the piece has come."""
+        # full parts are views of the ids, so cutting a long example copies nothing
+        piece = Piece(piece.doc_id, piece.start, memoryview(piece.ids), piece.loss_from, piece.doc_tokens)
         while True:
             part = piece.fitting(self.limits.tokens, self.limits.loss_tokens)
             full = part == self.limits.tokens or part < len(piece)
@@ -89,6 +92,7 @@ class Packer:
             if part == len(piece):
                 return
             piece = piece.rest(part)
+        piece.ids = bytes(piece.ids)
         self.waiting.append(piece)
         if len(self.waiting) >= self.pool:
             yield from self.fill(self.pool // 2)
@@ -155,7 +159,7 @@ def _rows(sequences: Iterator[list[Piece]], first: int) -> Iterator[tuple]:
     for number, sequence in enumerate(sequences, first):
         offset = 0
         for piece in sequence:
-            yield piece.doc_id, piece.start, len(piece), piece.loss(), piece.doc_tokens, number, offset, piece.ids
+            yield piece.doc_id, piece.start, len(piece), piece.loss(), piece.doc_tokens, number, offset, bytes(piece.ids)
             offset += len(piece)
 
 
@@ -184,6 +188,7 @@ def pack(
     columns = [F.col(id_column).cast("long").alias("doc_id"), text_or_empty(text).alias("text")]
     columns.append((text_or_empty(prompt) if prompt else F.lit("")).alias("prompt"))
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = word_tokenizer(tokenizer_path)
         end = np.array([end_id], "<u4").tobytes()

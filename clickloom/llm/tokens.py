@@ -8,8 +8,10 @@ import unicodedata
 import numpy as np
 from tokenizers import Tokenizer
 
-#: Words and stems kept per Python worker, about; later ones are kept for a batch only.
-CACHED_WORDS = 450_000
+#: Words and stems kept per Python worker, about; later and longer ones are kept for a batch
+#: only. Some 60 MB; larger dictionaries are slower, as they no longer fit a processor's caches.
+CACHED_WORDS = 120_000
+LONGEST_CACHED = 64
 TEXTS_AT_ONCE = 256
 
 #: Marks at the end of a word that the tokenizer parts from letters and digits before them.
@@ -19,6 +21,7 @@ MARKS = ".,;:!?"
 _ODD = re.compile("[\x1c-\x1f]")
 
 
+# The public table of letters that stand for bytes.
 def _byte_letters() -> dict[int, str]:
     """The letter that stands for each byte in byte-level vocabularies: printable Latin-1
     characters stand for themselves, the others follow from 256 on."""
@@ -104,11 +107,11 @@ class WordTokenizer:
                 else:
                     out.append(b"".join(map(known.__getitem__, words)))
             # a full cache keeps the words it has: the frequent ones came early
-            if full[0]:
-                for word in missing:
+            for word in missing:
+                if full[0] or len(word) > LONGEST_CACHED:
                     del known[word]
-            if full[1]:
-                for stem in added:
+            for stem in added:
+                if full[1] or len(stem) > LONGEST_CACHED:
                     del self.stems[stem]
         return out
 
