@@ -40,7 +40,17 @@ def stored(rows: DataFrame, purpose: str) -> DataFrame:
     jvm = spark._jvm
     folder = jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).deleteOnExit(folder)
-    return spark.read.schema(rows.schema).parquet(path)
+    read = spark.read.schema(rows.schema).parquet(path)
+    read.stored_at = path
+    return read
+
+
+def discard(*rows: DataFrame) -> None:
+    """Removes what `stored` wrote, once nothing that is still to run reads it."""
+    for each in rows:
+        spark = each.sparkSession
+        folder = spark._jvm.org.apache.hadoop.fs.Path(each.stored_at)
+        folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
 
 
 Batches = Iterator[pa.RecordBatch]

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.llm.common import free_name, released, stored, text_or_empty
+from clickloom.llm.common import discard, free_name, released, stored, text_or_empty
 
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
@@ -394,22 +394,23 @@ def _classes(docs: DataFrame, id_column: str, text: str, least: float) -> DataFr
     context = docs.sparkSession.sparkContext
     idf = context.broadcast(idf_table(*document_frequencies(texts)).astype(np.float32))
     signed = stored(signatures(texts, idf), "near-signatures")
+    keys = stored(signed.select("doc_id", "text_hash", "key"), "near-keys")
     distinct = signed.groupBy("key").agg(
         F.min("doc_id").alias("doc_id"), F.min_by(F.struct("weight", "samples", "bands"), F.lit(0)).alias("s")
     )
-    banded = distinct.where("doc_id is not null").select("key", "doc_id", "s.weight", "s.samples", F.explode("s.bands").alias("band"))
-    banded = stored(banded, "near-bands")
+    distinct = stored(distinct.where("doc_id is not null").select("key", "doc_id", "s.*"), "near-distinct")
+    banded = distinct.select("key", F.explode("bands").alias("band"))
     shared = banded.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.min("key").alias("hub")).where("n > 1")
     shared = shared.select(F.hex("band").alias("bucket"), "hub")
     rows = stored(banded.withColumn("bucket", F.hex("band")).join(shared, "bucket"), "near-buckets")
-    members = rows.groupBy("key").agg(
-        F.min("doc_id").alias("doc_id"), F.min("hub").alias("hub"), F.collect_list("band").alias("bands")
-    )
+    members = rows.groupBy("key").agg(F.min("hub").alias("hub"), F.collect_list("band").alias("bands"))
     # with at most BANDS bands each
-    members = stored(members, "near-members")
+    members = stored(members.join(distinct.select("key", "doc_id", "weight", "samples"), "key"), "near-members")
     # of equal texts the row with the least id; rows repeated with it hold the same shingles
-    chosen = signed.select("key", "doc_id", "shingles").join(members.select("key", "doc_id", "bands"), ["key", "doc_id"])
-    shingles = stored(chosen.dropDuplicates(["key"]).select("key", "shingles", "bands"), "near-shingles")
+    texts_of = signed.groupBy("key", "doc_id").agg(F.min("shingles").alias("shingles"))
+    shingles = texts_of.join(members.select("key", "doc_id", "bands"), ["key", "doc_id"]).select("key", "shingles", "bands")
+    shingles = stored(shingles, "near-shingles")
+    discard(signed, distinct)
 
     # each text against the first one of its buckets
     stars = members.where("key != hub").select(F.col("key").alias("a"), F.col("hub").alias("b"))
@@ -417,7 +418,7 @@ def _classes(docs: DataFrame, id_column: str, text: str, least: float) -> DataFr
     labels = components(links)
 
     # buckets that hold more than one class yet
-    labelled = rows.drop("hub", "doc_id").join(labels, "key", "left")
+    labelled = rows.drop("hub").join(labels, "key", "left")
     labelled = stored(labelled.withColumn("label", F.coalesce("label", "key")), "near-labelled")
     sizes = labelled.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"))
     mixed = sizes.groupBy("bucket").agg(
@@ -430,6 +431,7 @@ def _classes(docs: DataFrame, id_column: str, text: str, least: float) -> DataFr
         F.ceil((F.col("n") - F.col("n_main")) / BLOCK_ROWS).cast("int").alias("other_blocks"),
     )
     opened = labelled.withColumn("bucket_bytes", F.unhex("bucket")).join(mixed, "bucket_bytes").drop("bucket_bytes")
+    opened = opened.join(members.select("key", "weight", "samples"), "key")
     is_main = F.col("label") == F.col("main")
     number = F.abs(F.xxhash64("key"))
     own = F.when(is_main, number % F.col("main_blocks")).otherwise(number % F.col("other_blocks")).cast("int")
@@ -466,10 +468,11 @@ def _classes(docs: DataFrame, id_column: str, text: str, least: float) -> DataFr
     )
     # the labels so far stand for the links behind them
     joined = components(labels.select(F.col("key").alias("a"), F.col("label").alias("b")).union(more))
-    classes = signed.select("doc_id", "text_hash", "key").join(joined, "key", "left").select(
+    classes = keys.join(joined, "key", "left").select(
         "doc_id", "text_hash", F.coalesce("label", "key").alias("label")
     )
     classes = stored(classes, "near-classes")
+    discard(keys, rows, members, shingles, labelled, sifted)
     own = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
     named = classes.groupBy("label").agg(F.min(own).alias("first"), F.count(F.lit(1)).alias("class_size"))
     named = named.select(F.hex("label").alias("h"), "first", "class_size")

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickloom.llm import exact_dedup, near_dedup, packing, secret_scan, toxicity
-from clickloom.llm.common import importable, stored
+from clickloom.llm.common import discard, importable, stored
 from clickloom.llm.queries import WORD_TOKENIZER
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -65,6 +65,9 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of a folder; each reads what the one before it wrote."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    before = []
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        discard(*before)
+        before = [docs]
     return STAGES[-1][1](spark, docs, sf_dir)
