@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import math
 import string
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -57,31 +58,46 @@ CLASSES = (
     EntropyClass("hex", "0123456789abcdefABCDEF", 32, 3.4),
     EntropyClass("base64", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/=_-", 24, 4.1),
 )
+#: Characters of the blocks that a text is cut into while it is masked.
+BLOCK_CHARS = 4096
 #: Sums of c * log2(c) are kept in whole units of this part of a bit, so they stay exact.
 UNIT = 1 << 20
 
 
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """What `use` makes of a value that is worked out once, however often it is used."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _running(values: Column, joined: Callable[[Column, Column], Column]) -> Column:
+    """Per element the sum, or other join, of all up to it. Each round joins an element with
+    the one twice as far before it as in the round before, so that few rounds do."""
+    shifts = F.array(*[F.lit(1 << k) for k in range(31)])
+
+    def rounds(own: Column) -> Column:
+        def step(acc: Column, shift: Column) -> Column:
+            return F.transform(acc, lambda x, i: F.when(i >= shift, joined(x, F.get(acc, i - shift))).otherwise(x))
+
+        return F.aggregate(F.filter(shifts, lambda shift: shift < F.size(own)), own, step)
+
+    return _let(values, rounds)
+
+
 def _spans(text: Column, pattern: str, kind: str) -> Column:
-    """All matches in turn: kind, start, end and the match. Starts follow from the lengths of
+    """All matches in turn: kind, start, end and the match. Ends follow from the lengths of
     the matches and of what lies between them, in code points."""
     matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     between = F.split(text, pattern, -1)
-    places = F.aggregate(
-        F.arrays_zip(matches.alias("match"), F.slice(between, 1, F.size(matches)).alias("gap")),
-        F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("starts")),
-        lambda acc, x: F.struct(
-            (acc["at"] + F.length(x["gap"]) + F.length(x["match"])).alias("at"),
-            F.array_append(acc["starts"], acc["at"] + F.length(x["gap"])).alias("starts"),
-        ),
-        lambda acc: acc["starts"],
-    )
+    # the last part between matches has none after it
+    lengths = F.zip_with(between, matches, lambda gap, match: F.length(gap) + F.length(match))
+    ends = _running(F.filter(lengths, lambda n: n.isNotNull()), lambda x, y: x + y)
     spans = F.zip_with(
-        places,
+        ends,
         matches,
-        lambda start, match: F.struct(
-            start.alias("start"),
+        lambda end, match: F.struct(
+            (end - F.length(match)).alias("start"),
             F.lit(KINDS.index(kind)).alias("kind"),
-            (start + F.length(match)).alias("end"),
+            end.alias("end"),
             match.alias("match"),
         ),
     )
@@ -193,6 +209,12 @@ def entropy_spans(text: Column, classes: tuple[EntropyClass, ...] = CLASSES) ->
     return F.concat(*[_class_spans(text, one, classes[:i]) for i, one in enumerate(classes)])
 
 
+def _distinct(spans: Column) -> Column:
+    """The spans in order, equal ones once."""
+    unlike = lambda own: F.filter(own, lambda x, i: (i == 0) | (x != F.get(own, F.greatest(i - 1, F.lit(0)))))
+    return _let(F.array_sort(spans), unlike)
+
+
 def scan(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row: doc_id and the arrays assign, access, hex and entropy of found spans, each a
     struct of start, kind (its place in `KINDS`), end (exclusive) and match; positions count
@@ -204,7 +226,7 @@ def scan(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> Data
     """
     columns = docs.select(F.col(id_column).alias("doc_id"), text_or_empty(text).alias("text"))
     spans = {kind: pattern_spans(F.col("text"), kind) for kind in KINDS[:3]}
-    return columns.select("doc_id", *[span.alias(kind) for kind, span in spans.items()], F.array_distinct(entropy_spans(F.col("text"))).alias("entropy"))
+    return columns.select("doc_id", *[span.alias(kind) for kind, span in spans.items()], _distinct(entropy_spans(F.col("text"))).alias("entropy"))
 
 
 def _listed(*kinds: str) -> Column:
@@ -234,19 +256,31 @@ def redacted(docs: DataFrame, text: str = "text", mark: str = "[SECRET]") -> Dat
     """The rows of `docs` with each secret in `text` replaced by `mark`; overlapping spans
     become one. Rows, their order and all other columns, also ones named like this module's
     own, stay as they are; a null text stays null."""
-    body = text_or_empty(text)
+    body = text_or_empty(f"`{text}`")
     spans = F.concat(*[pattern_spans(body, kind) for kind in KINDS[:3]], entropy_spans(body))
     bounds = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("s"), s["end"].alias("e"))))
-    built = F.aggregate(
-        bounds,
-        F.struct(F.lit("").alias("out"), F.lit(0).alias("at")),
-        lambda acc, b: F.struct(
-            F.when(b["s"] >= acc["at"], F.concat(acc["out"], F.substr(body, acc["at"] + 1, b["s"] - acc["at"]), F.lit(mark)))
-            .otherwise(acc["out"])
-            .alias("out"),
-            F.greatest(acc["at"], b["e"]).alias("at"),
-        ),
-        lambda acc: F.concat(acc["out"], F.substr(body, acc["at"] + 1, F.length(body))),
-    )
-    clean = F.when(F.size(spans) > 0, built).otherwise(F.col(f"`{text}`").cast("string"))
-    return docs.withColumn(text, clean)
+
+    def between(blocks: Column, begin: Column, end: Column) -> Column:
+        """The text from a place to another, read from the blocks it lies in."""
+        first = F.call_function("div", begin, F.lit(BLOCK_CHARS)).cast("int")
+        count = F.call_function("div", end, F.lit(BLOCK_CHARS)).cast("int") - first + 1
+        return F.substr(F.array_join(F.slice(blocks, first + 1, count), ""), begin - first * BLOCK_CHARS + 1, end - begin)
+
+    def built(parts: Column) -> Column:
+        blocks, own, reached = parts["blocks"], parts["bounds"], parts["reached"]
+        before = lambda i: F.when(i > 0, F.get(reached, F.greatest(i - 1, F.lit(0)))).otherwise(0)
+        pieces = F.transform(
+            own,
+            lambda b, i: F.when(b["s"] >= before(i), F.concat(between(blocks, before(i), b["s"]), F.lit(mark))).otherwise(""),
+        )
+        rest = between(blocks, F.element_at(reached, -1), F.length(body))
+        return F.concat(F.array_join(pieces, ""), rest)
+
+    def masked(own: Column) -> Column:
+        # the text in blocks, so that a place in it is found without reading all before it
+        blocks = F.regexp_extract_all(body, F.lit(f"(?s).{{1,{BLOCK_CHARS}}}"), F.lit(0))
+        reached = _running(F.transform(own, lambda b: b["e"]), lambda x, y: F.greatest(x, y))
+        parts = F.struct(blocks.alias("blocks"), own.alias("bounds"), reached.alias("reached"))
+        return F.when(F.size(own) > 0, _let(parts, built)).otherwise(F.col(f"`{text}`").cast("string"))
+
+    return docs.withColumn(text, _let(bounds, masked))
