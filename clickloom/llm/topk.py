@@ -9,12 +9,15 @@ are traversed; the other dimensions are probed for the vectors found, largest bo
 and a vector is given up once its score and the bounds still open cannot reach the k-th.
 The best of all shards are merged per query.
 
-Queries are dealt to the shards in one equi-join on the shard number, so neither side is
-broadcast, and a task holds one shard and one batch of queries.
+Vectors and queries are dealt by the shard number and sorted so that a shard's vectors come
+before the queries, which then stream through: a task holds one shard and at most
+`QUERIES_AT_ONCE` queries, and neither side is broadcast.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -22,6 +25,8 @@ from pyspark.sql import functions as F
 
 #: Vectors of a shard, about.
 SHARD_ROWS = 4096
+#: Queries that a task holds, at most.
+QUERIES_AT_ONCE = 1024
 SCALE = 256
 RESULT = "query_id long, vec_id long, score long"
 
@@ -33,6 +38,7 @@ class Shard:
         order = np.argsort(ids, kind="stable")
         self.ids, self.vectors = ids[order], vectors[order]
         self.columns = np.ascontiguousarray(self.vectors.T)
+        self.probed = self.given_up = 0  # of all queries so far
         rows, dims = self.vectors.shape
         zero = np.zeros(dims, np.int64)
         self.high = self.vectors.max(axis=0) if rows else zero
@@ -61,13 +67,15 @@ class Shard:
             found[:] = True  # a vector with no positive term may be among the best
         rows = np.flatnonzero(found & own)
         score = np.zeros(len(rows), np.int64)
-        step = 4
+        step, begun = 4, int(own.sum())
         for at in range(0, len(order), step):
             part = order[at : at + step]
             score += query[part] @ self.columns[np.ix_(part, rows)]
             stays = score + open_after[min(at + step, len(order))] >= least
             if not stays.all():
                 rows, score = rows[stays], score[stays]
+        self.probed += begun
+        self.given_up += begun - len(rows)
         best = np.lexsort((self.ids[rows], -score))[:k]
         return self.ids[rows[best]], score[best]
 
@@ -96,25 +104,63 @@ def _usable(vector: str) -> Column:
     )
 
 
-def _search_shard(k: int):
-    def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        ids, vectors = left.column("vec_id").to_numpy(), left.column("vector")
-        lengths = np.array([len(v) for v in vectors], np.int64)
+class _Searcher:
+    """One shard at a time: its vectors, then its queries."""
+
+    def __init__(self, k: int):
+        self.k, self.parts = k, []
+        self.shards: dict[int, Shard] | None = None
+
+    def add(self, ids: pa.Array, vectors: pa.Array) -> None:
+        self.parts.append((ids.to_numpy(), vectors))
+
+    def _build(self) -> dict[int, Shard]:
         shards = {}  # vectors of one length each: others have no inner product with a query
+        if not self.parts:
+            return shards
+        ids = np.concatenate([part for part, _ in self.parts])
+        vectors = pa.concat_arrays([part for _, part in self.parts])
+        lengths = np.diff(vectors.offsets.to_numpy())
         for size in np.unique(lengths).tolist():
             some = np.flatnonzero(lengths == size)
-            values = vectors.take(pa.array(some)).combine_chunks().flatten().to_numpy()
+            values = vectors.take(pa.array(some)).flatten().to_numpy()
             shards[size] = Shard(ids[some], values.reshape(len(some), size))
+        self.parts = []
+        return shards
+
+    def search(self, ids: pa.Array, vectors: pa.Array) -> pa.RecordBatch:
+        if self.shards is None:
+            self.shards = self._build()
         queries, hits, scores = [], [], []
-        for query_id, query in zip(right.column("query_id").to_pylist(), right.column("query")):
-            if len(query) in shards:
+        for query_id, query in zip(ids.to_pylist(), vectors):
+            if len(query) in self.shards:
                 values = query.values.to_numpy(zero_copy_only=False)
-                best, score = shards[len(query)].search(query_id, values, k)
+                best, score = self.shards[len(query)].search(query_id, values, self.k)
                 queries.append(np.full(len(best), query_id, np.int64))
                 hits.append(best)
                 scores.append(score)
         columns = [np.concatenate(c) if c else np.zeros(0, np.int64) for c in (queries, hits, scores)]
-        return pa.table([pa.array(c, pa.int64()) for c in columns], names=["query_id", "vec_id", "score"])
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["query_id", "vec_id", "score"])
+
+
+def _search_shards(k: int):
+    """Reads rows sorted by shard, a shard's vectors before its queries."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, searcher = None, None
+        for batch in batches:
+            # one run of rows per shard and side; runs are cut to what may be held at once
+            shard, side = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            new = np.flatnonzero(np.r_[True, (shard[1:] != shard[:-1]) | (side[1:] != side[:-1])][: len(shard)])
+            for begin, end in zip(new.tolist(), [*new[1:].tolist(), len(shard)]):
+                if shard[begin] != current:
+                    current, searcher = shard[begin], _Searcher(k)
+                for at in range(begin, end, QUERIES_AT_ONCE):
+                    part = batch.slice(at, min(QUERIES_AT_ONCE, end - at))
+                    if side[begin]:
+                        yield searcher.search(part.column(2), part.column(3))
+                    else:
+                        searcher.add(part.column(2), part.column(3))
 
     return run
 
@@ -135,16 +181,12 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, vec_id: str = "vec_i
     rows = usable.groupBy("vec_id").agg(F.min(quantised("v")).alias("vector"))
     count = usable.count()
     shards = max(1, -(-count // SHARD_ROWS))
-    dealt = rows.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("long"))
-    numbers = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long")))
-    queries = rows.where(is_query).select(
-        F.col("vec_id").alias("query_id"), F.col("vector").alias("query"), numbers.alias("shard")
-    )
-    found = (
-        dealt.repartition(shards, "shard").groupBy("shard")
-        .cogroup(queries.repartition(shards, "shard").groupBy("shard"))
-        .applyInArrow(_search_shard(k), RESULT)
-    )
+    shard = F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("long").alias("shard")
+    dealt = rows.select(shard, F.lit(0).alias("side"), "vec_id", "vector")
+    numbers = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))).alias("shard")
+    queries = rows.where(is_query).select(numbers, F.lit(1).alias("side"), "vec_id", "vector")
+    in_order = dealt.unionByName(queries).repartition(shards, "shard").sortWithinPartitions("shard", "side")
+    found = in_order.mapInArrow(_search_shards(k), RESULT)
     ranked = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     best = found.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= k)
     return best.select("query_id", "rank", "vec_id", "score")

@@ -66,3 +66,45 @@ def test_most_vectors_are_given_up_early():
     everything = vectors @ query
     order = np.lexsort((np.arange(2000), -everything))[:5]
     assert best.tolist() == order.tolist() and score.tolist() == everything[order].tolist()
+    assert shard.probed == 2000 and shard.given_up > 1500
+
+
+def test_queries_stream_through_a_shard(spark, monkeypatch):
+    """No task holds more than a shard of vectors and a batch of queries."""
+    import pyarrow as pa
+
+    held = []
+
+    class Counting(topk._Searcher):
+        def add(self, ids, vectors):
+            super().add(ids, vectors)
+            held.append(("vectors", sum(len(part) for part, _ in self.parts)))
+
+        def search(self, ids, vectors):
+            held.append(("queries", len(ids)))
+            return super().search(ids, vectors)
+
+    monkeypatch.setattr(topk, "_Searcher", Counting)
+    monkeypatch.setattr(topk, "QUERIES_AT_ONCE", 50)
+    random = np.random.RandomState(1)
+
+    def batches():
+        for shard in range(3):
+            for side, n in ((0, 200), (1, 330)):
+                ids, vectors = np.arange(n) + 1000 * side, random.randint(-9, 9, (n, 4)).tolist()
+                for at in range(0, n, 70):
+                    part = slice(at, at + 70)
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array([shard] * len(ids[part])),
+                            pa.array([side] * len(ids[part])),
+                            pa.array(ids[part]),
+                            pa.array(vectors[part], pa.list_(pa.int64())),
+                        ],
+                        names=["shard", "side", "vec_id", "vector"],
+                    )
+
+    rows = sum(batch.num_rows for batch in topk._search_shards(5)(batches()))
+    assert rows == 3 * 330 * 5
+    assert max(n for kind, n in held if kind == "queries") == 50
+    assert max(n for kind, n in held if kind == "vectors") == 200
