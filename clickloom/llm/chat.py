@@ -81,8 +81,9 @@ def format_conversations(
     """One row per turn, in order inside its partition: conv_id, turn, formatted, loss_from
     and loss_to (the part of `formatted` under the loss mask; equal if there is none).
 
+    Every turn is rendered where it is read; only then are turns dealt out by conversation.
     The formatted conversation is its turns joined without anything between. Turns are
-    sorted by number, then role and text; null numbers come first. Repeated turns stay. Null
+    sorted by number, then role and formatted text; null numbers come first. Repeated turns stay. Null
     roles and texts are empty; rows with a null conversation form one conversation. Empty
     texts give an empty turn; an empty table gives no rows; other columns are not read.
     Turns stream through: a long conversation takes no more memory than its longest turns.
@@ -97,8 +98,8 @@ def format_conversations(
                 starts.append(start if who == LOSS_ROLE else 0)
                 ends.append(end if who == LOSS_ROLE else 0)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(formatted, pa.string()), pa.array(starts, pa.int64()), pa.array(ends, pa.int64())],
-                names=["conv_id", "turn", "formatted", "loss_from", "loss_to"],
+                [*batch.columns[:3], pa.array(formatted, pa.string()), pa.array(starts, pa.int64()), pa.array(ends, pa.int64())],
+                names=["conv_id", "turn", "role", "formatted", "loss_from", "loss_to"],
             )
 
     rows = conversations.select(
@@ -107,8 +108,11 @@ def format_conversations(
         text_or_empty(role).alias("role"),
         text_or_empty(text).alias("text"),
     )
-    ordered = rows.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
-    return ordered.mapInArrow(run, "conv_id long, turn long, formatted string, loss_from long, loss_to long")
+    rendered = rows.mapInArrow(
+        run, "conv_id long, turn long, role string, formatted string, loss_from long, loss_to long"
+    )
+    ordered = rendered.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "formatted")
+    return ordered.drop("role")
 
 
 class _Digest:

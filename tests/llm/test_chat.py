@@ -54,3 +54,12 @@ def test_odd_rows(spark):
 def test_empty_table(spark):
     frame = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
     assert chat.read_back(chat.format_conversations(frame)).count() == 0
+
+
+def test_turns_are_rendered_before_they_are_dealt(spark):
+    """A conversation with most of the rows is rendered in many tasks, not in its own."""
+    rows = spark.range(10).selectExpr("7L AS conv_id", "id AS turn", "'user' AS role", "'hi' AS text")
+    plan = chat.read_back(chat.format_conversations(rows))._jdf.queryExecution().executedPlan().toString()
+    lines = [line for line in plan.splitlines() if "MapInArrow" in line or "Exchange hashpartitioning" in line]
+    # the plan reads from the result down to the source
+    assert ["Exchange" in line for line in lines] == [False, True, False]
