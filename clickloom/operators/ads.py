@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickloom.operators.ranking import top_per_group
@@ -15,6 +15,10 @@ from clickloom.operators.ranking import top_per_group
 # Daily clicks on one ad that put a user on the blacklist; ads kept per province.
 BLACKLIST_THRESHOLD = 10
 TOP_ADS = 3
+# Seconds of the sliding window of the trend, and between its ends.
+WINDOW_SECONDS, SLIDE_SECONDS = 60, 5
+# Running sums of one ad are cut into blocks of this many seconds.
+BLOCK_SECONDS = 3600
 
 
 def ad_user_daily_counts(clicks: DataFrame) -> DataFrame:
@@ -83,6 +87,68 @@ def ad_click_trend(clicks: DataFrame, horizon: str | None = None) -> DataFrame:
     return trend_columns(counts)
 
 
+def pane_counts(clicks: DataFrame, slide: int = SLIDE_SECONDS) -> DataFrame:
+    """Clicks per pane and ad; a pane is the time between two ends of sliding windows."""
+    return clicks.groupBy(_floor(F.unix_seconds("ts"), slide).alias("pane"), "adid").agg(
+        F.count(F.lit(1)).alias("click_count")
+    )
+
+
+def _floor(seconds: Column, unit: int) -> Column:
+    """The seconds cut down to whole units, before 1970 too."""
+    return seconds - F.pmod(seconds, F.lit(unit).cast("bigint"))
+
+
+def sliding_counts(panes: DataFrame, window: int = WINDOW_SECONDS, slide: int = SLIDE_SECONDS) -> DataFrame:
+    """Clicks per ad in every window of `window` seconds that ends on a multiple of `slide`
+    and holds a click of the ad: window_end, adid, click_count.
+
+    `panes` are counts from `pane_counts`. A pane enters the windows once and leaves them once,
+    so a window's count is a running sum of what enters and leaves, and no click is copied for
+    each window it is in. The sums run inside blocks of an hour, to which the sum of all blocks
+    before is added; an ad with a great share of all clicks is thus spread over tasks. Counts
+    are written out per window at the very end, where the result asks for them.
+    """
+    if window % slide:
+        raise ValueError("the window must be a multiple of the slide")
+    step = lambda moved, sign: F.struct(
+        (F.col("pane") + moved).alias("at"), (F.col("click_count") * sign).alias("change")
+    )
+    moves = panes.select("adid", F.inline(F.array(step(slide, 1), step(slide + window, -1))))
+    moves = moves.groupBy("adid", _floor(F.col("at"), BLOCK_SECONDS).alias("block"), "at").agg(F.sum("change").alias("change"))
+    inside = Window.partitionBy("adid", "block").orderBy("at")
+    local = moves.select(
+        "adid",
+        "block",
+        "at",
+        F.sum("change").over(inside.rowsBetween(Window.unboundedPreceding, 0)).alias("so_far"),
+        F.lead("at").over(inside).alias("next_at"),
+    )
+    blocks = moves.groupBy("adid", "block").agg(F.sum("change").alias("change"), F.min("at").alias("first_at"))
+    in_turn = Window.partitionBy("adid").orderBy("block")
+    blocks = blocks.select(
+        F.col("adid").alias("block_adid"),
+        F.col("block").alias("block_start"),
+        F.sum("change").over(in_turn.rowsBetween(Window.unboundedPreceding, -1)).alias("before"),
+        F.lead("first_at").over(in_turn).alias("next_block_at"),
+    )
+    same = F.col("adid").eqNullSafe(F.col("block_adid")) & (F.col("block") == F.col("block_start"))
+    held = local.join(blocks, same).select(
+        "adid",
+        "at",
+        (F.col("so_far") + F.coalesce("before", F.lit(0))).alias("click_count"),
+        F.coalesce("next_at", "next_block_at").alias("until"),
+    )
+    ends = F.sequence(F.col("at"), F.col("until") - slide, F.lit(slide).cast("bigint"))
+    windows = held.where("click_count > 0").select(F.explode(ends).alias("end"), "adid", "click_count")
+    return windows.select(F.timestamp_seconds("end").alias("window_end"), "adid", "click_count")
+
+
+def ad_sliding_trend(clicks: DataFrame, window: int = WINDOW_SECONDS, slide: int = SLIDE_SECONDS) -> DataFrame:
+    """Clicks per ad in every sliding window that holds one."""
+    return sliding_counts(pane_counts(clicks, slide), window, slide)
+
+
 def ad_trend_series(trend: DataFrame, day: str | date, hour: int) -> DataFrame:
     """For one hour, 60 points per ad, 0 where a minute has no clicks, with the line's
     maximum, minimum and average.

@@ -2,77 +2,107 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickloom.functions import half_up_ratio, with_task_id
 
-# Rows of one session are split by time into slices of this many seconds.
-SLICE_SECONDS = 3600
-# Slices for actions without a time or a session, numbered below any real slice.
-UNTIMED_SLICES = 1 << 20
-UNTIMED = -(2**62)
-# Stands before the first and after the last page of a slice.
-NO_PAGE = -(2**62)
+# One row per range of the ordered log: what was counted in it, and its first and last action.
+_RANGE = (
+    "part int, start_pv long, pairs array<bigint>, "
+    "first_session string, first_page long, last_session string, last_page long"
+)
+_RANGE_TYPES = [pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.string(), pa.int64(), pa.string(), pa.int64()]
 
 
 def _pairs(flow: Sequence[int]) -> list[tuple[int, int]]:
     return list(zip(flow, flow[1:]))
 
 
-def _flow_totals(actions: DataFrame, flow: Sequence[int], slice_seconds: int) -> DataFrame:
+def _count_range(start: int, pairs: list[tuple[int, int]]):
+    """Counts in one range; columns: session (null for an action without a place in an order)
+    and page. Batches are counted as Arrow vectors."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts, views = np.zeros(len(pairs), np.int64), 0
+        first = last = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            sessions, pages = batch.columns
+            views += pc.sum(pc.equal(pages, start)).as_py() or 0
+            if first is None:
+                first = sessions[0].as_py(), pages[0].as_py()
+            else:
+                # the last action of the batch before comes first
+                sessions = pa.concat_arrays([pa.array([last[0]], sessions.type), sessions])
+                pages = pa.concat_arrays([pa.array([last[1]], pages.type), pages])
+            last = sessions[-1].as_py(), pages[-1].as_py()
+            same = pc.equal(sessions[:-1], sessions[1:]).fill_null(False).to_numpy(zero_copy_only=False)
+            known = pc.is_valid(pages).to_numpy(zero_copy_only=False)
+            page = pages.fill_null(0).to_numpy()
+            same &= known[:-1] & known[1:]
+            for i, (one, following) in enumerate(pairs):
+                counts[i] += np.count_nonzero(same & (page[:-1] == one) & (page[1:] == following))
+        if first is not None:
+            row = [TaskContext.get().partitionId(), views, counts.tolist(), *first, *last]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([value], kind) for value, kind in zip(row, _RANGE_TYPES)],
+                names=[field.split()[0] for field in _RANGE.split(", ")],
+            )
+
+    return run
+
+
+def _flow_totals(actions: DataFrame, flow: Sequence[int], ranges: int | None) -> DataFrame:
     """One row: views of the first page (`start_pv`) and, per distinct pair, its count.
 
-    A pair is a page and the next one in the same session. Ordering a whole session in one
-    task would fail on a session with a great share of all rows, so a session is cut into
-    time slices: pairs inside a slice are counted there, leaving one row per slice with its
-    first and last page. A second, far smaller step pairs the last page of each slice with
-    the first page of the next one. The size of that step is bounded by time, not by rows.
+    A pair is a page and the next one in the same session. The log is put in order by session,
+    time and id over ranges of about the same number of rows, which is the only shuffle; a
+    session with a great share of all rows, even one of a single instant, is spread over many
+    ranges. Each range gives one row with its counts; pairs over a border are found from the
+    last and first actions of ranges. Actions without a session or a time only count as views.
     """
     pairs = list(dict.fromkeys(_pairs(flow)))
     tie_breaker = "event_id" if "event_id" in actions.columns else "page_id"
-    span = F.call_function("div", F.unix_timestamp("action_time"), F.lit(slice_seconds).cast("bigint"))
-    # actions without a time or a session have no place in an order; spread, they only count
-    # as views
-    spread = F.pmod(F.xxhash64(tie_breaker), F.lit(UNTIMED_SLICES).cast("bigint")) + UNTIMED
-    part = ["session_id", "time_slice"]
-    in_slice = Window.partitionBy(*part).orderBy("action_time", tie_breaker)
-    steps = actions.select(
-        *dict.fromkeys(["session_id", "page_id", "action_time", tie_breaker]),
-        F.coalesce(F.when(F.col("session_id").isNotNull(), span), spread).alias("time_slice"),
-    ).select(
-        *part,
-        "page_id",
-        F.lead("page_id", 1, NO_PAGE).over(in_slice).alias("next_page"),
-        F.lag("page_id", 1, NO_PAGE).over(in_slice).alias("previous_page"),
+    timed = F.col("action_time").isNotNull()
+    rows = actions.select(
+        F.when(timed, F.col("session_id").cast("string")).alias("session"),
+        F.col("action_time").alias("time"),
+        F.col(tie_breaker).alias("tie"),
+        F.col("page_id").cast("bigint").alias("page"),
     )
-    timed = f"time_slice >= {UNTIMED + UNTIMED_SLICES}"
-    slices = steps.groupBy(*part).agg(
-        F.expr(f"count_if(page_id = {flow[0]}) AS start_pv"),
-        F.expr(f"max(CASE WHEN {timed} AND previous_page = {NO_PAGE} THEN page_id END) AS first_page"),
-        F.expr(f"max(CASE WHEN {timed} AND next_page = {NO_PAGE} THEN page_id END) AS last_page"),
-        *[
-            F.expr(f"count_if({timed} AND page_id = {page} AND next_page = {following}) AS pair_{i}")
-            for i, (page, following) in enumerate(pairs)
-        ],
+    order = ["session", "time", "tie"]
+    ranged = rows.repartitionByRange(*([ranges] if ranges else []), *order).sortWithinPartitions(*order)
+    counted = ranged.select("session", "page").mapInArrow(_count_range(flow[0], pairs), _RANGE)
+    # one row per range
+    following = Window.partitionBy(F.lit(0)).orderBy("part")
+    crossed = counted.select(
+        "start_pv",
+        "pairs",
+        "last_page",
+        F.lead("first_page").over(following).alias("next_page"),
+        (F.col("last_session") == F.lead("first_session").over(following)).alias("crossed"),
     )
-    # slices without an order stay apart, so that they never meet in one task
-    apart = F.when(F.col("time_slice") < UNTIMED + UNTIMED_SLICES, F.col("time_slice"))
-    across = Window.partitionBy("session_id", apart).orderBy("time_slice")
-    return slices.withColumn("next_first", F.lead("first_page").over(across)).agg(
+    return crossed.agg(
         F.expr("coalesce(sum(start_pv), 0) AS start_pv"),
         *[
             F.expr(
-                f"coalesce(sum(pair_{i}), 0) + count_if(last_page = {page} AND next_first = {following}) AS pair_{i}"
+                f"coalesce(sum(pairs[{i}]), 0)"
+                f" + count_if(crossed AND last_page = {page} AND next_page = {following}) AS pair_{i}"
             )
             for i, (page, following) in enumerate(pairs)
         ],
     )
 
 
-def _flow_steps(actions: DataFrame, flow: Sequence[int], slice_seconds: int) -> DataFrame:
+def _flow_steps(actions: DataFrame, flow: Sequence[int], ranges: int | None) -> DataFrame:
     """One row per step of the flow: its pair, count, and the count of the step before."""
     if len(flow) < 2:
         raise ValueError("a page flow needs at least two pages")
@@ -85,14 +115,14 @@ def _flow_steps(actions: DataFrame, flow: Sequence[int], slice_seconds: int) ->
         f"{column_of[pair]} AS pair_count, {base} AS base_count)"
         for step, (pair, base) in enumerate(zip(pairs, before), start=1)
     ]
-    return _flow_totals(actions, flow, slice_seconds).selectExpr(f"inline(array({', '.join(rows)}))")
+    return _flow_totals(actions, flow, ranges).selectExpr(f"inline(array({', '.join(rows)}))")
 
 
 def page_transition_counts(
-    actions: DataFrame, flow: Sequence[int], slice_seconds: int = SLICE_SECONDS
+    actions: DataFrame, flow: Sequence[int], ranges: int | None = None
 ) -> DataFrame:
     """How often each pair of the flow occurs as consecutive pages of a session."""
-    steps = _flow_steps(actions, flow, slice_seconds)
+    steps = _flow_steps(actions, flow, ranges)
     return steps.select("step", "from_page", "to_page", "pair_count")
 
 
@@ -106,13 +136,13 @@ def page_start_pv(actions: DataFrame, start_page: int) -> DataFrame:
 
 
 def page_convert_rate(
-    actions: DataFrame, flow: Sequence[int], slice_seconds: int = SLICE_SECONDS
+    actions: DataFrame, flow: Sequence[int], ranges: int | None = None
 ) -> DataFrame:
     """Rate of each step: its count over the step before, the first over the start page's views.
 
     A step whose base is 0 has no rate.
     """
-    steps = _flow_steps(actions, flow, slice_seconds)
+    steps = _flow_steps(actions, flow, ranges)
     rate = half_up_ratio(F.col("pair_count"), F.col("base_count"))
     return steps.select("step", "from_page", "to_page", "pair_count", "base_count", rate.alias("convert_rate"))
 

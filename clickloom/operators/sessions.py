@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from clickloom.functions import half_up_ratio, with_task_id
@@ -204,13 +204,31 @@ def _bucket_count(length: str, name: str, low: int, high: int | None) -> Column:
     return F.expr(f"count_if({length} >= {low}{upper}) AS {name}")
 
 
-def session_bucket_counts(sessions: DataFrame) -> DataFrame:
-    """One row: the number of sessions, and of those in each length bucket."""
-    return sessions.agg(
+def bucket_metrics() -> list[Column]:
+    """The number of sessions, and of those in each length bucket."""
+    return [
         F.count(F.lit(1)).alias("session_count"),
         *[_bucket_count("visit_length", *bucket) for bucket in VISIT_LENGTH_BUCKETS],
         *[_bucket_count("step_length", *bucket) for bucket in STEP_LENGTH_BUCKETS],
-    )
+    ]
+
+
+def session_bucket_counts(sessions: DataFrame) -> DataFrame:
+    """One row: the number of sessions, and of those in each length bucket."""
+    return sessions.agg(*bucket_metrics())
+
+
+def observed_bucket_counts(
+    sessions: DataFrame, write: Callable[[DataFrame], DataFrame]
+) -> tuple[DataFrame, DataFrame]:
+    """What `write` gives for the sessions, and `session_bucket_counts` of them, taken while
+    they are written: the rows are not read again to be counted."""
+    observation = Observation("session_buckets")
+    written = write(sessions.observe(observation, *bucket_metrics()))
+    fields = [f"{name} bigint" for name in session_bucket_counts(sessions).columns]
+    counts = observation.get
+    row = tuple(counts[field.split()[0]] for field in fields)
+    return written, sessions.sparkSession.createDataFrame([row], ", ".join(fields))
 
 
 def session_ratio_stat(bucket_counts: DataFrame, task_id: str) -> DataFrame:

@@ -40,7 +40,8 @@ def session_job(
     """Length ratios of the filtered sessions; sample and top lists over all sessions, or over
     the filtered ones with `sessions_from="filtered"`.
 
-    The small results that others build on (filtered ids if asked for, sampled ids, top
+    The lengths of filtered sessions are counted into buckets while they are written. The small
+    results that others build on (filtered ids if asked for, sampled ids, top
     categories and top sessions) are written to `folder`, by default one of the working
     directory, and read back; both sets of details are then one join with the log.
     """
@@ -54,8 +55,9 @@ def session_job(
 
     lengths = sessions.filtered_session_lengths(actions, users, session_filter)
     source = actions
+    buckets = sessions.session_bucket_counts(lengths)
     if sessions_from == "filtered":
-        lengths = kept(lengths, "filtered")
+        lengths, buckets = sessions.observed_bucket_counts(lengths, lambda rows: kept(rows, "filtered"))
         source = actions.join(lengths.select("session_id"), "session_id", "left_semi")
     starts = sampling.session_starts(source, users)
     sampled = kept(sampling.sampled_sessions(starts, sample_size, extra_per_hour, seed), "sampled")
@@ -66,7 +68,7 @@ def session_job(
     )
     detail = actions.join(chosen.select("session_id", "drawn"), "session_id").select(*sessions.DETAIL_COLUMNS)
     return {
-        "session_stat_ratio": sessions.session_ratio_stat(sessions.session_bucket_counts(lengths), task_id),
+        "session_stat_ratio": sessions.session_ratio_stat(buckets, task_id),
         "session_random_extract": text_result(sampling.session_sample(actions, sampled, task_id)),
         # a session that is both sampled and in a top list has its actions in both sets
         "session_detail": text_result(with_task_id(detail, task_id)),

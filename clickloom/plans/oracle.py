@@ -301,6 +301,13 @@ _RECENT = """SELECT date, strftime(ts, '%H') AS hour, strftime(ts, '%M') AS minu
   count(*) AS click_count FROM clicks
 WHERE date_trunc('minute', ts) > (SELECT date_trunc('minute', max(ts)) FROM clicks) - INTERVAL 1 HOUR GROUP BY ALL"""
 
+# Every click in each of the twelve windows that it lies in.
+_SLIDING = """SELECT strftime(make_timestamp(CAST((epoch_us(ts) // 5000000 + w.k) * 5000000 AS BIGINT)), '%Y-%m-%d %H:%M:%S') AS window_end,
+  adid, count(*) AS click_count FROM clicks, range(1, 13) w(k) GROUP BY ALL"""
+
+_REJECTS = """SELECT CAST(epoch_us(ts) // 1000 AS VARCHAR) || ' ' || CAST(user_id % 5 AS VARCHAR) AS value
+FROM events WHERE event_type = 'error'"""
+
 # The day is cut in two for the sink queries: morning clicks come first, later ones second.
 _HALVES = """
 halves AS (
@@ -326,6 +333,8 @@ def oracle_queries() -> dict[str, str]:
     blacklist = _with(_CLICKS, tail="SELECT userid FROM blacklist")
     daily = _with(_CLICKS, tail="SELECT date, userid, adid, click_count FROM daily")
     top3 = _with(_CLICKS, tail="SELECT date, province, adid, click_count FROM top3")
+    profile = _with(_ACTIONS, _PROFILE, tail=f"SELECT {_PROFILE_COLUMNS} FROM profile")
+    sample_detail = _sessions(f"{_DETAIL} WHERE session_id IN (SELECT session_id FROM sampled)", _HOURS, _SAMPLE)
     trend = _with(_CLICKS, tail="SELECT date, hour, minute, adid, click_count FROM trend")
     ratios = ",\n".join(
         f"{_half_up(name, 'greatest(session_count, 1)')} AS {name}_ratio" for _, name, _, _ in _BUCKETS
@@ -339,7 +348,14 @@ def oracle_queries() -> dict[str, str]:
   order_product_ids, pay_category_ids, pay_product_ids, city_id, event_id
 FROM actions WHERE date BETWEEN '{D.START_DATE}' AND '{D.END_DATE}'""",
         ),
-        "session_profile": _with(_ACTIONS, _PROFILE, tail=f"SELECT {_PROFILE_COLUMNS} FROM profile"),
+        "session_profile": profile,
+        "bucketed_session_profile": profile,
+        "session_items": _with(
+            _ACTIONS,
+            tail="""SELECT DISTINCT session_id, 'keyword' AS kind, search_keyword AS value FROM actions WHERE search_keyword IS NOT NULL
+UNION ALL
+SELECT DISTINCT session_id, 'category', CAST(click_category_id AS VARCHAR) FROM actions WHERE click_category_id IS NOT NULL""",
+        ),
         "session_user_profile": _sessions(
             f"SELECT {_PROFILE_COLUMNS}, age, professional, sex, city FROM user_profile"
         ),
@@ -359,9 +375,8 @@ FROM actions WHERE date BETWEEN '{D.START_DATE}' AND '{D.END_DATE}'""",
             _HOURS,
             _SAMPLE,
         ),
-        "session_sample_detail": _sessions(
-            f"{_DETAIL} WHERE session_id IN (SELECT session_id FROM sampled)", _HOURS, _SAMPLE
-        ),
+        "session_sample_detail": sample_detail,
+        "bucketed_sample_detail": sample_detail,
         "category_counts": _with(_ACTIONS, _CATEGORIES, tail="SELECT * FROM category_counts"),
         "category_top10": _with(_ACTIONS, _CATEGORIES, tail=f"SELECT {task}, * FROM top_categories"),
         "category_session_counts": _with(
@@ -409,8 +424,12 @@ WHERE date BETWEEN '{D.START_DATE}' AND '{D.END_DATE}'""",
 QUALIFY row_number() OVER (PARTITION BY area ORDER BY click_count DESC, product_id) <= 3""",
         ),
         "ad_log_parse": _with(_CLICKS, tail=f"SELECT {_LOG_COLUMNS} FROM clicks"),
-        "ad_log_rejects": """SELECT CAST(epoch_us(ts) // 1000 AS VARCHAR) || ' ' || CAST(user_id % 5 AS VARCHAR) AS value
-FROM events WHERE event_type = 'error'""",
+        "ad_log_rejects": _REJECTS,
+        "stream_ad_rejects": _REJECTS,
+        "ad_sliding_trend": _with(_CLICKS, tail=_SLIDING),
+        "stream_ad_sliding_trend": _with(_CLICKS, tail=_SLIDING),
+        "stream_running_ad_stat": stat,
+        "stream_running_click_trend": trend,
         "ad_user_daily_counts": daily,
         "ad_blacklist": blacklist,
         "ad_filtered_log": _with(_CLICKS, tail=f"SELECT {_LOG_COLUMNS} FROM kept"),

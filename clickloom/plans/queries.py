@@ -15,8 +15,8 @@ from clickloom.plans import parameters as P
 from clickloom.plans.session import work_dir
 from clickloom.sinks import BatchTable, append_parquet
 from clickloom.sources import testdata as D
-from clickloom.sources.actions import clean_actions, in_date_range
-from clickloom.sources.ad_log import parse_ad_log, rejected_ad_log, stream_ad_log
+from clickloom.sources.actions import clean_actions, in_date_range, read_session_log, write_session_log
+from clickloom.sources.ad_log import marked_ad_log, parse_ad_log, rejected_ad_log, stream_ad_log
 from clickloom.sinks.batch_table import OVERWRITE
 from clickloom.streaming import ad_jobs, tables
 
@@ -34,6 +34,10 @@ def session_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sessions.session_profile(D.actions(spark, sf_dir))
 
 
+def session_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sessions.session_items(D.actions(spark, sf_dir))
+
+
 def session_user_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sessions.session_user_profile(session_profile(spark, sf_dir), D.users(spark, sf_dir))
 
@@ -75,6 +79,23 @@ def session_sample_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sessions.session_detail(D.actions(spark, sf_dir), _sampled(spark, sf_dir), P.TASK_ID)
 
 
+def _session_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The actions stored in buckets by session."""
+    path = work_dir(spark, "session-log")
+    name = "session_log_" + path.rsplit("-", 1)[1]
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    write_session_log(D.actions(spark, sf_dir), name, path, buckets)
+    return read_session_log(spark, name)
+
+
+def bucketed_session_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sessions.session_profile(_session_log(spark, sf_dir))
+
+
+def bucketed_sample_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sessions.session_detail(_session_log(spark, sf_dir), _sampled(spark, sf_dir), P.TASK_ID)
+
+
 # -- categories --------------------------------------------------------------------------
 
 
@@ -183,6 +204,10 @@ def ad_click_trend_recent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ads.ad_click_trend(D.ad_clicks(spark, sf_dir), horizon="1 hour")
 
 
+def ad_sliding_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ads.ad_sliding_trend(D.ad_clicks(spark, sf_dir))
+
+
 def ad_trend_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ads.ad_trend_series(ad_click_trend(spark, sf_dir), D.SERIES_DATE, D.SERIES_HOUR)
 
@@ -191,7 +216,11 @@ def ad_trend_series(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _in_batches(
-    spark: SparkSession, sf_dir: str, base: str, start: Callable[[DataFrame], StreamingQuery]
+    spark: SparkSession,
+    sf_dir: str,
+    base: str,
+    start: Callable[[DataFrame], StreamingQuery],
+    read: Callable[[DataFrame], DataFrame] = parse_ad_log,
 ) -> None:
     """Feed the ad lines as they would come: one part of the month after another is written
     to the folder that the stream reads, and the query goes on from its checkpoint. Each
@@ -199,7 +228,7 @@ def _in_batches(
     lines = D.ad_lines_by_part(spark, sf_dir)
     for part in range(D.STREAM_PARTS):
         lines.where(F.col("part") == part).select("value").write.mode("append").text(f"{base}/lines")
-        start(parse_ad_log(stream_ad_log(spark, f"{base}/lines"))).awaitTermination()
+        start(read(stream_ad_log(spark, f"{base}/lines"))).awaitTermination()
 
 
 def stream_ad_stat(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -278,6 +307,52 @@ def stream_ad_click_trend_recent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ad_jobs.trend_result(_stream_trend(spark, sf_dir, "stream-ad-click-trend-recent"), "1 hour")
 
 
+def stream_ad_sliding_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = work_dir(spark, "stream-ad-sliding-trend")
+    panes = tables.pane_table(spark, f"{base}/panes")
+    _in_batches(
+        spark, sf_dir, base, lambda clicks: ad_jobs.start_sliding_trend(clicks, panes, f"{base}/checkpoint", until_done=True)
+    )
+    return ad_jobs.sliding_result(panes)
+
+
+def stream_ad_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The broken lines, stored by the stream that counts the others."""
+    base = work_dir(spark, "stream-ad-rejects")
+    stat, rejects = tables.stat_table(spark, f"{base}/stat"), tables.reject_table(spark, f"{base}/rejects")
+
+    def start(clicks: DataFrame) -> StreamingQuery:
+        return ad_jobs.start_ad_stat(clicks, stat, f"{base}/checkpoint", until_done=True, rejects=rejects)
+
+    _in_batches(spark, sf_dir, base, start, marked_ad_log)
+    return rejects.read().select("value")
+
+
+def stream_running_ad_stat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily counts as state of the stream, dropped once a day is a day past."""
+    base = work_dir(spark, "stream-running-ad-stat")
+    stat = tables.stat_table(spark, f"{base}/stat", OVERWRITE)
+    listed = ad_blacklist(spark, sf_dir)
+
+    def start(clicks: DataFrame) -> StreamingQuery:
+        kept = ads.ad_filtered_log(clicks, listed)
+        return ad_jobs.start_ad_stat(kept, stat, f"{base}/checkpoint", watermark="1 day", until_done=True)
+
+    _in_batches(spark, sf_dir, base, start)
+    return stat.read()
+
+
+def stream_running_click_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = work_dir(spark, "stream-running-click-trend")
+    trend = tables.trend_table(spark, f"{base}/trend", OVERWRITE)
+
+    def start(clicks: DataFrame) -> StreamingQuery:
+        return ad_jobs.start_click_trend(clicks, trend, f"{base}/checkpoint", watermark="1 day", until_done=True)
+
+    _in_batches(spark, sf_dir, base, start)
+    return ad_jobs.trend_result(trend)
+
+
 def stream_ad_user_daily_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = work_dir(spark, "stream-ad-user-daily-counts")
     counts = tables.user_count_table(spark, f"{base}/counts")
@@ -378,6 +453,7 @@ def sink_replace_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
 REGISTERED: list[Query] = [
     action_clean,
     session_profile,
+    session_items,
     session_user_profile,
     session_filtered,
     session_bucket_counts,
@@ -385,6 +461,8 @@ REGISTERED: list[Query] = [
     session_hour_counts,
     session_sample,
     session_sample_detail,
+    bucketed_session_profile,
+    bucketed_sample_detail,
     category_counts,
     category_top10,
     category_session_counts,
@@ -407,6 +485,7 @@ REGISTERED: list[Query] = [
     ad_province_top3,
     ad_click_trend,
     ad_click_trend_recent,
+    ad_sliding_trend,
     ad_trend_series,
     stream_ad_stat,
     stream_ad_blacklist,
@@ -415,6 +494,10 @@ REGISTERED: list[Query] = [
     stream_ad_click_trend,
     stream_ad_click_trend_recent,
     stream_ad_user_daily_counts,
+    stream_ad_sliding_trend,
+    stream_ad_rejects,
+    stream_running_ad_stat,
+    stream_running_click_trend,
     stream_all_ad_stat,
     stream_all_ad_province_top3,
     stream_all_ad_blacklist,

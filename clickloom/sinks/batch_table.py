@@ -1,9 +1,10 @@
-"""Keyed result tables fed by micro-batches.
+"""Keyed result tables fed by micro-batches: two plain Parquet tables in one folder.
 
-Each batch is stored under its own id and the batches are merged when the table is read.
-Storing a batch again overwrites the same directory, so a batch that Spark replays after
-a failure changes nothing, and a batch costs no more than its own rows to write. Folding
-rewrites only the days that the batches since the last fold touched.
+`batches` is partitioned by batch id. A batch overwrites its own partition, so one that Spark
+replays after a failure changes nothing and costs no more than its own rows. `folded` is
+partitioned by day and holds earlier batches merged; folding overwrites the days that these
+batches touched, and each day says up to which batch it goes (`upto`), so a fold that died
+half-way counts for the days it reached. Reading merges both by one aggregate.
 """
 
 from __future__ import annotations
@@ -15,14 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-ADD = "add"
-OVERWRITE = "overwrite"
-IGNORE = "ignore"
-REPLACE_SLICE = "replace_slice"
-APPEND = "append"
-
-# Written into a directory after all its files; what lacks it is not read.
-_MARK = "_COMPLETE"
+ADD, OVERWRITE, IGNORE, REPLACE_SLICE, APPEND = "add", "overwrite", "ignore", "replace_slice", "append"
 
 
 class BatchTable:
@@ -35,107 +29,66 @@ class BatchTable:
                    columns of the slice, and a batch brings a slice as a whole
     append         all rows stand; there are no keys
 
-    `value` is the count column (used by add and overwrite). `partition_by` is empty or one
-    key column, such as the day, that lays out folded rows: a join on it reads only what it
-    needs, and folding rewrites only what changed. Batch ids must grow, as those of one
+    `value` is the count column (used by add and overwrite); `partition_by` is empty or one key
+    column, such as the day, that lays out folded rows. Batch ids must grow, as those of one
     streaming query do.
     """
 
     def __init__(
-        self,
-        spark: SparkSession,
-        path: str,
-        schema: T.StructType,
-        keys: Sequence[str],
-        rule: str,
-        value: str = "click_count",
-        partition_by: Sequence[str] = (),
-    ):
+        self, spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str], rule: str,
+        value: str = "click_count", partition_by: Sequence[str] = (),
+    ):
         if rule not in (ADD, OVERWRITE, IGNORE, REPLACE_SLICE, APPEND):
             raise ValueError(f"unknown rule {rule!r}")
         if len(partition_by) > 1:
             raise ValueError("folded rows are laid out by one column at most")
-        self.spark = spark
-        self.path = path.rstrip("/")
-        self.schema = schema
-        self.keys = list(keys)
-        self.rule = rule
-        self.value = value
-        self.partition_by = list(partition_by)
-        self._stored = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
+        self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
+        self.keys, self.rule, self.value = list(keys), rule, value
+        # a table without such a column is folded as one part
+        self.day = partition_by[0] if partition_by else "slot"
+        self._batch = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
+        slot = [] if partition_by else [T.StructField("slot", T.IntegerType())]
+        self._fold = T.StructType([*self._batch.fields, T.StructField("upto", T.LongType()), *slot])
+        for name, kind, by in (("batches", self._batch, "batch_id"), ("folded", self._fold, self.day)):
+            spark.createDataFrame([], kind).write.mode("ignore").partitionBy(by).parquet(f"{self.path}/{name}")
 
     def require(self, *rules: str) -> None:
         """Fail early where a job needs another rule than the table has."""
         if self.rule not in rules:
             raise ValueError(f"{self.path} merges by {self.rule!r}; this job needs {' or '.join(map(repr, rules))}")
 
-    # -- writing -----------------------------------------------------------------------
-
     def write(self, batch: DataFrame, batch_id: int) -> None:
         """Store a batch; has the signature that `foreachBatch` calls. The number of files
         follows the size of the batch."""
-        rows = self._within_batch(batch).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        self._store(rows.hint("rebalance"), f"batch-{batch_id}", [])
-
-    def _store(self, rows: DataFrame, directory: str, layout: Sequence[str]) -> None:
-        writer = rows.select(*self._stored.fieldNames()).write.mode("overwrite")
-        if layout:
-            writer = writer.partitionBy(*layout)
-        writer.parquet(f"{self.path}/{directory}")
-        path, files = self._files()
-        files.create(path(f"{self.path}/{directory}/{_MARK}"), True).close()
-
-    def _within_batch(self, batch: DataFrame) -> DataFrame:
-        columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema.fields]
-        rows = batch.select(*columns)
+        rows = batch.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema.fields])
         if self.rule == ADD:
-            return rows.groupBy(*self.keys).agg(F.sum(self.value).alias(self.value))
-        if self.rule == IGNORE:
-            return rows.dropDuplicates(self.keys)
-        return rows
+            rows = rows.groupBy(*self.keys).agg(F.sum(self.value).alias(self.value))
+        elif self.rule == IGNORE:
+            rows = rows.dropDuplicates(self.keys)
+        self._overwrite(rows.withColumn("batch_id", F.lit(batch_id).cast("bigint")).hint("rebalance"), "batches", "batch_id")
+
+    def _overwrite(self, rows: DataFrame, name: str, by: str) -> None:
+        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy(by).parquet(f"{self.path}/{name}")
 
     def compact(self, before: int | None = None) -> None:
-        """Fold the stored batches, or those before a batch, so that reading stays cheap.
-
-        Only the days of those batches are rewritten; each day is read from the latest fold
-        that holds it. A fold counts only once it is complete; until then, and if the job
-        dies, readers use the batches as before. Removed is what the fold before this one
-        had already replaced, so a reader under way keeps what it planned to read.
-        """
-        folds = self._numbers("fold=")
-        last = folds[-1] if folds else -1
-        batches = [n for n in self._numbers("batch-") if n > last and (before is None or n < before)]
-        if not batches:
-            return
-        rows = self._merged(before)
-        for column in self.partition_by:
-            touched = self._read([f"batch-{n}" for n in batches]).select(F.col(column).alias("__touched")).distinct()
-            rows = rows.join(touched, F.col(column).eqNullSafe(F.col("__touched")), "left_semi")
-        layout = self.partition_by
-        self._store(rows.hint("rebalance", *[F.col(name) for name in layout]), f"fold={max(batches)}", layout)
-        if folds:
-            self._clean(last)
-
-    def _clean(self, last: int) -> None:
-        """Remove batches that fold `last` covers, and parts of older folds it or a fold
-        before it replaced."""
-        for number in self._numbers("batch-"):
-            if number <= last:
-                self._remove(f"batch-{number}")
-                path, files = self._files()
-                for note in files.globStatus(path(f"{self.path}/_note-{number}-*")) or []:
-                    files.delete(note.getPath(), False)
-        live = set(self._parts(last + 1))
-        folds = [n for n in self._numbers("fold=") if n < last]
-        for part in self._all_parts():
-            number = int(part.split("/")[0].split("=")[1])
-            if number in folds and part not in live:
-                self._remove(part)
-        for number in folds:
-            if not any(part.split("/")[0] == f"fold={number}" for part in live):
-                self._remove(f"fold={number}")
-
-    # -- reading -----------------------------------------------------------------------
+        """Fold the stored batches, or those before a batch, so that reading stays cheap. Batches
+        that an earlier fold holds are removed; readers under way may still use the newer ones."""
+        if before is None:
+            before = (self._stored("batches").agg(F.max("batch_id")).first()[0] or 0) + 1
+        fresh, folded = self._unfolded(before), self._stored("folded")
+        earlier = folded.agg(F.max("upto")).first()[0]
+        rows = self._merged(before).withColumn("upto", F.lit(before - 1).cast("bigint"))
+        if self.day == "slot":
+            rows = rows.withColumn("slot", F.lit(0))
+        else:
+            rows = matching(rows, fresh.select(self.day).distinct())
+        self._overwrite(rows.select(*self._fold.fieldNames()).hint("rebalance", F.col(self.day)), "folded", self.day)
+        if earlier is not None:
+            gone = self._stored("batches").where(F.col("batch_id") <= earlier).select("batch_id").distinct().collect()
+            for row in gone:
+                path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/batches/batch_id={row.batch_id}")
+                path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
     def read(self) -> DataFrame:
         """The table after all stored batches."""
@@ -147,92 +100,38 @@ class BatchTable:
 
     def read_batch(self, batch_id: int) -> DataFrame:
         """The rows of one stored batch."""
-        # all rows have this id; as a filter it marks the batch as the small side, whose
-        # days then prune the directories of the table it is joined with
-        rows = self._read([f"batch-{batch_id}"]).where(F.col("batch_id") == batch_id)
-        return rows.select(*self.schema.fieldNames())
-
-    def last_batch(self) -> int:
-        """The id of the latest stored batch, -1 if there is none."""
-        return max([-1, *self._numbers("batch-"), *self._numbers("fold=")])
-
-    def noted(self, batch_id: int, number: int) -> int:
-        """The number noted for a batch; notes the given one if there is none yet."""
-        path, files = self._files()
-        found = files.globStatus(path(f"{self.path}/_note-{batch_id}-*"))
-        if found:
-            return int(found[0].getPath().getName().split("-", 2)[2])
-        files.create(path(f"{self.path}/_note-{batch_id}-{number}"), True).close()
-        return number
-
-    def _files(self):
-        path = self.spark._jvm.org.apache.hadoop.fs.Path
-        return path, path(self.path).getFileSystem(self.spark._jsc.hadoopConfiguration())
-
-    def _numbers(self, kind: str) -> list[int]:
-        """Numbers of the complete directories of a kind, by the file system's own listing."""
-        path, files = self._files()
-        done = files.globStatus(path(f"{self.path}/{kind}*/{_MARK}"))
-        return sorted(int(status.getPath().getParent().getName()[len(kind) :]) for status in done or [])
-
-    def _all_parts(self) -> list[str]:
-        """The directories of rows inside folds."""
-        if not self.partition_by:
-            return [f"fold={n}" for n in self._numbers("fold=")]
-        path, files = self._files()
-        found = files.globStatus(path(f"{self.path}/fold=*/{self.partition_by[0]}=*"))
-        return [f"{s.getPath().getParent().getName()}/{s.getPath().getName()}" for s in found or []]
-
-    def _parts(self, before: int | None = None) -> list[str]:
-        """Of each day the directory in the latest complete fold that holds it."""
-        folds = {n for n in self._numbers("fold=") if before is None or n < before}
-        latest: dict[str, int] = {}
-        for part in self._all_parts():
-            fold, _, day = part.partition("/")
-            number = int(fold.split("=")[1])
-            if number in folds:
-                latest[day] = max(number, latest.get(day, -1))
-        return [f"fold={number}/{day}".rstrip("/") for day, number in latest.items()]
-
-    def _remove(self, directory: str) -> None:
-        path, files = self._files()
-        files.delete(path(f"{self.path}/{directory}"), True)
-
-    def _read(self, directories: list[str]) -> DataFrame:
-        reader = self.spark.read.schema(self._stored).option("basePath", self.path)
-        return reader.parquet(*[f"{self.path}/{name}" for name in directories])
-
-    def _rows(self, before: int | None = None) -> DataFrame:
-        folds = [n for n in self._numbers("fold=") if before is None or n < before]
-        newer = [n for n in self._numbers("batch-") if (not folds or n > folds[-1]) and (before is None or n < before)]
-        parts = []
-        if folded := self._parts(before):
-            parts.append(self._read(folded).select(*self._stored.fieldNames()))
-        if newer:
-            reader = self.spark.read.schema(self._stored)
-            parts.append(reader.parquet(*[f"{self.path}/batch-{n}" for n in newer]))
-        if not parts:
-            return self.spark.createDataFrame([], self._stored)
-        return reduce(DataFrame.unionByName, parts)
+        return self._stored("batches").where(F.col("batch_id") == batch_id).select(*self.schema.fieldNames())
+
+    def _stored(self, name: str) -> DataFrame:
+        return self.spark.read.schema(self._batch if name == "batches" else self._fold).parquet(f"{self.path}/{name}")
+
+    def _unfolded(self, before: int | None) -> DataFrame:
+        """Rows of batches that the fold of their day does not hold yet."""
+        rows = self._stored("batches")
+        if before is not None:
+            rows = rows.where(F.col("batch_id") < before)
+        day = F.col(self.day) if self.day != "slot" else F.lit(0)
+        marks = self._stored("folded").groupBy(F.col(self.day).alias("__day")).agg(F.max("upto").alias("__upto"))
+        kept = rows.join(marks, day.eqNullSafe(F.col("__day")), "left").where("__upto IS NULL OR batch_id > __upto")
+        return kept.select(*self._batch.fieldNames())
 
     def _merged(self, before: int | None = None) -> DataFrame:
-        rows = self._rows(None if self.rule == IGNORE else before)
+        folded = self._stored("folded").select(*self._batch.fieldNames())
+        rows = folded.unionByName(self._unfolded(before))
         if self.rule == IGNORE and before is not None:
             # each key carries its first batch, so an earlier state can be told from a fold too
             rows = rows.where(F.col("batch_id") < before)
         if self.rule == APPEND:
             return rows
         if self.rule == REPLACE_SLICE:
-            latest = rows.groupBy(*[F.col(k).alias(f"__{k}") for k in self.keys]).agg(F.max("batch_id").alias("__latest"))
-            same = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in self.keys]
-            return rows.join(latest, reduce(lambda a, b: a & b, same) & (F.col("batch_id") == F.col("__latest")), "left_semi")
+            latest = rows.groupBy(*self.keys).agg(F.max("batch_id").alias("batch_id"))
+            return matching(rows, latest)
         others = [n for n in self.schema.fieldNames() if n not in self.keys]
         if self.rule == ADD:
             merged = [F.sum(self.value).alias(self.value), F.max("batch_id").alias("batch_id")]
-        elif self.rule == OVERWRITE:
-            merged = [F.max_by(n, "batch_id").alias(n) for n in others] + [F.max("batch_id").alias("batch_id")]
         else:
-            merged = [F.min_by(n, "batch_id").alias(n) for n in others] + [F.min("batch_id").alias("batch_id")]
+            pick, last = (F.max_by, F.max) if self.rule == OVERWRITE else (F.min_by, F.min)
+            merged = [pick(n, "batch_id").alias(n) for n in others] + [last("batch_id").alias("batch_id")]
         return rows.groupBy(*self.keys).agg(*merged)
 
 

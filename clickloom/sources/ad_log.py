@@ -45,26 +45,64 @@ def rejected_ad_log(lines: DataFrame) -> DataFrame:
     return _parsed(lines).where(~_complete()).select("value")
 
 
+def marked_ad_log(lines: DataFrame) -> DataFrame:
+    """All log lines, typed, and those that cannot be read in a column `rejected`, which is
+    NULL for the others. The streams take this form to store rejects beside their results."""
+    rejected = F.when(~_complete(), F.col("value")).alias("rejected")
+    return _parsed(lines).select("ts", "province", "city", "userid", "adid", rejected)
+
+
 def read_ad_log(spark: SparkSession, path: str) -> DataFrame:
     """Log lines from text files."""
     return spark.read.text(path)
 
 
-def stream_ad_log(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Log lines from text files as they arrive in a directory."""
+def stream_ad_log(
+    spark: SparkSession, path: str, max_files_per_trigger: int | None = None, max_bytes_per_trigger: int | None = None
+) -> DataFrame:
+    """Log lines from text files as they arrive in a directory.
+
+    The limits, of which one may be given, bound a batch: after a stop, what has piled up is
+    taken in many batches. At least one file is taken at a time.
+    """
+    if max_files_per_trigger is not None and max_bytes_per_trigger is not None:
+        raise ValueError("a batch is limited by files or by bytes, not by both")
     reader = spark.readStream
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    if max_bytes_per_trigger is not None:
+        reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
     return reader.text(path)
 
 
-def kafka_ad_log(spark: SparkSession, servers: str, topic: str, starting_offsets: str = "latest") -> DataFrame:
+def kafka_options(
+    servers: str,
+    topic: str,
+    starting_offsets: str = "latest",
+    max_offsets_per_trigger: int | None = 1_000_000,
+    min_partitions: int | None = None,
+) -> dict[str, str]:
+    """Options of the Kafka source. `max_offsets_per_trigger` bounds the lines of a batch, over
+    all partitions of the topic; `min_partitions` spreads few topic partitions over more tasks."""
+    options = {"kafka.bootstrap.servers": servers, "subscribe": topic, "startingOffsets": starting_offsets}
+    limits = {"maxOffsetsPerTrigger": max_offsets_per_trigger, "minPartitions": min_partitions}
+    for name, value in limits.items():
+        if value is not None:
+            if value < 1:
+                raise ValueError(f"{name} must be positive")
+            options[name] = str(value)
+    return options
+
+
+def kafka_ad_log(
+    spark: SparkSession,
+    servers: str,
+    topic: str,
+    starting_offsets: str = "latest",
+    max_offsets_per_trigger: int | None = 1_000_000,
+    min_partitions: int | None = None,
+) -> DataFrame:
     """Log lines from a Kafka topic; needs Spark's Kafka connector on the class path."""
-    return (
-        spark.readStream.format("kafka")
-        .option("kafka.bootstrap.servers", servers)
-        .option("subscribe", topic)
-        .option("startingOffsets", starting_offsets)
-        .load()
-        .select(F.col("value").cast("string").alias("value"))
-    )
+    options = kafka_options(servers, topic, starting_offsets, max_offsets_per_trigger, min_partitions)
+    lines = spark.readStream.format("kafka").options(**options).load()
+    return lines.select(F.col("value").cast("string").alias("value"))

@@ -7,7 +7,13 @@ Every query folds its tables each `COMPACT_EVERY` batches.
 Counts are kept by adding each batch to its table, which drops no click however late. With
 a watermark they are kept as running counts in the stream's state instead; clicks later than
 the watermark are then dropped, and the progress of the query tells how many
-(`numRowsDroppedByWatermark`). Days and minutes are UTC: the session must be.
+(`numRowsDroppedByWatermark`). State lies in RocksDB, with a log of changes per batch. Days and
+minutes are UTC: the session must be.
+
+Clicks may come from `parse_ad_log`, or from `marked_ad_log` with a table for the lines that
+cannot be read (`rejects`): the batch that brings a line stores it there, and the progress of
+the query tells how many lines and rejects came (`observedMetrics`, `ad_log`). Running counts
+lose the lines before a batch is seen; beside them `start_rejects` stores the rejects.
 """
 
 from __future__ import annotations
@@ -26,6 +32,11 @@ from clickloom.sinks.batch_table import ADD, APPEND, IGNORE, OVERWRITE, REPLACE_
 # Fixed value: seconds between micro-batches.
 BATCH_INTERVAL = "5 seconds"
 COMPACT_EVERY = 100
+# Settings of Spark's own state store on disk.
+STATE_SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
 
 
 def _start(
@@ -36,22 +47,68 @@ def _start(
     output_mode: str,
     until_done: bool,
     compact_every: int = COMPACT_EVERY,
+    rejects: BatchTable | None = None,
 ) -> StreamingQuery:
     zone = rows.sparkSession.conf.get("spark.sql.session.timeZone")
     if zone not in ("UTC", "Etc/UTC", "GMT", "Z", "+00:00"):
         raise ValueError(f"days are UTC, but spark.sql.session.timeZone is {zone}")
+    marked = "rejected" in rows.columns
+    if rejects is not None:
+        rejects.require(APPEND)
+        if output_mode != "append":
+            raise ValueError("running counts keep no rejects; use start_rejects beside them")
+        if not marked:
+            raise ValueError("rejects need clicks from marked_ad_log")
+        is_rejected = F.col("rejected").isNotNull()
+        rows = rows.observe("ad_log", F.count(F.lit(1)).alias("lines"), F.count_if(is_rejected).alias("rejected"))
 
     def run(batch: DataFrame, batch_id: int) -> None:
         if batch_id and batch_id % compact_every == 0:
-            for table in tables:
+            for table in [*tables, *([rejects] if rejects is not None else [])]:
                 table.compact(before=batch_id)
-        on_batch(batch, batch_id)
+        if rejects is None:
+            return on_batch(_readable(batch), batch_id)
+        # one reading of the batch feeds both sinks
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            broken = batch.where("rejected IS NOT NULL").select(F.current_date().alias("date"), F.col("rejected").alias("value"))
+            rejects.write(broken, batch_id)
+            on_batch(_readable(batch), batch_id)
+        finally:
+            batch.unpersist()
 
     writer = rows.writeStream.outputMode(output_mode).option("checkpointLocation", checkpoint)
     trigger = {"availableNow": True} if until_done else {"processingTime": BATCH_INTERVAL}
     return writer.foreachBatch(run).trigger(**trigger).start()
 
 
+def _readable(clicks: DataFrame) -> DataFrame:
+    """The clicks without lines that could not be read."""
+    if "rejected" not in clicks.columns:
+        return clicks
+    return clicks.where("rejected IS NULL").drop("rejected")
+
+
+def start_rejects(
+    lines: DataFrame, rejects: BatchTable, checkpoint: str, until_done: bool = False, compact_every: int = COMPACT_EVERY
+) -> StreamingQuery:
+    """Store the lines of `marked_ad_log` that cannot be read, and nothing else."""
+    return _start(lines, lambda batch, batch_id: None, [], checkpoint, "append", until_done, compact_every, rejects)
+
+
+def _start_running(rows: DataFrame, *arguments) -> StreamingQuery:
+    """A query whose state lies in RocksDB, whatever the session has set otherwise."""
+    conf = rows.sparkSession.conf
+    before = {name: conf.get(name, None) for name in STATE_SETTINGS}
+    for name, value in STATE_SETTINGS.items():
+        conf.set(name, value)
+    try:
+        return _start(rows, *arguments)
+    finally:
+        for name, value in before.items():
+            conf.unset(name) if value is None else conf.set(name, value)
+
+
 def running_ad_stat(clicks: DataFrame, watermark: str) -> DataFrame:
     """Running counts per day, province, city and ad, for `update` mode.
 
@@ -59,7 +116,7 @@ def running_ad_stat(clicks: DataFrame, watermark: str) -> DataFrame:
     end, and a click later than that is dropped too.
     """
     return (
-        clicks.withWatermark("ts", watermark)
+        _readable(clicks).withWatermark("ts", watermark)
         .groupBy(F.window("ts", "1 day").alias("day"), "province", "city", "adid")
         .agg(F.count(F.lit(1)).alias("click_count"))
         .select(F.to_date("day.start").alias("date"), "province", "city", "adid", "click_count")
@@ -77,7 +134,7 @@ def minute_counts(clicks: DataFrame) -> DataFrame:
 def running_click_trend(clicks: DataFrame, watermark: str) -> DataFrame:
     """Running counts per minute and ad, for `update` mode; late clicks count until the watermark."""
     return (
-        clicks.withWatermark("ts", watermark)
+        _readable(clicks).withWatermark("ts", watermark)
         .groupBy(F.window("ts", "1 minute").alias("span"), "adid")
         .agg(F.count(F.lit(1)).alias("click_count"))
         .select(F.to_date("span.start").alias("date"), F.col("span.start").alias("minute_start"), "adid", "click_count")
@@ -91,18 +148,19 @@ def start_ad_stat(
     watermark: str | None = None,
     until_done: bool = False,
     compact_every: int = COMPACT_EVERY,
+    rejects: BatchTable | None = None,
 ) -> StreamingQuery:
     """Keep the daily counts table up to date. It adds, or with a watermark overwrites."""
     if watermark is not None:
         stat.require(OVERWRITE)
         rows = running_ad_stat(clicks, watermark)
-        return _start(rows, stat.write, [stat], checkpoint, "update", until_done, compact_every)
+        return _start_running(rows, stat.write, [stat], checkpoint, "update", until_done, compact_every, rejects)
     stat.require(ADD)
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         stat.write(ads.ad_stat(batch), batch_id)
 
-    return _start(clicks, on_batch, [stat], checkpoint, "append", until_done, compact_every)
+    return _start(clicks, on_batch, [stat], checkpoint, "append", until_done, compact_every, rejects)
 
 
 def start_province_top3(
@@ -113,6 +171,7 @@ def start_province_top3(
     watermark: str | None = None,
     until_done: bool = False,
     compact_every: int = COMPACT_EVERY,
+    rejects: BatchTable | None = None,
 ) -> StreamingQuery:
     """Keep the daily counts and, from them, the top ads per day and province up to date.
 
@@ -126,8 +185,10 @@ def start_province_top3(
         stat.write(ads.ad_stat(batch) if watermark is None else batch, batch_id)
         refresh_top3(stat, top, batch_id)
 
-    rows, mode = (clicks, "append") if watermark is None else (running_ad_stat(clicks, watermark), "update")
-    return _start(rows, on_batch, [stat, top], checkpoint, mode, until_done, compact_every)
+    if watermark is not None:
+        rows = running_ad_stat(clicks, watermark)
+        return _start_running(rows, on_batch, [stat, top], checkpoint, "update", until_done, compact_every, rejects)
+    return _start(clicks, on_batch, [stat, top], checkpoint, "append", until_done, compact_every, rejects)
 
 
 def refresh_top3(stat: BatchTable, top: BatchTable, batch_id: int) -> None:
@@ -143,19 +204,20 @@ def start_click_trend(
     watermark: str | None = None,
     until_done: bool = False,
     compact_every: int = COMPACT_EVERY,
+    rejects: BatchTable | None = None,
 ) -> StreamingQuery:
     """Keep the counts per minute and ad up to date. The table adds, or with a watermark
     overwrites."""
     if watermark is not None:
         trend.require(OVERWRITE)
         rows = running_click_trend(clicks, watermark)
-        return _start(rows, trend.write, [trend], checkpoint, "update", until_done, compact_every)
+        return _start_running(rows, trend.write, [trend], checkpoint, "update", until_done, compact_every, rejects)
     trend.require(ADD)
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         trend.write(minute_counts(batch), batch_id)
 
-    return _start(clicks, on_batch, [trend], checkpoint, "append", until_done, compact_every)
+    return _start(clicks, on_batch, [trend], checkpoint, "append", until_done, compact_every, rejects)
 
 
 def trend_result(trend: BatchTable, horizon: str | None = None) -> DataFrame:
@@ -163,12 +225,43 @@ def trend_result(trend: BatchTable, horizon: str | None = None) -> DataFrame:
     return ads.trend_columns(ads.recent(trend.read(), "minute_start", horizon))
 
 
+def start_sliding_trend(
+    clicks: DataFrame,
+    panes: BatchTable,
+    checkpoint: str,
+    until_done: bool = False,
+    compact_every: int = COMPACT_EVERY,
+    rejects: BatchTable | None = None,
+) -> StreamingQuery:
+    """Add each batch's clicks per pane and ad to the pane table; a click is counted once, and
+    windows are summed when they are asked for."""
+    panes.require(ADD)
+
+    def on_batch(batch: DataFrame, batch_id: int) -> None:
+        counted = ads.pane_counts(batch)
+        panes.write(counted.withColumn("date", F.to_date(F.timestamp_seconds("pane"))), batch_id)
+
+    return _start(clicks, on_batch, [panes], checkpoint, "append", until_done, compact_every, rejects)
+
+
+def sliding_result(panes: BatchTable, latest: bool = False) -> DataFrame:
+    """The counts of all sliding windows, or of the last one that holds a click."""
+    rows = panes.read()
+    if latest:
+        last = F.lit(rows.agg(F.max("pane")).scalar())
+        rows = rows.where(F.col("pane") > last - ads.WINDOW_SECONDS)
+        end = F.timestamp_seconds(last + ads.SLIDE_SECONDS)
+        return ads.sliding_counts(rows).where(F.col("window_end") == end)
+    return ads.sliding_counts(rows)
+
+
 def start_user_daily_counts(
     clicks: DataFrame,
     counts: BatchTable,
     checkpoint: str,
     until_done: bool = False,
     compact_every: int = COMPACT_EVERY,
+    rejects: BatchTable | None = None,
 ) -> StreamingQuery:
     """Add each batch's clicks per day, user and ad to the counts table; no stream state."""
     counts.require(ADD)
@@ -176,7 +269,7 @@ def start_user_daily_counts(
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         counts.write(ads.ad_user_daily_counts(batch), batch_id)
 
-    return _start(clicks, on_batch, [counts], checkpoint, "append", until_done, compact_every)
+    return _start(clicks, on_batch, [counts], checkpoint, "append", until_done, compact_every, rejects)
 
 
 def extend_blacklist(counts: BatchTable, blacklist: BatchTable, batch_id: int, threshold: int) -> None:
@@ -197,6 +290,7 @@ def start_blacklist(
     threshold: int = ads.BLACKLIST_THRESHOLD,
     until_done: bool = False,
     compact_every: int = COMPACT_EVERY,
+    rejects: BatchTable | None = None,
 ) -> StreamingQuery:
     """Add each batch to the daily counts, then list the users who reached the threshold."""
     counts.require(ADD)
@@ -206,7 +300,7 @@ def start_blacklist(
         counts.write(ads.ad_user_daily_counts(batch), batch_id)
         extend_blacklist(counts, blacklist, batch_id, threshold)
 
-    return _start(clicks, on_batch, [counts, blacklist], checkpoint, "append", until_done, compact_every)
+    return _start(clicks, on_batch, [counts, blacklist], checkpoint, "append", until_done, compact_every, rejects)
 
 
 def start_filtered_log(
@@ -216,21 +310,22 @@ def start_filtered_log(
     checkpoint: str,
     until_done: bool = False,
     compact_every: int = COMPACT_EVERY,
+    rejects: BatchTable | None = None,
 ) -> StreamingQuery:
     """Store the clicks of users not on the blacklist, which is read afresh for every batch.
 
-    Which state of the list a batch was held against is noted before it is stored, so a
-    replayed batch is held against the same one.
+    A batch that is stored already stays as it is, so a replay cannot hold it against a later
+    list.
     """
     log.require(APPEND)
     blacklist.require(IGNORE)
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        listed = blacklist.read_before(log.noted(batch_id, blacklist.last_batch()) + 1)
-        kept = ads.ad_filtered_log(batch, listed)
-        log.write(kept.withColumn("date", F.to_date("ts")), batch_id)
+        if log.read_batch(batch_id).isEmpty():
+            kept = ads.ad_filtered_log(batch, blacklist.read())
+            log.write(kept.withColumn("date", F.to_date("ts")), batch_id)
 
-    return _start(clicks, on_batch, [log], checkpoint, "append", until_done, compact_every)
+    return _start(clicks, on_batch, [log], checkpoint, "append", until_done, compact_every, rejects)
 
 
 def start_all_ad_jobs(
@@ -244,6 +339,7 @@ def start_all_ad_jobs(
     threshold: int = ads.BLACKLIST_THRESHOLD,
     until_done: bool = False,
     compact_every: int = COMPACT_EVERY,
+    rejects: BatchTable | None = None,
 ) -> StreamingQuery:
     """All ad jobs in one query, with the blacklist feeding back into it.
 
@@ -267,4 +363,4 @@ def start_all_ad_jobs(
             batch.unpersist()
 
     tables = [counts, blacklist, stat, top, trend]
-    return _start(clicks, on_batch, tables, checkpoint, "append", until_done, compact_every)
+    return _start(clicks, on_batch, tables, checkpoint, "append", until_done, compact_every, rejects)

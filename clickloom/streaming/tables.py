@@ -19,6 +19,8 @@ USER_COUNT_SCHEMA = _schema(date=T.DateType(), userid=T.LongType(), adid=T.LongT
 BLACKLIST_SCHEMA = _schema(userid=T.LongType())
 TOP_SCHEMA = _schema(date=T.DateType(), province=T.StringType(), adid=T.LongType(), click_count=T.LongType())
 TREND_SCHEMA = _schema(date=T.DateType(), minute_start=T.TimestampType(), adid=T.LongType(), click_count=T.LongType())
+PANE_SCHEMA = _schema(date=T.DateType(), pane=T.LongType(), adid=T.LongType(), click_count=T.LongType())
+REJECT_SCHEMA = _schema(date=T.DateType(), value=T.StringType())
 LOG_SCHEMA = _schema(
     ts=T.TimestampType(), province=T.StringType(), city=T.StringType(), userid=T.LongType(), adid=T.LongType()
 )
@@ -45,5 +47,15 @@ def trend_table(spark: SparkSession, path: str, rule: str = ADD) -> BatchTable:
     return BatchTable(spark, path, TREND_SCHEMA, ["date", "minute_start", "adid"], rule, partition_by=["date"])
 
 
+def pane_table(spark: SparkSession, path: str) -> BatchTable:
+    """Counts of the panes of sliding windows; `pane` is the second a pane begins."""
+    return BatchTable(spark, path, PANE_SCHEMA, ["date", "pane", "adid"], ADD, partition_by=["date"])
+
+
+def reject_table(spark: SparkSession, path: str) -> BatchTable:
+    """Log lines that could not be read, under the day they were met."""
+    return BatchTable(spark, path, REJECT_SCHEMA, [], APPEND, partition_by=["date"])
+
+
 def log_table(spark: SparkSession, path: str) -> BatchTable:
     return BatchTable(spark, path, STORED_LOG_SCHEMA, [], APPEND, partition_by=["date"])

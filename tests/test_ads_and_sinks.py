@@ -2,16 +2,27 @@
 
 import glob
 import os
+import random
+import shutil
 from datetime import date, datetime, timedelta
 
 import pytest
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import functions as F
 
 from clickloom.functions import text_result, with_task_id
 from clickloom.operators import ads
 from clickloom.plans.session import work_dir
 from clickloom.sinks import BatchTable, append_parquet
 from clickloom.sinks.batch_table import ADD, IGNORE, OVERWRITE, REPLACE_SLICE
-from clickloom.sources.ad_log import parse_ad_log, read_ad_log, rejected_ad_log, stream_ad_log
+from clickloom.sources.ad_log import (
+    kafka_options,
+    marked_ad_log,
+    parse_ad_log,
+    read_ad_log,
+    rejected_ad_log,
+    stream_ad_log,
+)
 from clickloom.streaming import ad_jobs, tables
 
 DAY = datetime(2024, 1, 5)
@@ -147,8 +158,8 @@ def test_rules_replay_and_compaction(spark, tmp_path, rule, expected):
     stored.write(keyed(spark, (2, 1)), 2)
     stored.compact()
     assert content(stored)[2] == {ADD: 6, OVERWRITE: 1, IGNORE: 5}[rule]
-    # what the older fold covers is gone; what it does not is still there
-    assert sorted(os.listdir(stored.path)) == ["batch-2", "fold=1", "fold=2"]
+    # what an older fold covers is gone; what it does not is still there
+    assert [os.path.basename(p) for p in glob.glob(f"{stored.path}/batches/batch_id=*")] == ["batch_id=2"]
 
 
 def test_add_sums_repeats_within_a_batch(spark, tmp_path):
@@ -172,20 +183,24 @@ def test_replaced_slices(spark, tmp_path):
     assert sorted((row.adid, row.userid) for row in stored.read().collect()) == [(1, 12), (2, 21), (3, 30)]
 
 
-def test_half_written_sets_do_not_count(spark, tmp_path):
-    stored = table(spark, tmp_path, ADD)
-    stored.write(keyed(spark, (1, 2)), 0)
-    stored.write(keyed(spark, (1, 2)), 1)
-    stored.compact()
-    # as if the job had died while folding, and while storing a batch
-    os.remove(glob.glob(f"{stored.path}/fold=1/_COMPLETE")[0])
-    stored.write(keyed(spark, (1, 100)), 2)
-    os.remove(glob.glob(f"{stored.path}/batch-2/_COMPLETE")[0])
-    assert content(stored) == {1: 4}
+def test_half_written_batches_and_folds_do_no_harm(spark, tmp_path):
+    stat = tables.stat_table(spark, str(tmp_path / "stat"))
+    day = lambda n: ads.ad_stat(clicks(spark, [click(86400 * n)]))
+    for batch_id, n in enumerate((0, 1, 1)):
+        stat.write(day(n), batch_id)
+    want = sorted_rows(stat.read())
+    # as if the job had died while storing a batch: what is not committed is hidden
+    staged = tmp_path / "stat" / "batches" / ".spark-staging-x" / "batch_id=3"
+    staged.mkdir(parents=True)
+    (staged / "part-0.parquet").write_bytes(b"half")
+    assert sorted_rows(stat.read()) == want
+    # as if it had died while folding: one day is folded, the other is not
+    stat.compact()
+    shutil.rmtree(glob.glob(f"{stat.path}/folded/date=2024-01-06")[0])
+    assert sorted_rows(stat.read()) == want
 
 
-def test_marks_do_not_hang_on_a_setting(spark, tmp_path):
-    """Batches count also where the file committer writes no mark of its own."""
+def test_tables_do_not_hang_on_success_marks(spark, tmp_path):
     key = "mapreduce.fileoutputcommitter.marksuccessfuljobs"
     conf = spark._jsc.hadoopConfiguration()
     conf.set(key, "false")
@@ -216,20 +231,22 @@ def test_slices_with_null_keys_stay(spark, tmp_path):
 def test_many_batches_stay_few_folders_and_old_days_stay_untouched(spark, tmp_path):
     stat = tables.stat_table(spark, str(tmp_path / "stat"))
     day = lambda n: ads.ad_stat(clicks(spark, [click(86400 * n)])).persist()
-    days = [day(0), day(1), day(2)]
-    for batch_id in range(300):
-        if batch_id and batch_id % 50 == 0:
+    days, first = [day(0), day(1), day(2)], None
+    for batch_id in range(60):
+        if batch_id and batch_id % 10 == 0:
             stat.compact(before=batch_id)
-        stat.write(days[0 if batch_id < 50 else 1 + batch_id // 200], batch_id)
-    assert len(glob.glob(f"{stat.path}/batch-*")) <= 101
+        if batch_id == 10:
+            first = glob.glob(f"{stat.path}/folded/date=2024-01-05/part-*")
+        stat.write(days[0 if batch_id < 10 else 1 + batch_id // 40], batch_id)
+    assert len(glob.glob(f"{stat.path}/batches/batch_id=*")) <= 21
     stat.compact()
-    # the first day was folded once, with its own batches, and is still read from there
-    assert os.path.exists(f"{stat.path}/fold=49/date=2024-01-05")
-    assert len(stat._parts()) == 3
+    # the first day was folded once, with its own batches, and its files are still the same
+    assert first and glob.glob(f"{stat.path}/folded/date=2024-01-05/part-*") == first
+    assert len(glob.glob(f"{stat.path}/folded/date=*")) == 3
     assert {str(row.date): row.click_count for row in stat.read().collect()} == {
-        "2024-01-05": 50,
-        "2024-01-06": 150,
-        "2024-01-07": 100,
+        "2024-01-05": 10,
+        "2024-01-06": 30,
+        "2024-01-07": 20,
     }
     for each in days:
         each.unpersist()
@@ -238,7 +255,7 @@ def test_many_batches_stay_few_folders_and_old_days_stay_untouched(spark, tmp_pa
 def test_a_batch_is_written_in_as_many_files_as_its_size_asks_for(spark, tmp_path):
     stored = table(spark, tmp_path, ADD)
     stored.write(keyed(spark, (1, 2)), 0)
-    assert len(glob.glob(f"{stored.path}/batch-0/part-*")) == 1
+    assert len(glob.glob(f"{stored.path}/batches/batch_id=0/part-*")) == 1
 
 
 def test_a_table_with_another_rule_is_refused(spark, tmp_path):
@@ -466,6 +483,162 @@ def test_filtered_log_reads_the_list_for_each_batch(spark, tmp_path):
     assert run(str(tmp_path / "other")) == [1, 1, 2, 2]
 
 
+def test_rejects_of_every_starter(spark, tmp_path):
+    path = log_files(tmp_path, [*BATCHES, ["also broken", "1 2 3"]])
+    lines = lambda: marked_ad_log(stream_ad_log(spark, path, max_files_per_trigger=1))
+    whole, base = parse_ad_log(read_ad_log(spark, path)), str(tmp_path / "out")
+    want = sorted(row.value for row in rejected_ad_log(read_ad_log(spark, path)).collect())
+    assert len(want) == 3
+    make = {name: getattr(tables, f"{name}_table") for name in ("stat", "top", "trend", "user_count", "blacklist", "pane", "log")}
+    starters = {
+        "stat": lambda of, **kw: ad_jobs.start_ad_stat(lines(), of("stat"), **kw),
+        "top": lambda of, **kw: ad_jobs.start_province_top3(lines(), of("stat"), of("top"), **kw),
+        "trend": lambda of, **kw: ad_jobs.start_click_trend(lines(), of("trend"), **kw),
+        "user_count": lambda of, **kw: ad_jobs.start_user_daily_counts(lines(), of("user_count"), **kw),
+        "blacklist": lambda of, **kw: ad_jobs.start_blacklist(lines(), of("user_count"), of("blacklist"), threshold=2, **kw),
+        "pane": lambda of, **kw: ad_jobs.start_sliding_trend(lines(), of("pane"), **kw),
+        "log": lambda of, **kw: ad_jobs.start_filtered_log(lines(), of("blacklist"), of("log"), **kw),
+        "all": lambda of, **kw: ad_jobs.start_all_ad_jobs(
+            lines(), of("user_count"), of("blacklist"), of("stat"), of("top"), of("trend"), threshold=2, **kw
+        ),
+        "rejects": lambda of, **kw: ad_jobs.start_rejects(lines(), **kw),
+    }
+    for name, start in starters.items():
+        rejects = tables.reject_table(spark, f"{base}/{name}/rejects")
+        of = lambda kind: make[kind](spark, f"{base}/{name}/{kind}")  # noqa: B023, E731
+        for checkpoint in ("c", "replayed"):  # the second time all batches come again
+            query = start(of, checkpoint=f"{base}/{name}/{checkpoint}", rejects=rejects, until_done=True)
+            query.awaitTermination()
+            assert sorted(row.value for row in rejects.read().collect()) == want
+            seen = [p["observedMetrics"]["ad_log"] for p in query.recentProgress if p["observedMetrics"]]
+            assert (sum(m["lines"] for m in seen), sum(m["rejected"] for m in seen)) == (whole.count() + 3, 3)
+        if name == "stat":
+            assert sorted_rows(of("stat").read()) == sorted_rows(ads.ad_stat(whole))
+    with pytest.raises(ValueError, match="start_rejects"):
+        running = tables.stat_table(spark, f"{base}/running", OVERWRITE)
+        ad_jobs.start_ad_stat(lines(), running, f"{base}/r", watermark="1 day", rejects=rejects)
+
+
+def test_marked_lines_count_like_parsed_ones(spark, tmp_path):
+    path = log_files(tmp_path, BATCHES)
+    lines = read_ad_log(spark, path)
+    marked = marked_ad_log(lines)
+    assert sorted_rows(marked.where("rejected IS NULL").drop("rejected")) == sorted_rows(parse_ad_log(lines))
+    assert [row.rejected for row in marked.where("rejected IS NOT NULL").collect()] == ["broken line"]
+    stat = tables.stat_table(spark, str(tmp_path / "stat"), OVERWRITE)
+    ad_jobs.start_ad_stat(
+        marked_ad_log(stream_ad_log(spark, path)), stat, str(tmp_path / "c"), watermark="2 days", until_done=True
+    ).awaitTermination()
+    assert sorted_rows(stat.read()) == sorted_rows(ads.ad_stat(parse_ad_log(lines)))
+
+
+def test_sliding_windows(spark, tmp_path):
+    """Panes against Spark's own windows, over block borders, before 1970, for a busy ad."""
+    dice = random.Random(3)
+    seconds = [dice.choice([dice.randint(0, 400), 3590 + dice.randint(0, 40), dice.randint(0, 86400 * 3)]) for _ in range(400)]
+    seconds += [-(10**9) * 2 + n for n in (0, 3, 59, 61)]
+    path = log_files(tmp_path, [[line(n, ad=1 + n % 3 * (n % 2)) for n in seconds[i::3]] for i in range(3)])
+    log = parse_ad_log(read_ad_log(spark, path))
+    plain = log.groupBy(F.window("ts", "60 seconds", "5 seconds").alias("w"), "adid").agg(F.count(F.lit(1)).alias("n"))
+    want = sorted_rows(plain.select("w.end", "adid", "n"))
+    found = ads.ad_sliding_trend(log)
+    assert sorted_rows(found) == want and len(want) > 1000
+    assert "Expand" not in found._jdf.queryExecution().toString()
+    panes = tables.pane_table(spark, str(tmp_path / "panes"))
+    ad_jobs.start_sliding_trend(streamed(spark, path), panes, str(tmp_path / "c"), until_done=True).awaitTermination()
+    assert sorted_rows(ad_jobs.sliding_result(panes)) == want
+    last = max(row[0] for row in want) - timedelta(seconds=55)
+    assert sorted_rows(ad_jobs.sliding_result(panes, latest=True)) == [row for row in want if row[0] == last]
+    with pytest.raises(ValueError):
+        ads.sliding_counts(ads.pane_counts(log), 60, 7)
+
+
+def test_a_pile_of_files_becomes_several_batches(spark, tmp_path):
+    path = log_files(tmp_path, [[line(n)] for n in range(10)])
+    stat = tables.stat_table(spark, str(tmp_path / "stat"))
+    lines = stream_ad_log(spark, path, max_files_per_trigger=3)
+    query = ad_jobs.start_ad_stat(parse_ad_log(lines), stat, str(tmp_path / "c"), until_done=True)
+    query.awaitTermination()
+    assert [p["numInputRows"] for p in query.recentProgress if p["numInputRows"]] == [3, 3, 3, 1]
+    by_size = stream_ad_log(spark, path, max_bytes_per_trigger=40)
+    query = ad_jobs.start_ad_stat(parse_ad_log(by_size), tables.stat_table(spark, str(tmp_path / "s2")), str(tmp_path / "c2"), until_done=True)
+    query.awaitTermination()
+    assert sum(p["numInputRows"] for p in query.recentProgress) == 10 and query.recentProgress[-1]["batchId"] >= 3
+    with pytest.raises(ValueError):
+        stream_ad_log(spark, path, 1, 1000)
+
+
+def test_kafka_options():
+    options = kafka_options("a:1,b:2", "clicks", max_offsets_per_trigger=5000, min_partitions=64)
+    assert options == {
+        "kafka.bootstrap.servers": "a:1,b:2",
+        "subscribe": "clicks",
+        "startingOffsets": "latest",
+        "maxOffsetsPerTrigger": "5000",
+        "minPartitions": "64",
+    }
+    assert "maxOffsetsPerTrigger" in kafka_options("a", "t") and "minPartitions" not in kafka_options("a", "t")
+    with pytest.raises(ValueError):
+        kafka_options("a", "t", max_offsets_per_trigger=0)
+
+
+@pytest.mark.parametrize("dies_at", ["stat", "top", "trend", "counts", "blacklist", "end"])
+def test_a_query_that_dies_in_a_batch_goes_on(spark, tmp_path, monkeypatch, dies_at):
+    """The second batch dies once, after one of its tables is written and before it is
+    recorded; the query is started again on its checkpoint."""
+    path = log_files(tmp_path, [[line(1, user=1), line(2, user=1)], [line(4, user=1), line(5, user=2, ad=2)], [line(6, user=1), line(70, user=3)]])
+    make = {"counts": "user_count", "blacklist": "blacklist", "stat": "stat", "top": "top", "trend": "trend"}
+
+    def run(base, faults):
+        stored = {name: getattr(tables, f"{kind}_table")(spark, f"{base}/{name}") for name, kind in make.items()}
+        write = BatchTable.write
+
+        def failing(self, batch, batch_id):
+            write(self, batch, batch_id)
+            if faults and batch_id == 1 and self is stored[faults[0]]:
+                faults.pop()
+                raise RuntimeError("lost between a table and the checkpoint")
+
+        monkeypatch.setattr(BatchTable, "write", failing)
+        for _ in range(2):
+            query = ad_jobs.start_all_ad_jobs(
+                streamed(spark, path), **stored, checkpoint=f"{base}/c", threshold=2, until_done=True, compact_every=2
+            )
+            try:
+                query.awaitTermination()
+                break
+            except StreamingQueryException:
+                continue
+        monkeypatch.setattr(BatchTable, "write", write)
+        return {name: sorted_rows(each.read()) for name, each in stored.items()}
+
+    whole = run(str(tmp_path / "whole"), [])
+    faults = ["blacklist" if dies_at == "end" else dies_at]
+    assert run(str(tmp_path / "broken"), faults) == whole and not faults
+
+
+def test_running_state_survives_a_restart_and_expires(spark, tmp_path):
+    path, base = log_files(tmp_path, [[line(86400 * d + n) for n in range(5)] for d in range(3)]), str(tmp_path)
+    stat = tables.stat_table(spark, f"{base}/stat", OVERWRITE)
+
+    def run():
+        query = ad_jobs.start_ad_stat(streamed(spark, path), stat, f"{base}/c", watermark="1 hour", until_done=True)
+        query.awaitTermination()
+        return query
+
+    first = run()
+    assert any(key.startswith("rocksdb") for key in first.recentProgress[-1]["stateOperators"][0]["customMetrics"])
+    with open(f"{path}/later.txt", "w") as file:
+        file.write("\n".join([line(86400 * 2 + 60), line(86400 * 2 + 61), line(3)]) + "\n")
+    second = run()
+    counts = {str(row.date): row.click_count for row in stat.read().collect()}
+    # the third day goes on from the stored state; the first is past the watermark
+    assert counts == {"2024-01-05": 5, "2024-01-06": 5, "2024-01-07": 7}
+    assert sum(p["stateOperators"][0]["numRowsDroppedByWatermark"] for p in second.recentProgress if p["stateOperators"]) == 1
+    # only days the watermark has not passed are kept: it stands an hour before the third
+    assert second.recentProgress[-1]["stateOperators"][0]["numRowsTotal"] == 2
+
+
 # -- working folder ----------------------------------------------------------------------
 
 

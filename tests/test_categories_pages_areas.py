@@ -58,11 +58,11 @@ def walk(session, page_ids, gap=10):
     return [action(session, gap * i, page_id=page) for i, page in enumerate(page_ids)]
 
 
-@pytest.mark.parametrize("slice_seconds", [1, 15, 300, 10**6])
-def test_page_pairs_do_not_depend_on_the_slices(spark, slice_seconds):
+@pytest.mark.parametrize("ranges", [1, 2, 5, 40])
+def test_page_pairs_do_not_depend_on_the_ranges(spark, ranges):
     rows = walk("a", [1, 2, 3, 1, 2, None, 3]) + walk("b", [2, 3, 3, 4]) + walk("c", [1])
     rows += [action("a", None, page_id=1), action("a", None, page_id=2)]
-    found = pages.page_convert_rate(frame(spark, rows), [1, 2, 3, 4], slice_seconds).orderBy("step").collect()
+    found = pages.page_convert_rate(frame(spark, rows), [1, 2, 3, 4], ranges).orderBy("step").collect()
     assert [tuple(row) for row in found] == [
         # start page: 3 timed views and 1 without a time
         (1, 1, 2, 2, 4, 0.5),
@@ -91,6 +91,23 @@ def test_pairs_against_brute_force_with_one_long_session(spark):
     assert [row.pair_count for row in found] == [expected[pair] for pair in zip(flow, flow[1:])]
 
 
+def test_a_session_of_one_instant_is_spread_over_tasks(spark):
+    """All actions of one session at one time, so that only the id orders them."""
+    n = 40_000
+    log = spark.range(n, numPartitions=4).selectExpr(
+        "'bot' AS session_id", "TIMESTAMP'2024-01-05 00:00:00' AS action_time", "id AS event_id", "id * id % 4 + 1 AS page_id"
+    )
+    flow = [1, 2, 1]
+    found = pages.page_transition_counts(log, flow, ranges=16).orderBy("step").collect()
+    visited = [i * i % 4 + 1 for i in range(n)]
+    assert [row.pair_count for row in found] == [sum(p == pair for p in zip(visited, visited[1:])) for pair in [(1, 2), (2, 1)]]
+    ranged = log.repartitionByRange(16, "session_id", "action_time", "event_id")
+    sizes = [row["count"] for row in ranged.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == 16 and max(sizes) < 3 * n / 16
+    plan = pages.page_transition_counts(log, flow)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("rangepartitioning") == 1 and "hashpartitioning(session" not in plan
+
+
 def test_times_before_1970_keep_their_order(spark):
     start = datetime(1970, 1, 1)
     rows = [

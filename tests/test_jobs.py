@@ -56,6 +56,24 @@ def test_session_job_over_filtered_sessions(spark, tmp_path):
     assert every["session_stat_ratio"].collect() == some["session_stat_ratio"].collect()
 
 
+def test_buckets_are_counted_while_lengths_are_written(spark, tmp_path):
+    """The same row as by counting, without reading the lengths or the log again."""
+    actions, users = D.actions(spark, SF_DIR), D.users(spark, SF_DIR)
+    lengths = sessions.filtered_session_lengths(actions, users, AGE_FILTER)
+
+    def write(rows):
+        rows.write.parquet(str(tmp_path / "lengths"))
+        return spark.read.parquet(str(tmp_path / "lengths"))
+
+    written, observed = sessions.observed_bucket_counts(lengths, write)
+    counted = sessions.session_bucket_counts(lengths)
+    assert observed.dtypes == counted.dtypes and observed.collect() == counted.collect()
+    assert sorted(written.collect()) == sorted(lengths.collect())
+    ratios = jobs.session_job(actions, users, "t", AGE_FILTER, sessions_from="filtered", folder=str(tmp_path / "job"))
+    plan = ratios["session_stat_ratio"]._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan" not in plan
+
+
 def test_page_and_area_jobs(spark):
     actions = D.actions(spark, SF_DIR)
     text = jobs.page_job(actions, D.PAGE_FLOW, "t")["page_split_convert_rate"].collect()[0].convert_rate

@@ -1,5 +1,6 @@
 """Session rules on hand-made rows."""
 
+import re
 from datetime import datetime, timedelta
 
 import pytest
@@ -7,7 +8,14 @@ from pyspark.sql import functions as F
 
 from clickloom.operators import categories, pages, sampling, sessions
 from clickloom.operators.sessions import SessionFilter
-from clickloom.sources.actions import ACTION_SCHEMA, clean_actions, read_actions, write_actions
+from clickloom.sources.actions import (
+    ACTION_SCHEMA,
+    clean_actions,
+    read_actions,
+    read_session_log,
+    write_actions,
+    write_session_log,
+)
 
 START = datetime(2024, 1, 5, 5, 3, 7)
 
@@ -274,9 +282,10 @@ def test_actions_without_a_session_do_not_meet_in_one_task(spark):
     spark.conf.set("spark.sql.shuffle.partitions", "20")
     try:
         assert pages.page_convert_rate(actions, [1, 2]).collect()[0].pair_count == 0
-        moves = pages._flow_steps(actions, [1, 2], 3600)
+        moves = pages._flow_steps(actions, [1, 2], None)
         plan = moves._jdf.queryExecution().executedPlan().toString()
-        assert "hashpartitioning(session_id" in plan and "time_slice" in plan
+        # ranges go by session, time and id, so the id spreads actions without the others
+        assert "rangepartitioning(session" in plan and plan.count("hashpartitioning(session") == 0
     finally:
         for key, value in before.items():
             spark.conf.set(key, value)
@@ -321,3 +330,35 @@ def test_one_session_with_most_rows(spark):
     assert (bot.step_length, bot.visit_length) == (10000, 29997)
     assert bot.click_category_ids == [0, 1, 2, 3, 4]
     assert bot.search_keywords == [f"k{i}" for i in range(7)]
+
+
+def test_a_log_bucketed_by_session_is_not_shuffled(spark, tmp_path):
+    rows = [action(f"s{i % 7}", 10 * i, page_id=i) for i in range(60)] + [action(None, 5, page_id=1)]
+    log = frame(spark, rows)
+    write_session_log(log, "test_session_log", str(tmp_path / "log"), buckets=8)
+    stored = read_session_log(spark, "test_session_log")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        chosen = spark.createDataFrame([("s1",), ("s3",)], "session_id string")
+        for of in (
+            sessions.session_profile,
+            # the lengths, before their users are looked up by another key
+            lambda log: log.groupBy("session_id").agg(F.max("action_time").alias("end_time")),
+            lambda log: sessions.session_detail(log, chosen, "t"),
+        ):
+            found = of(stored)
+            assert sorted(map(str, found.collect())) == sorted(map(str, of(log.where("session_id IS NOT NULL")).collect()))
+            plan = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+            above = []  # indents and names of what stands over a line of the tree
+            scans = 0
+            for line in plan.splitlines():
+                indent = re.match(r"[\s:+\-]*", line).end()
+                above = [(depth, name) for depth, name in above if depth < indent] + [(indent, line)]
+                if "FileScan" in line:
+                    scans += 1
+                    assert not any("Exchange" in name for _, name in above), plan
+            assert scans == 1
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        spark.sql("DROP TABLE test_session_log")
