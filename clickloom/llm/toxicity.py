@@ -25,6 +25,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -80,7 +81,7 @@ class BlockMaxIndex:
     ids: np.ndarray
     base_rate: float
     row_of: np.ndarray = field(default=None)  # of each term its row, -1 if it has none
-    rows: np.ndarray = field(default=None)  # weights by row, block and place
+    rows: np.ndarray = field(default=None)  # weights by block, place and row
     row_max: np.ndarray = field(default=None)
     term_entries: np.ndarray = field(default=None)  # where each term's entries begin
     entry_block: np.ndarray = field(default=None)
@@ -95,10 +96,9 @@ class BlockMaxIndex:
 
     def vector(self, counts: Counter) -> tuple[np.ndarray, np.ndarray]:
         """Terms and weights of a text, of length one."""
-        known = [(self.vocabulary[w], n) for w, n in counts.items() if w in self.vocabulary]
-        if not known:
-            return np.zeros(0, np.int64), np.zeros(0)
-        terms, tf = np.array(known, np.int64).T
+        terms = np.fromiter(map(self.vocabulary.get, counts, repeat(-1)), np.int64, len(counts))
+        tf = np.fromiter(counts.values(), np.int64, len(counts))
+        terms, tf = terms[terms >= 0], tf[terms >= 0]
         weights = (1 + np.log(tf)) * self.idf[terms]
         norm = np.sqrt((weights * weights).sum())
         return (terms, weights / norm) if norm > 0 else (np.zeros(0, np.int64), np.zeros(0))
@@ -113,11 +113,11 @@ class BlockMaxIndex:
         long = self.held.sum(axis=0) * 16 >= max(n, 32)
         self.row_of = np.where(long, np.cumsum(long) - 1, -1)
         n_blocks = -(-n // BLOCK)
-        rows = np.zeros((long.sum(), n_blocks * BLOCK), np.float32)
+        rows = np.zeros((n_blocks * BLOCK, long.sum()), np.float32)
         inside = long[terms]
-        rows[self.row_of[terms[inside]], docs[inside]] = weights[inside]
-        self.rows = rows.reshape(len(rows), n_blocks, BLOCK)
-        self.row_max = self.rows.max(axis=2, initial=0.0)
+        rows[docs[inside], self.row_of[terms[inside]]] = weights[inside]
+        self.rows = rows.reshape(n_blocks, BLOCK, rows.shape[1])
+        self.row_max = np.ascontiguousarray(self.rows.max(axis=1, initial=0.0).T)
         docs, terms, weights = docs[~inside], terms[~inside], weights[~inside]
         order = np.lexsort((docs, terms))
         docs, terms, weights = docs[order], terms[order], weights[order]
@@ -131,22 +131,25 @@ class BlockMaxIndex:
         self.examples = vectors
 
     def _leads(self, terms: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, ...]:
-        """Rows of a text's terms and their weights, entries of its other terms with the block
-        and weight of each, and the bound of each block."""
+        """A text's weights by row, entries of its other terms with the block and weight of
+        each, and the bound of each block."""
         row = self.row_of[terms]
         long = row >= 0
         rows, row_weight = row[long], weights[long].astype(np.float32)
         terms, weights = terms[~long], weights[~long]
         entries, source = _ranges(self.term_entries[terms], self.term_entries[terms + 1])
         of_block, term_weight = self.entry_block[entries], weights[source]
-        bound = np.bincount(of_block, self.entry_max[entries] * term_weight, self.rows.shape[1])
-        return rows, row_weight, entries, of_block, term_weight, bound + row_weight @ self.row_max[rows]
+        bound = np.bincount(of_block, self.entry_max[entries] * term_weight, len(self.rows))
+        bound = bound + row_weight @ self.row_max[rows]
+        of_rows = np.zeros(self.rows.shape[2], np.float32)
+        of_rows[rows] = row_weight
+        return of_rows, entries, of_block, term_weight, bound
 
     def _search(
         self, leads: tuple[np.ndarray, ...], k: int, sides: np.ndarray, without: int = -1
     ) -> list[tuple[np.ndarray, np.ndarray]]:
         """The k nearest of each side; `sides` holds a row of marks of examples per side."""
-        rows, row_weight, entries, of_block, term_weight, bound = leads
+        of_rows, entries, of_block, term_weight, bound = leads
         n, blocks = sides.shape[1], len(bound)
         padded = np.zeros((len(sides), blocks * BLOCK), bool)
         padded[:, :n] = sides
@@ -163,10 +166,9 @@ class BlockMaxIndex:
             use = np.flatnonzero(chosen[of_block])
             postings, origin = _ranges(self.entry_postings[entries[use]], self.entry_postings[entries[use] + 1])
             cosine += np.bincount(self.posting_doc[postings], self.posting_weight[postings] * term_weight[use][origin], n)
-            taken = np.flatnonzero(chosen)
-            part = self.rows[rows[:, None], taken].reshape(len(rows), len(taken) * BLOCK)
             whole = np.zeros((blocks, BLOCK), np.float32)
-            whole[taken] = (row_weight @ part).reshape(-1, BLOCK)
+            for block in np.flatnonzero(chosen).tolist():
+                whole[block] = self.rows[block] @ of_rows
             cosine += whole.ravel()[:n]
             if without >= 0:
                 cosine[without] = 0.0
@@ -179,9 +181,9 @@ class BlockMaxIndex:
             bounds[bounds < least[:, None] - 1e-5] = 0.0
             step = 4 * FIRST_BLOCKS
         results = []
-        for own in found:
+        for own, kth in zip(found, least.tolist()):
             # of equal cosines the earlier example
-            best = np.flatnonzero(own >= max(np.partition(own, n - k)[n - k], 1e-7)) if n > k else np.flatnonzero(own > 1e-7)
+            best = np.flatnonzero(own >= max(kth, 1e-7))
             best = best[np.argsort(-own[best], kind="stable")][:k]
             results.append((best, own[best]))
         return results
