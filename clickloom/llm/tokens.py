@@ -1,4 +1,4 @@
-"""Token ids of whole texts by a word-level tokenizer, through a cache of words."""
+"""Token ids of whole texts by a word-level tokenizer, through a cache of pieces."""
 
 from __future__ import annotations
 
@@ -8,16 +8,16 @@ import unicodedata
 import numpy as np
 from tokenizers import Tokenizer
 
-#: Words and stems kept per Python worker, about; later and longer ones are kept for a batch
-#: only. Some 60 MB; larger dictionaries are slower, as they no longer fit a processor's caches.
-CACHED_WORDS = 120_000
+#: Pieces kept per Python worker; later ones are kept until there are `PASSING_PIECES` of them,
+#: longer ones for a text only. Some 40 MB in all.
+CACHED_PIECES = 160_000
+PASSING_PIECES = 60_000
 LONGEST_CACHED = 64
-TEXTS_AT_ONCE = 256
 
-#: Marks at the end of a word that the tokenizer parts from letters and digits before them.
-MARKS = ".,;:!?"
-
-# Characters that str.split takes for white space but the tokenizer does not.
+# What the tokenizer encodes apart, in lower case. Python counts a few marks (\x1c to \x1f) as
+# white space that the tokenizer does not.
+_ASCII_PIECE = re.compile(r"[a-z]+|[0-9]|'(?:s|t|re|ve|m|ll|d)|[^a-z0-9\t-\r ]+")
+_PIECE = re.compile(r"[^\W\d_]+|\d|'(?:s|t|re|ve|m|ll|d)|(?:[^\w\s]|[_\x1c-\x1f])+")
 _ODD = re.compile("[\x1c-\x1f]")
 
 
@@ -33,10 +33,48 @@ def _byte_letters() -> dict[int, str]:
 _BYTE_LETTERS = _byte_letters()
 
 
+def _plain(text: str) -> bool:
+    """Whether NFC leaves the text and its lower case as they are, and lower case changes each
+    character by itself (that of a capital sigma depends on its place)."""
+    if text.isascii():
+        return True
+    lower = text.lower()
+    return (
+        len(lower) == len(text)
+        and "\u03a3" not in text
+        and unicodedata.is_normalized("NFC", text)
+        and unicodedata.is_normalized("NFC", lower)
+    )
+
+
+def _unassigned(piece: str) -> bool:
+    """Whether it holds characters that are newer than Python's tables: the tokenizer may know
+    them, and then tells what else belongs to their piece."""
+    return not piece.isascii() and not piece.isalpha() and any(unicodedata.category(c) == "Cn" for c in piece)
+
+
+def _pieces(text: str) -> list[str]:
+    """The text in pieces, whose ids in turn are those of the text: what the tokenizer encodes
+    apart, in lower case. Holds but for unassigned characters."""
+    if text.isascii():
+        return _ASCII_PIECE.findall(text.lower())
+    return _PIECE.findall(text.lower()) if _plain(text) else _pieces_by_word(text)
+
+
+def _pieces_by_word(text: str) -> list[str]:
+    """The same for every text: words that are not plain stay whole."""
+    if _ODD.search(text):
+        return [text]
+    pieces = []
+    for word in text.split():
+        pieces += _PIECE.findall(word.lower()) if _plain(word) and not _unassigned(word) else [word]
+    return pieces
+
+
 class WordTokenizer:
     """Ids of a byte-level BPE with lower case and NFC that drops white space and never joins what it separates.
 
-    The ids of a text are then those of its words in turn, and each distinct word need be
+    The ids of a text are then those of its pieces in turn, and each distinct piece need be
     encoded only once. `encode` returns exactly what the tokenizer gives for the whole text.
     """
 
@@ -47,72 +85,43 @@ class WordTokenizer:
         size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.id_bytes = [i.to_bytes(4, "little") for i in range(size)]
         self.known: dict[str, bytes] = {}
-        self.stems: dict[str, bytes] = {}
+        self.passing: list[str] = []
 
-    def _encode_word(self, word: str) -> bytes:
-        if word.isalpha() and word.lower() == word and unicodedata.is_normalized("NFC", word):
+    def _encode_piece(self, piece: str) -> bytes:
+        if piece.isalpha() and piece.lower() == piece and unicodedata.is_normalized("NFC", piece):
             # such letters alone are one piece to the tokenizer: its model is asked directly
-            if not word.isascii():
-                word = word.encode().decode("latin-1").translate(_BYTE_LETTERS)
+            if not piece.isascii():
+                piece = piece.encode().decode("latin-1").translate(_BYTE_LETTERS)
             ids = self.id_bytes
-            return b"".join([ids[token.id] for token in self.model.tokenize(word)])
-        return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def _stem(self, word: str) -> tuple[str, str]:
-        """The part of a word that is encoded apart from the marks after it, and the marks."""
-        stem = word.rstrip(MARKS)
-        lower = stem.lower()
-        if not stem.isascii() and (len(lower) != len(stem) or not unicodedata.is_normalized("NFC", stem)):
-            return word, ""  # lower case or NFC may end the stem in a mark
-        if not stem or not stem[-1].isalnum():
-            return word, ""
-        # the lower case of capital sigma depends on its place
-        return (stem if "\u03a3" in stem else lower), word[len(stem) :]
-
-    def _learn(self, words: set[str]) -> list[str]:
-        """Adds the words. A word is its stem in lower case and the marks after it: these are
-        encoded apart anyway, and many words share a stem. Gives the stems that were added."""
-        known, stems, added = self.known, self.stems, []
-        for word in words:
-            stem, marks = self._stem(word)
-            ids = stems.get(stem)
-            if ids is None:
-                ids = stems[stem] = self._encode_word(stem)
-                added.append(stem)
-            if marks:
-                after = stems.get(marks)
-                if after is None:
-                    after = stems[marks] = self._encode_word(marks)
-                    added.append(marks)
-                ids += after
-            known[word] = ids
-        return added
+            return b"".join([ids[token.id] for token in self.model.tokenize(piece)])
+        return np.array(self.tokenizer.encode(piece, add_special_tokens=False).ids, "<u4").tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Per text its ids as little-endian unsigned 32-bit integers."""
         out: list[bytes] = []
         known = self.known
-        for at in range(0, len(texts), TEXTS_AT_ONCE):
-            some = texts[at : at + TEXTS_AT_ONCE]
-            split = [None if _ODD.search(text) else text.split() for text in some]
-            missing: set[str] = set()
-            for words in split:
-                missing.update(set(words or ()).difference(known))
-            full = len(known) > CACHED_WORDS, len(self.stems) > CACHED_WORDS
-            added = self._learn(missing)
-            for text, words in zip(some, split):
-                if words is None:
-                    ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-                    out.append(np.array(ids, "<u4").tobytes())
-                else:
-                    out.append(b"".join(map(known.__getitem__, words)))
-            # a full cache keeps the words it has: the frequent ones came early
-            for word in missing:
-                if full[0] or len(word) > LONGEST_CACHED:
-                    del known[word]
-            for stem in added:
-                if full[1] or len(stem) > LONGEST_CACHED:
-                    del self.stems[stem]
+        for text in texts:
+            pieces = _pieces(text)
+            # a full cache keeps the pieces it has: the frequent ones came early
+            full = len(known) - len(self.passing) > CACHED_PIECES
+            new = set(pieces).difference(known)
+            if not text.isascii() and any(map(_unassigned, new)):
+                pieces = _pieces_by_word(text)
+                new = set(pieces).difference(known)
+            once = []
+            for piece in new:
+                known[piece] = self._encode_piece(piece)
+                if len(piece) > LONGEST_CACHED or _unassigned(piece):
+                    once.append(piece)
+                elif full:
+                    self.passing.append(piece)
+            out.append(b"".join(map(known.__getitem__, pieces)))
+            for piece in once:
+                del known[piece]
+            if len(self.passing) > PASSING_PIECES:
+                for piece in self.passing:
+                    del known[piece]
+                self.passing.clear()
         return out
 
 

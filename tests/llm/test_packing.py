@@ -8,6 +8,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
+from clickloom.llm import tokens
 from clickloom.llm.packing import Limits, Packer, Piece, pack
 from clickloom.llm.queries import WORD_TOKENIZER
 from clickloom.llm.tokens import WordTokenizer
@@ -29,6 +30,38 @@ def test_words_give_the_ids_of_whole_texts():
     assert WordTokenizer(PATH).encode(texts) == plain_ids(texts)
 
 
+def test_a_piece_is_kept_once_whatever_its_case_and_marks():
+    """Rare words are looked up by what the tokenizer encodes apart, so most are known already."""
+    tokenizer = WordTokenizer(PATH)
+    texts = ["Word word, WORD! wOrd.", "Été? été; ÉTÉ", "don't Don't"]
+    assert tokenizer.encode(texts) == plain_ids(texts)
+    assert set(tokenizer.known) == {"word", "été", "don", "'t", *",!.?;"}
+
+
+def test_lower_case_that_would_compose_stays_apart():
+    """There is no single letter for a capital T with two dots, but there is one in lower case."""
+    texts = ["T\u0308a", "H\u0331b. T\u0308a", "x T\u0308", "J\u030c\u0391\u03a3 a"]
+    assert WordTokenizer(PATH).encode(texts) == plain_ids(texts)
+
+
+def test_characters_unknown_to_python_stay_in_their_word():
+    texts = ["\u1c8a", "\u268a\u1c8a\u00f9 a", "a\u1c8a b", "\u1c8a\u2600 \u0391\u03a3", "x\U00010d40.\U00010d40"]
+    assert WordTokenizer(PATH).encode(texts * 2) == plain_ids(texts * 2)
+
+
+def test_a_full_cache_stays_bounded(monkeypatch):
+    monkeypatch.setattr(tokens, "CACHED_PIECES", 50)
+    monkeypatch.setattr(tokens, "PASSING_PIECES", 30)
+    random.seed(4)
+    texts = [" ".join("".join(random.choices("abcdeéß'1.", k=random.randint(1, 90))) for _ in range(20)) for _ in range(60)]
+    tokenizer = WordTokenizer(PATH)
+    for text, ids in zip(texts, plain_ids(texts)):
+        pieces = len(set(tokens._pieces(text)))
+        assert tokenizer.encode([text]) == [ids]
+        assert len(tokenizer.known) <= 50 + 30 + 2 * pieces
+    assert max(map(len, tokenizer.known)) <= tokens.LONGEST_CACHED
+
+
 def check(rows, documents, limits):
     """`documents`: by id, all ids with the end, and where loss begins; ids must be unique."""
     by_sequence, by_document = defaultdict(list), defaultdict(list)
