@@ -45,26 +45,39 @@ REJECT_FROM = 0.7
 LEAST_VOTE = 0.1
 
 _PIECE = re.compile(r"\w{1,4}")
+_ASCII_PIECE = re.compile(r"[a-z0-9_]{1,4}")
 #: Runs of scripts without spaces: Thai, Lao, Tibetan, Burmese, Khmer, kana, Han.
 _UNSPACED = re.compile(
     "[\u0e00-\u109f\u1780-\u17ff\u3040-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff]+"
 )
 
 
+def _is_latin(text: str) -> bool:
+    """Whether all characters are below 256, told much faster than by a pattern."""
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
 def stems_of(text: str) -> list[str]:
     """Every word in pieces of four characters, and the character pairs of unspaced runs."""
     text = text.lower()
     if text.isascii():
+        return _ASCII_PIECE.findall(text)
+    if _is_latin(text):
         return _PIECE.findall(text)
     pairs = [run[i : i + 2] for run in _UNSPACED.findall(text) for i in range(max(1, len(run) - 1))]
     return _PIECE.findall(_UNSPACED.sub(" ", text)) + pairs
 
 
 def _ranges(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """All whole numbers of the ranges in turn, and the range that each comes from."""
+    """All whole numbers of the ranges in turn, and the length of each range."""
     lengths = ends - starts
-    source = np.repeat(np.arange(len(starts)), lengths)
-    return np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths - starts, lengths), source
+    after = np.cumsum(lengths)
+    total = int(after[-1]) if len(after) else 0
+    return np.arange(total) + np.repeat(starts - after + lengths, lengths), lengths
 
 
 @dataclass
@@ -91,6 +104,8 @@ class BlockMaxIndex:
     posting_weight: np.ndarray = field(default=None)
     examples: list = field(default_factory=list)  # terms and weights of each example
     held: np.ndarray = field(default=None)  # per class (clean, toxic) and term the examples with it
+    lean: np.ndarray = field(default=None)  # of each term
+    classes: list = field(default_factory=list)  # sides of the clean and the toxic examples
     slope: float = 1.0
     shift: float = 0.0
 
@@ -129,6 +144,14 @@ class BlockMaxIndex:
         self.entry_max = np.maximum.reduceat(weights, new) if len(new) else np.zeros(0)
         self.term_entries = np.searchsorted(terms[new], np.arange(size + 1))
         self.examples = vectors
+        self.lean = self._leaning(np.arange(size))
+        self.classes = [self._side(self.labels != 1), self._side(self.labels == 1)]
+
+    def _side(self, marks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The examples of a side, and whether each block has one."""
+        padded = np.zeros(len(self.rows) * BLOCK, bool)
+        padded[: len(marks)] = marks
+        return np.flatnonzero(marks), padded.reshape(-1, BLOCK).any(axis=1)
 
     def _leads(self, terms: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, ...]:
         """A text's weights by row, entries of its other terms with the block and weight of
@@ -137,8 +160,8 @@ class BlockMaxIndex:
         long = row >= 0
         rows, row_weight = row[long], weights[long].astype(np.float32)
         terms, weights = terms[~long], weights[~long]
-        entries, source = _ranges(self.term_entries[terms], self.term_entries[terms + 1])
-        of_block, term_weight = self.entry_block[entries], weights[source]
+        entries, lengths = _ranges(self.term_entries[terms], self.term_entries[terms + 1])
+        of_block, term_weight = self.entry_block[entries], np.repeat(weights, lengths)
         bound = np.bincount(of_block, self.entry_max[entries] * term_weight, len(self.rows))
         bound = bound + row_weight @ self.row_max[rows]
         of_rows = np.zeros(self.rows.shape[2], np.float32)
@@ -146,17 +169,16 @@ class BlockMaxIndex:
         return of_rows, entries, of_block, term_weight, bound
 
     def _search(
-        self, leads: tuple[np.ndarray, ...], k: int, sides: np.ndarray, without: int = -1
+        self, leads: tuple[np.ndarray, ...], k: int, sides: list[tuple[np.ndarray, np.ndarray]], without: int = -1
     ) -> list[tuple[np.ndarray, np.ndarray]]:
-        """The k nearest of each side; `sides` holds a row of marks of examples per side."""
+        """The k nearest of each side."""
         of_rows, entries, of_block, term_weight, bound = leads
-        n, blocks = sides.shape[1], len(bound)
-        padded = np.zeros((len(sides), blocks * BLOCK), bool)
-        padded[:, :n] = sides
+        blocks = len(bound)
         # per side the bound of each block that has examples of it and a term of the text
-        bounds = np.where(padded.reshape(len(sides), blocks, BLOCK).any(axis=2), bound, 0.0)
-        found, least = np.zeros(sides.shape), np.zeros(len(sides))
-        cosine, step = np.zeros(n), FIRST_BLOCKS
+        bounds = np.where(np.stack([has for _, has in sides]), bound, 0.0)
+        # a side's cosines are taken out of all before they are compared
+        found, least = [np.zeros(len(members)) for members, _ in sides], np.zeros(len(sides))
+        cosine, step = np.zeros(blocks * BLOCK), FIRST_BLOCKS
         while bounds.any():
             # of each side the blocks with the highest bounds that are left
             top = np.argpartition(-bounds, min(step, blocks) - 1, axis=1)[:, :step]
@@ -164,39 +186,43 @@ class BlockMaxIndex:
             chosen[top] = True
             chosen &= (bounds > 0).any(axis=0)
             use = np.flatnonzero(chosen[of_block])
-            postings, origin = _ranges(self.entry_postings[entries[use]], self.entry_postings[entries[use] + 1])
-            cosine += np.bincount(self.posting_doc[postings], self.posting_weight[postings] * term_weight[use][origin], n)
+            some = entries[use]
+            postings, lengths = _ranges(self.entry_postings[some], self.entry_postings[some + 1])
+            weights = self.posting_weight[postings] * np.repeat(term_weight[use], lengths)
+            cosine += np.bincount(self.posting_doc[postings], weights, len(cosine))
             whole = np.zeros((blocks, BLOCK), np.float32)
             for block in np.flatnonzero(chosen).tolist():
-                whole[block] = self.rows[block] @ of_rows
-            cosine += whole.ravel()[:n]
+                np.dot(self.rows[block], of_rows, out=whole[block])
+            cosine += whole.ravel()
             if without >= 0:
                 cosine[without] = 0.0
-            # to six digits, so that equal texts tie
-            found = np.round(cosine, 6) * sides
-            if n > k:
-                least = np.partition(found, n - k, axis=1)[:, n - k]
+            for side, (members, _) in enumerate(sides):
+                # to six digits, so that equal texts tie
+                found[side] = own = np.round(cosine[members], 6)
+                high = own[own >= max(least[side], 1e-7)]  # never fewer than before
+                if len(high) >= k:
+                    high.partition(len(high) - k)
+                    least[side] = high[len(high) - k]
             bounds[:, chosen] = 0.0
             # a bound as high as the k-th cosine may hide a tie
             bounds[bounds < least[:, None] - 1e-5] = 0.0
             step = 4 * FIRST_BLOCKS
         results = []
-        for own, kth in zip(found, least.tolist()):
+        for own, (members, _), kth in zip(found, sides, least.tolist()):
             # of equal cosines the earlier example
             best = np.flatnonzero(own >= max(kth, 1e-7))
             best = best[np.argsort(-own[best], kind="stable")][:k]
-            results.append((best, own[best]))
+            results.append((members[best], own[best]))
         return results
 
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """The k examples with the largest cosine above 0 and the cosines, largest first;
         ties to the earlier example."""
-        return self._search(self._leads(terms, weights), k, np.ones((1, len(self.labels)), bool))[0]
+        return self._search(self._leads(terms, weights), k, [self._side(np.ones(len(self.labels), bool))])[0]
 
     def of_each_class(self, terms: np.ndarray, weights: np.ndarray, k: int, without: int = -1) -> list[tuple[np.ndarray, np.ndarray]]:
         """The k nearest clean and the k nearest toxic examples; `without` leaves one out."""
-        toxic = self.labels == 1
-        return self._search(self._leads(terms, weights), k, np.stack([~toxic, toxic]), without)
+        return self._search(self._leads(terms, weights), k, self.classes, without)
 
     def _leaning(self, terms: np.ndarray, without: int = -1) -> np.ndarray:
         """How much more often toxic examples hold each term than clean ones, as a log-ratio, 0
@@ -214,7 +240,7 @@ class BlockMaxIndex:
     def vote(self, terms: np.ndarray, weights: np.ndarray, found: list[tuple[np.ndarray, np.ndarray]], k: int, without: int = -1) -> float:
         """Log-odds of the mean votes of the nearest toxic and the nearest clean examples."""
         told = np.zeros(len(self.vocabulary))
-        told[terms] = weights * self._leaning(terms, without)
+        told[terms] = weights * (self.lean[terms] if without < 0 else self._leaning(terms, without))
         votes = []
         for best, _ in found:
             own = [self.examples[i] for i in best]
@@ -262,8 +288,9 @@ def _document_frequencies(docs: DataFrame, vocabulary: dict[str, int]) -> tuple[
         counts, texts = np.zeros(len(known) + 1, np.int64), 0
         for batch in batches:
             for text in batch.column(0):
-                found = [known[w] for w in set(stems_of(text.as_py())) if w in known]
-                counts[found] += 1
+                features = set(stems_of(text.as_py()))
+                # the last place takes what is not known, and is set in the end
+                counts[np.fromiter(map(known.get, features, repeat(-1)), np.int64, len(features))] += 1
                 texts += 1
         counts[-1] = texts
         met = np.flatnonzero(counts)

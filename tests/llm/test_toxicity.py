@@ -143,6 +143,55 @@ def test_nearest_of_each_class_and_votes():
         assert np.isclose(index.vote(*vectors[query], found, 5, query), want)
 
 
+def test_what_each_term_leans_to_is_told_once(monkeypatch):
+    """A text is scored by the leanings that the index was built with; only an example, which is
+    left out of them, has its own."""
+    index = T.BlockMaxIndex({"a": 0, "b": 1, "c": 2}, np.ones(3), np.zeros(0), np.zeros(0), 0.1)
+    index.labels, index.ids = np.array([0, 0, 1]), np.arange(3)
+    index.build([index.vector(Counter(text)) for text in ("ab", "bc", "ac")])
+    assert np.array_equal(index.lean, index._leaning(np.arange(3)))
+    vector = index.vector(Counter("aac"))
+    found = index.of_each_class(*vector, 2)
+    want = index.vote(*vector, found, 2)
+    monkeypatch.setattr(T.BlockMaxIndex, "_leaning", lambda *_: 1 / 0)
+    assert index.vote(*vector, found, 2) == want
+
+
+@pytest.mark.parametrize("members", [0, 3, 5, 40])
+def test_a_side_with_few_examples(members):
+    """Fewer examples than are looked for, or none; those without a common term do not count."""
+    random = np.random.RandomState(3)
+    index = T.BlockMaxIndex({str(i): i for i in range(30)}, np.ones(30), np.zeros(0), np.zeros(0), 0.1)
+    vectors = [index.vector(Counter(random.choice(30, 3).astype(str))) for _ in range(100)]
+    index.labels, index.ids = (np.arange(100) < members).astype(int), np.arange(100)
+    index.build(vectors)
+    dense = np.zeros((100, 30))
+    for i, (t, w) in enumerate(vectors):
+        dense[i, t] = w
+    for q in range(100):
+        cosine = np.round(dense @ dense[q], 6)
+        for label, (best, got) in enumerate(index.of_each_class(*vectors[q], 5)):
+            side = np.flatnonzero((index.labels == label) & (cosine > 0))
+            want = side[np.argsort(-cosine[side], kind="stable")][:5]
+            assert len(best) == len(want) and np.allclose(got, cosine[want], atol=2e-6)
+
+
+def test_features_of_all_scripts():
+    assert T.stems_of("Hello_wor1d, I'm x") == ["hell", "o_wo", "r1d", "i", "m", "x"]
+    assert T.stems_of("Éternel ½ªß") == ["éter", "nel", "½ªß"]
+    assert T.stems_of("Ωmegatron 我们好 é") == ["ωmeg", "atro", "n", "é", "我们", "们好"]
+    latin = "".join(map(chr, range(256)))
+    assert T.stems_of(latin) == T._PIECE.findall(T._UNSPACED.sub(" ", latin.lower()))
+    ascii_ = "".join(map(chr, range(128)))
+    assert T.stems_of(ascii_) == T._PIECE.findall(ascii_.lower())
+
+
+def test_document_frequencies_count_texts(spark):
+    docs = spark.createDataFrame([("one two one",), ("two unknown",), ("",), ("nothing",)], "text string")
+    counts, texts = T._document_frequencies(docs, {"one": 0, "two": 1, "thre": 2})
+    assert counts.tolist() == [1, 2, 0] and texts == 4
+
+
 def test_an_id_repeated_often_is_one_example(spark):
     docs = spark.createDataFrame([(1, f"text {i % 7}") for i in range(5000)] + [(2, "other")], "doc_id long, text string")
     index = T.fit(docs, spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, toxic int"))
