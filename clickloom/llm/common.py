@@ -15,6 +15,8 @@ from clickloom.plans.session import work_dir
 
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+#: Rows that go to a Python worker at once, besides the last one.
+BATCH_BYTES = 2 << 20
 
 
 def importable(spark: SparkSession) -> None:
@@ -28,6 +30,18 @@ def importable(spark: SparkSession) -> None:
         environment["PYTHONPATH"] = os.pathsep.join(filter(None, [environment.get("PYTHONPATH"), ROOT]))
 
 
+def modest_batches(spark: SparkSession) -> None:
+    """Lets tasks hand their rows to Python in batches of at most `BATCH_BYTES`, in what runs
+    from now on; a session that is set to less keeps its setting.
+
+    A batch is built in native memory beside the heap and held again by the Python worker.
+    Spark's own limits, 10,000 rows and 64 MB, would let the texts of a whole task be one.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(name)) > BATCH_BYTES:
+        spark.conf.set(name, f"{BATCH_BYTES}b")
+
+
 def stored(rows: DataFrame, purpose: str) -> DataFrame:
     """The rows written to the shared folder and read again.
 

@@ -30,6 +30,9 @@ PIECES = (
     "sequence_id long, offset long, ids binary"
 )
 
+#: Bytes of ids that leave a task at once, besides those of the last piece.
+IDS_BYTES = 1 << 20
+
 
 @dataclass(frozen=True)
 class Limits:
@@ -214,11 +217,13 @@ def pack(
             + [("ids", pa.binary())]
         )
         rows: list[tuple] = []
+        size = 0
         for row in _rows(sequences(), first):
             rows.append(row)
-            if len(rows) == 2000:
+            size += len(row[-1])
+            if size >= IDS_BYTES or len(rows) == 2000:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), schema.types)], schema=schema)
-                rows = []
+                rows, size = [], 0
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), schema.types)], schema=schema)
 

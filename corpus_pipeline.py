@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickloom.llm import exact_dedup, near_dedup, packing, secret_scan, toxicity
-from clickloom.llm.common import discard, importable, stored
+from clickloom.llm.common import discard, importable, modest_batches, stored
 from clickloom.llm.queries import WORD_TOKENIZER
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -22,18 +22,21 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are scored below the mark of rejection."""
     importable(spark)
+    modest_batches(spark)
     return toxicity.without_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the document with the largest id."""
     importable(spark)
+    modest_batches(spark)
     return exact_dedup.without_copies(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each class of near-duplicates the document with the least id."""
     importable(spark)
+    modest_batches(spark)
     return near_dedup.without_near_copies(docs)
 
 
@@ -46,6 +49,7 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents with their places in sequences."""
     importable(spark)
+    modest_batches(spark)
     return packing.pack(docs, public_tokenizers.path(WORD_TOKENIZER))
 
 

@@ -5,10 +5,11 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from clickloom.llm import tokens
+from clickloom.llm import packing, tokens
 from clickloom.llm.packing import Limits, Packer, Piece, pack
 from clickloom.llm.queries import WORD_TOKENIZER
 from clickloom.llm.tokens import WordTokenizer
@@ -132,3 +133,21 @@ def test_the_dot_product_chooses_what_fits_the_shape_of_the_room():
     sequences = list(packer.finish())
     assert len(sequences) == 10
     assert all({p.doc_id[0] for p in s} == {"much", "none"} for s in sequences)
+
+
+def test_what_leaves_a_task_at_once_is_bounded_by_bytes(spark, monkeypatch):
+    """1,500 long pieces are fewer rows than a batch may have, and far more bytes."""
+    docs = spark.createDataFrame([], "doc_id long, text string")
+    runs = []
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, run, schema: runs.append(run))
+    monkeypatch.setattr(packing, "TaskContext", type("Task", (), {"get": lambda: type("Own", (), {"partitionId": lambda self: 0})()}))
+    pack(docs, PATH)
+    texts = ["one two three four five " * 340] * 1500
+    given = pa.table({"doc_id": pa.array(range(1500), pa.int64()), "text": texts, "prompt": [""] * 1500})
+    out = list(runs[0](iter(given.to_batches())))
+    assert max(batch.nbytes for batch in out) < packing.IDS_BYTES * 1.2
+    ids = defaultdict(bytes)
+    for row in sorted((row for batch in out for row in batch.to_pylist()), key=lambda row: (row["doc_id"], row["start"])):
+        ids[row["doc_id"]] += row["ids"]
+    whole = plain_ids(texts[:1])[0] + np.array([1], "<u4").tobytes()
+    assert ids == {i: whole for i in range(1500)}

@@ -1,9 +1,11 @@
 """Every stage of the pipeline on its own input, against plain code."""
 
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
-from clickloom.llm import toxicity
+from clickloom.llm import exact_dedup, near_dedup, packing, toxicity
+from clickloom.llm.common import BATCH_BYTES, modest_batches
 from test_exact_dedup import expected as exact_groups
 from test_near_dedup import brute as near_groups
 from test_packing import check as check_packing
@@ -83,3 +85,41 @@ def test_whole_run(spark, documents):
     assert documents.count() > sizes[0] > sizes[1] >= sizes[2] == sizes[3]
     rows = corpus_pipeline.run(spark, SF).collect()
     assert {r.doc_id for r in rows} == set(texts_of(docs))
+
+
+@pytest.fixture()
+def usual_batches(spark):
+    """Spark's own limit before a test and, whatever it did, after it."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    spark.conf.unset(name)
+    yield name
+    spark.conf.unset(name)
+
+
+@pytest.mark.parametrize(
+    "name, module, call",
+    [
+        ("toxicity", toxicity, "without_toxic"),
+        ("exact_dedup", exact_dedup, "without_copies"),
+        ("near_dedup", near_dedup, "without_near_copies"),
+        ("packing", packing, "pack"),
+    ],
+)
+def test_texts_go_to_python_in_batches_of_few_bytes(spark, usual_batches, monkeypatch, name, module, call):
+    """12 MB of texts in one task, in fewer rows than Spark would make a batch of."""
+
+    def sizes(batches):  # in here, as workers cannot import tests
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows]), pa.array([batch.nbytes])], names=["n", "size"])
+
+    docs = spark.range(0, 1200, 1, 1).selectExpr("id as doc_id", "repeat(cast(id % 10 as string), 10000) as text")
+    monkeypatch.setattr(module, call, lambda docs, *others: docs.select("text").mapInArrow(sizes, "n long, size long"))
+    rows = STAGES[name](spark, docs, SF).collect()
+    assert sum(row.n for row in rows) == 1200
+    assert max(row.size for row in rows) < BATCH_BYTES * 1.1
+
+
+def test_smaller_batches_stay(spark, usual_batches):
+    spark.conf.set(usual_batches, "64k")
+    modest_batches(spark)
+    assert spark.conf.get(usual_batches) == "64k"
