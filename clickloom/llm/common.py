@@ -59,6 +59,16 @@ def stored(rows: DataFrame, purpose: str) -> DataFrame:
     return read
 
 
+def few(rows: DataFrame, count: int, together: int) -> DataFrame:
+    """The rows, about `count`, in partitions of no fewer than `together`, if they have smaller
+    ones; but one for each core, as far as they have so many.
+
+    For small rows that are to be `stored`: a task writes a file, and the work on a file, as
+    the processes a JVM starts to set its mode on a plain local disk, does not shrink with it.
+    """
+    return rows.coalesce(max(rows.sparkSession.sparkContext.defaultParallelism, -(-count // together), 1))
+
+
 def discard(*rows: DataFrame) -> None:
     """Removes what `stored` wrote, once nothing that is still to run reads it."""
     for each in rows:

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.llm.common import discard, free_name, released, stored, text_or_empty
+from clickloom.llm.common import discard, few, free_name, released, stored, text_or_empty
 
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
@@ -44,6 +44,8 @@ SLOTS = 1 << 18
 CUT_SHARE = 0.2
 #: Rows of a bucket that one task compares with as many others.
 BLOCK_ROWS = 512
+#: Texts whose rows are stored together at least, a few kilobytes a text; and links.
+TEXTS_A_FILE, LINKS_A_FILE = 4000, 100_000
 
 _SLOT_BLOCK = 4096
 _WORD = re.compile(r"\w+")
@@ -361,14 +363,21 @@ def _compare_groups(idf, least: float):
     return run
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, nodes: int | None = None) -> DataFrame:
     """Of edges (a, b), each node with the least node it is connected to: key, label.
 
     Edges are turned towards the least neighbour, from larger and from smaller nodes in turn,
     until every node points at the least of its component. The number of rounds grows with
-    the logarithm of the longest chain; each round is written before the next.
+    the logarithm of the longest chain; each round is written before the next. `nodes`: about
+    how many there may be, if known; the first edges are then stored together.
     """
-    current = stored(edges.where(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "near-edges")
+
+    def state(links: DataFrame) -> tuple:
+        return tuple(links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+
+    turned = edges.where(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
+    current = stored(turned if nodes is None else few(turned, nodes, TEXTS_A_FILE), "near-edges")
+    before = state(current)
     while True:
         both = current.union(current.select("v", "u"))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select(F.hex("u").alias("h"), F.least("u", "m").alias("m"))
@@ -379,10 +388,8 @@ def components(edges: DataFrame) -> DataFrame:
         joined = large.withColumn("h", F.hex("u")).join(lower, "h")
         small = joined.where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         small = small.union(joined.select("u", F.col("m").alias("v"))).distinct()
-        following = stored(small, "near-edges")
-        same = following.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        before = current.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        current = following
+        current = stored(few(small, before[0], LINKS_A_FILE), "near-edges")
+        same, before = before, state(current)
         if same == before:
             return current.select(F.col("u").alias("key"), F.col("v").alias("label"))
 
@@ -392,34 +399,39 @@ def _classes(docs: DataFrame, id_column: str, text: str, least: float) -> DataFr
     body = text_or_empty(f"`{text}`")
     texts = docs.select(F.col(f"`{id_column}`").cast("long").alias("doc_id"), body.alias("text"), _text_hash(body).alias("text_hash"))
     context = docs.sparkSession.sparkContext
-    idf = context.broadcast(idf_table(*document_frequencies(texts)).astype(np.float32))
-    signed = stored(signatures(texts, idf), "near-signatures")
-    keys = stored(signed.select("doc_id", "text_hash", "key"), "near-keys")
+    counts, n_texts = document_frequencies(texts)
+    idf = context.broadcast(idf_table(counts, n_texts).astype(np.float32))
+
+    def kept_together(rows: DataFrame, purpose: str) -> DataFrame:
+        return stored(few(rows, n_texts, TEXTS_A_FILE), purpose)
+
+    # put together before texts go to Python, where a task then needs one worker
+    signed = stored(signatures(few(texts, n_texts, TEXTS_A_FILE), idf), "near-signatures")
+    keys = kept_together(signed.select("doc_id", "text_hash", "key"), "near-keys")
     distinct = signed.groupBy("key").agg(
         F.min("doc_id").alias("doc_id"), F.min_by(F.struct("weight", "samples", "bands"), F.lit(0)).alias("s")
     )
-    distinct = stored(distinct.where("doc_id is not null").select("key", "doc_id", "s.*"), "near-distinct")
+    distinct = kept_together(distinct.where("doc_id is not null").select("key", "doc_id", "s.*"), "near-distinct")
     banded = distinct.select("key", F.explode("bands").alias("band"))
     shared = banded.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.min("key").alias("hub")).where("n > 1")
     shared = shared.select(F.hex("band").alias("bucket"), "hub")
-    rows = stored(banded.withColumn("bucket", F.hex("band")).join(shared, "bucket"), "near-buckets")
+    rows = kept_together(banded.withColumn("bucket", F.hex("band")).join(shared, "bucket"), "near-buckets")
     members = rows.groupBy("key").agg(F.min("hub").alias("hub"), F.collect_list("band").alias("bands"))
     # with at most BANDS bands each
-    members = stored(members.join(distinct.select("key", "doc_id", "weight", "samples"), "key"), "near-members")
+    members = kept_together(members.join(distinct.select("key", "doc_id", "weight", "samples"), "key"), "near-members")
     # of equal texts the row with the least id; rows repeated with it hold the same shingles
     texts_of = signed.groupBy("key", "doc_id").agg(F.min("shingles").alias("shingles"))
     shingles = texts_of.join(members.select("key", "doc_id", "bands"), ["key", "doc_id"]).select("key", "shingles", "bands")
-    shingles = stored(shingles, "near-shingles")
+    shingles = kept_together(shingles, "near-shingles")
     discard(signed, distinct)
 
     # each text against the first one of its buckets
     stars = members.where("key != hub").select(F.col("key").alias("a"), F.col("hub").alias("b"))
-    links = stored(_verified(stars, shingles, idf, least), "near-links")
-    labels = components(links)
+    labels = components(_verified(stars, shingles, idf, least), n_texts)
 
     # buckets that hold more than one class yet
     labelled = rows.drop("hub").join(labels, "key", "left")
-    labelled = stored(labelled.withColumn("label", F.coalesce("label", "key")), "near-labelled")
+    labelled = kept_together(labelled.withColumn("label", F.coalesce("label", "key")), "near-labelled")
     sizes = labelled.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"))
     mixed = sizes.groupBy("bucket").agg(
         F.count(F.lit(1)).alias("classes"), F.sum("n").alias("n"), F.max("n").alias("n_main"), F.max_by("label", F.struct("n", "label")).alias("main")
@@ -467,11 +479,11 @@ def _classes(docs: DataFrame, id_column: str, text: str, least: float) -> DataFr
         .applyInArrow(_compare_groups(idf, least), "a binary, b binary")
     )
     # the labels so far stand for the links behind them
-    joined = components(labels.select(F.col("key").alias("a"), F.col("label").alias("b")).union(more))
+    joined = components(labels.select(F.col("key").alias("a"), F.col("label").alias("b")).union(more), n_texts)
     classes = keys.join(joined, "key", "left").select(
         "doc_id", "text_hash", F.coalesce("label", "key").alias("label")
     )
-    classes = stored(classes, "near-classes")
+    classes = kept_together(classes, "near-classes")
     discard(keys, rows, members, shingles, labelled, sifted)
     own = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
     named = classes.groupBy("label").agg(F.min(own).alias("first"), F.count(F.lit(1)).alias("class_size"))

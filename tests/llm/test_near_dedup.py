@@ -124,3 +124,39 @@ def test_long_chains_join(spark):
     labels = {bytes(r.key): bytes(r.label) for r in rows}
     assert all(labels[bytes([1, i])] == bytes([1, 0]) for i in range(1, 201))
     assert all(labels[bytes([2, i])] == bytes([2, 0]) for i in range(1, 50))
+
+
+def test_small_tables_are_stored_in_few_files(spark, monkeypatch):
+    """Few rows in many partitions: not one file of a few rows for each of them."""
+    files, stored = {}, N.stored
+
+    def counted(rows, purpose):
+        read = stored(rows, purpose)
+        files.setdefault(purpose, []).append(len(read.inputFiles()))
+        return read
+
+    monkeypatch.setattr(N, "stored", counted)
+    many = 3 * spark.sparkContext.defaultParallelism + 20
+    settings = {"spark.sql.shuffle.partitions": str(many), "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {name: spark.conf.get(name) for name in settings}
+    rows = made(5)
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        got = found(spark.createDataFrame(rows, "doc_id long, text string").repartition(many))
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert got == brute(rows)
+    # blocks of buckets stay apart, as comparing them is work
+    most = {purpose: max(counts) for purpose, counts in files.items() if purpose != "near-sifted"}
+    assert len(most) > 6 and max(most.values()) <= spark.sparkContext.defaultParallelism, most
+
+
+def test_stored_tables_keep_their_partitions_where_rows_are_many(spark):
+    rows = spark.range(0, 1000, 1, 100)
+    cores = spark.sparkContext.defaultParallelism
+    assert N.few(rows, 1000, 10).rdd.getNumPartitions() == 100
+    assert N.few(rows, 1000, 1).rdd.getNumPartitions() == 100
+    assert N.few(rows, 1000, 1000).rdd.getNumPartitions() == min(100, cores)
+    assert N.few(rows, 0, 1000).rdd.getNumPartitions() == min(100, cores)
